@@ -76,3 +76,39 @@ def with_sales_metrics(inventory: DataFrame, sales: DataFrame, as_of: datetime,
         if with_revenue:
             fills[revenue_col(d)] = F.coalesce(F.col(revenue_col(d)).cast(T.DoubleType()), F.lit(0.0))
     return joined.withColumns(fills)
+
+
+# -- stand-alone per-SKU aggregates (F-A1..F-A4, G1) -------------------------
+def last_sale(sales: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """F-A1 (+ G1 when ``as_of`` is given): latest sale time per SKU."""
+    out = (sales.where(F.col("SKU").isNotNull())
+           .groupBy("SKU").agg(F.max("Date").alias("Last_Sale")))
+    if as_of is not None:
+        out = out.withColumn("Days_Since_Last_Sale", floor_days_since(as_of, F.col("Last_Sale")))
+    return out
+
+
+def window_units(sales: DataFrame, as_of: datetime, days: int) -> DataFrame:
+    """F-A2/F-A3: units per SKU over ``Date >= as_of - days``.
+
+    The bound is a typed literal, so it is pushed to the parquet scan and row
+    groups entirely before the window are skipped.
+    """
+    lo = window_start(as_of, days, sales.schema["Date"].dataType)
+    return (sales.where((F.col("Date") >= lo) & F.col("SKU").isNotNull())
+            .groupBy("SKU")
+            .agg(F.sum(F.col("quantity").cast(T.DoubleType())).alias(sales_col(days))))
+
+
+def revenue_windows(sales: DataFrame, as_of: datetime, windows=K.SALES_WINDOWS_DAYS) -> DataFrame:
+    """F-A4: sale-price revenue per SKU per window, for SKUs sold in the widest one."""
+    dtype = sales.schema["Date"].dataType
+    widest = max(windows)
+    scoped = sales.where((F.col("Date") >= window_start(as_of, widest, dtype))
+                         & F.col("SKU").isNotNull())
+    aggs = []
+    for d in windows:
+        in_w = F.col("Date") >= window_start(as_of, d, dtype)
+        aggs.append(F.coalesce(F.sum(_revenue_term(in_w)).cast(T.DoubleType()), F.lit(0.0))
+                    .alias(revenue_col(d)))
+    return scoped.groupBy("SKU").agg(*aggs)

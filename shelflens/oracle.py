@@ -81,7 +81,79 @@ def with_ctes(*ctes: str) -> str:
 BASE = with_ctes(INV, SALES, PER_SKU, ITEMS, FLAGS, REPORT)
 
 
+HEUR = """heur AS (
+  SELECT *, least(greatest(1.0
+      - CASE WHEN coalesce("Days Since Last Sale" > 120, false) THEN 0.25 ELSE 0 END
+      - CASE WHEN coalesce("Sales Last 90d" * 4 < 3, false) THEN 0.25 ELSE 0 END
+      - CASE WHEN coalesce(length(Title) < 5, false) THEN 0.125 ELSE 0 END
+      - CASE WHEN ISBN IS NULL OR ISBN = '' THEN 0.125 ELSE 0 END
+      - CASE WHEN NOT coalesce(Has_Image, false) THEN 0.125 ELSE 0 END
+      - CASE WHEN coalesce(Price < 2.0, false) THEN 0.125 ELSE 0 END, 0.0), 1.0)::DOUBLE AS Heuristic_Score
+  FROM report)"""
+
+LAST = """last AS (SELECT SKU, max(Date) AS Last_Sale FROM sales WHERE SKU IS NOT NULL GROUP BY SKU)"""
+
+
+def _r(select: str) -> str:
+    return BASE + select
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["q_inventory_report"] = BASE + "SELECT * FROM report"
+    q["q_inventory_report"] = _r("SELECT * FROM report")
+    # B
+    q["q_normalize_quantity"] = with_ctes(SALES) + "SELECT SKU, Date, quantity FROM sales"
+    q["q_report_projection"] = _r("""SELECT SKU, Title, ISBN, Price, Has_Image, quantity,
+        "Sales Last 30d", "Sales Last 90d", "Days Since Last Sale", Is_Stale, Bad_Metadata,
+        Metadata_Quality_Score, Flag, Notes FROM report""")
+    # E
+    q["q_join_recency"] = _r('SELECT SKU, "Days Since Last Sale" FROM report')
+    q["q_join_sales_30d"] = _r('SELECT SKU, "Sales Last 30d" FROM report')
+    q["q_join_sales_90d"] = _r('SELECT SKU, "Sales Last 90d" FROM report')
+    q["q_join_revenue"] = _r('SELECT SKU, "Revenue Last 30d", "Revenue Last 90d" FROM report')
+    # F
+    q["q_last_sale"] = with_ctes(SALES, LAST) + "SELECT * FROM last"
+    q["q_days_since_last_sale"] = with_ctes(SALES, LAST) + f"""SELECT SKU, Last_Sale,
+        CAST(floor((epoch_us({AS_OF_SQL}) - epoch_us(Last_Sale)) / 86400000000.0) AS BIGINT) AS Days_Since_Last_Sale
+        FROM last"""
+    for d, lo in ((30, LO30), (90, LO90)):
+        q[f"q_sales_last_{d}d"] = with_ctes(SALES) + f"""SELECT SKU, sum(quantity) AS Sales_Last_{d}d
+            FROM sales WHERE Date >= {lo} AND SKU IS NOT NULL GROUP BY SKU"""
+    q["q_revenue_windows"] = with_ctes(SALES) + f"""SELECT SKU,
+        coalesce(CAST(sum(CASE WHEN Date >= {LO30} THEN CAST(Price AS DECIMAL(18,2)) * CAST(quantity AS DECIMAL(18,2)) END) AS DOUBLE), 0.0) AS Revenue_30d,
+        coalesce(CAST(sum(CAST(Price AS DECIMAL(18,2)) * CAST(quantity AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS Revenue_90d
+        FROM sales WHERE Date >= {LO90} AND SKU IS NOT NULL GROUP BY SKU"""
+    q["q_flag_counts"] = _r("""SELECT Flag,
+        CASE WHEN Flag = '⚠️' THEN 'Needs Attention' ELSE 'Good Seller' END AS Label,
+        count(*) AS items, sum(count(*)) OVER ()::BIGINT AS total_items,
+        round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) AS share
+        FROM report GROUP BY Flag""")
+    q["q_sales_distribution"] = _r('SELECT "Sales Last 30d", count(*) AS items FROM report GROUP BY 1')
+    # G
+    for col in ("Is_Stale", "Bad_Metadata", "Flag", "Notes", "Metadata_Quality_Score"):
+        key = {"Is_Stale": "q_is_stale", "Bad_Metadata": "q_bad_metadata", "Flag": "q_flag",
+               "Notes": "q_notes", "Metadata_Quality_Score": "q_metadata_quality_score"}[col]
+        q[key] = _r(f"SELECT SKU, {col} FROM report")
+    q["q_stale_items_strict"] = _r("""SELECT * FROM report WHERE coalesce("Days Since Last Sale" > 120, false)
+        OR ("Sales Last 90d" = 0 AND coalesce(quantity > 0, false)) OR "Sales Last 90d" * 4 < 3""")
+    q["q_bad_metadata_strict"] = _r("""SELECT * FROM report WHERE coalesce(length(Title) < 5, false)
+        OR ISBN IS NULL OR ISBN = '' OR NOT coalesce(Has_Image, false) OR coalesce(Price < 2.0, false)""")
+    q["q_good_sellers_strict"] = _r("""SELECT * FROM report WHERE "Sales Last 30d" > 0
+        AND coalesce("Days Since Last Sale" <= 30, false) AND Title IS NOT NULL AND Title <> ''
+        AND Title <> 'Unknown Title' AND coalesce(Has_Image, false) AND coalesce(quantity > 0, false)""")
+    q["q_heuristic_score"] = BASE.rstrip() + ",\n" + HEUR + "\nSELECT SKU, Heuristic_Score FROM heur"
+    # H
+    q["q_report_stale"] = _r("SELECT * FROM report WHERE Is_Stale")
+    q["q_report_bad_metadata"] = _r("SELECT * FROM report WHERE Bad_Metadata")
+    q["q_report_good_sellers"] = _r("SELECT * FROM report WHERE NOT Is_Stale AND NOT Bad_Metadata")
+    q["q_report_sales_velocity"] = _r("""SELECT SKU, Title, "Sales Last 30d", "Sales Last 90d",
+        "Days Since Last Sale" FROM report ORDER BY "Sales Last 90d" DESC, SKU""")
+    q["q_report_metadata_quality"] = _r("""SELECT SKU, Title, ISBN, Has_Image, Metadata_Quality_Score
+        FROM report ORDER BY Metadata_Quality_Score DESC, SKU""")
+    q["q_report_heuristic"] = BASE.rstrip() + ",\n" + HEUR + """
+        SELECT SKU, Title, ISBN, Has_Image, Price, Heuristic_Score FROM heur ORDER BY Heuristic_Score DESC, SKU"""
+    q["q_report_revenue"] = _r("""SELECT SKU, Title, "Revenue Last 30d", "Revenue Last 90d",
+        "Sales Last 30d", "Sales Last 90d" FROM report ORDER BY "Revenue Last 90d" DESC, SKU""")
+    q["q_stale_scatter"] = _r("""SELECT SKU, "Days Since Last Sale", "Sales Last 30d",
+        CASE WHEN Flag = '⚠️' THEN 'Needs Attention' ELSE 'Good Seller' END AS Class FROM report""")
     return q

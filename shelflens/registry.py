@@ -10,7 +10,11 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelflens.plans.inventory_report import inventory_report
+from pyspark.sql import functions as F
+
+from shelflens.operators import sales_metrics as SM
+from shelflens.plans import reports as R
+from shelflens.plans.inventory_report import inventory_report, item_table, prepare_sales
 from shelflens.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +24,101 @@ def q_inventory_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory_report(fx.sales(spark, sf_dir), fx.listings(spark, sf_dir), fx.AS_OF)
 
 
+def _report(spark, sf_dir):
+    return q_inventory_report(spark, sf_dir)
+
+
+def _sales(spark, sf_dir):
+    return prepare_sales(fx.sales(spark, sf_dir))
+
+
+def _items(spark, sf_dir):
+    return item_table(fx.sales(spark, sf_dir), fx.listings(spark, sf_dir), fx.AS_OF)
+
+
+def _pick(*cols):
+    """A query that projects report columns (joins/flags seen one at a time)."""
+    def run(spark, sf_dir):
+        return _report(spark, sf_dir).select(*[F.col(f"`{x}`") for x in cols])
+    return run
+
+
+def _on_report(fn):
+    def run(spark, sf_dir):
+        return fn(_report(spark, sf_dir))
+    return run
+
+
+# -- B1 / B9 -------------------------------------------------------------------
+def q_normalize_quantity(spark, sf_dir):
+    raw = fx.table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("SKU"),
+        F.col("l_shipdate").alias("Date"), F.col("l_quantity").alias("Quantity"))
+    return prepare_sales(raw).select("SKU", "Date", "quantity")
+
+
+def q_report_projection(spark, sf_dir):
+    """Sales without a Price column: the revenue columns are left out."""
+    sales = fx.sales(spark, sf_dir).drop("Price")
+    return inventory_report(sales, fx.listings(spark, sf_dir), fx.AS_OF)
+
+
+# -- F-A1..F-A4, G1 -----------------------------------------------------------------
+def q_last_sale(spark, sf_dir):
+    return SM.last_sale(_sales(spark, sf_dir))
+
+
+def q_days_since_last_sale(spark, sf_dir):
+    return SM.last_sale(_sales(spark, sf_dir), fx.AS_OF)
+
+
+def q_sales_last_30d(spark, sf_dir):
+    return SM.window_units(_sales(spark, sf_dir), fx.AS_OF, 30)
+
+
+def q_sales_last_90d(spark, sf_dir):
+    return SM.window_units(_sales(spark, sf_dir), fx.AS_OF, 90)
+
+
+def q_revenue_windows(spark, sf_dir):
+    return SM.revenue_windows(_sales(spark, sf_dir), fx.AS_OF)
+
+
 def queries() -> dict[str, Query]:
     return {
         "q_inventory_report": q_inventory_report,
+        # projections / joins (B, E)
+        "q_normalize_quantity": q_normalize_quantity,
+        "q_report_projection": q_report_projection,
+        "q_join_recency": _pick("SKU", "Days Since Last Sale"),
+        "q_join_sales_30d": _pick("SKU", "Sales Last 30d"),
+        "q_join_sales_90d": _pick("SKU", "Sales Last 90d"),
+        "q_join_revenue": _pick("SKU", "Revenue Last 30d", "Revenue Last 90d"),
+        # aggregates (F)
+        "q_last_sale": q_last_sale,
+        "q_sales_last_30d": q_sales_last_30d,
+        "q_sales_last_90d": q_sales_last_90d,
+        "q_revenue_windows": q_revenue_windows,
+        "q_flag_counts": _on_report(R.flag_counts),
+        "q_sales_distribution": _on_report(R.sales_distribution),
+        # derived columns (G)
+        "q_days_since_last_sale": q_days_since_last_sale,
+        "q_is_stale": _pick("SKU", "Is_Stale"),
+        "q_bad_metadata": _pick("SKU", "Bad_Metadata"),
+        "q_flag": _pick("SKU", "Flag"),
+        "q_notes": _pick("SKU", "Notes"),
+        "q_metadata_quality_score": _pick("SKU", "Metadata_Quality_Score"),
+        "q_stale_items_strict": _on_report(R.stale_items_strict),
+        "q_bad_metadata_strict": _on_report(R.bad_metadata_strict),
+        "q_good_sellers_strict": _on_report(R.good_sellers_strict),
+        "q_heuristic_score": _on_report(lambda r: R.with_heuristic_score(r).select("SKU", "Heuristic_Score")),
+        # reports (H)
+        "q_report_stale": _on_report(R.report_stale),
+        "q_report_bad_metadata": _on_report(R.report_bad_metadata),
+        "q_report_good_sellers": _on_report(R.report_good_sellers),
+        "q_report_sales_velocity": _on_report(R.report_sales_velocity),
+        "q_report_metadata_quality": _on_report(R.report_metadata_quality),
+        "q_report_heuristic": _on_report(R.report_heuristic),
+        "q_report_revenue": _on_report(R.report_revenue),
+        "q_stale_scatter": _on_report(R.stale_scatter),
     }
