@@ -55,7 +55,7 @@ def floor_days_since(as_of: datetime, ts: Column) -> Column:
 
 
 def parse_timestamp(c: Column) -> Column:
-    """Generic text -> timestamp, NULL when no known format matches."""
+    """Generic text -> naive timestamp, NULL when no known format matches."""
     s = F.trim(c.cast(T.StringType()))
     tries = []
     for fmt in GENERIC_TIMESTAMP_FORMATS:
@@ -63,15 +63,15 @@ def parse_timestamp(c: Column) -> Column:
             tries.append(F.try_to_timestamp(s))
         else:
             tries.append(F.try_to_timestamp(s, F.lit(fmt)))
-    return F.coalesce(*tries)
+    return F.coalesce(*tries).cast(T.TimestampNTZType())
 
 
 def ensure_timestamp(df_type: T.DataType, c: Column) -> Column:
-    """Keep timestamp columns, parse everything else."""
+    """Keep timestamp columns, parse everything else (naive wall-clock time)."""
     if isinstance(df_type, (T.TimestampType, T.TimestampNTZType)):
         return c
     if isinstance(df_type, T.DateType):
-        return c.cast(T.TimestampType())
+        return c.cast(T.TimestampNTZType())
     return parse_timestamp(c)
 
 
@@ -87,5 +87,5 @@ def parse_gmt_timestamp(c: Column, gmt_format: str) -> Column:
     """
     s = c.cast(T.StringType())
     head = F.trim(F.regexp_extract(s, r"^(.*?)\s*(?:\(|$)", 1))
-    gmt = fix_two_digit_year(F.try_to_timestamp(head, F.lit(gmt_format)))
+    gmt = fix_two_digit_year(F.try_to_timestamp(head, F.lit(gmt_format)).cast(T.TimestampNTZType()))
     return F.when(s.contains("GMT"), gmt).otherwise(parse_timestamp(s))

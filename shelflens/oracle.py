@@ -156,4 +156,293 @@ def oracle_sql() -> dict[str, str]:
         "Sales Last 30d", "Sales Last 90d" FROM report ORDER BY "Revenue Last 90d" DESC, SKU""")
     q["q_stale_scatter"] = _r("""SELECT SKU, "Days Since Last Sale", "Sales Last 30d",
         CASE WHEN Flag = '⚠️' THEN 'Needs Attention' ELSE 'Good Seller' END AS Class FROM report""")
+    q.update(oracle_sql_sources())
+    return q
+
+
+# ---------------------------------------------------------------------------
+# Vendor-text tables (mirror of the adapters in sources/fixtures.py)
+# ---------------------------------------------------------------------------
+def money_sql(x: str) -> str:
+    return f"'$' || format('{{:,.2f}}', CAST({x} AS DOUBLE))"
+
+
+DAILY_AGG = """daily_agg AS (
+  SELECT CAST(l_shipdate AS DATE) AS d,
+         sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS ops,
+         sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS ops_b2b,
+         CAST(sum(l_quantity) AS BIGINT) AS units,
+         CAST(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS units_b2b,
+         count(*) AS items, count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS items_b2b,
+         count(DISTINCT l_orderkey) AS sessions
+  FROM lineitem GROUP BY 1)"""
+
+NULL_TEXT = "CAST(NULL AS VARCHAR)"
+NULL_NUM = "CAST(NULL AS DOUBLE)"
+
+
+def _daily_columns(typed: bool) -> str:
+    """The 18 report columns; ``typed`` gives the cleaned (C8) rendering."""
+    m = (lambda x: f"CAST({x} AS DOUBLE)") if typed else money_sql
+    null_money = NULL_NUM if typed else NULL_TEXT
+    date = "CAST(d AS TIMESTAMP)" if typed else "strftime(d, '%Y-%m-%d')"
+    return f"""{date} AS "Date",
+         {m('ops')} AS "Ordered Product Sales",
+         {m('ops_b2b')} AS "Ordered Product Sales - B2B",
+         CAST(units AS VARCHAR) AS "Units Ordered", CAST(units_b2b AS VARCHAR) AS "Units Ordered - B2B",
+         CAST(items AS VARCHAR) AS "Total Order Items", CAST(items_b2b AS VARCHAR) AS "Total Order Items - B2B",
+         {null_money} AS "Average Sales per Order Item", {null_money} AS "Average Sales per Order Item - B2B",
+         {NULL_TEXT} AS "Average Units per Order Item", {NULL_TEXT} AS "Average Units per Order Item - B2B",
+         {null_money} AS "Average Selling Price", {null_money} AS "Average Selling Price - B2B",
+         CAST(sessions AS VARCHAR) AS "Sessions - Total", {NULL_TEXT} AS "Sessions - Total - B2B",
+         CAST((items_b2b * 100) // items AS VARCHAR) || '%' AS "Order Item Session Percentage",
+         {NULL_TEXT} AS "Order Item Session Percentage - B2B",
+         '1' AS "Average Offer Count\""""
+
+
+DAILY_TEXT = f"""daily_text AS (SELECT {_daily_columns(False)} FROM daily_agg)"""
+
+VENDOR_LISTING = """vendor_listing AS (
+  SELECT 'P' || CAST(p_partkey AS VARCHAR) AS "seller-sku",
+         'B' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS asin1,
+         p_name AS "item-name",
+         p_type || ' ' || p_name AS "product-name",
+         CASE WHEN p_partkey % 9 = 0 THEN 'n/a' ELSE """ + money_sql("p_retailprice") + """ END AS price,
+         CASE WHEN p_size % 7 = 0 THEN NULL WHEN p_size % 11 = 0 THEN '-1' ELSE CAST(p_size AS VARCHAR) END AS quantity,
+         CASE WHEN p_size % 4 = 0 THEN 'True' WHEN p_size % 4 = 1 THEN 'false'
+              WHEN p_size % 4 = 2 THEN 'yes' ELSE NULL END AS has_image,
+         CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE lpad(CAST(p_partkey AS VARCHAR), 13, '0') END AS external_product_id,
+         'X' || CAST(p_partkey AS VARCHAR) AS "product-id",
+         p_partkey AS k, p_size AS s, p_retailprice, p_type, p_name
+  FROM part)"""
+
+VENDOR_PERF = """vendor_perf AS (
+  SELECT event_id AS "event-id",
+         strftime(ts, '%m/%d/%y %H:%M:%S') || ' GMT (PST)' AS "Date",
+         '="U' || CAST(user_id AS VARCHAR) || '"' AS sku,
+         event_type,
+         CAST(value AS VARCHAR) || '%' AS late_shipment_rate,
+         value AS order_value,
+         ts
+  FROM events)"""
+
+PERF_DAILY = """perf AS (
+  SELECT CAST(ts AS DATE) AS Date,
+         CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS units_ordered,
+         round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END::DOUBLE), 6) AS order_defect_rate,
+         round(avg(value), 6) AS mean_value
+  FROM events GROUP BY 1)"""
+
+SNAPSHOT = """snapshot AS (
+  SELECT 'P' || CAST(p_partkey AS VARCHAR) AS SKU,
+         'B' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS ASIN,
+         p_name AS Title,
+         CASE WHEN p_size % 3 = 0 THEN 'Used' ELSE 'New' END AS Condition,
+         p_retailprice AS Price, CAST(p_size AS BIGINT) AS Quantity
+  FROM part)"""
+
+CATALOG = """catalog AS (
+  SELECT 'P' || CAST(p_partkey AS VARCHAR) AS SKU,
+         'B' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS ASIN,
+         p_name AS Title, p_brand AS Author,
+         CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 13 = 0 THEN ''
+              ELSE lpad(CAST(p_partkey AS VARCHAR), 13, '0') END AS ISBN,
+         p_size % 5 <> 0 AS Has_Image,
+         strftime(DATE '1990-01-01' + CAST(p_partkey % 3650 AS INTEGER), '%Y-%m-%d') AS Publication_Date
+  FROM part)"""
+
+# (table, family, cte, sample key, [(column, spark type)])
+SALES_TABLE_COLS = [(c, "string") for c in (
+    "Date", "Ordered Product Sales", "Ordered Product Sales - B2B", "Units Ordered",
+    "Units Ordered - B2B", "Total Order Items", "Total Order Items - B2B",
+    "Average Sales per Order Item", "Average Sales per Order Item - B2B",
+    "Average Units per Order Item", "Average Units per Order Item - B2B", "Average Selling Price",
+    "Average Selling Price - B2B", "Sessions - Total", "Sessions - Total - B2B",
+    "Order Item Session Percentage", "Order Item Session Percentage - B2B", "Average Offer Count")]
+LISTING_TABLE_COLS = [(c, "string") for c in (
+    "seller-sku", "asin1", "item-name", "product-name", "price", "quantity", "has_image",
+    "external_product_id", "product-id")]
+PERF_TABLE_COLS = [("event-id", "bigint"), ("Date", "string"), ("sku", "string"),
+                   ("event_type", "string"), ("late_shipment_rate", "string"), ("order_value", "double")]
+PROFILE_TABLES = [
+    ("sales", "sales", "daily_text", "Date", SALES_TABLE_COLS),
+    ("inventory", "inventory", "vendor_listing", "seller-sku", LISTING_TABLE_COLS),
+    ("performance", "performance", "vendor_perf", "event-id", PERF_TABLE_COLS),
+]
+PROFILE_CTES = with_ctes(DAILY_AGG, DAILY_TEXT, VENDOR_LISTING, VENDOR_PERF)
+
+
+def _q(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _issue_sql(family: str, col: str, typ: str) -> list[tuple[str, str]]:
+    c = _q(col)
+    low = col.lower()
+    text = typ == "string"
+    bad_date = f"bool_or({c} IS NOT NULL AND TRY_CAST({c} AS TIMESTAMP) IS NULL)"
+    out = []
+    if family == "sales":
+        if col == "Date" and text:
+            out.append(("Date format inconsistencies detected", bad_date))
+        if text and any(h in low for h in ("price", "sales", "revenue")):
+            out.append((f"Currency formatting in column: {col}",
+                         f"bool_or(coalesce(regexp_matches({c}, '[$,]'), false))"))
+    elif family == "performance":
+        if any(h in low for h in ("date", "time", "period")) and text:
+            out.append((f"Date format inconsistencies in column: {col}", bad_date))
+        if text and any(h in low for h in ("rate", "percentage", "pct")):
+            out.append((f"Percentage formatting in column: {col}",
+                         f"bool_or(coalesce(contains({c}, '%'), false))"))
+    return out
+
+
+def _profile_rows_sql() -> str:
+    """One row per (table, column): ordinal, type, counts, issues text."""
+    parts = []
+    for table, family, cte, _, cols in PROFILE_TABLES:
+        for i, (col, typ) in enumerate(cols):
+            issues = _issue_sql(family, col, typ)
+            if issues:
+                pieces = ", ".join(f"CASE WHEN {expr} THEN {_lit(t)} END" for t, expr in issues)
+                issue_expr = f"concat_ws('; ', {pieces})"
+            else:
+                issue_expr = "''"
+            parts.append(
+                f"SELECT {_lit(table)} AS \"table\", {i} AS ordinal, {_lit(col)} AS \"column\", "
+                f"{_lit(typ)} AS data_type, count(*) AS row_count, "
+                f"count(*) - count({_q(col)}) AS missing_count, "
+                f"CASE WHEN count(*) > 0 THEN round((count(*) - count({_q(col)})) * 100.0 / count(*), 1) "
+                f"ELSE 0.0 END::DOUBLE AS missing_pct, {issue_expr} AS issues FROM {cte}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _samples_sql() -> str:
+    parts = []
+    for table, _, cte, key, cols in PROFILE_TABLES:
+        for i, (col, _typ) in enumerate(cols):
+            val = f"coalesce(CAST({_q(col)} AS VARCHAR), 'None')"
+            parts.append(
+                f"SELECT {_lit(table)} AS \"table\", {i} AS ordinal, {_lit(col)} AS \"column\", "
+                f"string_agg({val}, ' | ' ORDER BY {_q(key)}) AS samples "
+                f"FROM (SELECT * FROM {cte} ORDER BY {_q(key)} NULLS FIRST LIMIT 5)")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _describe_sql(source_cte: str, source: str, metrics: list[str], digits: int = 6) -> str:
+    stats = []
+    for i, m in enumerate(metrics):
+        c = _q(m)
+        stats.append(f"count({c})::DOUBLE AS count_{i}, avg({c}) AS mean_{i}, stddev_samp({c}) AS std_{i}, "
+                     f"min({c})::DOUBLE AS min_{i}, quantile_cont({c}, 0.25) AS q25_{i}, "
+                     f"quantile_cont({c}, 0.5) AS q50_{i}, quantile_cont({c}, 0.75) AS q75_{i}, "
+                     f"max({c})::DOUBLE AS max_{i}")
+    st = f"st AS (SELECT {', '.join(stats)} FROM {source})"
+    rows = []
+    for name, key in (("count", "count"), ("mean", "mean"), ("std", "std"), ("min", "min"),
+                      ("25%", "q25"), ("50%", "q50"), ("75%", "q75"), ("max", "max")):
+        vals = ", ".join(f"round({key}_{i}::DOUBLE, {digits}) AS {_q(m)}" for i, m in enumerate(metrics))
+        rows.append(f"SELECT {_lit(name)} AS statistic, {vals} FROM st")
+    return source_cte.rstrip() + ",\n" + st + "\n" + "\nUNION ALL\n".join(rows)
+
+
+def oracle_sql_sources() -> dict[str, str]:
+    q: dict[str, str] = {}
+    # -- cleaning (C) -------------------------------------------------------
+    q["q_clean_currency"] = "SELECT l_orderkey, l_linenumber, l_extendedprice AS Price, l_returnflag FROM lineitem"
+    q["q_clean_quantity"] = """SELECT l_orderkey, l_linenumber,
+        CASE WHEN l_linenumber IN (1, 2) THEN 0.0 ELSE greatest(l_quantity, 0.0) END AS Quantity FROM lineitem"""
+    q["q_fill_defaults"] = """SELECT
+        coalesce(CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE 'P' || CAST(p_partkey AS VARCHAR) END, 'UNKNOWN') AS SKU,
+        coalesce(CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE p_name END, 'UNKNOWN') AS Title,
+        coalesce(CASE WHEN p_size % 6 = 0 THEN NULL ELSE p_retailprice END, 0.0) AS Price,
+        coalesce(CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_size END, 0) AS Quantity FROM part"""
+    q["q_parse_date"] = "SELECT l_orderkey, l_linenumber, l_shipdate AS Date FROM lineitem"
+    q["q_parse_gmt_timestamp"] = "SELECT l_orderkey, l_linenumber, date_trunc('second', l_shipdate) AS Date FROM lineitem"
+    q["q_unwrap_excel_text"] = "SELECT l_orderkey, l_linenumber, 'P' || CAST(l_partkey AS VARCHAR) AS SKU FROM lineitem"
+    q["q_clean_percentage"] = """SELECT l_orderkey, l_linenumber,
+        CAST(CAST(l_discount AS DECIMAL(4,2)) * 100 AS DOUBLE) / 100.0 AS discount_rate FROM lineitem"""
+    q["q_clean_sales"] = with_ctes(DAILY_AGG) + f"SELECT {_daily_columns(True)} FROM daily_agg"
+    q["q_clean_inventory"] = with_ctes(VENDOR_LISTING) + """SELECT has_image, external_product_id, "product-id",
+        "seller-sku" AS SKU, asin1 AS ASIN, "product-name" AS Title,
+        coalesce(CASE WHEN k % 9 = 0 THEN NULL ELSE p_retailprice END, 0.0) AS Price,
+        coalesce(CASE WHEN s % 7 = 0 THEN NULL WHEN s % 11 = 0 THEN -1.0 ELSE CAST(s AS DOUBLE) END, 0.0) AS Quantity
+        FROM vendor_listing"""
+    q["q_clean_performance"] = with_ctes(VENDOR_PERF) + """SELECT "event-id", date_trunc('second', ts) AS "Date",
+        'U' || substr(sku, 4, length(sku) - 4) AS sku, event_type,
+        CAST(rtrim(late_shipment_rate, '%') AS DOUBLE) / 100.0 AS late_shipment_rate, order_value
+        FROM vendor_perf"""
+    q["q_title_length"] = with_ctes(INV) + "SELECT SKU, Title, CAST(length(Title) AS INTEGER) AS Title_Length FROM inv"
+    # -- column resolution (B) ------------------------------------------------
+    q["q_map_columns"] = with_ctes(VENDOR_LISTING) + """SELECT "seller-sku", asin1, "item-name", "product-name",
+        price AS Price, quantity, has_image, external_product_id, "product-id",
+        "seller-sku" AS SKU, asin1 AS ASIN, "product-name" AS Title FROM vendor_listing"""
+    q["q_resolve_title"] = """SELECT 'P' || CAST(p_partkey AS VARCHAR) AS SKU,
+        p_type || ' ' || p_name AS "product-description", p_type || ' ' || p_name AS Title FROM part"""
+    q["q_ensure_columns"] = """SELECT 'P' || CAST(p_partkey AS VARCHAR) AS SKU,
+        'B' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS ASIN, 0.0::DOUBLE AS Price, 0.0::DOUBLE AS quantity FROM part"""
+    q["q_has_image"] = with_ctes(VENDOR_LISTING) + """SELECT "seller-sku",
+        coalesce(CASE WHEN lower(has_image) IN ('true', 'yes') THEN true
+                      WHEN lower(has_image) IN ('false', 'no') THEN false END, false) AS Has_Image
+        FROM vendor_listing"""
+    q["q_resolve_isbn"] = with_ctes(VENDOR_LISTING) + """SELECT "seller-sku", external_product_id, "product-id",
+        external_product_id AS ISBN FROM vendor_listing"""
+    q["q_daily_sales_projection"] = with_ctes(DAILY_AGG) + """SELECT CAST(d AS TIMESTAMP) AS Date,
+        CAST(ops AS DOUBLE) AS OrderedProductSales, CAST(ops AS DOUBLE) AS Sales,
+        CAST(units AS DOUBLE) AS quantity FROM daily_agg"""
+    q["q_synthetic_sku"] = with_ctes(DAILY_AGG) + """SELECT CAST(d AS TIMESTAMP) AS Date,
+        'SALE_' || strftime(d, '%Y%m%d') || '_' || CAST(row_number() OVER (ORDER BY d) - 1 AS VARCHAR) AS SKU
+        FROM daily_agg"""
+    # -- sources (A) ------------------------------------------------------------
+    q["q_read_sales_report"] = with_ctes(DAILY_AGG) + """SELECT CAST(d AS TIMESTAMP) AS Date,
+        CAST(ops AS DOUBLE) AS OrderedProductSales, CAST(ops AS DOUBLE) AS Sales,
+        CAST(units AS DOUBLE) AS quantity,
+        'SALE_' || strftime(d, '%Y%m%d') || '_' || CAST(row_number() OVER (ORDER BY d) - 1 AS VARCHAR) AS SKU
+        FROM daily_agg"""
+    q["q_read_inventory_tsv"] = with_ctes(VENDOR_LISTING) + """SELECT "seller-sku" AS SKU, asin1 AS ASIN,
+        "product-name" AS Title,
+        coalesce(CASE WHEN k % 9 = 0 THEN NULL ELSE p_retailprice END, 0.0) AS Price,
+        CASE WHEN s % 7 = 0 OR s % 11 = 0 THEN 0.0 ELSE CAST(s AS DOUBLE) END AS quantity,
+        coalesce(CASE WHEN lower(has_image) IN ('true', 'yes') THEN true
+                      WHEN lower(has_image) IN ('false', 'no') THEN false END, false) AS Has_Image,
+        external_product_id AS ISBN FROM vendor_listing"""
+    q["q_read_performance"] = with_ctes(PERF_DAILY) + """SELECT Date, CAST(units_ordered AS INTEGER) AS units_ordered,
+        order_defect_rate, mean_value FROM perf"""
+    q["q_ragged_csv"] = """SELECT CAST(l_orderkey AS VARCHAR) AS Column1,
+        CASE WHEN l_linenumber = 3 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS Column2
+        FROM lineitem WHERE l_linenumber <> 5"""
+    q["q_sales_history"] = with_ctes(SALES) + f"""SELECT * FROM sales
+        WHERE Date BETWEEN {ts(AS_OF - timedelta(days=365))} AND {AS_OF_SQL}"""
+    q["q_inventory_summary"] = with_ctes(SNAPSHOT) + "SELECT * FROM snapshot"
+    q["q_catalog_lookup"] = with_ctes(CATALOG, SALES) + f"""SELECT * FROM catalog
+        WHERE SKU IN (SELECT SKU FROM sales WHERE Date >= {LO30})"""
+    q["q_enrich_catalog"] = with_ctes(SNAPSHOT, CATALOG) + """SELECT s.*, c.Author, c.ISBN, c.Has_Image,
+        c.Publication_Date FROM snapshot s LEFT JOIN catalog c ON s.SKU = c.SKU"""
+    # -- performance (J) and describe (F-A9) -------------------------------------
+    q["q_select_metrics"] = with_ctes(PERF_DAILY) + "SELECT Date, order_defect_rate FROM perf"
+    q["q_performance_trend"] = with_ctes(PERF_DAILY) + """SELECT CAST(Date AS TIMESTAMP) AS time,
+        'order_defect_rate' AS metric, order_defect_rate AS value FROM perf"""
+    q["q_performance_summary"] = _describe_sql(with_ctes(PERF_DAILY), "perf", ["order_defect_rate"])
+    q["q_describe_metrics"] = _describe_sql(with_ctes(SALES), "sales", ["quantity", "Price"])
+    # -- profiling (D) ---------------------------------------------------------------
+    prof = PROFILE_CTES.rstrip() + ",\nprof AS (\n" + _profile_rows_sql() + ")\n"
+    counts = []
+    for table, _, cte, _, cols in PROFILE_TABLES:
+        counts.append(f"SELECT {_lit(table)} AS \"table\", count(*) AS row_count, "
+                      f"CASE WHEN count(*) > 0 THEN {len(cols)} ELSE 0 END AS column_count, "
+                      f"CASE WHEN count(*) > 0 THEN '' ELSE 'Empty or invalid DataFrame' END AS issues FROM {cte}")
+    q["q_profile_counts"] = PROFILE_CTES + "\nUNION ALL\n".join(counts)
+    q["q_profile_missing"] = prof + 'SELECT "table", "column", missing_count, missing_pct FROM prof'
+    q["q_profile_types"] = prof + 'SELECT "table", ordinal, "column", data_type, row_count FROM prof'
+    q["q_profile_samples"] = PROFILE_CTES + _samples_sql()
+    q["q_profile_issues"] = prof + """SELECT "table", "column", unnest(string_split(issues, '; ')) AS issue
+        FROM prof WHERE issues <> ''"""
+    q["q_profile_report"] = (prof.rstrip() + ",\nsamp AS (\n" + _samples_sql() + ")\n"
+                             + """SELECT p."table", p.ordinal, p."column", p.data_type, p.row_count, p.missing_count,
+        p.missing_pct, p.issues, s.samples FROM prof p
+        LEFT JOIN samp s ON p."table" = s."table" AND p.ordinal = s.ordinal""")
     return q

@@ -12,10 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from shelflens.operators import cleaning as CLN
+from shelflens.operators import columns as COL
+from shelflens.operators import profile as PR
 from shelflens.operators import sales_metrics as SM
+from shelflens.operators.describe import describe
+from shelflens.plans import performance as PF
 from shelflens.plans import reports as R
 from shelflens.plans.inventory_report import inventory_report, item_table, prepare_sales
+from shelflens.session import scratch_dir
+from shelflens.sources import files as FS
 from shelflens.sources import fixtures as fx
+from shelflens.sources import marketplace as MP
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,8 +92,233 @@ def q_revenue_windows(spark, sf_dir):
     return SM.revenue_windows(_sales(spark, sf_dir), fx.AS_OF)
 
 
+def _li(spark, sf_dir):
+    return fx.table(spark, sf_dir, "lineitem")
+
+
+def _part(spark, sf_dir):
+    return fx.table(spark, sf_dir, "part")
+
+
+def _lineitem_op(adapter, op):
+    def run(spark, sf_dir):
+        return op(adapter(_li(spark, sf_dir)))
+    return run
+
+
+# -- B3-B8, B10 ------------------------------------------------------------------
+def q_map_columns(spark, sf_dir):
+    return COL.map_vendor_columns(fx.vendor_listing(_part(spark, sf_dir)))
+
+
+def q_resolve_title(spark, sf_dir):
+    raw = _part(spark, sf_dir).select(
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("SKU"),
+        F.concat_ws(" ", "p_type", "p_name").alias("product-description"))
+    return COL.resolve_title(raw)
+
+
+def q_ensure_columns(spark, sf_dir):
+    raw = _part(spark, sf_dir).select(
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("sku"),
+        F.concat(F.lit("B"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("Asin"))
+    return COL.ensure_columns(raw)
+
+
+def q_has_image(spark, sf_dir):
+    return COL.resolve_has_image(fx.vendor_listing(_part(spark, sf_dir)).select("seller-sku", "has_image"))
+
+
+def q_resolve_isbn(spark, sf_dir):
+    raw = fx.vendor_listing(_part(spark, sf_dir)).select("seller-sku", "external_product_id", "product-id")
+    return COL.resolve_isbn(raw)
+
+
+def _daily(spark, sf_dir):
+    return FS.daily_sales_projection(fx.daily_report_text(_li(spark, sf_dir)), fx.AS_OF)
+
+
+def q_daily_sales_projection(spark, sf_dir):
+    return _daily(spark, sf_dir).select("Date", "OrderedProductSales", "Sales", "quantity")
+
+
+def q_synthetic_sku(spark, sf_dir):
+    return FS.synthetic_sku(_daily(spark, sf_dir).select("Date", "quantity")).select("Date", "SKU")
+
+
+# -- C ----------------------------------------------------------------------------
+def q_fill_defaults(spark, sf_dir):
+    return CLN.fill_defaults(fx.nullable_listing(_part(spark, sf_dir)))
+
+
+def q_clean_sales(spark, sf_dir):
+    return CLN.clean_sales(fx.daily_report_text(_li(spark, sf_dir)))
+
+
+def q_clean_inventory(spark, sf_dir):
+    return CLN.clean_inventory(fx.vendor_listing(_part(spark, sf_dir)))
+
+
+def q_clean_performance(spark, sf_dir):
+    return CLN.clean_performance(fx.vendor_performance(fx.table(spark, sf_dir, "events")))
+
+
+def q_title_length(spark, sf_dir):
+    return fx.listings(spark, sf_dir).select("SKU", "Title", F.char_length("Title").alias("Title_Length"))
+
+
+# -- A: files written from the tables, then read back -------------------------------
+def q_read_sales_report(spark, sf_dir):
+    path = scratch_dir(spark, "sales-report")
+    FS.write_report(fx.daily_report_text(_li(spark, sf_dir)), path, fmt="csv")
+    return FS.read_sales_report(spark, path, fx.AS_OF)
+
+
+def q_read_inventory_tsv(spark, sf_dir):
+    path = scratch_dir(spark, "listing-tsv")
+    (fx.vendor_listing(_part(spark, sf_dir)).write.option("sep", "\t").option("header", True)
+     .csv(path))
+    return FS.read_listing_tsv(spark, path).select(
+        "SKU", "ASIN", "Title", "Price", "quantity", "Has_Image", "ISBN")
+
+
+def q_read_performance(spark, sf_dir):
+    path = scratch_dir(spark, "performance-csv")
+    FS.write_report(fx.performance(spark, sf_dir), path, fmt="csv")
+    return FS.read_performance(spark, path)
+
+
+def q_ragged_csv(spark, sf_dir):
+    path = scratch_dir(spark, "ragged-csv")
+    fx.ragged_lines(_li(spark, sf_dir)).write.text(path)
+    return FS.read_ragged_csv(spark, path, ["Column1", "Column2"], header=False)
+
+
+def q_sales_history(spark, sf_dir):
+    return MP.sales_history(_sales(spark, sf_dir), fx.AS_OF)
+
+
+def q_inventory_summary(spark, sf_dir):
+    return MP.inventory_summary(fx.listing_snapshot(_part(spark, sf_dir)))
+
+
+def q_catalog_lookup(spark, sf_dir):
+    sold = SM.window_units(_sales(spark, sf_dir), fx.AS_OF, 30).select("SKU")
+    return MP.catalog_lookup(fx.catalog(_part(spark, sf_dir)), sold)
+
+
+def q_enrich_catalog(spark, sf_dir):
+    part = _part(spark, sf_dir)
+    return MP.enrich_with_catalog(fx.listing_snapshot(part), fx.catalog(part))
+
+
+# -- J, F-A9 ------------------------------------------------------------------------
+def q_select_metrics(spark, sf_dir):
+    perf = fx.performance(spark, sf_dir)
+    return perf.select(PF.time_column(perf), *PF.select_metrics(perf))
+
+
+def q_performance_summary(spark, sf_dir):
+    return PF.performance_summary(fx.performance(spark, sf_dir), digits=6)
+
+
+def q_performance_trend(spark, sf_dir):
+    return PF.performance_trend(fx.performance(spark, sf_dir))
+
+
+def q_describe_metrics(spark, sf_dir):
+    return describe(_sales(spark, sf_dir), ["quantity", "Price"], digits=6)
+
+
+# -- D ------------------------------------------------------------------------------
+def _vendor_tables(spark, sf_dir):
+    li, part = _li(spark, sf_dir), _part(spark, sf_dir)
+    return [("sales", "sales", fx.daily_report_text(li), "Date"),
+            ("inventory", "inventory", fx.vendor_listing(part), "seller-sku"),
+            ("performance", "performance", fx.vendor_performance(fx.table(spark, sf_dir, "events")), "event-id")]
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _profiles(spark, sf_dir):
+    return _union([PR.column_profile(df, t, fam) for t, fam, df, _ in _vendor_tables(spark, sf_dir)])
+
+
+def q_profile_counts(spark, sf_dir):
+    out = _union([PR.table_counts(df, t) for t, _, df, _ in _vendor_tables(spark, sf_dir)])
+    return out.withColumn("issues", F.array_join("issues", "; "))
+
+
+def q_profile_missing(spark, sf_dir):
+    return _profiles(spark, sf_dir).select("table", "column", "missing_count", "missing_pct")
+
+
+def q_profile_types(spark, sf_dir):
+    return _profiles(spark, sf_dir).select("table", "ordinal", "column", "data_type", "row_count")
+
+
+def q_profile_samples(spark, sf_dir):
+    return _union([PR.column_samples(df, t, key) for t, _, df, key in _vendor_tables(spark, sf_dir)])
+
+
+def q_profile_issues(spark, sf_dir):
+    return PR.column_issues(_profiles(spark, sf_dir))
+
+
+def q_profile_report(spark, sf_dir):
+    tabs = _vendor_tables(spark, sf_dir)
+    return PR.profile_report([PR.column_profile(df, t, fam) for t, fam, df, _ in tabs],
+                             [PR.column_samples(df, t, key) for t, _, df, key in tabs])
+
+
 def queries() -> dict[str, Query]:
     return {
+        # sources (A)
+        "q_read_sales_report": q_read_sales_report,
+        "q_read_inventory_tsv": q_read_inventory_tsv,
+        "q_read_performance": q_read_performance,
+        "q_ragged_csv": q_ragged_csv,
+        "q_sales_history": q_sales_history,
+        "q_inventory_summary": q_inventory_summary,
+        "q_catalog_lookup": q_catalog_lookup,
+        "q_enrich_catalog": q_enrich_catalog,
+        # column resolution (B)
+        "q_map_columns": q_map_columns,
+        "q_resolve_title": q_resolve_title,
+        "q_ensure_columns": q_ensure_columns,
+        "q_has_image": q_has_image,
+        "q_resolve_isbn": q_resolve_isbn,
+        "q_synthetic_sku": q_synthetic_sku,
+        "q_daily_sales_projection": q_daily_sales_projection,
+        # cleaning (C)
+        "q_clean_currency": _lineitem_op(fx.money_text, CLN.clean_money_columns),
+        "q_clean_quantity": _lineitem_op(fx.quantity_text, CLN.clean_quantity_column),
+        "q_fill_defaults": q_fill_defaults,
+        "q_parse_date": _lineitem_op(fx.date_text, CLN.parse_date_column),
+        "q_parse_gmt_timestamp": _lineitem_op(fx.gmt_text, CLN.clean_time_columns),
+        "q_unwrap_excel_text": _lineitem_op(fx.excel_text, CLN.unwrap_excel_columns),
+        "q_clean_percentage": _lineitem_op(fx.percent_text, CLN.clean_percent_columns),
+        "q_clean_sales": q_clean_sales,
+        "q_clean_inventory": q_clean_inventory,
+        "q_clean_performance": q_clean_performance,
+        "q_title_length": q_title_length,
+        # profiling (D)
+        "q_profile_counts": q_profile_counts,
+        "q_profile_missing": q_profile_missing,
+        "q_profile_types": q_profile_types,
+        "q_profile_samples": q_profile_samples,
+        "q_profile_issues": q_profile_issues,
+        "q_profile_report": q_profile_report,
+        # performance (J) and describe (F-A9)
+        "q_select_metrics": q_select_metrics,
+        "q_performance_summary": q_performance_summary,
+        "q_performance_trend": q_performance_trend,
+        "q_describe_metrics": q_describe_metrics,
         "q_inventory_report": q_inventory_report,
         # projections / joins (B, E)
         "q_normalize_quantity": q_normalize_quantity,
