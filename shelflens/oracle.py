@@ -157,6 +157,7 @@ def oracle_sql() -> dict[str, str]:
     q["q_stale_scatter"] = _r("""SELECT SKU, "Days Since Last Sale", "Sales Last 30d",
         CASE WHEN Flag = '⚠️' THEN 'Needs Attention' ELSE 'Good Seller' END AS Class FROM report""")
     q.update(oracle_sql_sources())
+    q.update(oracle_sql_clustering())
     return q
 
 
@@ -446,3 +447,54 @@ def oracle_sql_sources() -> dict[str, str]:
         p.missing_pct, p.issues, s.samples FROM prof p
         LEFT JOIN samp s ON p."table" = s."table" AND p.ordinal = s.ordinal""")
     return q
+
+
+FEATURES_CTE = """feat AS (
+  SELECT SKU, coalesce(Price, 0.0)::DOUBLE AS Price, s30::DOUBLE AS Sales_Last_30d, s90::DOUBLE AS Sales_Last_90d,
+         coalesce(CAST(days AS DOUBLE), 365.0) AS Days_Since_Last_Sale,
+         CAST(coalesce(Has_Image, false) AS DOUBLE) AS Has_Image,
+         CAST(ISBN IS NOT NULL AS DOUBLE) AS Has_ISBN
+  FROM items)"""
+FEATURE_NAMES = ["Price", "Sales_Last_30d", "Sales_Last_90d", "Days_Since_Last_Sale", "Has_Image", "Has_ISBN"]
+
+
+def _z(col: str, source: str = "") -> str:
+    """Population z-score; a constant column scores 0 (scale 1)."""
+    c = _q(col)
+    return (f"round(({c} - avg({c}) OVER ()) / CASE WHEN coalesce(stddev_pop({c}) OVER (), 0) > 0 "
+            f"THEN stddev_pop({c}) OVER () ELSE 1 END, 6)")
+
+
+EMB_POINTS = """pts AS (
+  SELECT vec_id AS id,
+         round((e0 - avg(e0) OVER ()) / CASE WHEN stddev_pop(e0) OVER () > 0 THEN stddev_pop(e0) OVER () ELSE 1 END, 6) AS x,
+         round((e1 - avg(e1) OVER ()) / CASE WHEN stddev_pop(e1) OVER () > 0 THEN stddev_pop(e1) OVER () ELSE 1 END, 6) AS y
+  FROM (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS e0, CAST(embedding[2] AS DOUBLE) AS e1 FROM embeddings))"""
+
+
+def dbscan_sql(eps: float = 0.5, min_samples: int = 5) -> str:
+    """Brute-force DBSCAN (all pairs + recursive closure): small fixtures only."""
+    e2 = eps * eps
+    return f"""WITH RECURSIVE {EMB_POINTS},
+pairs AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b
+          ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {e2}),
+core AS (SELECT a AS id FROM pairs GROUP BY a HAVING count(*) >= {min_samples}),
+core_edges AS (SELECT a, b FROM pairs WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+reach(src, dst) AS (SELECT a, b FROM core_edges
+                    UNION SELECT r.src, e.b FROM reach r JOIN core_edges e ON r.dst = e.a),
+comp AS (SELECT src AS id, min(dst) AS cluster FROM reach GROUP BY src),
+border AS (SELECT p.a AS id, min(c.cluster) AS cluster FROM pairs p JOIN comp c ON p.b = c.id
+           WHERE p.a NOT IN (SELECT id FROM core) GROUP BY p.a)
+SELECT p.id AS vec_id, CAST(coalesce(c.cluster, b.cluster, -1) AS BIGINT) AS cluster,
+       p.id IN (SELECT id FROM core) AS is_core
+FROM pts p LEFT JOIN comp c ON p.id = c.id LEFT JOIN border b ON p.id = b.id"""
+
+
+def oracle_sql_clustering() -> dict[str, str]:
+    q: dict[str, str] = {}
+    base = with_ctes(INV, SALES, PER_SKU, ITEMS, FEATURES_CTE)
+    q["q_cluster_features"] = base + "SELECT * FROM feat"
+    q["q_standardize"] = base + "SELECT SKU, " + ", ".join(f"{_z(c)} AS {_q(c)}" for c in FEATURE_NAMES) + " FROM feat"
+    q["q_cluster_nunique"] = "SELECT CAST(least(3, greatest(2, count(*) // 10)) AS BIGINT) AS n_clusters FROM part"
+    q["q_dbscan"] = dbscan_sql()
+    return q

@@ -17,6 +17,9 @@ from shelflens.operators import columns as COL
 from shelflens.operators import profile as PR
 from shelflens.operators import sales_metrics as SM
 from shelflens.operators.describe import describe
+from shelflens.operators import kmeans as KM
+from shelflens.operators.features import FEATURES, cluster_features, standardize
+from shelflens.plans import clustering as CLU
 from shelflens.plans import performance as PF
 from shelflens.plans import reports as R
 from shelflens.plans.inventory_report import inventory_report, item_table, prepare_sales
@@ -276,8 +279,72 @@ def q_profile_report(spark, sf_dir):
                              [PR.column_samples(df, t, key) for t, _, df, key in tabs])
 
 
+# -- I, F-A5, F-A8, F-A10, E5 ----------------------------------------------------------
+def _features(spark, sf_dir):
+    return cluster_features(_items(spark, sf_dir))
+
+
+def _clusters(spark, sf_dir):
+    k = CLU.choose_k(fx.listings(spark, sf_dir))
+    return KM.cluster_items(_features(spark, sf_dir), k)
+
+
+def q_cluster_features(spark, sf_dir):
+    return _features(spark, sf_dir)
+
+
+def q_standardize(spark, sf_dir):
+    return standardize(_features(spark, sf_dir), FEATURES, digits=6)
+
+
+def q_kmeans(spark, sf_dir):
+    return _clusters(spark, sf_dir).select("SKU", "Cluster")
+
+
+def q_cluster_stats(spark, sf_dir):
+    clusters = _clusters(spark, sf_dir)
+    return KM.cluster_stats(_features(spark, sf_dir), clusters.select("SKU", "Cluster"))
+
+
+def q_describe_clusters(spark, sf_dir):
+    clusters = _clusters(spark, sf_dir)
+    return KM.describe_clusters(KM.cluster_stats(_features(spark, sf_dir), clusters.select("SKU", "Cluster")))
+
+
+def q_cluster_nunique(spark, sf_dir):
+    return _clusters(spark, sf_dir).agg(F.countDistinct("Cluster").alias("n_clusters"))
+
+
+def q_price_histogram(spark, sf_dir):
+    clusters = _clusters(spark, sf_dir)
+    return KM.price_histogram(_features(spark, sf_dir), clusters.select("SKU", "Cluster"))
+
+
+def q_join_clusters(spark, sf_dir):
+    return CLU.report_with_clusters(_report(spark, sf_dir), _clusters(spark, sf_dir))
+
+
+def q_pca(spark, sf_dir):
+    return CLU.embedding_pca(fx.table(spark, sf_dir, "embeddings"))
+
+
+def q_dbscan(spark, sf_dir):
+    return CLU.embedding_dbscan(fx.table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        # clustering (I) and cluster aggregates (F-A5, F-A8, F-A10), E5
+        "q_cluster_features": q_cluster_features,
+        "q_standardize": q_standardize,
+        "q_kmeans": q_kmeans,
+        "q_cluster_stats": q_cluster_stats,
+        "q_describe_clusters": q_describe_clusters,
+        "q_cluster_nunique": q_cluster_nunique,
+        "q_price_histogram": q_price_histogram,
+        "q_join_clusters": q_join_clusters,
+        "q_pca": q_pca,
+        "q_dbscan": q_dbscan,
         # sources (A)
         "q_read_sales_report": q_read_sales_report,
         "q_read_inventory_tsv": q_read_inventory_tsv,
