@@ -19,7 +19,6 @@ from shelflens.functions.dates import parse_timestamp, ts_literal
 from shelflens.operators import columns as C
 from shelflens.operators.ordering import with_row_index
 
-CORRUPT = "_corrupt_record"
 
 
 def text_schema(names) -> T.StructType:
@@ -132,13 +131,23 @@ def _field_count(line):
 
 
 def read_ragged_csv(spark: SparkSession, path: str, names, header: bool = True) -> DataFrame:
-    """Short rows keep NULL tails; rows with more fields than ``names`` are dropped."""
-    schema = text_schema(list(names) + [CORRUPT])
-    raw = (spark.read.schema(schema).option("header", header)
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-           .csv(path))
-    ok = F.col(CORRUPT).isNull() | (_field_count(F.col(CORRUPT)) <= F.lit(len(names)))
-    return raw.where(ok).drop(CORRUPT)
+    """Short rows keep NULL tails; rows with more fields than ``names`` are dropped.
+
+    Lines are read as text and parsed with ``from_csv`` next to a quote-aware
+    field count, so the over-long test is an ordinary column predicate.
+    A header line (the first line of the input) is removed wherever it occurs.
+    """
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    if header:
+        first = lines.first()
+        if first is None:
+            return empty_frame(spark, names)
+        lines = lines.where(F.col("value") != F.lit(first["value"]))
+    ddl = ", ".join(f"`{n}` STRING" for n in names)
+    parsed = lines.select(F.from_csv("value", ddl, {"mode": "PERMISSIVE"}).alias("r"),
+                          _field_count(F.col("value")).alias("__nf"))
+    return parsed.where(F.col("__nf") <= F.lit(len(names))).select(
+        *[F.col("r").getField(n).alias(n) for n in names])
 
 
 # -- A10 / A11 -----------------------------------------------------------------
