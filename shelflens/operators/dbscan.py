@@ -19,6 +19,8 @@ Plan (no all-pairs step anywhere):
    the data; AQE's skew handling splits a hot cell's side of the join.
 2. The cluster graph has one node per cell that contains core points; an
    edge joins two neighbouring cells whose core points come within ``eps``.
+   Edges are proven from sub-cell bounding boxes first (``_cell_edges``), so
+   two adjacent hot cells are never paired point by point.
 3. Connected components by min-label propagation with pointer jumping; each
    round is written as a reliable checkpoint (lineage stays short, a lost
    executor re-reads a checkpoint instead of replaying all rounds), and the
@@ -78,6 +80,67 @@ def _shifted(cells: list[str], offsets) -> F.Column:
                      for o in offsets])
 
 
+SUBDIVISIONS = 4   # sub-cells per cell axis used to decide cell edges without point pairs
+
+
+def _cell_edges(core: DataFrame, xs, cs, side: float, eps2: float, half) -> DataFrame:
+    """Undirected edges ``(u, v)`` between neighbouring cells whose core points
+    come within ``eps``, decided without pairing two heavy cells point by point.
+
+    Each cell's core points are summarised per sub-cell (``SUBDIVISIONS`` per
+    axis) as a bounding box.  For a pair of neighbouring cells, two boxes whose
+    *largest* distance is <= eps prove an edge; boxes whose *smallest*
+    distance is > eps cannot contribute.  Only the remaining (ambiguous) box
+    pairs of cell pairs not already proven are checked point by point.  Work
+    per cell pair is bounded by the number of box pairs (at most
+    ``SUBDIVISIONS ** (2 d)``) plus the points of ambiguous boxes.
+    """
+    d = len(xs)
+    sub = side / SUBDIVISIONS
+    ss = [f"s{i}" for i in range(d)]
+    ns = [f"n{i}" for i in range(d)]
+    tagged = core.withColumns({
+        s_: F.least(F.greatest(F.floor((F.col(x) - F.col(c) * F.lit(side)) / F.lit(sub)), F.lit(0)),
+                    F.lit(SUBDIVISIONS - 1)).cast(T.IntegerType())
+        for s_, x, c in zip(ss, xs, cs)})
+    boxes = tagged.groupBy("node", *cs, *ss).agg(
+        *[F.min(x).alias(f"lo{i}") for i, x in enumerate(xs)],
+        *[F.max(x).alias(f"hi{i}") for i, x in enumerate(xs)])
+    a = (boxes.select(F.col("node").alias("u"), *[F.col(s_).alias(f"as{i}") for i, s_ in enumerate(ss)],
+                      *[F.col(f"lo{i}").alias(f"alo{i}") for i in range(d)],
+                      *[F.col(f"hi{i}").alias(f"ahi{i}") for i in range(d)],
+                      F.explode(_shifted(cs, half)).alias("nb"))
+         .select("*", *[F.col(f"nb.{n}").alias(n) for n in ns]).drop("nb"))
+    b = boxes.select(F.col("node").alias("v"), *[F.col(c).alias(n) for c, n in zip(cs, ns)],
+                     *[F.col(s_).alias(f"bs{i}") for i, s_ in enumerate(ss)],
+                     *[F.col(f"lo{i}").alias(f"blo{i}") for i in range(d)],
+                     *[F.col(f"hi{i}").alias(f"bhi{i}") for i in range(d)])
+    box_pairs = a.join(b, ns)
+    gap = [F.greatest(F.col(f"alo{i}") - F.col(f"bhi{i}"), F.col(f"blo{i}") - F.col(f"ahi{i}"), F.lit(0.0))
+           for i in range(d)]
+    span = [F.greatest(F.col(f"ahi{i}") - F.col(f"blo{i}"), F.col(f"bhi{i}") - F.col(f"alo{i}"))
+            for i in range(d)]
+    min2 = sum((g * g for g in gap[1:]), gap[0] * gap[0])
+    max2 = sum((w * w for w in span[1:]), span[0] * span[0])
+    box_pairs = box_pairs.select("u", "v", *[f"as{i}" for i in range(d)], *[f"bs{i}" for i in range(d)],
+                                 min2.alias("min2"), max2.alias("max2"))
+    box_pairs = box_pairs.where(F.col("min2") <= F.lit(eps2))
+    proven = box_pairs.where(F.col("max2") <= F.lit(eps2)).select("u", "v").distinct()
+    open_pairs = (box_pairs.where(F.col("max2") > F.lit(eps2))
+                  .join(proven, ["u", "v"], "left_anti")
+                  .select("u", "v", *[f"as{i}" for i in range(d)], *[f"bs{i}" for i in range(d)]))
+    pa = tagged.select(F.col("node").alias("u"), *[F.col(s_).alias(f"as{i}") for i, s_ in enumerate(ss)],
+                       *[F.col(x).alias(f"ax{i}") for i, x in enumerate(xs)])
+    pb = tagged.select(F.col("node").alias("v"), *[F.col(s_).alias(f"bs{i}") for i, s_ in enumerate(ss)],
+                       *[F.col(x).alias(f"bx{i}") for i, x in enumerate(xs)])
+    checked = (open_pairs.join(pa, ["u"] + [f"as{i}" for i in range(d)])
+               .join(pb, ["v"] + [f"bs{i}" for i in range(d)])
+               .where(_dist2([f"ax{i}" for i in range(d)], [f"bx{i}" for i in range(d)]) <= F.lit(eps2))
+               .select("u", "v").distinct())
+    one_way = proven.unionByName(checked).distinct()
+    return one_way.unionByName(one_way.select(F.col("v").alias("u"), F.col("u").alias("v")))
+
+
 def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS,
            min_samples: int = K.DBSCAN_MIN_SAMPLES) -> DataFrame:
     """``(id, cluster, is_core)`` for every input point; ids must be unique longs."""
@@ -118,13 +181,7 @@ def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS
     core = pts.where("is_core")
     nodes = core.groupBy(*cs).agg(F.min("pid").alias("node"))
     core = core.join(nodes, cs).select("pid", "node", *xs, *cs)
-    a = (core.select(F.col("node").alias("u"), *xs, F.explode(_shifted(cs, half)).alias("nb"))
-         .select("u", *xs, *[F.col(f"nb.{n}").alias(n) for n in ns]))
-    b = core.select(F.col("node").alias("v"), *[F.col(x).alias(y) for x, y in zip(xs, ys)],
-                    *[F.col(c).alias(n) for c, n in zip(cs, ns)])
-    one_way = (a.join(b, ns).where(_dist2(xs, ys) <= F.lit(eps2)).select("u", "v").distinct())
-    edges = one_way.unionByName(one_way.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    edges = edges.checkpoint(eager=True)
+    edges = _cell_edges(core, xs, cs, side, eps2, half).checkpoint(eager=True)
 
     # -- 3. connected components ------------------------------------------------
     labels = nodes.select("node", F.col("node").alias("label")).checkpoint(eager=True)

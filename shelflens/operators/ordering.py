@@ -23,8 +23,14 @@ _PID, _POS = "__pid", "__pos"
 
 
 def _sorted_with_positions(df: DataFrame, order_cols) -> DataFrame:
+    """Total order on ``order_cols`` plus a tie-break from the input position.
+
+    The tie-break lets the range partitioner split a hot value (one value may
+    hold a third of all rows) across many sort tasks instead of one.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    ordered = df.orderBy(*order_cols)
+    ordered = (df.withColumn("__tie", F.monotonically_increasing_id())
+               .orderBy(*order_cols, F.col("__tie")).drop("__tie"))
     ordered = ordered.withColumn(_PID, F.spark_partition_id())
     # monotonically_increasing_id = (partition << 33) + position in partition
     ordered = ordered.withColumn(
