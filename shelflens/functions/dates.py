@@ -10,17 +10,16 @@ from pyspark.sql import types as T
 
 MICROS_PER_DAY = 86_400_000_000
 
-# Formats tried, in order, by the generic parser (ISO first).
+# Formats tried, in order, by the generic parser (ISO first), each with the
+# shape a string must have before the (comparatively costly) formatter runs.
 GENERIC_TIMESTAMP_FORMATS = (
-    None,                     # Spark's default ISO-8601 parser
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy",
-    "yyyy/M/d",
-    "d MMM yyyy",
-    "MMM d, yyyy",
+    (None, None),                                    # Spark's ISO-8601 parser
+    ("M/d/yyyy H:mm:ss", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$"),
+    ("M/d/yyyy H:mm", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$"),
+    ("M/d/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
+    ("yyyy/M/d", r"^\d{4}/\d{1,2}/\d{1,2}$"),
+    ("d MMM yyyy", r"^\d{1,2} [A-Za-z]{3} \d{4}$"),
+    ("MMM d, yyyy", r"^[A-Za-z]{3} \d{1,2}, \d{4}$"),
 )
 
 
@@ -58,11 +57,11 @@ def parse_timestamp(c: Column) -> Column:
     """Generic text -> naive timestamp, NULL when no known format matches."""
     s = F.trim(c.cast(T.StringType()))
     tries = []
-    for fmt in GENERIC_TIMESTAMP_FORMATS:
+    for fmt, shape in GENERIC_TIMESTAMP_FORMATS:
         if fmt is None:
             tries.append(F.try_to_timestamp(s))
         else:
-            tries.append(F.try_to_timestamp(s, F.lit(fmt)))
+            tries.append(F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(fmt))))
     return F.coalesce(*tries).cast(T.TimestampNTZType())
 
 

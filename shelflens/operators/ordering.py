@@ -62,36 +62,44 @@ def exact_quantiles(long_df: DataFrame, probs, group_col: str = "metric",
                     value_col: str = "value") -> DataFrame:
     """Quantiles per group with linear interpolation between order statistics.
 
-    Returns ``(group, p, quantile)``.  Rank ``h = (n - 1) p`` lies between the
-    order statistics ``floor(h)`` and ``ceil(h)``; only those rows are kept by
-    a join against a (groups x probs) target table.
+    Returns ``(group, p, quantile)``.  Rows are first reduced to distinct
+    ``(group, value, count)`` (map-side partial aggregation: a value repeated
+    a third of all rows becomes one row), the distinct values are range-sorted
+    and pinned by a checkpoint, and each value's rank interval
+    ``[start, start + count)`` comes from a running sum inside its sort
+    partition plus the totals of the earlier partitions.  Rank
+    ``h = (n - 1) p`` lies between the order statistics ``floor(h)`` and
+    ``ceil(h)``; those are found by a broadcast range join against the
+    (groups x probs) target table.
     """
     probs = [float(p) for p in probs]
-    base = long_df.select(F.col(group_col).alias("__g"), F.col(value_col).cast(T.DoubleType()).alias("__v"))
-    ordered = _sorted_with_positions(base, [F.col("__g"), F.col("__v")])
-    part = (ordered.groupBy(_PID, "__g")
-            .agg(F.count(F.lit(1)).alias("__n"), F.min(_POS).alias("__first")))
-    before = (Window.partitionBy("__g").orderBy(_PID)
-              .rowsBetween(Window.unboundedPreceding, -1))
+    ensure_checkpoint_dir(long_df.sparkSession)
+    dist = (long_df.groupBy(F.col(group_col).alias("__g"), F.col(value_col).cast(T.DoubleType()).alias("__v"))
+            .agg(F.count(F.lit(1)).alias("__c")))
+    ordered = (dist.orderBy("__g", "__v").withColumn(_PID, F.spark_partition_id())
+               .checkpoint(eager=True))
+    # running count inside one sort partition (bounded by the partition size)
+    within = Window.partitionBy(_PID, "__g").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = ordered.withColumn("__cum", F.sum("__c").over(within))
+    part = ordered.groupBy(_PID, "__g").agg(F.sum("__c").alias("__n"))
+    before = Window.partitionBy("__g").orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy("__g")
     # one row per (partition, group): bounded by partitions x groups
-    part = part.select(_PID, "__g", "__first",
-                       F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
+    part = part.select(_PID, "__g", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
                        F.sum("__n").over(everything).alias("__total"))
-    ranked = (ordered.join(F.broadcast(part), [_PID, "__g"])
-              .select("__g", "__v", "__total",
-                      (F.col("__off") + F.col(_POS) - F.col("__first")).alias("__rank")))
-    totals = part.select("__g", "__total").distinct()
-    targets = (totals.select("__g", "__total",
-                             F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
+    spans = (ordered.join(F.broadcast(part.select(_PID, "__g", "__off")), [_PID, "__g"])
+             .select("__g", "__v", (F.col("__off") + F.col("__cum") - F.col("__c")).alias("__start"),
+                     (F.col("__off") + F.col("__cum")).alias("__end")))
+    targets = (part.select("__g", "__total").distinct()
+               .select("__g", "__total", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
                .withColumn("__h", (F.col("__total") - 1) * F.col("p"))
                .withColumn("__lo", F.floor("__h").cast(T.LongType()))
                .withColumn("__hi", F.ceil("__h").cast(T.LongType())))
-    # Keep only the order statistics that are needed: at most 2 x |probs| rows
-    # per group, selected by a broadcast semi-join (groups x probs x 2 keys).
-    wanted = (targets.select("__g", F.explode(F.array("__lo", "__hi")).alias("__rank"))
-              .distinct())
-    picked = ranked.join(F.broadcast(wanted), ["__g", "__rank"], "left_semi").select("__g", "__rank", "__v")
+    wanted = targets.select("__g", F.explode(F.array("__lo", "__hi")).alias("__rank")).distinct()
+    # groups x probs x 2 target ranks: a proven bound for the broadcast
+    hit = spans.join(F.broadcast(wanted), (spans["__g"] == wanted["__g"])
+                     & (wanted["__rank"] >= spans["__start"]) & (wanted["__rank"] < spans["__end"]))
+    picked = hit.select(spans["__g"].alias("__g"), wanted["__rank"].alias("__rank"), spans["__v"].alias("__v"))
     lo = targets.join(picked.select("__g", F.col("__rank").alias("__lo"), F.col("__v").alias("__vlo")),
                       ["__g", "__lo"])
     both = lo.join(picked.select("__g", F.col("__rank").alias("__hi"), F.col("__v").alias("__vhi")),

@@ -175,7 +175,7 @@ DAILY_AGG = """daily_agg AS (
          CAST(sum(l_quantity) AS BIGINT) AS units,
          CAST(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS units_b2b,
          count(*) AS items, count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS items_b2b,
-         count(DISTINCT l_orderkey) AS sessions
+         count(CASE WHEN l_linenumber = 1 THEN 1 END) AS sessions
   FROM lineitem GROUP BY 1)"""
 
 NULL_TEXT = "CAST(NULL AS VARCHAR)"

@@ -132,15 +132,18 @@ def nullable_listing(part: DataFrame) -> DataFrame:
 
 def daily_report_text(lineitem: DataFrame) -> DataFrame:
     """The 18-column daily sales-and-traffic report, one row per ship day, as text."""
-    dec = F.col("l_extendedprice").cast(T.DecimalType(18, 2))
+    # Exact money as integer cents (long sums stay on Spark's fast path; a
+    # day's total cannot overflow a long).  A "session" is an order whose
+    # first line shipped that day.
+    cents = F.round(F.col("l_extendedprice") * 100).cast(T.LongType())
     b2b = F.col("l_returnflag") == F.lit("R")
-    day = F.to_date("l_shipdate")
-    agg = lineitem.groupBy(day.alias("d")).agg(
-        F.sum(dec).alias("ops"), F.sum(F.when(b2b, dec).otherwise(F.lit(0).cast(T.DecimalType(18, 2)))).alias("ops_b2b"),
+    agg = lineitem.groupBy(F.to_date("l_shipdate").alias("d")).agg(
+        (F.sum(cents) / F.lit(100.0)).alias("ops"),
+        (F.sum(F.when(b2b, cents).otherwise(F.lit(0))) / F.lit(100.0)).alias("ops_b2b"),
         F.sum("l_quantity").cast(T.LongType()).alias("units"),
         F.sum(F.when(b2b, F.col("l_quantity")).otherwise(0.0)).cast(T.LongType()).alias("units_b2b"),
         F.count(F.lit(1)).alias("items"), F.count(F.when(b2b, 1)).alias("items_b2b"),
-        F.countDistinct("l_orderkey").alias("sessions"))
+        F.count(F.when(F.col("l_linenumber") == 1, 1)).alias("sessions"))
     txt = lambda c: F.col(c).cast(T.StringType())
     none = F.lit(None).cast(T.StringType())
     return agg.select(
