@@ -1,9 +1,11 @@
 """K-means clustering of items (I3-I5, F-A5, F-A8, F-A10) on MLlib.
 
 MLlib's KMeans is already distributed (k-means|| init, one aggregate per
-iteration).  The assembled feature vectors are written as a reliable
-checkpoint first: iterations reread them instead of recomputing the whole
-item lineage, and a lost executor only costs re-reading its blocks.
+iteration, and it persists its own input vectors).  The feature table is
+written once as a reliable checkpoint (``pin_features``) and reused by the
+scaler fit, the fit itself and the cluster statistics, so the item plan
+(sales aggregation + join) runs once and a lost executor only costs
+re-reading checkpoint blocks.
 Cluster ids are arbitrary, so they are renumbered by ascending
 (mean raw price, size, smallest SKU) to make results comparable run to run.
 """
@@ -12,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,20 +32,24 @@ def n_clusters_for(n_items: int, rule: str = "file") -> int | None:
     return min(3, max(2, n_items // 10))
 
 
+def pin_features(features: DataFrame) -> DataFrame:
+    """Materialise the feature table once (reliable checkpoint)."""
+    ensure_checkpoint_dir(features.sparkSession)
+    return features.checkpoint(eager=True)
+
+
 def kmeans_labels(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,
                   max_iter: int = K.KMEANS_MAX_ITER, cols=FEATURES) -> DataFrame:
-    """``(SKU, Cluster)`` from standardised features."""
-    ensure_checkpoint_dir(features.sparkSession)
+    """``(SKU, Cluster)`` from standardised features (pass a pinned table)."""
     z = standardize(features, cols, suffix="_z")
     assembled = VectorAssembler(inputCols=[c + "_z" for c in cols], outputCol="features").transform(z)
-    assembled = assembled.select("SKU", "Price", "features").checkpoint(eager=True)
+    assembled = assembled.select("SKU", "Price", "features")
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
                    predictionCol="raw_cluster").fit(assembled)
     labelled = model.transform(assembled).select("SKU", "Price", "raw_cluster")
     # k rows: one per cluster, renumbered in a stable order.
     order = (labelled.groupBy("raw_cluster")
              .agg(F.avg("Price").alias("__p"), F.count(F.lit(1)).alias("__n"), F.min("SKU").alias("__s")))
-    from pyspark.sql import Window
     ranked = order.select("raw_cluster", (F.row_number().over(
         Window.orderBy("__p", "__n", "__s")) - 1).cast(T.IntegerType()).alias("Cluster"))
     return labelled.join(F.broadcast(ranked), "raw_cluster").select("SKU", "Cluster")
@@ -75,7 +81,8 @@ def describe_clusters(stats: DataFrame) -> DataFrame:
 
 def cluster_items(features: DataFrame, k: int, seed: int = K.KMEANS_SEED) -> DataFrame:
     """``(SKU, Cluster, Cluster_Description)`` for every item."""
-    labels = kmeans_labels(features, k, seed)
+    features = pin_features(features)
+    labels = kmeans_labels(features, k, seed).checkpoint(eager=True)
     desc = describe_clusters(cluster_stats(features, labels)).select("Cluster", "Cluster_Description")
     # one row per cluster (k rows): a proven bound for the broadcast
     return labels.join(F.broadcast(desc), "Cluster").select("SKU", "Cluster", "Cluster_Description")

@@ -284,9 +284,15 @@ def _features(spark, sf_dir):
     return cluster_features(_items(spark, sf_dir))
 
 
-def _clusters(spark, sf_dir):
+def _clusters(spark, sf_dir, features=None):
     k = CLU.choose_k(fx.listings(spark, sf_dir))
-    return KM.cluster_items(_features(spark, sf_dir), k)
+    return KM.cluster_items(features if features is not None else _features(spark, sf_dir), k)
+
+
+def _pinned_clusters(spark, sf_dir):
+    """Feature table pinned once, shared by the fit and the per-cluster tables."""
+    feats = KM.pin_features(_features(spark, sf_dir))
+    return feats, _clusters(spark, sf_dir, feats)
 
 
 def q_cluster_features(spark, sf_dir):
@@ -302,13 +308,13 @@ def q_kmeans(spark, sf_dir):
 
 
 def q_cluster_stats(spark, sf_dir):
-    clusters = _clusters(spark, sf_dir)
-    return KM.cluster_stats(_features(spark, sf_dir), clusters.select("SKU", "Cluster"))
+    feats, clusters = _pinned_clusters(spark, sf_dir)
+    return KM.cluster_stats(feats, clusters.select("SKU", "Cluster"))
 
 
 def q_describe_clusters(spark, sf_dir):
-    clusters = _clusters(spark, sf_dir)
-    return KM.describe_clusters(KM.cluster_stats(_features(spark, sf_dir), clusters.select("SKU", "Cluster")))
+    feats, clusters = _pinned_clusters(spark, sf_dir)
+    return KM.describe_clusters(KM.cluster_stats(feats, clusters.select("SKU", "Cluster")))
 
 
 def q_cluster_nunique(spark, sf_dir):
@@ -316,8 +322,8 @@ def q_cluster_nunique(spark, sf_dir):
 
 
 def q_price_histogram(spark, sf_dir):
-    clusters = _clusters(spark, sf_dir)
-    return KM.price_histogram(_features(spark, sf_dir), clusters.select("SKU", "Cluster"))
+    feats, clusters = _pinned_clusters(spark, sf_dir)
+    return KM.price_histogram(feats, clusters.select("SKU", "Cluster"))
 
 
 def q_join_clusters(spark, sf_dir):
