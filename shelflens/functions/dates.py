@@ -45,12 +45,16 @@ def window_start(as_of: datetime, days: int, like: T.DataType | None = None) ->
 def floor_days_since(as_of: datetime, ts: Column) -> Column:
     """Whole elapsed days ``floor((as_of - ts) / 24h)``; negative for future ts.
 
-    Not ``datediff`` (calendar days) and not ``timestampdiff`` (truncates
-    toward zero); elapsed microseconds floored is the pandas ``.days`` rule.
+    Not ``datediff`` (calendar days) and not a truncating division; elapsed
+    microseconds floored is the pandas ``.days`` rule.  Both ends are naive
+    wall-clock times, so the session time zone (and DST) cannot shift it, and
+    the floor division is exact integer arithmetic.
     """
-    as_of_us = F.unix_micros(ts_literal(as_of))
-    ts_us = F.unix_micros(ts.cast(T.TimestampType()))
-    return F.floor((as_of_us - ts_us) / F.lit(MICROS_PER_DAY)).cast(T.LongType())
+    ts_ntz = ts.cast(T.TimestampNTZType())
+    micros = F.timestamp_diff("MICROSECOND", ts_ntz, ts_literal(as_of, T.TimestampNTZType()))
+    day = F.lit(MICROS_PER_DAY)
+    whole = (micros - F.pmod(micros, day)).cast(T.DecimalType(20, 0))   # an exact multiple of a day
+    return (whole / day.cast(T.DecimalType(20, 0))).cast(T.LongType())
 
 
 def parse_timestamp(c: Column) -> Column:
