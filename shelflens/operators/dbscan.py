@@ -141,6 +141,46 @@ def _cell_edges(core: DataFrame, xs, cs, side: float, eps2: float, half) -> Data
     return one_way.unionByName(one_way.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
+def _with_subcells(df: DataFrame, xs, cs, side: float) -> DataFrame:
+    sub = side / SUBDIVISIONS
+    return df.withColumns({
+        f"s{i}": F.least(F.greatest(F.floor((F.col(x) - F.col(c) * F.lit(side)) / F.lit(sub)), F.lit(0)),
+                         F.lit(SUBDIVISIONS - 1)).cast(T.IntegerType())
+        for i, (x, c) in enumerate(zip(xs, cs))})
+
+
+def _boxes(df: DataFrame, xs, cs, extra_aggs=()) -> DataFrame:
+    """Bounding box and count of the points of each (cell, sub-cell)."""
+    d = len(xs)
+    return df.groupBy(*cs, *[f"s{i}" for i in range(d)]).agg(
+        F.count(F.lit(1)).alias("bn"),
+        *[F.min(x).alias(f"lo{i}") for i, x in enumerate(xs)],
+        *[F.max(x).alias(f"hi{i}") for i, x in enumerate(xs)], *extra_aggs)
+
+
+def _point_box_d2(xs, d):
+    """(smallest, largest) squared distance from a point to a box."""
+    near = [F.greatest(F.col(f"lo{i}") - F.col(x), F.col(x) - F.col(f"hi{i}"), F.lit(0.0))
+            for i, x in enumerate(xs)]
+    far = [F.greatest(F.abs(F.col(x) - F.col(f"lo{i}")), F.abs(F.col(x) - F.col(f"hi{i}")))
+           for i, x in enumerate(xs)]
+    return (sum((v * v for v in near[1:]), near[0] * near[0]),
+            sum((v * v for v in far[1:]), far[0] * far[0]))
+
+
+def _probe_boxes(probes: DataFrame, boxes: DataFrame, xs, cs, ns, eps2: float) -> DataFrame:
+    """Probe points x neighbouring boxes, classified: ``full`` (every point of the
+    box within eps), ``partial`` (must look at points), boxes beyond eps dropped."""
+    d = len(xs)
+    b = boxes.select(*[F.col(c).alias(n) for c, n in zip(cs, ns)], *[F.col(f"s{i}").alias(f"bs{i}") for i in range(d)],
+                     *[c for c in boxes.columns if c not in cs and not c.startswith("s")])
+    j = probes.join(b, ns)
+    near2, far2 = _point_box_d2(xs, d)
+    return (j.withColumn("__near2", near2).withColumn("__far2", far2)
+            .where(F.col("__near2") <= F.lit(eps2))
+            .withColumn("full", F.col("__far2") <= F.lit(eps2)))
+
+
 def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS,
            min_samples: int = K.DBSCAN_MIN_SAMPLES) -> DataFrame:
     """``(id, cluster, is_core)`` for every input point; ids must be unique longs."""
@@ -159,19 +199,27 @@ def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS
     counts = pts.groupBy(*cs).agg(F.count(F.lit(1)).alias("cell_n"))
     pts = pts.join(counts, cs).checkpoint(eager=True)
 
-    # -- 1. neighbour pairs for points of sparse cells only ----------------
+    # -- 1. core test for points of sparse cells only ------------------------
+    # A probe (point of a sparse cell) meets each neighbouring cell as at most
+    # SUBDIVISIONS**d boxes; whole boxes are counted when provably inside eps
+    # and only boxes straddling the eps boundary are opened point by point.
     ys = _cells("y", d)
     ns = _cells("n", d)
+    pts = _with_subcells(pts, xs, cs, side)
+    ss = [f"s{i}" for i in range(d)]
+    bss = [f"bs{i}" for i in range(d)]
     probes = (pts.where(F.col("cell_n") < min_samples)
               .select("pid", *xs, F.explode(_shifted(cs, offsets)).alias("nb"))
               .select("pid", *xs, *[F.col(f"nb.{n}").alias(n) for n in ns]))
+    probe_boxes = _probe_boxes(probes, _boxes(pts, xs, cs), xs, cs, ns, eps2)
+    from_full = (probe_boxes.where("full").groupBy("pid").agg(F.sum("bn").alias("deg")))
     others = pts.select(F.col("pid").alias("qid"), *[F.col(x).alias(y) for x, y in zip(xs, ys)],
-                        *[F.col(c).alias(n) for c, n in zip(cs, ns)], F.col("cell_n").alias("q_cell_n"))
-    pairs = (probes.join(others, ns)
-             .where(_dist2(xs, ys) <= F.lit(eps2))
-             .select("pid", "qid", "q_cell_n")
-             .checkpoint(eager=True))
-    sparse_core = (pairs.groupBy("pid").agg(F.count(F.lit(1)).alias("deg"))
+                        *[F.col(c).alias(n) for c, n in zip(cs, ns)], *[F.col(s_).alias(b_) for s_, b_ in zip(ss, bss)])
+    opened = (probe_boxes.where(~F.col("full")).select("pid", *xs, *ns, *bss)
+              .join(others, ns + bss)
+              .where(_dist2(xs, ys) <= F.lit(eps2))
+              .groupBy("pid").agg(F.count(F.lit(1)).alias("deg")))
+    sparse_core = (from_full.unionByName(opened).groupBy("pid").agg(F.sum("deg").alias("deg"))
                    .where(F.col("deg") >= min_samples).select("pid", F.lit(True).alias("sc")))
     pts = (pts.join(sparse_core, "pid", "left")
            .withColumn("is_core", (F.col("cell_n") >= min_samples) | F.coalesce("sc", F.lit(False)))
@@ -192,10 +240,12 @@ def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS
         jump = merged.alias("m").join(merged.alias("t"), F.col("m.label") == F.col("t.node"), "left")
         new = jump.select(F.col("m.node").alias("node"),
                           F.least(F.col("m.label"), F.coalesce(F.col("t.label"), F.col("m.label"))).alias("label"))
-        new = new.checkpoint(eager=True)
-        changed = (new.join(labels.withColumnRenamed("label", "old"), "node")
-                   .where(F.col("label") != F.col("old")).limit(1).count())
-        labels = new
+        # the change flag is computed in the same pass that writes the round
+        new = (new.join(labels.withColumnRenamed("label", "old"), "node")
+               .withColumn("changed", F.col("label") != F.col("old")).drop("old")
+               .checkpoint(eager=True))
+        changed = new.where("changed").limit(1).count()
+        labels = new.drop("changed")
         if changed == 0:
             break
     else:
@@ -203,8 +253,24 @@ def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS
 
     core_cluster = core.join(labels, "node").select("pid", F.col("label").alias("cluster"))
     # -- 4. border points: non-core points next to a core point -----------------
-    border = (pairs.join(core_cluster.select(F.col("pid").alias("qid"), "cluster"), "qid")
-              .join(pts.where(~F.col("is_core")).select("pid"), "pid")
+    # Same box test against boxes of *core* points; every core point of a cell
+    # carries the cell's cluster, so a box inside eps needs no point pairs.
+    cell_cluster = core.select(*cs, "node").distinct().join(labels, "node").select(*cs, F.col("label").alias("bc"))
+    core_boxes = _boxes(_with_subcells(core.join(cell_cluster, cs), xs, cs, side), xs, cs,
+                        extra_aggs=(F.min("bc").alias("bc"),))
+    lonely = (pts.where(~F.col("is_core"))
+              .select("pid", *xs, F.explode(_shifted(cs, offsets)).alias("nb"))
+              .select("pid", *xs, *[F.col(f"nb.{n}").alias(n) for n in ns]))
+    border_boxes = _probe_boxes(lonely, core_boxes, xs, cs, ns, eps2)
+    full_border = border_boxes.where("full").select("pid", F.col("bc").alias("cluster"))
+    core_pts = _with_subcells(core, xs, cs, side).join(core_cluster, "pid").select(
+        F.col("cluster"), *[F.col(x).alias(y) for x, y in zip(xs, ys)],
+        *[F.col(c).alias(n) for c, n in zip(cs, ns)], *[F.col(s_).alias(b_) for s_, b_ in zip(ss, bss)])
+    open_border = (border_boxes.where(~F.col("full")).select("pid", *xs, *ns, *bss)
+                   .join(core_pts, ns + bss)
+                   .where(_dist2(xs, ys) <= F.lit(eps2))
+                   .select("pid", "cluster"))
+    border = (full_border.unionByName(open_border)
               .groupBy("pid").agg(F.min("cluster").alias("border_cluster")))
     out = (pts.select("pid", "is_core")
            .join(core_cluster, "pid", "left")

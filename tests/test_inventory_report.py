@@ -140,3 +140,17 @@ def test_string_dates_are_parsed(spark):
     sales = spark.createDataFrame(rows, "SKU string, Date string, quantity long")
     inv = spark.createDataFrame([("A", "Long enough", "1", 5.0, True)], INV_SCHEMA)
     assert by_sku(inventory_report(sales, inv, AS_OF))["A"]["Days Since Last Sale"] == 3
+
+
+def test_days_do_not_depend_on_session_time_zone(spark):
+    sales = spark.createDataFrame([("A", datetime(2001, 3, 11, 1, 30), 1, 1.0),
+                                   ("B", datetime(2001, 7, 31, 12, 30), 1, 1.0)], SALES_SCHEMA)
+    inv = spark.createDataFrame([("A", "Long enough", "1", 5.0, True),
+                                 ("B", "Long enough", "1", 5.0, True)], INV_SCHEMA)
+    expected = {k: v["Days Since Last Sale"] for k, v in by_sku(inventory_report(sales, inv, AS_OF)).items()}
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = {k: v["Days Since Last Sale"] for k, v in by_sku(inventory_report(sales, inv, AS_OF)).items()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == expected == {"A": 143, "B": 0}
