@@ -107,3 +107,18 @@ def test_pca_matches_numpy(spark):
     for j in range(2):
         assert np.allclose(np.abs(got[:, j]), np.abs(ref[:, j]), atol=1e-8)
     assert got[:, 0].var() >= got[:, 1].var()
+
+
+def test_kmeans_cost_below_random_assignment(spark):
+    feats = features_df(spark, n=150, seed=11)
+    labels = KM.kmeans_labels(feats, 3)
+    z = standardize(feats, FEATURES).join(labels, "SKU")
+
+    def sse(df, label_col):
+        cent = df.groupBy(label_col).agg(*[F.avg(c).alias(f"m_{c}") for c in FEATURES])
+        j = df.join(cent, label_col)
+        return j.select(sum(((F.col(c) - F.col(f"m_{c}")) ** 2 for c in FEATURES[1:]),
+                            (F.col(FEATURES[0]) - F.col(f"m_{FEATURES[0]}")) ** 2).alias("e")).agg(F.sum("e")).first()[0]
+
+    random = z.withColumn("rnd", (F.xxhash64("SKU") % 3 + 3) % 3)
+    assert sse(z, "Cluster") <= sse(random, "rnd")

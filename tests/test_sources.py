@@ -80,3 +80,18 @@ def test_catalog_lookup_and_enrich(spark):
     inv = spark.createDataFrame([("A", 1.0), ("Z", 2.0)], "SKU string, Price double")
     rows = {r["SKU"]: r for r in MP.enrich_with_catalog(inv, cat).collect()}
     assert rows["A"]["ISBN"] == "i" and rows["Z"]["Author"] is None
+
+
+def test_inventory_summary_columns_and_marketplace(spark):
+    snap = spark.createDataFrame([("A", "a", "t", "New", 1.0, 2, "M1"), ("B", "b", "t", "Used", 2.0, 0, "M2")],
+                                 "SKU string, ASIN string, Title string, Condition string, Price double, "
+                                 "Quantity long, marketplace_id string")
+    out = MP.inventory_summary(snap, "M1")
+    assert out.columns == MP.SUMMARY_COLUMNS and [r["SKU"] for r in out.collect()] == ["A"]
+    assert MP.inventory_summary(snap).count() == 2
+
+
+def test_demo_data_shapes(spark):
+    sales, inv = MP.demo_data(spark, datetime(2024, 1, 1))
+    assert sales.count() == 5 and inv.count() == 5
+    assert set(inv.columns) == {"SKU", "Title", "ISBN", "Price", "Has_Image", "quantity"}
