@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from shelflens import constants as K
 from shelflens.functions.dates import ensure_timestamp
 from shelflens.operators.describe import describe
-from shelflens.operators.ordering import to_long
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
            T.DoubleType, T.DecimalType)
