@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from shelflens import constants as K
 from shelflens.operators import cleaning as CLN
-from shelflens.operators import kmeans as KM
 from shelflens.operators import profile as PR
 from shelflens.plans import performance as PF
 from shelflens.plans import reports as R
@@ -210,4 +209,4 @@ def cluster_count(clusters: DataFrame) -> DataFrame:
 
 
 __all__ = ["analyze", "run_analysis", "run_inventory_analysis", "load_all_data", "run_full_analysis",
-           "profile_all_files", "clean_data", "flag_summary", "cluster_count", "KM"]
+           "profile_all_files", "clean_data", "flag_summary", "cluster_count"]
