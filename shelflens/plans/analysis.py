@@ -21,6 +21,7 @@ from shelflens.plans import performance as PF
 from shelflens.plans import reports as R
 from shelflens.plans.clustering import cluster_inventory, report_with_clusters
 from shelflens.plans.inventory_report import inventory_report
+from shelflens.session import pin
 from shelflens.sources import files as FS
 
 # fixed values: input file names probed in order (first readable wins)
@@ -81,6 +82,8 @@ def write_reports(reports: dict[str, DataFrame], output_dir: str, fmt: str = "pa
 def run_inventory_analysis(sales: DataFrame, inventory: DataFrame, as_of: datetime,
                            output_dir: str | None = None, fmt: str = "parquet") -> dict:
     report = analyze(sales, inventory, as_of)
+    if output_dir:
+        report = pin(report)      # several reports are written from it
     reports = base_reports(report)
     written = write_reports(reports, output_dir, fmt) if output_dir else {}
     return {"report": report, "reports": reports, "written": written,
@@ -139,6 +142,8 @@ def run_full_analysis(spark: SparkSession, data_dir: str, as_of: datetime,
     sales, inventory, perf = data["sales"], data["inventory"], data["performance"]
     results: dict = {}
     report = analyze(sales, inventory, as_of)
+    if output_dir:
+        report = pin(report)      # several reports are written from it
     results["basic_analysis"] = report
     reports = file_reports(report)
     clusters = cluster_inventory(sales, inventory, as_of, rule="file")

@@ -75,3 +75,10 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     # Spark's writers create the folder themselves, on whatever filesystem
     # the checkpoint location lives on.
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def pin(df):
+    """Materialise ``df`` as a reliable checkpoint in the shared folder (cuts
+    lineage; a lost executor re-reads blocks instead of replaying the plan)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
