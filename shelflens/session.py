@@ -46,6 +46,29 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
+               max_partitions: int = 200_000) -> dict[str, str]:
+    """Settings sized to the input for cluster runs (pass as ``extra``).
+
+    Shuffle partitions start at ~one per ``partition_bytes`` of input (never
+    fewer than 2x the cores) so that no reducer needs more than a few hundred
+    MB even before partial aggregation shrinks the data; AQE then coalesces
+    small partitions to the same advisory size and splits skewed join
+    partitions above it.
+    """
+    n = max(2 * total_cores, min(max_partitions, -(-input_bytes // partition_bytes)))
+    size = f"{partition_bytes >> 20}m"
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder, creating a local one only if unset."""
     try:
