@@ -14,10 +14,20 @@ from pyspark.sql import types as T
 from shelflens import constants as K
 
 FEATURES = ["Price", "Sales_Last_30d", "Sales_Last_90d", "Days_Since_Last_Sale", "Has_Image", "Has_ISBN"]
+# Per-row identity of a listing.  Listings may repeat a SKU (even a third of
+# all rows), so clustering results are joined back by this id, never by SKU.
+ITEM_ID = "item_id"
+
+
+def with_item_id(items: DataFrame) -> DataFrame:
+    """Attach a unique row id (stable once the frame is checkpointed)."""
+    if ITEM_ID in items.columns:
+        return items
+    return items.withColumn(ITEM_ID, F.monotonically_increasing_id())
 
 
 def cluster_features(items: DataFrame) -> DataFrame:
-    """Numeric features per item (internal column names), keyed by SKU.
+    """Numeric features per item (internal column names), keyed by ``item_id``.
 
     Never-sold items get 365 days; absent image/ISBN columns give 0; a
     missing price counts as 0.0 (the cleaning default).
@@ -26,8 +36,8 @@ def cluster_features(items: DataFrame) -> DataFrame:
     has_image = (F.coalesce(F.col("Has_Image"), F.lit(False)).cast(T.DoubleType())
                  if "Has_Image" in cols else F.lit(0.0))
     has_isbn = (F.col("ISBN").isNotNull().cast(T.DoubleType()) if "ISBN" in cols else F.lit(0.0))
-    return items.select(
-        "SKU",
+    return with_item_id(items).select(
+        ITEM_ID, "SKU",
         F.coalesce(F.col("Price").cast(T.DoubleType()), F.lit(0.0)).alias("Price"),
         F.coalesce(F.col("Sales_Last_30d"), F.lit(0.0)).cast(T.DoubleType()).alias("Sales_Last_30d"),
         F.coalesce(F.col("Sales_Last_90d"), F.lit(0.0)).cast(T.DoubleType()).alias("Sales_Last_90d"),

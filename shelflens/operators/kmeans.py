@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelflens import constants as K
-from shelflens.operators.features import FEATURES, standardize
+from shelflens.operators.features import FEATURES, ITEM_ID, standardize
 from shelflens.session import ensure_checkpoint_dir
 
 
@@ -40,24 +40,24 @@ def pin_features(features: DataFrame) -> DataFrame:
 
 def kmeans_labels(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,
                   max_iter: int = K.KMEANS_MAX_ITER, cols=FEATURES) -> DataFrame:
-    """``(SKU, Cluster)`` from standardised features (pass a pinned table)."""
+    """``(item_id, SKU, Cluster)`` from standardised features (pass a pinned table)."""
     z = standardize(features, cols, suffix="_z")
     assembled = VectorAssembler(inputCols=[c + "_z" for c in cols], outputCol="features").transform(z)
-    assembled = assembled.select("SKU", "Price", "features")
+    assembled = assembled.select(ITEM_ID, "SKU", "Price", "features")
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
                    predictionCol="raw_cluster").fit(assembled)
-    labelled = model.transform(assembled).select("SKU", "Price", "raw_cluster")
+    labelled = model.transform(assembled).select(ITEM_ID, "SKU", "Price", "raw_cluster")
     # k rows: one per cluster, renumbered in a stable order.
     order = (labelled.groupBy("raw_cluster")
              .agg(F.avg("Price").alias("__p"), F.count(F.lit(1)).alias("__n"), F.min("SKU").alias("__s")))
     ranked = order.select("raw_cluster", (F.row_number().over(
         Window.orderBy("__p", "__n", "__s")) - 1).cast(T.IntegerType()).alias("Cluster"))
-    return labelled.join(F.broadcast(ranked), "raw_cluster").select("SKU", "Cluster")
+    return labelled.join(F.broadcast(ranked), "raw_cluster").select(ITEM_ID, "SKU", "Cluster")
 
 
 def cluster_stats(features: DataFrame, labels: DataFrame) -> DataFrame:
     """F-A5: per cluster mean price / sales / days / image / ISBN and item count."""
-    j = features.join(labels, "SKU")
+    j = features.join(labels.select(ITEM_ID, "Cluster"), ITEM_ID)   # 1:1 on the row id
     return j.groupBy("Cluster").agg(
         F.avg("Price").alias("mean_Price"),
         F.avg("Sales_Last_30d").alias("mean_Sales_Last_30d"),
@@ -80,12 +80,12 @@ def describe_clusters(stats: DataFrame) -> DataFrame:
 
 
 def cluster_items(features: DataFrame, k: int, seed: int = K.KMEANS_SEED) -> DataFrame:
-    """``(SKU, Cluster, Cluster_Description)`` for every item."""
+    """``(item_id, SKU, Cluster, Cluster_Description)`` for every item row."""
     features = pin_features(features)
     labels = kmeans_labels(features, k, seed).checkpoint(eager=True)
     desc = describe_clusters(cluster_stats(features, labels)).select("Cluster", "Cluster_Description")
     # one row per cluster (k rows): a proven bound for the broadcast
-    return labels.join(F.broadcast(desc), "Cluster").select("SKU", "Cluster", "Cluster_Description")
+    return labels.join(F.broadcast(desc), "Cluster").select(ITEM_ID, "SKU", "Cluster", "Cluster_Description")
 
 
 def price_histogram(features: DataFrame, labels: DataFrame, bins: int = K.HISTOGRAM_BINS) -> DataFrame:
@@ -93,7 +93,8 @@ def price_histogram(features: DataFrame, labels: DataFrame, bins: int = K.HISTOG
 
     Missing prices count as 0; a constant cluster uses ``[x - 0.5, x + 0.5]``.
     """
-    j = features.select("SKU", F.coalesce("Price", F.lit(0.0)).alias("Price")).join(labels, "SKU")
+    j = (features.select(ITEM_ID, F.coalesce("Price", F.lit(0.0)).alias("Price"))
+         .join(labels.select(ITEM_ID, "Cluster"), ITEM_ID))
     rng = j.groupBy("Cluster").agg(F.min("Price").alias("lo"), F.max("Price").alias("hi"))
     rng = rng.select("Cluster",
                      F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),

@@ -19,7 +19,7 @@ from shelflens.operators import cleaning as CLN
 from shelflens.operators import profile as PR
 from shelflens.plans import performance as PF
 from shelflens.plans import reports as R
-from shelflens.plans.clustering import cluster_inventory, report_with_clusters
+from shelflens.plans.clustering import cluster_inventory, clustered_report
 from shelflens.plans.inventory_report import inventory_report
 from shelflens.session import pin
 from shelflens.sources import files as FS
@@ -52,9 +52,7 @@ def analyze(sales: DataFrame, inventory: DataFrame, as_of: datetime) -> DataFram
 
 def run_analysis(sales: DataFrame, inventory: DataFrame, as_of: datetime) -> DataFrame:
     """Report plus cluster id/description (demo k rule; skipped below 5 items)."""
-    report = analyze(sales, inventory, as_of)
-    clusters = cluster_inventory(sales, inventory, as_of, rule="demo")
-    return report_with_clusters(report, clusters)
+    return clustered_report(sales, inventory, as_of, rule="demo")
 
 
 def base_reports(report: DataFrame) -> dict[str, DataFrame]:
@@ -148,6 +146,7 @@ def run_full_analysis(spark: SparkSession, data_dir: str, as_of: datetime,
     reports = file_reports(report)
     clusters = cluster_inventory(sales, inventory, as_of, rule="file")
     if clusters is not None:
+        clusters = clusters.drop("item_id")
         results["clustering"] = clusters
         reports["inventory_clusters"] = clusters
     if perf is not None and len(perf.columns) > 0:

@@ -12,9 +12,10 @@ from pyspark.sql import types as T
 from shelflens import constants as K
 from shelflens.operators import kmeans as KM
 from shelflens.operators.dbscan import dbscan
-from shelflens.operators.features import cluster_features, standardize
+from shelflens.operators.features import ITEM_ID, cluster_features, standardize, with_item_id
 from shelflens.operators.pca import pca
-from shelflens.plans.inventory_report import item_table
+from shelflens.plans.inventory_report import item_table, to_report
+from shelflens.session import pin
 
 
 def item_features(sales: DataFrame, inventory: DataFrame, as_of: datetime) -> DataFrame:
@@ -28,19 +29,37 @@ def choose_k(inventory: DataFrame, rule: str = "file") -> int | None:
 
 def cluster_inventory(sales: DataFrame, inventory: DataFrame, as_of: datetime,
                       n_clusters: int | None = None, rule: str = "file") -> DataFrame:
-    """``(SKU, Cluster, Cluster_Description)``; None when there are < 5 items."""
+    """``(item_id, SKU, Cluster, Cluster_Description)``; None below 5 items."""
     k = n_clusters or choose_k(inventory, rule)
     if k is None:
         return None
     return KM.cluster_items(item_features(sales, inventory, as_of), k)
 
 
+def clustered_report(sales: DataFrame, inventory: DataFrame, as_of: datetime,
+                     n_clusters: int | None = None, rule: str = "file") -> DataFrame:
+    """E5: the report with each row's cluster id and description.
+
+    Report and features come from one pinned item table carrying a row id,
+    and the clusters are joined back 1:1 on that id: a SKU listed many times
+    keeps one row per listing (no SKU x SKU fan-out).
+    """
+    items = pin(with_item_id(item_table(sales, inventory, as_of)))
+    report = to_report(items, keep=(ITEM_ID,))
+    k = n_clusters or choose_k(inventory, rule)
+    if k is None:
+        return report.drop(ITEM_ID)
+    clusters = KM.cluster_items(cluster_features(items), k).select(ITEM_ID, "Cluster", "Cluster_Description")
+    return report.join(clusters, ITEM_ID, "left").drop(ITEM_ID)
+
+
 def report_with_clusters(report: DataFrame, clusters: DataFrame | None) -> DataFrame:
-    """E5: report left-joined to cluster id and description (a SKU listed
-    twice fans out, as in the reference)."""
+    """Join on the row id when both sides carry it, else on SKU."""
     if clusters is None:
         return report
-    return report.join(clusters, "SKU", "left")
+    key = ITEM_ID if ITEM_ID in report.columns and ITEM_ID in clusters.columns else "SKU"
+    out = report.join(clusters.drop(*[c for c in ("SKU",) if key != "SKU"]), key, "left")
+    return out.drop(ITEM_ID) if key == ITEM_ID else out
 
 
 def embedding_points(embeddings: DataFrame, dims=(0, 1), digits: int = 6) -> DataFrame:

@@ -66,10 +66,10 @@ def item_table(sales: DataFrame, inventory: DataFrame, as_of: datetime) -> DataF
     })
 
 
-def to_report(items: DataFrame) -> DataFrame:
-    """Spaced names, fixed order, only the columns that exist."""
+def to_report(items: DataFrame, keep=()) -> DataFrame:
+    """Spaced names, fixed order, only the columns that exist (+ ``keep``)."""
     renamed = items.withColumnsRenamed({k: v for k, v in RENAMES.items() if k in items.columns})
-    return C.project_existing(renamed, K.REPORT_COLUMNS)
+    return C.project_existing(renamed, list(K.REPORT_COLUMNS) + list(keep))
 
 
 def inventory_report(sales: DataFrame, inventory: DataFrame, as_of: datetime) -> DataFrame:

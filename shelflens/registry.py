@@ -296,11 +296,11 @@ def _pinned_clusters(spark, sf_dir):
 
 
 def q_cluster_features(spark, sf_dir):
-    return _features(spark, sf_dir)
+    return _features(spark, sf_dir).drop("item_id")
 
 
 def q_standardize(spark, sf_dir):
-    return standardize(_features(spark, sf_dir), FEATURES, digits=6)
+    return standardize(_features(spark, sf_dir), FEATURES, digits=6).drop("item_id")
 
 
 def q_kmeans(spark, sf_dir):
@@ -309,12 +309,12 @@ def q_kmeans(spark, sf_dir):
 
 def q_cluster_stats(spark, sf_dir):
     feats, clusters = _pinned_clusters(spark, sf_dir)
-    return KM.cluster_stats(feats, clusters.select("SKU", "Cluster"))
+    return KM.cluster_stats(feats, clusters)
 
 
 def q_describe_clusters(spark, sf_dir):
     feats, clusters = _pinned_clusters(spark, sf_dir)
-    return KM.describe_clusters(KM.cluster_stats(feats, clusters.select("SKU", "Cluster")))
+    return KM.describe_clusters(KM.cluster_stats(feats, clusters))
 
 
 def q_cluster_nunique(spark, sf_dir):
@@ -323,11 +323,11 @@ def q_cluster_nunique(spark, sf_dir):
 
 def q_price_histogram(spark, sf_dir):
     feats, clusters = _pinned_clusters(spark, sf_dir)
-    return KM.price_histogram(feats, clusters.select("SKU", "Cluster"))
+    return KM.price_histogram(feats, clusters)
 
 
 def q_join_clusters(spark, sf_dir):
-    return CLU.report_with_clusters(_report(spark, sf_dir), _clusters(spark, sf_dir))
+    return CLU.clustered_report(fx.sales(spark, sf_dir), fx.listings(spark, sf_dir), fx.AS_OF)
 
 
 def q_pca(spark, sf_dir):

@@ -67,9 +67,9 @@ def features_df(spark, n=120, seed=3):
     rows = []
     for i in range(n):
         g = i % 3
-        rows.append((f"S{i:03d}", float(10 + 20 * g + rng.normal()), float(g * 5 + rng.random()),
+        rows.append((i, f"S{i:03d}", float(10 + 20 * g + rng.normal()), float(g * 5 + rng.random()),
                      float(g * 9 + rng.random()), float(30 + 100 * g + rng.normal()), float(g != 1), 1.0))
-    return spark.createDataFrame(rows, ["SKU"] + FEATURES)
+    return spark.createDataFrame(rows, ["item_id", "SKU"] + FEATURES)
 
 
 def test_kmeans_invariants(spark):
@@ -90,8 +90,8 @@ def test_n_clusters_rule():
 
 
 def test_price_histogram_bins(spark):
-    feats = spark.createDataFrame([("A", 0.0), ("B", 30.0), ("C", 15.0), ("D", 7.0)], "SKU string, Price double")
-    labels = spark.createDataFrame([("A", 0), ("B", 0), ("C", 0), ("D", 1)], "SKU string, Cluster int")
+    feats = spark.createDataFrame([(1, 0.0), (2, 30.0), (3, 15.0), (4, 7.0)], "item_id long, Price double")
+    labels = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (4, 1)], "item_id long, Cluster int")
     h = {(r["Cluster"], r["bin"]): r["items"] for r in KM.price_histogram(feats, labels).collect()}
     assert h == {(0, 0): 1, (0, 29): 1, (0, 15): 1, (1, 15): 1}
 
@@ -112,7 +112,7 @@ def test_pca_matches_numpy(spark):
 def test_kmeans_cost_below_random_assignment(spark):
     feats = features_df(spark, n=150, seed=11)
     labels = KM.kmeans_labels(feats, 3)
-    z = standardize(feats, FEATURES).join(labels, "SKU")
+    z = standardize(feats, FEATURES).join(labels, ["item_id", "SKU"])
 
     def sse(df, label_col):
         cent = df.groupBy(label_col).agg(*[F.avg(c).alias(f"m_{c}") for c in FEATURES])
@@ -122,3 +122,20 @@ def test_kmeans_cost_below_random_assignment(spark):
 
     random = z.withColumn("rnd", (F.xxhash64("SKU") % 3 + 3) % 3)
     assert sse(z, "Cluster") <= sse(random, "rnd")
+
+
+def test_duplicate_skus_do_not_fan_out(spark):
+    """A SKU listed many times keeps one clustered row per listing."""
+    from datetime import datetime, timedelta
+    from shelflens.plans.clustering import clustered_report
+    as_of = datetime(2001, 8, 1, 12)
+    sales = spark.createDataFrame([("A", as_of - timedelta(days=d), 1.0, 2.0) for d in range(1, 40)]
+                                  + [("B", as_of - timedelta(days=200), 1.0, 2.0)],
+                                  "SKU string, Date timestamp_ntz, quantity double, Price double")
+    inv = spark.createDataFrame([("A", "Listing title", "1", 5.0, True)] * 30
+                                + [(f"C{i}", "Other title", None, 1.0, False) for i in range(10)]
+                                + [("B", "Old book title", "2", 9.0, True)],
+                                "SKU string, Title string, ISBN string, Price double, Has_Image boolean")
+    out = clustered_report(sales, inv, as_of, n_clusters=3)
+    assert out.count() == 41 and out.where("SKU = 'A'").count() == 30
+    assert out.where("Cluster IS NULL").count() == 0
