@@ -154,3 +154,19 @@ def test_days_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == expected == {"A": 143, "B": 0}
+
+
+def test_larger_random_fixture_row_count(spark):
+    """1,000 sales lines over 100 listings (seed 42): one report row per listing."""
+    import numpy as np
+    rng = np.random.default_rng(42)
+    skus = [f"SKU{i:03d}" for i in range(100)]
+    start = datetime(2024, 1, 1)
+    sales = spark.createDataFrame(
+        [(skus[int(rng.integers(0, 100))], start + timedelta(days=int(rng.integers(0, 1000))),
+          int(rng.integers(1, 10)), float(rng.integers(5, 50))) for _ in range(1000)], SALES_SCHEMA)
+    inv = spark.createDataFrame(
+        [(s, f"Book {s}", f"978{i:010d}", float(rng.integers(5, 50)), bool(rng.random() < 0.8))
+         for i, s in enumerate(skus)], INV_SCHEMA)
+    rep = inventory_report(sales, inv, datetime(2026, 12, 1))
+    assert rep.count() == 100 and rep.select("SKU").distinct().count() == 100
