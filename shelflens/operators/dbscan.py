@@ -80,105 +80,178 @@ def _shifted(cells: list[str], offsets) -> F.Column:
                      for o in offsets])
 
 
-SUBDIVISIONS = 4   # sub-cells per cell axis used to decide cell edges without point pairs
+# Box refinement: every cell is split into 2**level sub-cells per axis, from
+# START_LEVEL (4 per axis) down to MAX_LEVEL (256 per axis).  A point (or box)
+# meets a box in one of three ways: all of the box within eps (decided), none
+# of it (dropped), or straddling the eps boundary (refined one level down).
+# Only points of boxes still straddling at MAX_LEVEL -- boxes 1/256 of a cell
+# wide -- are compared point by point.
+START_LEVEL = 2
+MAX_LEVEL = 8
+# Stop refining once the straddling pairs average at most this many point
+# comparisons each: point work is then bounded by a constant per pair.
+POINT_WORK_PER_PAIR = 16
+
+
+def _with_fine_index(df: DataFrame, xs, cs, side: float) -> DataFrame:
+    """Sub-cell index at MAX_LEVEL per axis (coarser levels are bit shifts)."""
+    fine = side / (1 << MAX_LEVEL)
+    top = (1 << MAX_LEVEL) - 1
+    return df.withColumns({
+        f"f{i}": F.least(F.greatest(F.floor((F.col(x) - F.col(c) * F.lit(side)) / F.lit(fine)), F.lit(0)),
+                         F.lit(top)).cast(T.IntegerType())
+        for i, (x, c) in enumerate(zip(xs, cs))})
+
+
+def _level_keys(d: int, level: int, prefix: str = "k"):
+    return [F.shiftright(F.col(f"f{i}"), MAX_LEVEL - level).alias(f"{prefix}{i}") for i in range(d)]
+
+
+def _sum2(terms):
+    return sum(terms[1:], terms[0])
+
+
+def _near_stats(probes: DataFrame, targets: DataFrame, xs, cs, ns, eps2: float, value: str | None) -> DataFrame:
+    """For each probe point, ``n`` = number of target points within eps and
+    (if ``value``) ``v`` = the smallest ``value`` among them.
+
+    ``probes``: (pid, x..., n...) -- one row per (probe, neighbouring cell).
+    ``targets``: (x..., c..., f..., [value]) -- points with fine indices.
+    """
+    d = len(xs)
+    ks = [f"k{i}" for i in range(d)]
+    pks = [f"pk{i}" for i in range(d)]
+    stat_aggs = [F.count(F.lit(1)).alias("bn")] + ([F.min(value).alias("bv")] if value else [])
+    found = []
+    pend = probes
+    tgt = targets
+    for level in range(START_LEVEL, MAX_LEVEL + 1):
+        boxes = (tgt.select(*cs, *xs, *_level_keys(d, level), *([value] if value else []))
+                 .groupBy(*cs, *ks).agg(*stat_aggs, *[F.min(x).alias(f"lo{i}") for i, x in enumerate(xs)],
+                                        *[F.max(x).alias(f"hi{i}") for i, x in enumerate(xs)]))
+        boxes = boxes.select(*[F.col(c).alias(n) for c, n in zip(cs, ns)], *ks, "bn",
+                             *(["bv"] if value else []), *[f"lo{i}" for i in range(d)], *[f"hi{i}" for i in range(d)],
+                             *[F.shiftright(F.col(k), 1).alias(pk) for k, pk in zip(ks, pks)])
+        on = ns if level == START_LEVEL else ns + pks
+        near2, far2 = _point_box_d2(xs, d)
+        met = (pend.join(boxes, on).withColumn("__near2", near2).withColumn("__far2", far2)
+               .where(F.col("__near2") <= F.lit(eps2)))
+        found.append(met.where(F.col("__far2") <= F.lit(eps2))
+                     .select("pid", "bn", *([F.col("bv")] if value else [])))
+        straddle = (met.where(F.col("__far2") > F.lit(eps2))
+                    .select("pid", *xs, *ns, *ks, "bn").checkpoint(eager=True))
+        rows, work = straddle.agg(F.count(F.lit(1)), F.coalesce(F.sum("bn"), F.lit(0))).first()
+        if rows == 0:
+            break
+        if level == MAX_LEVEL or work <= POINT_WORK_PER_PAIR * rows:
+            ys = [f"y{i}" for i in range(d)]
+            pts = tgt.select(*[F.col(c).alias(n) for c, n in zip(cs, ns)], *_level_keys(d, level),
+                             *[F.col(x).alias(y) for x, y in zip(xs, ys)], *([value] if value else []))
+            close = (straddle.select("pid", *xs, *ns, *ks).join(pts, ns + ks)
+                     .where(_dist2(xs, ys) <= F.lit(eps2)))
+            found.append(close.select("pid", F.lit(1).cast(T.LongType()).alias("bn"),
+                                      *([F.col(value).alias("bv")] if value else [])))
+            break
+        # only the points under straddling boxes go one level down
+        keep = straddle.select(*[F.col(n).alias(c) for n, c in zip(ns, cs)], *ks).distinct()
+        tgt = tgt.withColumns({k: F.shiftright(F.col(f"f{i}"), MAX_LEVEL - level)
+                               for i, k in enumerate(ks)}).join(keep, cs + ks, "left_semi").drop(*ks)
+        pend = straddle.select("pid", *xs, *ns, *[F.col(k).alias(pk) for k, pk in zip(ks, pks)])
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    aggs = [F.sum("bn").alias("n")] + ([F.min("bv").alias("v")] if value else [])
+    return out.groupBy("pid").agg(*aggs)
 
 
 def _cell_edges(core: DataFrame, xs, cs, side: float, eps2: float, half) -> DataFrame:
     """Undirected edges ``(u, v)`` between neighbouring cells whose core points
     come within ``eps``, decided without pairing two heavy cells point by point.
 
-    Each cell's core points are summarised per sub-cell (``SUBDIVISIONS`` per
-    axis) as a bounding box.  For a pair of neighbouring cells, two boxes whose
+    Core points are summarised as boxes per sub-cell.  Two boxes whose
     *largest* distance is <= eps prove an edge; boxes whose *smallest*
-    distance is > eps cannot contribute.  Only the remaining (ambiguous) box
-    pairs of cell pairs not already proven are checked point by point.  Work
-    per cell pair is bounded by the number of box pairs (at most
-    ``SUBDIVISIONS ** (2 d)``) plus the points of ambiguous boxes.
+    distance is > eps are dropped; straddling box pairs of cell pairs not yet
+    proven are refined one level down (both boxes split), and only those still
+    straddling at the finest level are checked point by point.
     """
     d = len(xs)
-    sub = side / SUBDIVISIONS
-    ss = [f"s{i}" for i in range(d)]
     ns = [f"n{i}" for i in range(d)]
-    tagged = core.withColumns({
-        s_: F.least(F.greatest(F.floor((F.col(x) - F.col(c) * F.lit(side)) / F.lit(sub)), F.lit(0)),
-                    F.lit(SUBDIVISIONS - 1)).cast(T.IntegerType())
-        for s_, x, c in zip(ss, xs, cs)})
-    boxes = tagged.groupBy("node", *cs, *ss).agg(
-        *[F.min(x).alias(f"lo{i}") for i, x in enumerate(xs)],
-        *[F.max(x).alias(f"hi{i}") for i, x in enumerate(xs)])
-    a = (boxes.select(F.col("node").alias("u"), *[F.col(s_).alias(f"as{i}") for i, s_ in enumerate(ss)],
-                      *[F.col(f"lo{i}").alias(f"alo{i}") for i in range(d)],
-                      *[F.col(f"hi{i}").alias(f"ahi{i}") for i in range(d)],
-                      F.explode(_shifted(cs, half)).alias("nb"))
-         .select("*", *[F.col(f"nb.{n}").alias(n) for n in ns]).drop("nb"))
-    b = boxes.select(F.col("node").alias("v"), *[F.col(c).alias(n) for c, n in zip(cs, ns)],
-                     *[F.col(s_).alias(f"bs{i}") for i, s_ in enumerate(ss)],
-                     *[F.col(f"lo{i}").alias(f"blo{i}") for i in range(d)],
-                     *[F.col(f"hi{i}").alias(f"bhi{i}") for i in range(d)])
-    box_pairs = a.join(b, ns)
-    gap = [F.greatest(F.col(f"alo{i}") - F.col(f"bhi{i}"), F.col(f"blo{i}") - F.col(f"ahi{i}"), F.lit(0.0))
-           for i in range(d)]
-    span = [F.greatest(F.col(f"ahi{i}") - F.col(f"blo{i}"), F.col(f"bhi{i}") - F.col(f"alo{i}"))
-            for i in range(d)]
-    min2 = sum((g * g for g in gap[1:]), gap[0] * gap[0])
-    max2 = sum((w * w for w in span[1:]), span[0] * span[0])
-    box_pairs = box_pairs.select("u", "v", *[f"as{i}" for i in range(d)], *[f"bs{i}" for i in range(d)],
-                                 min2.alias("min2"), max2.alias("max2"))
-    box_pairs = box_pairs.where(F.col("min2") <= F.lit(eps2))
-    proven = box_pairs.where(F.col("max2") <= F.lit(eps2)).select("u", "v").distinct()
-    open_pairs = (box_pairs.where(F.col("max2") > F.lit(eps2))
-                  .join(proven, ["u", "v"], "left_anti")
-                  .select("u", "v", *[f"as{i}" for i in range(d)], *[f"bs{i}" for i in range(d)]))
-    pa = tagged.select(F.col("node").alias("u"), *[F.col(s_).alias(f"as{i}") for i, s_ in enumerate(ss)],
-                       *[F.col(x).alias(f"ax{i}") for i, x in enumerate(xs)])
-    pb = tagged.select(F.col("node").alias("v"), *[F.col(s_).alias(f"bs{i}") for i, s_ in enumerate(ss)],
-                       *[F.col(x).alias(f"bx{i}") for i, x in enumerate(xs)])
-    checked = (open_pairs.join(pa, ["u"] + [f"as{i}" for i in range(d)])
-               .join(pb, ["v"] + [f"bs{i}" for i in range(d)])
-               .where(_dist2([f"ax{i}" for i in range(d)], [f"bx{i}" for i in range(d)]) <= F.lit(eps2))
-               .select("u", "v").distinct())
-    one_way = proven.unionByName(checked).distinct()
+    aks, bks = [f"ak{i}" for i in range(d)], [f"bk{i}" for i in range(d)]
+    apk, bpk = [f"apk{i}" for i in range(d)], [f"bpk{i}" for i in range(d)]
+    pts = core.select("node", *cs, *xs, *[f"f{i}" for i in range(d)])
+    proven_all = []
+    pend = None
+    tgt = pts
+    for level in range(START_LEVEL, MAX_LEVEL + 1):
+        boxes = (tgt.select("node", *cs, *xs, *_level_keys(d, level))
+                 .groupBy("node", *cs, *[f"k{i}" for i in range(d)])
+                 .agg(F.count(F.lit(1)).alias("bn"),
+                      *[F.min(x).alias(f"lo{i}") for i, x in enumerate(xs)],
+                      *[F.max(x).alias(f"hi{i}") for i, x in enumerate(xs)]))
+        a = boxes.select(F.col("node").alias("u"), *cs, F.col("bn").alias("an"),
+                         *[F.col(f"k{i}").alias(k) for i, k in enumerate(aks)],
+                         *[F.shiftright(F.col(f"k{i}"), 1).alias(k) for i, k in enumerate(apk)],
+                         *[F.col(f"lo{i}").alias(f"alo{i}") for i in range(d)],
+                         *[F.col(f"hi{i}").alias(f"ahi{i}") for i in range(d)])
+        b = boxes.select(F.col("node").alias("v"), *[F.col(c).alias(n) for c, n in zip(cs, ns)], "bn",
+                         *[F.col(f"k{i}").alias(k) for i, k in enumerate(bks)],
+                         *[F.shiftright(F.col(f"k{i}"), 1).alias(k) for i, k in enumerate(bpk)],
+                         *[F.col(f"lo{i}").alias(f"blo{i}") for i in range(d)],
+                         *[F.col(f"hi{i}").alias(f"bhi{i}") for i in range(d)])
+        if pend is None:
+            a = (a.select("*", F.explode(_shifted(cs, half)).alias("nb"))
+                 .select("*", *[F.col(f"nb.{n}").alias(n) for n in ns]).drop("nb"))
+            pairs = a.join(b, ns)
+        else:
+            pairs = (pend.join(a, ["u"] + apk).join(b, ["v"] + bpk))
+        gap = [F.greatest(F.col(f"alo{i}") - F.col(f"bhi{i}"), F.col(f"blo{i}") - F.col(f"ahi{i}"), F.lit(0.0))
+               for i in range(d)]
+        span = [F.greatest(F.col(f"ahi{i}") - F.col(f"blo{i}"), F.col(f"bhi{i}") - F.col(f"alo{i}"))
+                for i in range(d)]
+        pairs = (pairs.select("u", "v", *aks, *bks, (F.col("an") * F.col("bn")).alias("work"),
+                              _sum2([g * g for g in gap]).alias("min2"), _sum2([w * w for w in span]).alias("max2"))
+                 .where(F.col("min2") <= F.lit(eps2)))
+        proven = pairs.where(F.col("max2") <= F.lit(eps2)).select("u", "v").distinct()
+        proven_all.append(proven)
+        straddle = pairs.where(F.col("max2") > F.lit(eps2)).select("u", "v", *aks, *bks, "work")
+        for p_ in proven_all:
+            straddle = straddle.join(p_, ["u", "v"], "left_anti")
+        straddle = straddle.checkpoint(eager=True)
+        rows, work = straddle.agg(F.count(F.lit(1)), F.coalesce(F.sum("work"), F.lit(0))).first()
+        if rows == 0:
+            break
+        if level == MAX_LEVEL or work <= POINT_WORK_PER_PAIR * rows:
+            pa = tgt.select(F.col("node").alias("u"), *_level_keys(d, level, "ak"),
+                            *[F.col(x).alias(f"ax{i}") for i, x in enumerate(xs)])
+            pb = tgt.select(F.col("node").alias("v"), *_level_keys(d, level, "bk"),
+                            *[F.col(x).alias(f"bx{i}") for i, x in enumerate(xs)])
+            checked = (straddle.join(pa, ["u"] + aks).join(pb, ["v"] + bks)
+                       .where(_dist2([f"ax{i}" for i in range(d)], [f"bx{i}" for i in range(d)]) <= F.lit(eps2))
+                       .select("u", "v").distinct())
+            proven_all.append(checked)
+            break
+        pend = straddle.select("u", "v", *[F.col(k).alias(pk) for k, pk in zip(aks, apk)],
+                               *[F.col(k).alias(pk) for k, pk in zip(bks, bpk)])
+        keys = [F.shiftright(F.col(f"f{i}"), MAX_LEVEL - level).alias(f"k{i}") for i in range(d)]
+        need = (pend.select(F.col("u").alias("node"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(apk)])
+                .unionByName(pend.select(F.col("v").alias("node"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(bpk)]))
+                .distinct())
+        tgt = (tgt.select("*", *keys).join(need, ["node"] + [f"k{i}" for i in range(d)], "left_semi")
+               .drop(*[f"k{i}" for i in range(d)]))
+    one_way = proven_all[0]
+    for p_ in proven_all[1:]:
+        one_way = one_way.unionByName(p_)
+    one_way = one_way.distinct()
     return one_way.unionByName(one_way.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def _with_subcells(df: DataFrame, xs, cs, side: float) -> DataFrame:
-    sub = side / SUBDIVISIONS
-    return df.withColumns({
-        f"s{i}": F.least(F.greatest(F.floor((F.col(x) - F.col(c) * F.lit(side)) / F.lit(sub)), F.lit(0)),
-                         F.lit(SUBDIVISIONS - 1)).cast(T.IntegerType())
-        for i, (x, c) in enumerate(zip(xs, cs))})
-
-
-def _boxes(df: DataFrame, xs, cs, extra_aggs=()) -> DataFrame:
-    """Bounding box and count of the points of each (cell, sub-cell)."""
-    d = len(xs)
-    return df.groupBy(*cs, *[f"s{i}" for i in range(d)]).agg(
-        F.count(F.lit(1)).alias("bn"),
-        *[F.min(x).alias(f"lo{i}") for i, x in enumerate(xs)],
-        *[F.max(x).alias(f"hi{i}") for i, x in enumerate(xs)], *extra_aggs)
-
-
 def _point_box_d2(xs, d):
     """(smallest, largest) squared distance from a point to a box."""
     near = [F.greatest(F.col(f"lo{i}") - F.col(x), F.col(x) - F.col(f"hi{i}"), F.lit(0.0))
             for i, x in enumerate(xs)]
     far = [F.greatest(F.abs(F.col(x) - F.col(f"lo{i}")), F.abs(F.col(x) - F.col(f"hi{i}")))
            for i, x in enumerate(xs)]
-    return (sum((v * v for v in near[1:]), near[0] * near[0]),
-            sum((v * v for v in far[1:]), far[0] * far[0]))
-
-
-def _probe_boxes(probes: DataFrame, boxes: DataFrame, xs, cs, ns, eps2: float) -> DataFrame:
-    """Probe points x neighbouring boxes, classified: ``full`` (every point of the
-    box within eps), ``partial`` (must look at points), boxes beyond eps dropped."""
-    d = len(xs)
-    b = boxes.select(*[F.col(c).alias(n) for c, n in zip(cs, ns)], *[F.col(f"s{i}").alias(f"bs{i}") for i in range(d)],
-                     *[c for c in boxes.columns if c not in cs and not c.startswith("s")])
-    j = probes.join(b, ns)
-    near2, far2 = _point_box_d2(xs, d)
-    return (j.withColumn("__near2", near2).withColumn("__far2", far2)
-            .where(F.col("__near2") <= F.lit(eps2))
-            .withColumn("full", F.col("__far2") <= F.lit(eps2)))
+    return _sum2([v * v for v in near]), _sum2([v * v for v in far])
 
 
 def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS,
@@ -196,31 +269,20 @@ def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS
     pts = points.select(F.col(id_col).cast(T.LongType()).alias("pid"),
                         *[F.col(f"`{c}`").cast(T.DoubleType()).alias(x) for c, x in zip(coord_cols, xs)])
     pts = pts.withColumns({c: F.floor(F.col(x) / F.lit(side)).cast(T.LongType()) for c, x in zip(cs, xs)})
+    pts = _with_fine_index(pts, xs, cs, side)
+    fs = [f"f{i}" for i in range(d)]
     counts = pts.groupBy(*cs).agg(F.count(F.lit(1)).alias("cell_n"))
     pts = pts.join(counts, cs).checkpoint(eager=True)
-
-    # -- 1. core test for points of sparse cells only ------------------------
-    # A probe (point of a sparse cell) meets each neighbouring cell as at most
-    # SUBDIVISIONS**d boxes; whole boxes are counted when provably inside eps
-    # and only boxes straddling the eps boundary are opened point by point.
-    ys = _cells("y", d)
     ns = _cells("n", d)
-    pts = _with_subcells(pts, xs, cs, side)
-    ss = [f"s{i}" for i in range(d)]
-    bss = [f"bs{i}" for i in range(d)]
-    probes = (pts.where(F.col("cell_n") < min_samples)
-              .select("pid", *xs, F.explode(_shifted(cs, offsets)).alias("nb"))
-              .select("pid", *xs, *[F.col(f"nb.{n}").alias(n) for n in ns]))
-    probe_boxes = _probe_boxes(probes, _boxes(pts, xs, cs), xs, cs, ns, eps2)
-    from_full = (probe_boxes.where("full").groupBy("pid").agg(F.sum("bn").alias("deg")))
-    others = pts.select(F.col("pid").alias("qid"), *[F.col(x).alias(y) for x, y in zip(xs, ys)],
-                        *[F.col(c).alias(n) for c, n in zip(cs, ns)], *[F.col(s_).alias(b_) for s_, b_ in zip(ss, bss)])
-    opened = (probe_boxes.where(~F.col("full")).select("pid", *xs, *ns, *bss)
-              .join(others, ns + bss)
-              .where(_dist2(xs, ys) <= F.lit(eps2))
-              .groupBy("pid").agg(F.count(F.lit(1)).alias("deg")))
-    sparse_core = (from_full.unionByName(opened).groupBy("pid").agg(F.sum("deg").alias("deg"))
-                   .where(F.col("deg") >= min_samples).select("pid", F.lit(True).alias("sc")))
+
+    def probes_of(df):
+        return (df.select("pid", *xs, F.explode(_shifted(cs, offsets)).alias("nb"))
+                .select("pid", *xs, *[F.col(f"nb.{n}").alias(n) for n in ns]))
+
+    # -- 1. core test: only points of sparse cells count their neighbours ----
+    deg = _near_stats(probes_of(pts.where(F.col("cell_n") < min_samples)),
+                      pts.select(*xs, *cs, *fs), xs, cs, ns, eps2, None)
+    sparse_core = deg.where(F.col("n") >= min_samples).select("pid", F.lit(True).alias("sc"))
     pts = (pts.join(sparse_core, "pid", "left")
            .withColumn("is_core", (F.col("cell_n") >= min_samples) | F.coalesce("sc", F.lit(False)))
            .drop("sc").checkpoint(eager=True))
@@ -228,7 +290,7 @@ def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS
     # -- 2. cluster graph over cells with core points ------------------------
     core = pts.where("is_core")
     nodes = core.groupBy(*cs).agg(F.min("pid").alias("node"))
-    core = core.join(nodes, cs).select("pid", "node", *xs, *cs)
+    core = core.join(nodes, cs).select("pid", "node", *xs, *cs, *fs)
     edges = _cell_edges(core, xs, cs, side, eps2, half).checkpoint(eager=True)
 
     # -- 3. connected components ------------------------------------------------
@@ -251,29 +313,13 @@ def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS
     else:
         raise RuntimeError("DBSCAN label propagation did not converge")
 
-    core_cluster = core.join(labels, "node").select("pid", F.col("label").alias("cluster"))
-    # -- 4. border points: non-core points next to a core point -----------------
-    # Same box test against boxes of *core* points; every core point of a cell
-    # carries the cell's cluster, so a box inside eps needs no point pairs.
-    cell_cluster = core.select(*cs, "node").distinct().join(labels, "node").select(*cs, F.col("label").alias("bc"))
-    core_boxes = _boxes(_with_subcells(core.join(cell_cluster, cs), xs, cs, side), xs, cs,
-                        extra_aggs=(F.min("bc").alias("bc"),))
-    lonely = (pts.where(~F.col("is_core"))
-              .select("pid", *xs, F.explode(_shifted(cs, offsets)).alias("nb"))
-              .select("pid", *xs, *[F.col(f"nb.{n}").alias(n) for n in ns]))
-    border_boxes = _probe_boxes(lonely, core_boxes, xs, cs, ns, eps2)
-    full_border = border_boxes.where("full").select("pid", F.col("bc").alias("cluster"))
-    core_pts = _with_subcells(core, xs, cs, side).join(core_cluster, "pid").select(
-        F.col("cluster"), *[F.col(x).alias(y) for x, y in zip(xs, ys)],
-        *[F.col(c).alias(n) for c, n in zip(cs, ns)], *[F.col(s_).alias(b_) for s_, b_ in zip(ss, bss)])
-    open_border = (border_boxes.where(~F.col("full")).select("pid", *xs, *ns, *bss)
-                   .join(core_pts, ns + bss)
-                   .where(_dist2(xs, ys) <= F.lit(eps2))
-                   .select("pid", "cluster"))
-    border = (full_border.unionByName(open_border)
-              .groupBy("pid").agg(F.min("cluster").alias("border_cluster")))
+    core_cluster = core.join(labels, "node").select("pid", F.col("label").alias("cluster"), *xs, *cs, *fs)
+    # -- 4. border points: smallest cluster among core points within eps -------
+    near_core = _near_stats(probes_of(pts.where(~F.col("is_core"))),
+                            core_cluster.select(*xs, *cs, *fs, "cluster"), xs, cs, ns, eps2, "cluster")
+    border = near_core.where(F.col("n") > 0).select("pid", F.col("v").alias("border_cluster"))
     out = (pts.select("pid", "is_core")
-           .join(core_cluster, "pid", "left")
+           .join(core_cluster.select("pid", "cluster"), "pid", "left")
            .join(border, "pid", "left")
            .select(F.col("pid").alias(id_col),
                    F.coalesce("cluster", "border_cluster", F.lit(-1).cast(T.LongType())).alias("cluster"),

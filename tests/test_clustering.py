@@ -139,3 +139,19 @@ def test_duplicate_skus_do_not_fan_out(spark):
     out = clustered_report(sales, inv, as_of, n_clusters=3)
     assert out.count() == 41 and out.where("SKU = 'A'").count() == 30
     assert out.where("Cluster IS NULL").count() == 0
+
+
+def test_dbscan_boundary_points_reach_point_level(spark):
+    """Points within a hair of eps of a hot duplicate cell straddle every box level."""
+    rng = np.random.default_rng(4)
+    hot = np.tile([[1.0, 1.0]], (30, 1))
+    ang = rng.uniform(0, 2 * np.pi, size=40)
+    r = 0.5 + rng.choice([-1e-7, 1e-7], size=40)
+    ring = np.c_[1.0 + r * np.cos(ang), 1.0 + r * np.sin(ang)]
+    far = rng.uniform(3, 6, size=(30, 2))
+    xy = np.vstack([hot, ring, far])
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(xy)], "id long, x double, y double")
+    got = {r_["id"]: (r_["cluster"], r_["is_core"]) for r_ in dbscan(df, "id", ["x", "y"], 0.5, 5).collect()}
+    label, core = brute_dbscan(xy, 0.5, 5)
+    assert [got[i][0] for i in range(len(xy))] == list(label)
+    assert [got[i][1] for i in range(len(xy))] == list(core)
