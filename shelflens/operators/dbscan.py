@@ -12,19 +12,24 @@ Plan (no all-pairs step anywhere):
 
 1. Grid of side ``eps / sqrt(d)``: any two points of one cell are within
    ``eps``.  A cell holding ``>= min_samples`` points is *dense*: all its
-   points are core without looking at a single pair, and all of them are in
-   one cluster.  Only points of sparse cells (fewer than ``min_samples``
-   points each) probe the neighbouring cells, so the probe side is bounded by
-   ``min_samples - 1`` points per cell even when one cell holds a third of
-   the data; AQE's skew handling splits a hot cell's side of the join.
-2. The cluster graph has one node per cell that contains core points; an
-   edge joins two neighbouring cells whose core points come within ``eps``.
-   Edges are proven from sub-cell bounding boxes first (``_cell_edges``), so
-   two adjacent hot cells are never paired point by point.
-3. Connected components by min-label propagation with pointer jumping; each
+   points are core without looking at a single pair.  Only points of sparse
+   cells (fewer than ``min_samples`` points each) probe the neighbouring
+   cells, so the probe side is bounded per cell even when one cell holds a
+   third of the data.
+2. Probes meet neighbouring cells as sub-cell bounding boxes with counts
+   (``_near_stats``): boxes wholly within ``eps`` are counted, boxes wholly
+   beyond are dropped, straddling boxes are split a level further (4 up to
+   256 sub-cells per axis) until the remaining point comparisons average at
+   most ``POINT_WORK_PER_PAIR`` per straddling pair.
+3. The cluster graph has one node per cell that contains core points; an
+   edge joins two neighbouring cells whose core points come within ``eps``,
+   proven with the same box scheme on box pairs (``_cell_edges``).
+4. Connected components by min-label propagation with pointer jumping; each
    round is written as a reliable checkpoint (lineage stays short, a lost
    executor re-reads a checkpoint instead of replaying all rounds), and the
    loop runs until no label changes.
+5. Border points take the smallest cluster among core points within ``eps``
+   (boxes of core points carry their cell's cluster).
 """
 
 from __future__ import annotations
