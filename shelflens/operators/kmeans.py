@@ -39,12 +39,16 @@ def pin_features(features: DataFrame) -> DataFrame:
 
 
 def kmeans_labels(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,
-                  max_iter: int = K.KMEANS_MAX_ITER, cols=FEATURES) -> DataFrame:
-    """``(item_id, SKU, Cluster)`` from standardised features (pass a pinned table)."""
+                  max_iter: int = K.KMEANS_MAX_ITER, cols=FEATURES, init_mode: str = "k-means||") -> DataFrame:
+    """``(item_id, SKU, Cluster)`` from standardised features (pass a pinned table).
+
+    ``init_mode="k-means||"`` is the scalable k-means++ seeding (the library
+    default path); ``"random"`` matches the accelerated path's random starts.
+    """
     z = standardize(features, cols, suffix="_z")
     assembled = VectorAssembler(inputCols=[c + "_z" for c in cols], outputCol="features").transform(z)
     assembled = assembled.select(ITEM_ID, "SKU", "Price", "features")
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features",
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, initMode=init_mode, featuresCol="features",
                    predictionCol="raw_cluster").fit(assembled)
     labelled = model.transform(assembled).select(ITEM_ID, "SKU", "Price", "raw_cluster")
     # k rows: one per cluster, renumbered in a stable order.
@@ -79,10 +83,11 @@ def describe_clusters(stats: DataFrame) -> DataFrame:
                             F.concat(category, F.lit(" (n="), F.col("items").cast(T.StringType()), F.lit(")")))
 
 
-def cluster_items(features: DataFrame, k: int, seed: int = K.KMEANS_SEED) -> DataFrame:
+def cluster_items(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,
+                  init_mode: str = "k-means||") -> DataFrame:
     """``(item_id, SKU, Cluster, Cluster_Description)`` for every item row."""
     features = pin_features(features)
-    labels = kmeans_labels(features, k, seed).checkpoint(eager=True)
+    labels = kmeans_labels(features, k, seed, init_mode=init_mode).checkpoint(eager=True)
     desc = describe_clusters(cluster_stats(features, labels)).select("Cluster", "Cluster_Description")
     # one row per cluster (k rows): a proven bound for the broadcast
     return labels.join(F.broadcast(desc), "Cluster").select(ITEM_ID, "SKU", "Cluster", "Cluster_Description")

@@ -155,3 +155,9 @@ def test_dbscan_boundary_points_reach_point_level(spark):
     label, core = brute_dbscan(xy, 0.5, 5)
     assert [got[i][0] for i in range(len(xy))] == list(label)
     assert [got[i][1] for i in range(len(xy))] == list(core)
+
+
+def test_kmeans_random_init(spark):
+    feats = features_df(spark, n=90, seed=8)
+    a = {r["item_id"]: r["Cluster"] for r in KM.kmeans_labels(feats, 3, init_mode="random").collect()}
+    assert set(a.values()) <= {0, 1, 2} and len(a) == 90
