@@ -57,16 +57,29 @@ def floor_days_since(as_of: datetime, ts: Column) -> Column:
     return (whole / day.cast(T.DecimalType(20, 0))).cast(T.LongType())
 
 
+def _ntz_with_format(s: Column, fmt: str) -> Column:
+    """Wall-clock parse with ``fmt`` that never consults the session time zone.
+
+    ``to_timestamp_ntz`` raises on bad text under ANSI, so it only runs where
+    ``try_to_timestamp`` has accepted the same text (validity does not depend
+    on the zone); CASE evaluates the branch lazily.
+    """
+    f = F.lit(fmt)
+    return F.when(F.try_to_timestamp(s, f).isNotNull(), F.to_timestamp_ntz(s, f))
+
+
 def parse_timestamp(c: Column) -> Column:
-    """Generic text -> naive timestamp, NULL when no known format matches."""
+    """Generic text -> naive (wall-clock) timestamp, NULL when no format matches."""
     s = F.trim(c.cast(T.StringType()))
     tries = []
     for fmt, shape in GENERIC_TIMESTAMP_FORMATS:
         if fmt is None:
-            tries.append(F.try_to_timestamp(s))
+            tries.append(s.try_cast(T.TimestampNTZType()))
+            # text carrying its own zone/offset: read as an instant, shown in session time
+            tries.append(F.try_to_timestamp(s).cast(T.TimestampNTZType()))
         else:
-            tries.append(F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(fmt))))
-    return F.coalesce(*tries).cast(T.TimestampNTZType())
+            tries.append(F.when(s.rlike(shape), _ntz_with_format(s, fmt)))
+    return F.coalesce(*tries)
 
 
 def ensure_timestamp(df_type: T.DataType, c: Column) -> Column:
@@ -90,5 +103,5 @@ def parse_gmt_timestamp(c: Column, gmt_format: str) -> Column:
     """
     s = c.cast(T.StringType())
     head = F.trim(F.regexp_extract(s, r"^(.*?)\s*(?:\(|$)", 1))
-    gmt = fix_two_digit_year(F.try_to_timestamp(head, F.lit(gmt_format)).cast(T.TimestampNTZType()))
+    gmt = fix_two_digit_year(_ntz_with_format(head, gmt_format))
     return F.when(s.contains("GMT"), gmt).otherwise(parse_timestamp(s))

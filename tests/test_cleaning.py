@@ -69,3 +69,14 @@ def test_clean_inventory_renames_and_fills(spark):
     rows = CLN.clean_inventory(df).orderBy("Price").collect()
     assert rows[0].asDict() == {"SKU": "UNKNOWN", "Title": "T", "Price": 0.0, "Quantity": 0.0}
     assert rows[1].asDict() == {"SKU": "S1", "Title": "UNKNOWN", "Price": 2.5, "Quantity": 4.0}
+
+
+def test_parsing_ignores_session_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert one(spark, D.parse_timestamp, "2024-03-10 02:30:00") == datetime(2024, 3, 10, 2, 30)
+        assert one(spark, D.parse_timestamp, "3/10/2024 2:30") == datetime(2024, 3, 10, 2, 30)
+        gmt = lambda c: D.parse_gmt_timestamp(c, K.GMT_FORMAT)
+        assert one(spark, gmt, "03/10/24 02:30:00 GMT (PST)") == datetime(2024, 3, 10, 2, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
