@@ -19,8 +19,14 @@ STATISTICS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
 
-def describe_long(df: DataFrame, metrics, digits: int | None = None) -> DataFrame:
-    """``(metric, statistic, value)`` rows, one per metric x statistic."""
+def describe_long(df: DataFrame, metrics, digits: int | None = None,
+                  approx_accuracy: int | None = None) -> DataFrame:
+    """``(metric, statistic, value)`` rows, one per metric x statistic.
+
+    ``approx_accuracy`` switches the quartiles to ``percentile_approx`` (one
+    pass, bounded sketch per metric, nearest-rank values) for inputs where an
+    exact sort is not wanted; the default is exact.
+    """
     long = to_long(df, metrics)
     moments = long.groupBy("metric").agg(
         F.count(F.lit(1)).cast(T.DoubleType()).alias("count"),
@@ -28,11 +34,16 @@ def describe_long(df: DataFrame, metrics, digits: int | None = None) -> DataFram
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"))
-    q = exact_quantiles(long, list(QUARTILES.values()))
-    q_wide = (q.groupBy("metric")
-              .pivot("p", list(QUARTILES.values()))
-              .agg(F.first("quantile")))
-    q_wide = q_wide.select("metric", *[F.col(f"`{v}`").alias(k) for k, v in QUARTILES.items()])
+    if approx_accuracy:
+        qs = F.percentile_approx("value", list(QUARTILES.values()), approx_accuracy)
+        q_wide = long.groupBy("metric").agg(qs.alias("__q")).select(
+            "metric", *[F.col("__q")[i].alias(k) for i, k in enumerate(QUARTILES)])
+    else:
+        q = exact_quantiles(long, list(QUARTILES.values()))
+        q_wide = (q.groupBy("metric")
+                  .pivot("p", list(QUARTILES.values()))
+                  .agg(F.first("quantile")))
+        q_wide = q_wide.select("metric", *[F.col(f"`{v}`").alias(k) for k, v in QUARTILES.items()])
     wide = moments.join(q_wide, "metric", "left")
     out = wide.unpivot("metric", STATISTICS, "statistic", "value")
     if digits is not None:
@@ -40,10 +51,11 @@ def describe_long(df: DataFrame, metrics, digits: int | None = None) -> DataFram
     return out
 
 
-def describe(df: DataFrame, metrics, digits: int | None = None) -> DataFrame:
+def describe(df: DataFrame, metrics, digits: int | None = None,
+             approx_accuracy: int | None = None) -> DataFrame:
     """pandas layout: one row per statistic, one column per metric."""
     metrics = list(metrics)
-    long = describe_long(df, metrics, digits)
+    long = describe_long(df, metrics, digits, approx_accuracy)
     return (long.groupBy("statistic")
             .pivot("metric", metrics)
             .agg(F.first("value")))

@@ -22,6 +22,7 @@ ISSUE_SALES_DATE = "Date format inconsistencies detected"
 ISSUE_DATE_COLUMN = "Date format inconsistencies in column: {}"
 ISSUE_CURRENCY = "Currency formatting in column: {}"
 ISSUE_PERCENT = "Percentage formatting in column: {}"
+ISSUE_UNPARSEABLE = "Unparseable currency values in column: {}"   # ours: bad values become NULL
 
 FAMILIES = ("sales", "inventory", "performance")
 SAMPLE_ROWS = 5
@@ -43,6 +44,7 @@ def _issue_checks(field: T.StructField, family: str) -> list[tuple[str, object]]
             checks.append((ISSUE_SALES_DATE, bad_date))
         if is_text and _hinted(name, K.MONEY_NAME_HINTS):
             checks.append((ISSUE_CURRENCY.format(name), CL.has_money_text(c)))
+            checks.append((ISSUE_UNPARSEABLE.format(name), c.isNotNull() & CL.clean_currency(c).isNull()))
     elif family == "performance":
         if _hinted(name, K.TIME_NAME_HINTS):
             checks.append((ISSUE_DATE_COLUMN.format(name), bad_date))

@@ -293,6 +293,8 @@ def _issue_sql(family: str, col: str, typ: str) -> list[tuple[str, str]]:
         if text and any(h in low for h in ("price", "sales", "revenue")):
             out.append((f"Currency formatting in column: {col}",
                          f"bool_or(coalesce(regexp_matches({c}, '[$,]'), false))"))
+            out.append((f"Unparseable currency values in column: {col}",
+                         f"bool_or({c} IS NOT NULL AND TRY_CAST(trim(regexp_replace({c}, '[$,\"]', '', 'g')) AS DOUBLE) IS NULL)"))
     elif family == "performance":
         if any(h in low for h in ("date", "time", "period")) and text:
             out.append((f"Date format inconsistencies in column: {col}", bad_date))

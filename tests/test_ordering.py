@@ -32,3 +32,9 @@ def test_describe_matches_pandas(spark):
     for stat in ("count", "mean", "std", "min", "25%", "50%", "75%", "max"):
         for c in ("x", "y"):
             assert out[stat][c] == pytest.approx(exp.loc[stat, c]), (stat, c)
+
+
+def test_describe_approx_close(spark):
+    df = spark.range(0, 10001).selectExpr("cast(id as double) as x")
+    out = {r["statistic"]: r["x"] for r in describe(df, ["x"], approx_accuracy=10000).collect()}
+    assert abs(out["50%"] - 5000) <= 2 and out["count"] == 10001

@@ -26,3 +26,9 @@ def test_samples_in_key_order(spark):
     df = spark.createDataFrame([(i, None if i == 2 else f"v{i}") for i in range(10, 0, -1)], "k long, v string")
     s = {r["column"]: r["samples"] for r in PR.column_samples(df, "t", "k").collect()}
     assert s["k"] == "1 | 2 | 3 | 4 | 5" and s["v"] == "v1 | None | v3 | v4 | v5"
+
+
+def test_unparseable_currency_issue(spark):
+    df = spark.createDataFrame([("$1,000",), ("n/a",)], "`Item Price` string")
+    prof = {r["column"]: r for r in PR.column_profile(df, "t", "sales").collect()}
+    assert "Unparseable currency values in column: Item Price" in prof["Item Price"]["issues"]
