@@ -15,7 +15,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from shelflens.session import get_session
     s = get_session("local[4]", shuffle_partitions=8,
-                    extra={"spark.local.dir": tempfile.mkdtemp(prefix="shelflens-test-")})
+                    extra={"spark.local.dir": tempfile.mkdtemp(prefix="shelflens-test-"),
+                           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="shelflens-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
