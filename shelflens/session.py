@@ -81,8 +81,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Local/test sessions only: a cluster sets spark.checkpoint.dir to a
-        # shared filesystem and we never reach this branch there.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        # Local/test sessions only: one JVM, so a temp folder is "shared".
         configured = tempfile.mkdtemp(prefix="shelflens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
