@@ -32,10 +32,19 @@ def n_clusters_for(n_items: int, rule: str = "file") -> int | None:
     return min(3, max(2, n_items // 10))
 
 
-def pin_features(features: DataFrame) -> DataFrame:
-    """Materialise the feature table once (reliable checkpoint)."""
-    ensure_checkpoint_dir(features.sparkSession)
-    return features.checkpoint(eager=True)
+def pin_features(features: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Materialise the feature table once (reliable checkpoint).
+
+    Rows are hash-partitioned by SKU into a fixed number of partitions and
+    totally ordered inside each, so K-means|| seeding sees the same layout
+    whatever plan (broadcast or sort-merge, coalesced or not) produced them.
+    """
+    spark = features.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = ["SKU"] + [c for c in FEATURES if c in features.columns] + \
+        ([ITEM_ID] if ITEM_ID in features.columns else [])
+    return features.repartition(n, "SKU").sortWithinPartitions(*order).checkpoint(eager=True)
 
 
 def kmeans_labels(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,

@@ -161,3 +161,17 @@ def test_kmeans_random_init(spark):
     feats = features_df(spark, n=90, seed=8)
     a = {r["item_id"]: r["Cluster"] for r in KM.kmeans_labels(feats, 3, init_mode="random").collect()}
     assert set(a.values()) <= {0, 1, 2} and len(a) == 90
+
+
+def test_kmeans_independent_of_upstream_plan(spark):
+    """Same labels whether the item plan broadcast or sort-merged its join."""
+    from shelflens import registry as r
+    d = "/root/testdata/sf0.001"
+    a = {(x.SKU, x.Cluster) for x in r.q_kmeans(spark, d).collect()}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = {(x.SKU, x.Cluster) for x in r.q_kmeans(spark, d).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert a == b
