@@ -95,9 +95,13 @@ def load_sales(spark: SparkSession, data_dir: str, as_of: datetime | None = None
         return FS.read_sales_report(spark, path, as_of)
 
     def alt(p):
-        df = spark.read.option("header", True).csv(p)
-        df = CLN.clean_sales(df)
-        return df
+        # Alternates get the same normalisation as the main report (the
+        # reference used them raw): daily-report columns -> typed sales lines.
+        raw = spark.read.option("header", True).csv(p)
+        if "Ordered Product Sales" in raw.columns or "Units Ordered" in raw.columns:
+            out = FS.daily_sales_projection(raw, as_of).select("Date", "OrderedProductSales", "Sales", "quantity")
+            return FS.synthetic_sku(out)
+        return CLN.clean_sales(raw)
     df = FS.first_readable(spark, [_join(data_dir, n) for n in SALES_ALTERNATES], alt)
     return df if df is not None else FS.empty_frame(spark, FS.EMPTY_SALES)
 

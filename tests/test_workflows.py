@@ -64,3 +64,12 @@ def test_run_inventory_analysis_writes_reports(spark, tmp_out):
     assert sorted(r["SKU"] for r in back.collect()) == ["0385472579", "B07D6CTWPZ"]
     flags = {r["Flag"]: r["items"] for r in res["flag_counts"].collect()}
     assert sum(flags.values()) == 5
+
+
+def test_alternate_sales_file_is_normalised(spark, tmp_out):
+    data_dir = os.path.join(tmp_out, "alt")
+    fx.daily_report_text(fx.table(spark, SF, "lineitem")).write.option("header", True).csv(
+        os.path.join(data_dir, "DetailPageSalesandTrafficByDate.csv"))
+    sales = A.load_sales(spark, data_dir, AS_OF)
+    assert {"Date", "SKU", "quantity", "Sales"} <= set(sales.columns)
+    assert sales.where("SKU LIKE 'SALE_%'").count() == sales.count() > 0
