@@ -77,3 +77,11 @@ def embedding_dbscan(embeddings: DataFrame, eps: float = K.DBSCAN_EPS,
 
 def embedding_pca(embeddings: DataFrame, k: int = 2) -> DataFrame:
     return pca(embeddings, "embedding", k, keep=("vec_id", "label"))
+
+
+def pca_dbscan(embeddings: DataFrame, k: int = 2, eps: float = K.DBSCAN_EPS,
+               min_samples: int = K.DBSCAN_MIN_SAMPLES) -> DataFrame:
+    """DBSCAN on the first ``k`` principal components (high-dimensional vectors
+    are projected first so the grid has few neighbour cells)."""
+    proj = embedding_pca(embeddings, k)
+    return dbscan(proj, "vec_id", [f"pc{j + 1}" for j in range(k)], eps, min_samples)

@@ -175,3 +175,16 @@ def test_kmeans_independent_of_upstream_plan(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert a == b
+
+
+def test_pca_dbscan_matches_brute_force(spark):
+    from shelflens.plans.clustering import embedding_pca, pca_dbscan
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    proj = sorted((r["vec_id"], r["pc1"], r["pc2"]) for r in embedding_pca(emb).collect())
+    xy = np.array([[p1, p2] for _, p1, p2 in proj])
+    ids = [i for i, _, _ in proj]
+    eps = float(np.std(xy[:, 0]) / 4)
+    got = {r["vec_id"]: r["cluster"] for r in pca_dbscan(emb, eps=eps, min_samples=5).collect()}
+    label, _ = brute_dbscan(xy, eps, 5)
+    mapped = [ids[l] if l >= 0 else -1 for l in label]
+    assert [got[i] for i in ids] == mapped
