@@ -59,7 +59,7 @@ def base_reports(report: DataFrame) -> dict[str, DataFrame]:
     """H1-H6 and H8 as written by the inventory workflow."""
     out = {
         "inventory_analysis": report,
-        "stale_inventory": R.report_stale(report),
+        "stale_items": R.report_stale(report),
         "bad_metadata": R.report_bad_metadata(report),
         "good_sellers": R.report_good_sellers(report),
         "sales_velocity": R.report_sales_velocity(report),

@@ -58,7 +58,7 @@ def test_run_analysis_demo(spark):
 def test_run_inventory_analysis_writes_reports(spark, tmp_out):
     sales, inv = demo_data(spark, AS_OF)
     res = A.run_inventory_analysis(sales, inv, AS_OF, output_dir=os.path.join(tmp_out, "o"), fmt="csv")
-    assert set(res["written"]) == {"inventory_analysis", "stale_inventory", "bad_metadata", "good_sellers",
+    assert set(res["written"]) == {"inventory_analysis", "stale_items", "bad_metadata", "good_sellers",
                                    "sales_velocity", "metadata_quality", "revenue_analysis"}
     back = spark.read.option("header", True).csv(res["written"]["good_sellers"])
     assert sorted(r["SKU"] for r in back.collect()) == ["0385472579", "B07D6CTWPZ"]
