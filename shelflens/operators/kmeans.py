@@ -93,9 +93,11 @@ def describe_clusters(stats: DataFrame) -> DataFrame:
 
 
 def cluster_items(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,
-                  init_mode: str = "k-means||") -> DataFrame:
-    """``(item_id, SKU, Cluster, Cluster_Description)`` for every item row."""
-    features = pin_features(features)
+                  init_mode: str = "k-means||", pinned: bool = False) -> DataFrame:
+    """``(item_id, SKU, Cluster, Cluster_Description)`` for every item row
+    (pass ``pinned=True`` for a table already from ``pin_features``)."""
+    if not pinned:
+        features = pin_features(features)
     labels = kmeans_labels(features, k, seed, init_mode=init_mode).checkpoint(eager=True)
     desc = describe_clusters(cluster_stats(features, labels)).select("Cluster", "Cluster_Description")
     # one row per cluster (k rows): a proven bound for the broadcast

@@ -284,9 +284,11 @@ def _features(spark, sf_dir):
     return cluster_features(_items(spark, sf_dir))
 
 
-def _clusters(spark, sf_dir, features=None):
+def _clusters(spark, sf_dir, pinned_features=None):
     k = CLU.choose_k(fx.listings(spark, sf_dir))
-    return KM.cluster_items(features if features is not None else _features(spark, sf_dir), k)
+    if pinned_features is not None:
+        return KM.cluster_items(pinned_features, k, pinned=True)
+    return KM.cluster_items(_features(spark, sf_dir), k)
 
 
 def _pinned_clusters(spark, sf_dir):
