@@ -343,90 +343,90 @@ def q_dbscan(spark, sf_dir):
 def queries() -> dict[str, Query]:
     return {
         # clustering (I) and cluster aggregates (F-A5, F-A8, F-A10), E5
-        "q_cluster_features": q_cluster_features,
-        "q_standardize": q_standardize,
-        "q_kmeans": q_kmeans,
-        "q_cluster_stats": q_cluster_stats,
-        "q_describe_clusters": q_describe_clusters,
-        "q_cluster_nunique": q_cluster_nunique,
-        "q_price_histogram": q_price_histogram,
-        "q_join_clusters": q_join_clusters,
-        "q_pca": q_pca,
-        "q_dbscan": q_dbscan,
+        "q_cluster_features": q_cluster_features,  # I1
+        "q_standardize": q_standardize,  # I2
+        "q_kmeans": q_kmeans,  # I3, I4
+        "q_cluster_stats": q_cluster_stats,  # F-A5
+        "q_describe_clusters": q_describe_clusters,  # I5
+        "q_cluster_nunique": q_cluster_nunique,  # F-A8
+        "q_price_histogram": q_price_histogram,  # F-A10
+        "q_join_clusters": q_join_clusters,  # E5
+        "q_pca": q_pca,  # I6
+        "q_dbscan": q_dbscan,  # I7
         # sources (A)
-        "q_read_sales_report": q_read_sales_report,
-        "q_read_inventory_tsv": q_read_inventory_tsv,
-        "q_read_performance": q_read_performance,
-        "q_ragged_csv": q_ragged_csv,
-        "q_sales_history": q_sales_history,
-        "q_inventory_summary": q_inventory_summary,
-        "q_catalog_lookup": q_catalog_lookup,
-        "q_enrich_catalog": q_enrich_catalog,
+        "q_read_sales_report": q_read_sales_report,  # A1, A2, B8, B10
+        "q_read_inventory_tsv": q_read_inventory_tsv,  # A3, B3-B7, C2
+        "q_read_performance": q_read_performance,  # A4
+        "q_ragged_csv": q_ragged_csv,  # A9
+        "q_sales_history": q_sales_history,  # A6
+        "q_inventory_summary": q_inventory_summary,  # A7
+        "q_catalog_lookup": q_catalog_lookup,  # A8
+        "q_enrich_catalog": q_enrich_catalog,  # E6
         # column resolution (B)
-        "q_map_columns": q_map_columns,
-        "q_resolve_title": q_resolve_title,
-        "q_ensure_columns": q_ensure_columns,
-        "q_has_image": q_has_image,
-        "q_resolve_isbn": q_resolve_isbn,
-        "q_synthetic_sku": q_synthetic_sku,
-        "q_daily_sales_projection": q_daily_sales_projection,
+        "q_map_columns": q_map_columns,  # B3
+        "q_resolve_title": q_resolve_title,  # B4
+        "q_ensure_columns": q_ensure_columns,  # B5
+        "q_has_image": q_has_image,  # B6
+        "q_resolve_isbn": q_resolve_isbn,  # B7
+        "q_synthetic_sku": q_synthetic_sku,  # B8
+        "q_daily_sales_projection": q_daily_sales_projection,  # B10
         # cleaning (C)
-        "q_clean_currency": _lineitem_op(fx.money_text, CLN.clean_money_columns),
-        "q_clean_quantity": _lineitem_op(fx.quantity_text, CLN.clean_quantity_column),
-        "q_fill_defaults": q_fill_defaults,
-        "q_parse_date": _lineitem_op(fx.date_text, CLN.parse_date_column),
-        "q_parse_gmt_timestamp": _lineitem_op(fx.gmt_text, CLN.clean_time_columns),
-        "q_unwrap_excel_text": _lineitem_op(fx.excel_text, CLN.unwrap_excel_columns),
-        "q_clean_percentage": _lineitem_op(fx.percent_text, CLN.clean_percent_columns),
-        "q_clean_sales": q_clean_sales,
-        "q_clean_inventory": q_clean_inventory,
-        "q_clean_performance": q_clean_performance,
-        "q_title_length": q_title_length,
+        "q_clean_currency": _lineitem_op(fx.money_text, CLN.clean_money_columns),  # C1
+        "q_clean_quantity": _lineitem_op(fx.quantity_text, CLN.clean_quantity_column),  # C2
+        "q_fill_defaults": q_fill_defaults,  # C3
+        "q_parse_date": _lineitem_op(fx.date_text, CLN.parse_date_column),  # C4
+        "q_parse_gmt_timestamp": _lineitem_op(fx.gmt_text, CLN.clean_time_columns),  # C5
+        "q_unwrap_excel_text": _lineitem_op(fx.excel_text, CLN.unwrap_excel_columns),  # C6
+        "q_clean_percentage": _lineitem_op(fx.percent_text, CLN.clean_percent_columns),  # C7
+        "q_clean_sales": q_clean_sales,  # C8
+        "q_clean_inventory": q_clean_inventory,  # C9
+        "q_clean_performance": q_clean_performance,  # C10
+        "q_title_length": q_title_length,  # C11
         # profiling (D)
-        "q_profile_counts": q_profile_counts,
-        "q_profile_missing": q_profile_missing,
-        "q_profile_types": q_profile_types,
-        "q_profile_samples": q_profile_samples,
-        "q_profile_issues": q_profile_issues,
-        "q_profile_report": q_profile_report,
+        "q_profile_counts": q_profile_counts,  # D1
+        "q_profile_missing": q_profile_missing,  # D2
+        "q_profile_types": q_profile_types,  # D3
+        "q_profile_samples": q_profile_samples,  # D4
+        "q_profile_issues": q_profile_issues,  # D5
+        "q_profile_report": q_profile_report,  # D6, D7
         # performance (J) and describe (F-A9)
-        "q_select_metrics": q_select_metrics,
-        "q_performance_summary": q_performance_summary,
-        "q_performance_trend": q_performance_trend,
-        "q_describe_metrics": q_describe_metrics,
-        "q_inventory_report": q_inventory_report,
+        "q_select_metrics": q_select_metrics,  # J1
+        "q_performance_summary": q_performance_summary,  # J2, F-A9
+        "q_performance_trend": q_performance_trend,  # J3
+        "q_describe_metrics": q_describe_metrics,  # F-A9
+        "q_inventory_report": q_inventory_report,  # H1
         # projections / joins (B, E)
-        "q_normalize_quantity": q_normalize_quantity,
-        "q_report_projection": q_report_projection,
-        "q_join_recency": _pick("SKU", "Days Since Last Sale"),
-        "q_join_sales_30d": _pick("SKU", "Sales Last 30d"),
-        "q_join_sales_90d": _pick("SKU", "Sales Last 90d"),
-        "q_join_revenue": _pick("SKU", "Revenue Last 30d", "Revenue Last 90d"),
+        "q_normalize_quantity": q_normalize_quantity,  # B1
+        "q_report_projection": q_report_projection,  # B9
+        "q_join_recency": _pick("SKU", "Days Since Last Sale"),  # E1
+        "q_join_sales_30d": _pick("SKU", "Sales Last 30d"),  # E2
+        "q_join_sales_90d": _pick("SKU", "Sales Last 90d"),  # E3
+        "q_join_revenue": _pick("SKU", "Revenue Last 30d", "Revenue Last 90d"),  # E4
         # aggregates (F)
-        "q_last_sale": q_last_sale,
-        "q_sales_last_30d": q_sales_last_30d,
-        "q_sales_last_90d": q_sales_last_90d,
-        "q_revenue_windows": q_revenue_windows,
-        "q_flag_counts": _on_report(R.flag_counts),
-        "q_sales_distribution": _on_report(R.sales_distribution),
+        "q_last_sale": q_last_sale,  # F-A1
+        "q_sales_last_30d": q_sales_last_30d,  # F-A2
+        "q_sales_last_90d": q_sales_last_90d,  # F-A3
+        "q_revenue_windows": q_revenue_windows,  # F-A4
+        "q_flag_counts": _on_report(R.flag_counts),  # F-A6
+        "q_sales_distribution": _on_report(R.sales_distribution),  # F-A7
         # derived columns (G)
-        "q_days_since_last_sale": q_days_since_last_sale,
-        "q_is_stale": _pick("SKU", "Is_Stale"),
-        "q_bad_metadata": _pick("SKU", "Bad_Metadata"),
-        "q_flag": _pick("SKU", "Flag"),
-        "q_notes": _pick("SKU", "Notes"),
-        "q_metadata_quality_score": _pick("SKU", "Metadata_Quality_Score"),
-        "q_stale_items_strict": _on_report(R.stale_items_strict),
-        "q_bad_metadata_strict": _on_report(R.bad_metadata_strict),
-        "q_good_sellers_strict": _on_report(R.good_sellers_strict),
-        "q_heuristic_score": _on_report(lambda r: R.with_heuristic_score(r).select("SKU", "Heuristic_Score")),
+        "q_days_since_last_sale": q_days_since_last_sale,  # G1
+        "q_is_stale": _pick("SKU", "Is_Stale"),  # G2
+        "q_bad_metadata": _pick("SKU", "Bad_Metadata"),  # G3
+        "q_flag": _pick("SKU", "Flag"),  # G4
+        "q_notes": _pick("SKU", "Notes"),  # G5
+        "q_metadata_quality_score": _pick("SKU", "Metadata_Quality_Score"),  # G6
+        "q_stale_items_strict": _on_report(R.stale_items_strict),  # G7
+        "q_bad_metadata_strict": _on_report(R.bad_metadata_strict),  # G8
+        "q_good_sellers_strict": _on_report(R.good_sellers_strict),  # G9
+        "q_heuristic_score": _on_report(lambda r: R.with_heuristic_score(r).select("SKU", "Heuristic_Score")),  # G10
         # reports (H)
-        "q_report_stale": _on_report(R.report_stale),
-        "q_report_bad_metadata": _on_report(R.report_bad_metadata),
-        "q_report_good_sellers": _on_report(R.report_good_sellers),
-        "q_report_sales_velocity": _on_report(R.report_sales_velocity),
-        "q_report_metadata_quality": _on_report(R.report_metadata_quality),
-        "q_report_heuristic": _on_report(R.report_heuristic),
-        "q_report_revenue": _on_report(R.report_revenue),
-        "q_stale_scatter": _on_report(R.stale_scatter),
+        "q_report_stale": _on_report(R.report_stale),  # H2
+        "q_report_bad_metadata": _on_report(R.report_bad_metadata),  # H3
+        "q_report_good_sellers": _on_report(R.report_good_sellers),  # H4
+        "q_report_sales_velocity": _on_report(R.report_sales_velocity),  # H5
+        "q_report_metadata_quality": _on_report(R.report_metadata_quality),  # H6
+        "q_report_heuristic": _on_report(R.report_heuristic),  # H7
+        "q_report_revenue": _on_report(R.report_revenue),  # H8
+        "q_stale_scatter": _on_report(R.stale_scatter),  # H9
     }
