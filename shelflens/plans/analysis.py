@@ -9,6 +9,7 @@ parquet, CSV (header, no index) on request.
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,9 @@ RAW_PERFORMANCE = ["SellerPerformance.csv", "UnitOnTimeDelivery_1282029020169.cs
                    "OrderDefects_1282032020169.csv"]
 
 
+log = logging.getLogger(__name__)
+
+
 def _join(base: str, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
@@ -103,18 +107,27 @@ def load_sales(spark: SparkSession, data_dir: str, as_of: datetime | None = None
             return FS.synthetic_sku(out)
         return CLN.clean_sales(raw)
     df = FS.first_readable(spark, [_join(data_dir, n) for n in SALES_ALTERNATES], alt)
-    return df if df is not None else FS.empty_frame(spark, FS.EMPTY_SALES)
+    if df is None:
+        log.warning("No sales data files found under %s; analysis will be limited", data_dir)
+        return FS.empty_frame(spark, FS.EMPTY_SALES)
+    return df
 
 
 def load_inventory(spark: SparkSession, data_dir: str) -> DataFrame:
     df = FS.first_readable(spark, [_join(data_dir, n) for n in INVENTORY_FILES],
                            lambda p: FS.read_listing_tsv(spark, p))
-    return df if df is not None else FS.empty_frame(spark, FS.EMPTY_LISTINGS)
+    if df is None:
+        log.warning("No inventory data files found under %s; analysis will be limited", data_dir)
+        return FS.empty_frame(spark, FS.EMPTY_LISTINGS)
+    return df
 
 
 def load_performance(spark: SparkSession, data_dir: str) -> DataFrame | None:
-    return FS.first_readable(spark, [_join(data_dir, n) for n in PERFORMANCE_FILES],
-                             lambda p: FS.read_performance(spark, p))
+    df = FS.first_readable(spark, [_join(data_dir, n) for n in PERFORMANCE_FILES],
+                           lambda p: FS.read_performance(spark, p))
+    if df is None:
+        log.warning("No performance data files found under %s", data_dir)
+    return df
 
 
 def load_all_data(spark: SparkSession, data_dir: str, as_of: datetime | None = None) -> dict[str, DataFrame]:

@@ -41,8 +41,10 @@ def test_profile_clean_and_full_analysis(spark, tmp_out):
     assert res["basic_analysis"].where("`Days Since Last Sale` IS NOT NULL").count() == 0
 
 
-def test_missing_files_give_empty_frames(spark, tmp_out):
-    data = A.load_all_data(spark, os.path.join(tmp_out, "nothing"))
+def test_missing_files_give_empty_frames(spark, tmp_out, caplog):
+    with caplog.at_level("WARNING"):
+        data = A.load_all_data(spark, os.path.join(tmp_out, "nothing"))
+    assert sum("No " in r.getMessage() for r in caplog.records) == 3
     assert data["sales"].count() == 0 and data["inventory"].count() == 0 and data["performance"] is None
 
 
