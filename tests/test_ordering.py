@@ -38,3 +38,9 @@ def test_describe_approx_close(spark):
     df = spark.range(0, 10001).selectExpr("cast(id as double) as x")
     out = {r["statistic"]: r["x"] for r in describe(df, ["x"], approx_accuracy=10000).collect()}
     assert abs(out["50%"] - 5000) <= 2 and out["count"] == 10001
+
+
+def test_describe_odd_column_names(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 4.0)], "`Units Ordered - B2B` double, `a.b` double")
+    out = {r["statistic"]: r for r in describe(df, ["Units Ordered - B2B", "a.b"]).collect()}
+    assert out["mean"]["Units Ordered - B2B"] == 2.0 and out["max"]["a.b"] == 4.0
