@@ -4,6 +4,10 @@ The same aggregation as the batch report (``sku_sales_summary``: last sale,
 trailing-window units and revenue as of a fixed ``as_of``) over a folder that
 receives new sales files.  State is one row per SKU; the stream's checkpoint
 goes to the shared checkpoint folder, so a restarted query resumes exactly.
+With many millions of SKUs, run the session with the RocksDB state store
+(``spark.sql.streaming.stateStore.providerClass`` =
+``org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider``)
+so state lives on local disk instead of the executor heap.
 """
 
 from __future__ import annotations
