@@ -63,7 +63,12 @@ def report_with_clusters(report: DataFrame, clusters: DataFrame | None) -> DataF
 
 
 def embedding_points(embeddings: DataFrame, dims=(0, 1), digits: int = 6) -> DataFrame:
-    """Standardised coordinates taken from an embedding array (rounded)."""
+    """Standardised coordinates taken from an embedding array.
+
+    z-scores are rounded to ``digits`` decimals so that a point's distance to
+    its neighbours does not depend on the last bits of the mean/std, which
+    differ with summation order between runs and engines.
+    """
     coords = {f"e{d}": F.col("embedding")[d].cast(T.DoubleType()) for d in dims}
     base = embeddings.select("vec_id", *[c.alias(n) for n, c in coords.items()])
     return standardize(base, list(coords), digits=digits)
