@@ -29,12 +29,14 @@ def time_column(df: DataFrame) -> str | None:
     return None
 
 
-def performance_summary(df: DataFrame, digits: int | None = None) -> DataFrame:
-    """describe() over the selected metrics, with a ``statistic`` column."""
+def performance_summary(df: DataFrame, digits: int | None = None,
+                        approx_accuracy: int | None = None) -> DataFrame:
+    """describe() over the selected metrics, with a ``statistic`` column
+    (exact quartiles unless ``approx_accuracy`` asks for ``percentile_approx``)."""
     metrics = select_metrics(df)
     if not metrics:
         return df.sparkSession.createDataFrame([], "statistic string")
-    return describe(df, metrics, digits)
+    return describe(df, metrics, digits, approx_accuracy)
 
 
 def performance_trend(df: DataFrame) -> DataFrame:
