@@ -49,28 +49,39 @@ def pin_features(features: DataFrame, partitions: int | None = None) -> DataFram
 
 def kmeans_labels(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,
                   max_iter: int = K.KMEANS_MAX_ITER, cols=FEATURES, init_mode: str = "k-means||") -> DataFrame:
-    """``(item_id, SKU, Cluster)`` from standardised features (pass a pinned table).
+    """``(item_id, SKU, Cluster, <raw features>)`` from standardised features
+    (pass a pinned table).  The raw feature columns ride along, so per-cluster
+    statistics need no join back to the feature table.
 
     ``init_mode="k-means||"`` is the scalable k-means++ seeding (the library
     default path); ``"random"`` matches the accelerated path's random starts.
     """
     z = standardize(features, cols, suffix="_z")
     assembled = VectorAssembler(inputCols=[c + "_z" for c in cols], outputCol="features").transform(z)
-    assembled = assembled.select(ITEM_ID, "SKU", "Price", "features")
+    raw = [c for c in cols if c != "Price"]
+    assembled = assembled.select(ITEM_ID, "SKU", "Price", *raw, "features")
     model = KMeans(k=k, seed=seed, maxIter=max_iter, initMode=init_mode, featuresCol="features",
                    predictionCol="raw_cluster").fit(assembled)
-    labelled = model.transform(assembled).select(ITEM_ID, "SKU", "Price", "raw_cluster")
+    labelled = model.transform(assembled).select(ITEM_ID, "SKU", "Price", *raw, "raw_cluster")
     # k rows: one per cluster, renumbered in a stable order.
     order = (labelled.groupBy("raw_cluster")
              .agg(F.avg("Price").alias("__p"), F.count(F.lit(1)).alias("__n"), F.min("SKU").alias("__s")))
     ranked = order.select("raw_cluster", (F.row_number().over(
         Window.orderBy("__p", "__n", "__s")) - 1).cast(T.IntegerType()).alias("Cluster"))
-    return labelled.join(F.broadcast(ranked), "raw_cluster").select(ITEM_ID, "SKU", "Cluster")
+    return labelled.join(F.broadcast(ranked), "raw_cluster").select(ITEM_ID, "SKU", "Cluster", "Price", *raw)
 
 
-def cluster_stats(features: DataFrame, labels: DataFrame) -> DataFrame:
+def _labelled(features: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Rows with ``Cluster`` and the feature columns (joined 1:1 on the row id
+    only when the labels do not already carry the features)."""
+    if labels is None:
+        return features
+    return features.join(labels.select(ITEM_ID, "Cluster"), ITEM_ID)
+
+
+def cluster_stats(features: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """F-A5: per cluster mean price / sales / days / image / ISBN and item count."""
-    j = features.join(labels.select(ITEM_ID, "Cluster"), ITEM_ID)   # 1:1 on the row id
+    j = _labelled(features, labels)
     return j.groupBy("Cluster").agg(
         F.avg("Price").alias("mean_Price"),
         F.avg("Sales_Last_30d").alias("mean_Sales_Last_30d"),
@@ -99,18 +110,18 @@ def cluster_items(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,
     if not pinned:
         features = pin_features(features)
     labels = kmeans_labels(features, k, seed, init_mode=init_mode).checkpoint(eager=True)
-    desc = describe_clusters(cluster_stats(features, labels)).select("Cluster", "Cluster_Description")
+    desc = describe_clusters(cluster_stats(labels)).select("Cluster", "Cluster_Description")
     # one row per cluster (k rows): a proven bound for the broadcast
     return labels.join(F.broadcast(desc), "Cluster").select(ITEM_ID, "SKU", "Cluster", "Cluster_Description")
 
 
-def price_histogram(features: DataFrame, labels: DataFrame, bins: int = K.HISTOGRAM_BINS) -> DataFrame:
+def price_histogram(features: DataFrame, labels: DataFrame | None = None,
+                    bins: int = K.HISTOGRAM_BINS) -> DataFrame:
     """F-A10: equal-width price bins per cluster over that cluster's own range.
 
     Missing prices count as 0; a constant cluster uses ``[x - 0.5, x + 0.5]``.
     """
-    j = (features.select(ITEM_ID, F.coalesce("Price", F.lit(0.0)).alias("Price"))
-         .join(labels.select(ITEM_ID, "Cluster"), ITEM_ID))
+    j = _labelled(features, labels).select("Cluster", F.coalesce("Price", F.lit(0.0)).alias("Price"))
     rng = j.groupBy("Cluster").agg(F.min("Price").alias("lo"), F.max("Price").alias("hi"))
     rng = rng.select("Cluster",
                      F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),

@@ -284,17 +284,15 @@ def _features(spark, sf_dir):
     return cluster_features(_items(spark, sf_dir))
 
 
-def _clusters(spark, sf_dir, pinned_features=None):
+def _clusters(spark, sf_dir):
     k = CLU.choose_k(fx.listings(spark, sf_dir))
-    if pinned_features is not None:
-        return KM.cluster_items(pinned_features, k, pinned=True)
     return KM.cluster_items(_features(spark, sf_dir), k)
 
 
-def _pinned_clusters(spark, sf_dir):
-    """Feature table pinned once, shared by the fit and the per-cluster tables."""
-    feats = KM.pin_features(_features(spark, sf_dir))
-    return feats, _clusters(spark, sf_dir, feats)
+def _labelled(spark, sf_dir):
+    """K-means labels carrying the raw features (no join back needed)."""
+    k = CLU.choose_k(fx.listings(spark, sf_dir))
+    return KM.kmeans_labels(KM.pin_features(_features(spark, sf_dir)), k)
 
 
 def q_cluster_features(spark, sf_dir):
@@ -310,13 +308,11 @@ def q_kmeans(spark, sf_dir):
 
 
 def q_cluster_stats(spark, sf_dir):
-    feats, clusters = _pinned_clusters(spark, sf_dir)
-    return KM.cluster_stats(feats, clusters)
+    return KM.cluster_stats(_labelled(spark, sf_dir))
 
 
 def q_describe_clusters(spark, sf_dir):
-    feats, clusters = _pinned_clusters(spark, sf_dir)
-    return KM.describe_clusters(KM.cluster_stats(feats, clusters))
+    return KM.describe_clusters(KM.cluster_stats(_labelled(spark, sf_dir)))
 
 
 def q_cluster_nunique(spark, sf_dir):
@@ -324,8 +320,7 @@ def q_cluster_nunique(spark, sf_dir):
 
 
 def q_price_histogram(spark, sf_dir):
-    feats, clusters = _pinned_clusters(spark, sf_dir)
-    return KM.price_histogram(feats, clusters)
+    return KM.price_histogram(_labelled(spark, sf_dir))
 
 
 def q_join_clusters(spark, sf_dir):

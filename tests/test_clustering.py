@@ -112,7 +112,7 @@ def test_pca_matches_numpy(spark):
 def test_kmeans_cost_below_random_assignment(spark):
     feats = features_df(spark, n=150, seed=11)
     labels = KM.kmeans_labels(feats, 3)
-    z = standardize(feats, FEATURES).join(labels, ["item_id", "SKU"])
+    z = standardize(feats, FEATURES).join(labels.select("item_id", "SKU", "Cluster"), ["item_id", "SKU"])
 
     def sse(df, label_col):
         cent = df.groupBy(label_col).agg(*[F.avg(c).alias(f"m_{c}") for c in FEATURES])
