@@ -26,8 +26,8 @@ def with_item_id(items: DataFrame) -> DataFrame:
     return items.withColumn(ITEM_ID, F.monotonically_increasing_id())
 
 
-def cluster_features(items: DataFrame) -> DataFrame:
-    """Numeric features per item (internal column names), keyed by ``item_id``.
+def feature_columns(items: DataFrame) -> list:
+    """The I1 feature expressions over an item table (internal column names).
 
     Never-sold items get 365 days; absent image/ISBN columns give 0; a
     missing price counts as 0.0 (the cleaning default).
@@ -36,15 +36,20 @@ def cluster_features(items: DataFrame) -> DataFrame:
     has_image = (F.coalesce(F.col("Has_Image"), F.lit(False)).cast(T.DoubleType())
                  if "Has_Image" in cols else F.lit(0.0))
     has_isbn = (F.col("ISBN").isNotNull().cast(T.DoubleType()) if "ISBN" in cols else F.lit(0.0))
-    return with_item_id(items).select(
-        ITEM_ID, "SKU",
+    return [
         F.coalesce(F.col("Price").cast(T.DoubleType()), F.lit(0.0)).alias("Price"),
         F.coalesce(F.col("Sales_Last_30d"), F.lit(0.0)).cast(T.DoubleType()).alias("Sales_Last_30d"),
         F.coalesce(F.col("Sales_Last_90d"), F.lit(0.0)).cast(T.DoubleType()).alias("Sales_Last_90d"),
         F.coalesce(F.col("Days_Since_Last_Sale").cast(T.DoubleType()),
                    F.lit(float(K.NEVER_SOLD_DAYS_FEATURE))).alias("Days_Since_Last_Sale"),
         has_image.alias("Has_Image"),
-        has_isbn.alias("Has_ISBN"))
+        has_isbn.alias("Has_ISBN"),
+    ]
+
+
+def cluster_features(items: DataFrame, extra=()) -> DataFrame:
+    """Numeric features per item, keyed by ``item_id`` (+ ``extra`` columns)."""
+    return with_item_id(items).select(ITEM_ID, "SKU", *feature_columns(items), *extra)
 
 
 def fit_standardizer(df: DataFrame, cols) -> dict[str, tuple[float, float]]:

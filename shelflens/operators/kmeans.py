@@ -48,10 +48,12 @@ def pin_features(features: DataFrame, partitions: int | None = None) -> DataFram
 
 
 def kmeans_labels(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,
-                  max_iter: int = K.KMEANS_MAX_ITER, cols=FEATURES, init_mode: str = "k-means||") -> DataFrame:
+                  max_iter: int = K.KMEANS_MAX_ITER, cols=FEATURES, init_mode: str = "k-means||",
+                  carry=()) -> DataFrame:
     """``(item_id, SKU, Cluster, <raw features>)`` from standardised features
-    (pass a pinned table).  The raw feature columns ride along, so per-cluster
-    statistics need no join back to the feature table.
+    (pass a pinned table).  The raw feature columns (and any ``carry``
+    columns) ride along, so per-cluster statistics and row-level outputs need
+    no join back to the feature table.
 
     ``init_mode="k-means||"`` is the scalable k-means++ seeding (the library
     default path); ``"random"`` matches the accelerated path's random starts.
@@ -59,16 +61,17 @@ def kmeans_labels(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,
     z = standardize(features, cols, suffix="_z")
     assembled = VectorAssembler(inputCols=[c + "_z" for c in cols], outputCol="features").transform(z)
     raw = [c for c in cols if c != "Price"]
-    assembled = assembled.select(ITEM_ID, "SKU", "Price", *raw, "features")
+    carry = [c for c in carry if c not in (ITEM_ID, "SKU", "Price", *raw)]
+    assembled = assembled.select(ITEM_ID, "SKU", "Price", *raw, *carry, "features")
     model = KMeans(k=k, seed=seed, maxIter=max_iter, initMode=init_mode, featuresCol="features",
                    predictionCol="raw_cluster").fit(assembled)
-    labelled = model.transform(assembled).select(ITEM_ID, "SKU", "Price", *raw, "raw_cluster")
+    labelled = model.transform(assembled).select(ITEM_ID, "SKU", "Price", *raw, *carry, "raw_cluster")
     # k rows: one per cluster, renumbered in a stable order.
     order = (labelled.groupBy("raw_cluster")
              .agg(F.avg("Price").alias("__p"), F.count(F.lit(1)).alias("__n"), F.min("SKU").alias("__s")))
     ranked = order.select("raw_cluster", (F.row_number().over(
         Window.orderBy("__p", "__n", "__s")) - 1).cast(T.IntegerType()).alias("Cluster"))
-    return labelled.join(F.broadcast(ranked), "raw_cluster").select(ITEM_ID, "SKU", "Cluster", "Price", *raw)
+    return labelled.join(F.broadcast(ranked), "raw_cluster").select(ITEM_ID, "SKU", "Cluster", "Price", *raw, *carry)
 
 
 def _labelled(features: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -104,15 +107,16 @@ def describe_clusters(stats: DataFrame) -> DataFrame:
 
 
 def cluster_items(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,
-                  init_mode: str = "k-means||", pinned: bool = False) -> DataFrame:
-    """``(item_id, SKU, Cluster, Cluster_Description)`` for every item row
-    (pass ``pinned=True`` for a table already from ``pin_features``)."""
+                  init_mode: str = "k-means||", pinned: bool = False, carry=()) -> DataFrame:
+    """``(item_id, SKU, Cluster, Cluster_Description, *carry)`` for every item
+    row (pass ``pinned=True`` for a table already from ``pin_features``)."""
     if not pinned:
         features = pin_features(features)
-    labels = kmeans_labels(features, k, seed, init_mode=init_mode).checkpoint(eager=True)
+    labels = kmeans_labels(features, k, seed, init_mode=init_mode, carry=carry).checkpoint(eager=True)
     desc = describe_clusters(cluster_stats(labels)).select("Cluster", "Cluster_Description")
     # one row per cluster (k rows): a proven bound for the broadcast
-    return labels.join(F.broadcast(desc), "Cluster").select(ITEM_ID, "SKU", "Cluster", "Cluster_Description")
+    return labels.join(F.broadcast(desc), "Cluster").select(
+        ITEM_ID, "SKU", "Cluster", "Cluster_Description", *[c for c in carry if c not in (ITEM_ID, "SKU")])
 
 
 def price_histogram(features: DataFrame, labels: DataFrame | None = None,

@@ -12,10 +12,9 @@ from pyspark.sql import types as T
 from shelflens import constants as K
 from shelflens.operators import kmeans as KM
 from shelflens.operators.dbscan import dbscan
-from shelflens.operators.features import ITEM_ID, cluster_features, standardize, with_item_id
+from shelflens.operators.features import ITEM_ID, cluster_features, standardize
 from shelflens.operators.pca import pca
-from shelflens.plans.inventory_report import item_table, to_report
-from shelflens.session import pin
+from shelflens.plans.inventory_report import RENAMES, item_table, to_report
 
 
 def item_features(sales: DataFrame, inventory: DataFrame, as_of: datetime) -> DataFrame:
@@ -40,17 +39,23 @@ def clustered_report(sales: DataFrame, inventory: DataFrame, as_of: datetime,
                      n_clusters: int | None = None, rule: str = "file") -> DataFrame:
     """E5: the report with each row's cluster id and description.
 
-    Report and features come from one pinned item table carrying a row id,
-    and the clusters are joined back 1:1 on that id: a SKU listed many times
-    keeps one row per listing (no SKU x SKU fan-out).
+    The report columns ride through K-means next to the features (one
+    projection of the same item rows), so no item-level join is needed: only
+    the k-row description table is broadcast.  A SKU listed many times keeps
+    one row per listing (no SKU x SKU fan-out).
     """
-    items = pin(with_item_id(item_table(sales, inventory, as_of)))
-    report = to_report(items, keep=(ITEM_ID,))
+    items = item_table(sales, inventory, as_of)
     k = n_clusters or choose_k(inventory, rule)
     if k is None:
-        return report.drop(ITEM_ID)
-    clusters = KM.cluster_items(cluster_features(items), k).select(ITEM_ID, "Cluster", "Cluster_Description")
-    return report.join(clusters, ITEM_ID, "left").drop(ITEM_ID)
+        return to_report(items)
+    source = {v: k_ for k_, v in RENAMES.items()}          # report name -> item column
+    names = [n for n in K.REPORT_COLUMNS if n != "SKU" and source.get(n, n) in items.columns]
+    carried = [f"__r{i}" for i in range(len(names))]
+    rows = cluster_features(items, extra=[F.col(f"`{source.get(n, n)}`").alias(a)
+                                          for n, a in zip(names, carried)])
+    out = KM.cluster_items(rows, k, carry=carried)
+    return out.select("SKU", *[F.col(a).alias(n) for n, a in zip(names, carried)],
+                      "Cluster", "Cluster_Description")
 
 
 def report_with_clusters(report: DataFrame, clusters: DataFrame | None) -> DataFrame:
