@@ -1 +1 @@
-"""streaming"""
+"""Structured Streaming: the per-SKU sales metrics maintained incrementally."""
