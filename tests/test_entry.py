@@ -18,3 +18,12 @@ def test_every_query_runs_small(spark):
     for name, fn in E.queries().items():
         df = fn(spark, "/root/testdata/sf0.001")
         assert df.count() >= 0, name
+
+
+def test_scale_conf_sizes_partitions():
+    from shelflens.session import scale_conf
+    big = scale_conf(100 << 40, 8000)
+    small = scale_conf(10 << 20, 8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
