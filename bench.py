@@ -82,19 +82,23 @@ def main() -> None:
     qs = registry.queries()
     timings: dict[str, float] = {}
     rows: dict[str, int] = {}
+    errors: dict[str, str] = {}
     for name in names:
-        fn = qs[name]
-        sc.setJobGroup(f"warm:{name}", name)
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        samples = []
-        for i in range(runs):
-            sc.setJobGroup(f"run:{name}:{i}", name)
-            t0 = time.perf_counter()
+        try:
+            fn = qs[name]
+            sc.setJobGroup(f"warm:{name}", name)
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            samples.append(time.perf_counter() - t0)
-        timings[name] = round(statistics.median(samples), 3)
-        sc.setJobGroup(f"count:{name}", name)
-        rows[name] = fn(spark, sf_dir).count()
+            samples = []
+            for i in range(runs):
+                sc.setJobGroup(f"run:{name}:{i}", name)
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                samples.append(time.perf_counter() - t0)
+            timings[name] = round(statistics.median(samples), 3)
+            sc.setJobGroup(f"count:{name}", name)
+            rows[name] = fn(spark, sf_dir).count()
+        except Exception as e:  # noqa: BLE001 - report and keep measuring the others
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     spark.stop()
     per_group = read_event_log(log_dir)
     io: dict[str, dict[str, int]] = {}
@@ -116,6 +120,7 @@ def main() -> None:
         "cpus": cpus,
         "driver_memory": memory,
         "runs": runs,
+        **({"errors": errors} if errors else {}),
     }))
 
 
