@@ -143,11 +143,13 @@ def _near_stats(probes: DataFrame, targets: DataFrame, xs, cs, ns, eps2: float,
                .where(F.col("__near2") <= F.lit(eps2)))
         found.append(met.where(F.col("__far2") <= F.lit(eps2))
                      .select("pid", "bn", *([F.col("bv")] if value else [])))
-        straddle = (met.where(F.col("__far2") > F.lit(eps2))
-                    .select("pid", *xs, *ns, *ks, "bn").checkpoint(eager=True))
+        straddle = met.where(F.col("__far2") > F.lit(eps2)).select("pid", *xs, *ns, *ks, "bn")
         rows, work = straddle.agg(F.count(F.lit(1)), F.coalesce(F.sum("bn"), F.lit(0))).first()
         if rows == 0:
             break
+        if level < MAX_LEVEL and work > POINT_WORK_PER_PAIR * rows:
+            # refining further: pin this level so the next one starts from it
+            straddle = straddle.checkpoint(eager=True)
         if level == MAX_LEVEL or work <= POINT_WORK_PER_PAIR * rows:
             ys = [f"y{i}" for i in range(d)]
             pts = tgt.select(*[F.col(c).alias(n) for c, n in zip(cs, ns)], *_level_keys(d, level),
@@ -221,10 +223,12 @@ def _cell_edges(core: DataFrame, xs, cs, side: float, eps2: float, half) -> Data
         straddle = pairs.where(F.col("max2") > F.lit(eps2)).select("u", "v", *aks, *bks, "work")
         for p_ in proven_all:
             straddle = straddle.join(p_, ["u", "v"], "left_anti")
-        straddle = straddle.checkpoint(eager=True)
         rows, work = straddle.agg(F.count(F.lit(1)), F.coalesce(F.sum("work"), F.lit(0))).first()
         if rows == 0:
             break
+        if level < MAX_LEVEL and work > POINT_WORK_PER_PAIR * rows:
+            # refining further: pin this level so the next one starts from it
+            straddle = straddle.checkpoint(eager=True)
         if level == MAX_LEVEL or work <= POINT_WORK_PER_PAIR * rows:
             pa = tgt.select(F.col("node").alias("u"), *_level_keys(d, level, "ak"),
                             *[F.col(x).alias(f"ax{i}") for i, x in enumerate(xs)])
