@@ -29,7 +29,7 @@ HEADLINE = ["q_inventory_report", "q_describe_metrics", "q_profile_missing", "q_
 
 
 def read_event_log(log_dir: str) -> dict[str, dict[str, int]]:
-    """Per job group: shuffle bytes written, memory/disk bytes spilled."""
+    """Per job group: shuffle bytes, spill bytes, executor run/CPU time, tasks."""
     stage_group: dict[int, str] = {}
     totals: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
     paths = [p for p in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True) if os.path.isfile(p)]
@@ -57,6 +57,8 @@ def read_event_log(log_dir: str) -> dict[str, dict[str, int]]:
                                                    for k in ("Remote Bytes Read", "Local Bytes Read"))
                     t["memory_spill_bytes"] += m.get("Memory Bytes Spilled", 0)
                     t["disk_spill_bytes"] += m.get("Disk Bytes Spilled", 0)
+                    t["executor_run_ms"] += m.get("Executor Run Time", 0)
+                    t["executor_cpu_ms"] += m.get("Executor CPU Time", 0) // 1_000_000
                     t["tasks"] += 1
     return totals
 
