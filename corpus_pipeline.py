@@ -7,7 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from shelflens.llm import stages as S
 from shelflens.llm.common import stash, table
 
-STAGES = [("sharding", S.sharded)]
+STAGES = [
+    ("language ID", S.language_identified),
+    ("n-gram Jaccard join", S.deduplicated),
+    ("benchmark decontamination", S.decontaminated),
+    ("mixing sources to target weights", S.mixed),
+    ("sharding", S.sharded),
+]
 
 # Compression sizes, alignments and hashes cannot be expressed in SQL; the
 # stages are tested against brute-force versions in tests/llm.

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflens.llm import mixing, sharding, token_files, url_filters
+from shelflens.llm import decontaminate, fingerprints, jaccard_join, language_id, licenses, mixing, quality, sharding, token_files, url_filters
 from shelflens.llm.common import table
 
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -18,6 +18,28 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def held_out(doc_id="doc_id"):
+    """Rows kept from all learning: crc32 of the id as text, modulo 4, is 2."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2, F.lit(False))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where("doc_id is not null").where(~held_out()))
+    return language_id.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin", "accepted")
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(table(spark, sf_dir, "documents"), tokenizer_file())
 
@@ -40,5 +62,20 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
-QUERIES = {f.__name__: f for f in (op4_token_files, op5_sharding, op6_url_filters, op7_mixing)}
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels").where("doc_id is not null").where(~held_out()))
+    return quality.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontaminate, op3_fingerprints, op4_token_files, op5_sharding,
+                                  op6_url_filters, op7_mixing, op8_licenses, op9_quality, op10_jaccard_join)}
 ORACLE_SQL: dict[str, str] = {}

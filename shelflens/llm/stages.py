@@ -1,12 +1,51 @@
-"""The pipeline's stages: ``(spark, docs, sf_dir) -> DataFrame``."""
+"""The pipeline's stages: ``(spark, docs, sf_dir) -> DataFrame``.  Each works on
+all rows it is given; all but the last return the columns of ``docs``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelflens.llm import sharding
+from shelflens.llm import decontaminate, jaccard_join, language_id, mixing, sharding
+from shelflens.llm.common import stash, table
+
+SHARDS = 24
+WEIGHTS = (5, 2, 1)
+
+
+def language_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the classifier can tell; null texts, texts
+    without letters and those with a narrow margin go."""
+    model = language_id.train(docs)
+    return language_id.identify(docs, model).where("accepted").select(*docs.columns)
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one that names the
+    group, i.e. has its smallest id (rows equal in id and text are one document)."""
+    groups = jaccard_join.near_duplicates(docs)
+    keep = stash(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep")).distinct(), "keep")
+    left = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
+    return left.dropDuplicates(["doc_id", "text"])
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, whole or edited."""
+    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(F.size("matches") == 0).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it (not at all, once or more)."""
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.withColumn("__h", F.xxhash64(*names)).withColumn("__g", F.xxhash64(F.lit(1), *names))
+    taken = mixing.mix(keyed, WEIGHTS, key_cols=("__h", "__g")).groupBy("__h", "__g").agg(F.sum("copies").cast("int").alias("__n"))
+    taken = stash(taken.where("__n > 0"), "taken")
+    # equal rows are taken together: one row of them, repeated as often as all are taken
+    each = keyed.dropDuplicates(["__h", "__g"]).join(taken, ["__h", "__g"])
+    return each.select(*names, F.explode(F.sequence(F.lit(1), "__n")).alias("__k")).drop("__k")
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and slot (24 shards of equal row counts)."""
-    return sharding.shard(docs, 24)
+    """Every row with its place: row_number, shard (of 24 with equal row counts) and slot."""
+    return sharding.shard(docs, SHARDS)

@@ -69,9 +69,9 @@ def chunks(array):
         row = to
 
 
-def word_spans(data, offsets):
+def word_spans(data, offsets, separators=_SPACE):
     """Starts and ends of the words (byte positions), and each row's first word number."""
-    space = _SPACE[data]
+    space = separators[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     start, end = ~space, ~space
