@@ -119,3 +119,7 @@ KMEANS_MAX_ITER = 100
 DBSCAN_EPS = 0.5
 DBSCAN_MIN_SAMPLES = 5
 HISTOGRAM_BINS = 30
+
+# fixed values: texts that count as missing in vendor files
+MISSING_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+                  "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")

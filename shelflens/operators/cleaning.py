@@ -14,6 +14,7 @@ from shelflens import constants as K
 from shelflens.functions import cleaning as CL
 from shelflens.functions import dates as D
 from shelflens.operators import columns as C
+from shelflens.operators import text_types as TT
 
 
 def _hinted(name: str, hints) -> bool:
@@ -35,16 +36,29 @@ def clean_money_columns(df: DataFrame) -> DataFrame:
 
 
 def clean_percent_columns(df: DataFrame) -> DataFrame:
-    """Text columns named like rate/percentage/pct: strip '%', divide by 100."""
+    """Text columns named like rate/percentage/pct: strip '%', divide by 100.
+
+    A column whose present values are all plain numbers is a numeric column
+    that came as text: its values are kept, only the type changes.
+    """
     targets = _text_columns(df, K.PERCENT_NAME_HINTS)
     if not targets:
         return df
-    return C._rebuild(df, {t: (lambda ex, n=t: CL.clean_percentage(ex.col(n))) for t in targets})
+    plain = TT.holds_for_all(df, {t: TT.matches(F.col(f"`{t}`"), TT.NUMBER) for t in targets})
+    return C._rebuild(df, {t: (lambda ex, n=t: F.trim(ex.col(n)).try_cast(T.DoubleType()) if plain[n]
+                               else CL.clean_percentage(ex.col(n))) for t in targets})
 
 
 def clean_time_columns(df: DataFrame, hints=K.TIME_NAME_HINTS) -> DataFrame:
-    """Text columns named like date/time/period -> timestamps (GMT aware)."""
+    """Text columns named like date/time/period -> timestamps (GMT aware).
+
+    Only columns whose present values all parse are converted; a column that
+    merely has such a name (``on_time_delivery_rate``) is left as it is.
+    """
     targets = _text_columns(df, hints)
+    parsed = TT.holds_for_all(df, {t: F.when(TT.present(F.col(f"`{t}`")).isNotNull(), D.parse_gmt_timestamp(
+        F.col(f"`{t}`"), K.GMT_FORMAT).isNotNull()) for t in targets})
+    targets = [t for t in targets if parsed[t]]
     if not targets:
         return df
     return C._rebuild(df, {t: (lambda ex, n=t: D.parse_gmt_timestamp(ex.col(n), K.GMT_FORMAT))

@@ -53,7 +53,7 @@ def with_row_index(df: DataFrame, order_cols, name: str = "row_index") -> DataFr
 def to_long(df: DataFrame, value_cols, key_cols=()) -> DataFrame:
     """(keys..., metric, value double) rows, NULL/NaN values dropped."""
     typed = df.select(*[F.col(f"`{k}`") for k in key_cols],
-                      *[F.col(f"`{c}`").cast(T.DoubleType()).alias(c) for c in value_cols])
+                      *[F.col(f"`{c}`").try_cast(T.DoubleType()).alias(c) for c in value_cols])
     return (typed.unpivot([F.col(f"`{k}`") for k in key_cols], [F.col(f"`{c}`") for c in value_cols],
                           "metric", "value")
             .where(F.col("value").isNotNull() & ~F.isnan("value")))

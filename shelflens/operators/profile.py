@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from shelflens import constants as K
 from shelflens.functions import cleaning as CL
+from shelflens.operators import text_types as TT
 from shelflens.functions.dates import parse_timestamp
 
 # fixed values: issue texts
@@ -35,8 +36,8 @@ def _hinted(name: str, hints) -> bool:
 def _issue_checks(field: T.StructField, family: str) -> list[tuple[str, object]]:
     """(issue text, column expression that is 1 on an offending row)."""
     name, dtype = field.name, field.dataType
-    c = F.col(f"`{name}`")
     is_text = isinstance(dtype, T.StringType)
+    c = TT.present(F.col(f"`{name}`")) if is_text else F.col(f"`{name}`")
     checks = []
     bad_date = (c.isNotNull() & parse_timestamp(c).isNull()) if is_text else F.lit(False)
     if family == "sales":
@@ -53,18 +54,30 @@ def _issue_checks(field: T.StructField, family: str) -> list[tuple[str, object]]
     return checks
 
 
-def column_profile(df: DataFrame, table: str, family: str) -> DataFrame:
+def column_profile(df: DataFrame, table: str, family: str, types: bool = True, issues: bool = True) -> DataFrame:
     """One row per column: table, ordinal, column, data_type, row_count,
-    missing_count, missing_pct (one decimal, 0 when empty), issues (array)."""
+    missing_count, missing_pct (one decimal, 0 when empty), issues (array).
+
+    Missing-value tokens of text columns count as missing.  The type of a text
+    column is decided by its values: ``bigint`` if all are whole numbers and
+    none is missing, ``double`` if the present ones are numbers (or there are
+    none), else ``string``.  Type and issue checks that are not asked for
+    (``types``, ``issues``) are left out of the plan.
+    """
     if family not in FAMILIES:
         raise ValueError(f"unknown family {family!r}")
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("__rows")]
     issue_names: list[list[str]] = []
     for i, f in enumerate(fields):
-        aggs.append(F.count(F.col(f"`{f.name}`")).alias(f"__nn{i}"))
+        c = F.col(f"`{f.name}`")
+        text_column = TT.is_text(f)
+        aggs.append(F.count(TT.present(c) if text_column else c).alias(f"__nn{i}"))
+        if types and text_column:
+            aggs.append(F.bool_and(TT.matches(c, TT.NUMBER)).alias(f"__num{i}"))
+            aggs.append(F.bool_and(F.coalesce(TT.matches(c, TT.WHOLE), F.lit(False))).alias(f"__int{i}"))
         names = []
-        for j, (text, pred) in enumerate(_issue_checks(f, family)):
+        for j, (text, pred) in enumerate(_issue_checks(f, family) if issues else ()):
             aggs.append(F.max(F.when(pred, F.lit(1)).otherwise(F.lit(0))).alias(f"__is{i}_{j}"))
             names.append(text)
         issue_names.append(names)
@@ -73,16 +86,20 @@ def column_profile(df: DataFrame, table: str, family: str) -> DataFrame:
     structs = []
     for i, f in enumerate(fields):
         missing = rows - F.col(f"__nn{i}")
-        issues = F.array(*[F.when(F.col(f"__is{i}_{j}") == 1, F.lit(t)) for j, t in enumerate(issue_names[i])]) \
+        data_type = F.lit(f.dataType.simpleString())
+        if types and TT.is_text(f):
+            data_type = (F.when(rows == 0, data_type).when(F.col(f"__int{i}"), F.lit("bigint"))
+                         .when(F.coalesce(f"__num{i}", F.lit(True)), F.lit("double")).otherwise(F.lit("string")))
+        found = F.array(*[F.when(F.col(f"__is{i}_{j}") == 1, F.lit(t)) for j, t in enumerate(issue_names[i])]) \
             if issue_names[i] else F.array().cast("array<string>")
         structs.append(F.struct(
             F.lit(i).alias("ordinal"),
             F.lit(f.name).alias("column"),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
+            data_type.alias("data_type"),
             rows.alias("row_count"),
             missing.alias("missing_count"),
             F.when(rows > 0, F.round(missing * 100.0 / rows, 1)).otherwise(F.lit(0.0)).alias("missing_pct"),
-            F.filter(issues, lambda x: x.isNotNull()).alias("issues")))
+            F.filter(found, lambda x: x.isNotNull()).alias("issues")))
     return (one.select(F.explode(F.array(*structs)).alias("s"))
             .select(F.lit(table).alias("table"), "s.*"))
 

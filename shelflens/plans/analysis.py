@@ -179,7 +179,7 @@ def run_full_analysis(spark: SparkSession, data_dir: str, as_of: datetime,
 # -- Entry 3 ------------------------------------------------------------------
 def _raw_reader(spark, name):
     sep = "\t" if name.endswith(".txt") else ","
-    return lambda p: spark.read.option("header", True).option("sep", sep).csv(p)
+    return lambda p: FS.read_typed_csv(spark, p, sep)
 
 
 def profile_all_files(spark: SparkSession, data_dir: str) -> DataFrame | None:

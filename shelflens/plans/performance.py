@@ -47,6 +47,6 @@ def performance_trend(df: DataFrame) -> DataFrame:
         return df.sparkSession.createDataFrame([], "time timestamp_ntz, metric string, value double")
     dtype = df.schema[tcol].dataType
     timed = df.select(ensure_timestamp(dtype, F.col(f"`{tcol}`")).alias("time"),
-                      *[F.col(f"`{m}`").cast(T.DoubleType()).alias(m) for m in metrics])
+                      *[F.col(f"`{m}`").try_cast(T.DoubleType()).alias(m) for m in metrics])
     return (timed.unpivot("time", [F.col(f"`{m}`") for m in metrics], "metric", "value")
             .orderBy(F.col("time").asc_nulls_last(), "metric"))

@@ -7,6 +7,7 @@ chunks.  Paths may be local, HDFS or object-store URIs.
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,10 @@ from shelflens import constants as K
 from shelflens.functions import cleaning as CL
 from shelflens.functions.dates import parse_timestamp, ts_literal
 from shelflens.operators import columns as C
+from shelflens.operators import text_types as TT
 from shelflens.operators.ordering import with_row_index
 
+log = logging.getLogger(__name__)
 
 
 def text_schema(names) -> T.StructType:
@@ -42,8 +45,8 @@ def first_readable(spark: SparkSession, candidates, reader):
             df = reader(path)
             df.schema  # noqa: B018 - forces header/schema resolution
             return df
-        except Exception:  # noqa: BLE001 - a bad file falls through to the next
-            continue
+        except Exception as problem:  # noqa: BLE001 - a bad file falls through to the next
+            log.warning("Skipped %s: %s", path, problem)
     return None
 
 
@@ -69,7 +72,9 @@ def daily_sales_projection(raw: DataFrame, as_of: datetime | None = None) -> Dat
     if ex.has("Date"):
         date = parse_timestamp(ex.col("Date"))
     else:
-        date = ts_literal(as_of or datetime.now(), T.TimestampNTZType())
+        if as_of is None:
+            raise ValueError("a report without a Date column needs as_of")
+        date = ts_literal(as_of, T.TimestampNTZType())
     ops = (CL.clean_currency(ex.col("Ordered Product Sales"), ex.dtype("Ordered Product Sales"))
            if ex.has("Ordered Product Sales") else F.lit(None).cast(T.DoubleType()))
     units = (CL.clean_quantity(ex.col("Units Ordered"), ex.dtype("Units Ordered"))
@@ -97,6 +102,7 @@ def read_sales_report(spark: SparkSession, path: str, as_of: datetime | None = N
     """A1: 18 fixed text columns, header skipped, normal CSV quoting."""
     raw = (spark.read.schema(text_schema(K.SALES_REPORT_COLUMNS))
            .option("header", True).option("encoding", "UTF-8").csv(path))
+    raw = TT.missing_to_null(raw)
     out = daily_sales_projection(raw, as_of).select("Date", "OrderedProductSales", "Sales", "quantity")
     return synthetic_sku(out) if with_sku else out
 
@@ -107,7 +113,7 @@ def read_listing_tsv(spark: SparkSession, path: str, names=None) -> DataFrame:
     reader = spark.read.option("sep", "\t").option("header", True).option("encoding", "UTF-8")
     if names is not None:
         reader = reader.schema(text_schema(names))
-    return C.standardize_listing(reader.csv(path))
+    return C.standardize_listing(TT.missing_to_null(reader.csv(path)))
 
 
 # -- A4 ------------------------------------------------------------------------
@@ -120,7 +126,15 @@ def read_performance(spark: SparkSession, path: str, schema: T.StructType | None
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
-    return reader.csv(path)
+    df = reader.csv(path)
+    # a token among numbers makes inference fall back to text: decide those columns again
+    return df if schema is not None else TT.typed(df)
+
+
+def read_typed_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """A vendor file with a header: missing-value tokens become NULL, columns
+    whose present values are all numbers become numeric, the rest stays text."""
+    return TT.typed(spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8").csv(path))
 
 
 # -- A9 ------------------------------------------------------------------------
@@ -135,19 +149,18 @@ def read_ragged_csv(spark: SparkSession, path: str, names, header: bool = True)
 
     Lines are read as text and parsed with ``from_csv`` next to a quote-aware
     field count, so the over-long test is an ordinary column predicate.
-    A header line (the first line of the input) is removed wherever it occurs.
+    With ``header`` the first line of each file is left out, and only that: a
+    data line with the same text stays.  Missing-value tokens become NULL.
     """
-    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-    if header:
-        first = lines.first()
-        if first is None:
-            return empty_frame(spark, names)
-        lines = lines.where(F.col("value") != F.lit(first["value"]))
+    # one unquoted column per line, so that the reader itself drops each file's first line
+    lines = (spark.read.schema("value STRING").option("header", header).option("sep", "\x01").option("quote", "")
+             .option("escape", "").option("emptyValue", "").option("maxCharsPerColumn", -1).csv(path))
+    lines = lines.where(F.length(F.trim("value")) > 0)
     ddl = ", ".join(f"`{n}` STRING" for n in names)
     parsed = lines.select(F.from_csv("value", ddl, {"mode": "PERMISSIVE"}).alias("r"),
                           _field_count(F.col("value")).alias("__nf"))
     return parsed.where(F.col("__nf") <= F.lit(len(names))).select(
-        *[F.col("r").getField(n).alias(n) for n in names])
+        *[TT.present(F.col("r").getField(n)).alias(n) for n in names])
 
 
 # -- A10 / A11 -----------------------------------------------------------------

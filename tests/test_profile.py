@@ -29,6 +29,6 @@ def test_samples_in_key_order(spark):
 
 
 def test_unparseable_currency_issue(spark):
-    df = spark.createDataFrame([("$1,000",), ("n/a",)], "`Item Price` string")
+    df = spark.createDataFrame([("$1,000",), ("soon",), ("n/a",)], "`Item Price` string")
     prof = {r["column"]: r for r in PR.column_profile(df, "t", "sales").collect()}
     assert "Unparseable currency values in column: Item Price" in prof["Item Price"]["issues"]
