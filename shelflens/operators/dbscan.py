@@ -18,9 +18,9 @@ Plan (no all-pairs step anywhere):
    third of the data.
 2. Probes meet neighbouring cells as sub-cell bounding boxes with counts
    (``_near_stats``): boxes wholly within ``eps`` are counted, boxes wholly
-   beyond are dropped, straddling boxes are split a level further (4 up to
-   256 sub-cells per axis) until the remaining point comparisons average at
-   most ``POINT_WORK_PER_PAIR`` per straddling pair.
+   beyond are dropped.  A straddling pair of at most ``POINT_WORK_PER_PAIR``
+   point comparisons is compared point by point, a heavier one is split a
+   level further (4 up to 256 sub-cells per axis): each pair by its own work.
 3. The cluster graph has one node per cell that contains core points; an
    edge joins two neighbouring cells whose core points come within ``eps``,
    proven with the same box scheme on box pairs (``_cell_edges``).
@@ -93,9 +93,10 @@ def _shifted(cells: list[str], offsets) -> F.Column:
 # wide -- are compared point by point.
 START_LEVEL = 2
 MAX_LEVEL = 8
-# Stop refining once the straddling pairs average at most this many point
-# comparisons each: point work is then bounded by a constant per pair.
+# A straddling pair of at most this many point comparisons is not split further.
 POINT_WORK_PER_PAIR = 16
+# Neighbour cells grow as a power of the dimensions (841 at d = 4): project first.
+MAX_DIMENSIONS = 3
 
 
 def _with_fine_index(df: DataFrame, xs, cs, side: float) -> DataFrame:
@@ -140,25 +141,23 @@ def _near_stats(probes: DataFrame, targets: DataFrame, xs, cs, ns, eps2: float,
         on = ns if level == START_LEVEL else ns + pks
         near2, far2 = _point_box_d2(xs, d)
         met = (pend.join(boxes, on).withColumn("__near2", near2).withColumn("__far2", far2)
-               .where(F.col("__near2") <= F.lit(eps2)))
+               .where(F.col("__near2") <= F.lit(eps2)).checkpoint(eager=True))  # read three times below
         found.append(met.where(F.col("__far2") <= F.lit(eps2))
                      .select("pid", "bn", *([F.col("bv")] if value else [])))
         straddle = met.where(F.col("__far2") > F.lit(eps2)).select("pid", *xs, *ns, *ks, "bn")
-        rows, work = straddle.agg(F.count(F.lit(1)), F.coalesce(F.sum("bn"), F.lit(0))).first()
-        if rows == 0:
-            break
-        if level < MAX_LEVEL and work > POINT_WORK_PER_PAIR * rows:
-            # refining further: pin this level so the next one starts from it
-            straddle = straddle.checkpoint(eager=True)
-        if level == MAX_LEVEL or work <= POINT_WORK_PER_PAIR * rows:
+        heavy = F.lit(False) if level == MAX_LEVEL else F.col("bn") > POINT_WORK_PER_PAIR
+        n_light, n_heavy = straddle.agg(F.count_if(~heavy), F.count_if(heavy)).first()
+        if n_light:
             ys = [f"y{i}" for i in range(d)]
             pts = tgt.select(*[F.col(c).alias(n) for c, n in zip(cs, ns)], *_level_keys(d, level),
                              *[F.col(x).alias(y) for x, y in zip(xs, ys)], *([value] if value else []))
-            close = (straddle.select("pid", *xs, *ns, *ks).join(pts, ns + ks)
+            close = (straddle.where(~heavy).select("pid", *xs, *ns, *ks).join(pts, ns + ks)
                      .where(_dist2(xs, ys) <= F.lit(eps2)))
             found.append(close.select("pid", F.lit(1).cast(T.LongType()).alias("bn"),
                                       *([F.col(value).alias("bv")] if value else [])))
+        if not n_heavy:
             break
+        straddle = straddle.where(heavy)
         # only the points under straddling boxes go one level down
         keep = straddle.select(*[F.col(n).alias(c) for n, c in zip(ns, cs)], *ks).distinct()
         tgt = tgt.withColumns({k: F.shiftright(F.col(f"f{i}"), MAX_LEVEL - level)
@@ -215,30 +214,29 @@ def _cell_edges(core: DataFrame, xs, cs, side: float, eps2: float, half) -> Data
                for i in range(d)]
         span = [F.greatest(F.col(f"ahi{i}") - F.col(f"blo{i}"), F.col(f"bhi{i}") - F.col(f"alo{i}"))
                 for i in range(d)]
-        pairs = (pairs.select("u", "v", *aks, *bks, (F.col("an") * F.col("bn")).alias("work"),
+        pairs = (pairs.select("u", "v", *aks, *bks, (F.col("an").cast("double") * F.col("bn")).alias("work"),
                               _sum2([g * g for g in gap]).alias("min2"), _sum2([w * w for w in span]).alias("max2"))
-                 .where(F.col("min2") <= F.lit(eps2)))
-        proven = pairs.where(F.col("max2") <= F.lit(eps2)).select("u", "v").distinct()
+                 .where(F.col("min2") <= F.lit(eps2)).checkpoint(eager=True))  # read several times below
+        proven = pairs.where(F.col("max2") <= F.lit(eps2)).select("u", "v").distinct().checkpoint(eager=True)
         proven_all.append(proven)
         straddle = pairs.where(F.col("max2") > F.lit(eps2)).select("u", "v", *aks, *bks, "work")
         for p_ in proven_all:
             straddle = straddle.join(p_, ["u", "v"], "left_anti")
-        rows, work = straddle.agg(F.count(F.lit(1)), F.coalesce(F.sum("work"), F.lit(0))).first()
-        if rows == 0:
-            break
-        if level < MAX_LEVEL and work > POINT_WORK_PER_PAIR * rows:
-            # refining further: pin this level so the next one starts from it
-            straddle = straddle.checkpoint(eager=True)
-        if level == MAX_LEVEL or work <= POINT_WORK_PER_PAIR * rows:
+        straddle = straddle.checkpoint(eager=True)
+        heavy = F.lit(False) if level == MAX_LEVEL else F.col("work") > POINT_WORK_PER_PAIR
+        n_light, n_heavy = straddle.agg(F.count_if(~heavy), F.count_if(heavy)).first()
+        if n_light:
             pa = tgt.select(F.col("node").alias("u"), *_level_keys(d, level, "ak"),
                             *[F.col(x).alias(f"ax{i}") for i, x in enumerate(xs)])
             pb = tgt.select(F.col("node").alias("v"), *_level_keys(d, level, "bk"),
                             *[F.col(x).alias(f"bx{i}") for i, x in enumerate(xs)])
-            checked = (straddle.join(pa, ["u"] + aks).join(pb, ["v"] + bks)
+            checked = (straddle.where(~heavy).join(pa, ["u"] + aks).join(pb, ["v"] + bks)
                        .where(_dist2([f"ax{i}" for i in range(d)], [f"bx{i}" for i in range(d)]) <= F.lit(eps2))
                        .select("u", "v").distinct())
-            proven_all.append(checked)
+            proven_all.append(checked.checkpoint(eager=True))
+        if not n_heavy:
             break
+        straddle = straddle.where(heavy)
         pend = straddle.select("u", "v", *[F.col(k).alias(pk) for k, pk in zip(aks, apk)],
                                *[F.col(k).alias(pk) for k, pk in zip(bks, bpk)])
         keys = [F.shiftright(F.col(f"f{i}"), MAX_LEVEL - level).alias(f"k{i}") for i in range(d)]
@@ -265,7 +263,12 @@ def _point_box_d2(xs, d):
 
 def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS,
            min_samples: int = K.DBSCAN_MIN_SAMPLES) -> DataFrame:
-    """``(id, cluster, is_core)`` for every input point; ids must be unique longs."""
+    """``(id, cluster, is_core)`` for every input point; ids must be unique longs.
+
+    A point with a NULL or NaN coordinate is near nothing: noise (-1).
+    """
+    if len(coord_cols) > MAX_DIMENSIONS:
+        raise ValueError(f"at most {MAX_DIMENSIONS} coordinates; project more of them first (pca_dbscan)")
     spark = points.sparkSession
     ensure_checkpoint_dir(spark)
     d = len(coord_cols)
@@ -277,10 +280,17 @@ def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS
 
     pts = points.select(F.col(id_col).cast(T.LongType()).alias("pid"),
                         *[F.col(f"`{c}`").cast(T.DoubleType()).alias(x) for c, x in zip(coord_cols, xs)])
+    whole = F.lit(True)
+    for x in xs:
+        whole = whole & F.col(x).isNotNull() & ~F.isnan(x)
+    lost = pts.where(~whole).select(
+        F.col("pid").alias(id_col), F.lit(-1).cast(T.LongType()).alias("cluster"), F.lit(False).alias("is_core"))
+    pts = pts.where(whole)
     pts = pts.withColumns({c: F.floor(F.col(x) / F.lit(side)).cast(T.LongType()) for c, x in zip(cs, xs)})
     pts = _with_fine_index(pts, xs, cs, side)
     fs = [f"f{i}" for i in range(d)]
-    counts = pts.groupBy(*cs).agg(F.count(F.lit(1)).alias("cell_n"))
+    # written before the joins, so that AQE can split a cell that holds a third of the points
+    counts = pts.groupBy(*cs).agg(F.count(F.lit(1)).alias("cell_n")).checkpoint(eager=True)
     pts = pts.join(counts, cs).checkpoint(eager=True)
     ns = _cells("n", d)
 
@@ -298,15 +308,15 @@ def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS
 
     # -- 2. cluster graph over cells with core points ------------------------
     core = pts.where("is_core")
-    nodes = core.groupBy(*cs).agg(F.min("pid").alias("node"))
-    core = core.join(nodes, cs).select("pid", "node", *xs, *cs, *fs)
+    nodes = core.groupBy(*cs).agg(F.min("pid").alias("node")).checkpoint(eager=True)
+    core = core.join(nodes, cs).select("pid", "node", *xs, *cs, *fs).checkpoint(eager=True)
     edges = _cell_edges(core, xs, cs, side, eps2, half).checkpoint(eager=True)
 
     # -- 3. connected components ------------------------------------------------
     labels = nodes.select("node", F.col("node").alias("label")).checkpoint(eager=True)
     for _ in range(MAX_ROUNDS):
         incoming = edges.join(labels.withColumnRenamed("node", "u"), "u").select(F.col("v").alias("node"), "label")
-        merged = labels.unionByName(incoming).groupBy("node").agg(F.min("label").alias("label"))
+        merged = labels.unionByName(incoming).groupBy("node").agg(F.min("label").alias("label")).checkpoint(eager=True)
         # pointer jumping: adopt the label of one's label
         jump = merged.alias("m").join(merged.alias("t"), F.col("m.label") == F.col("t.node"), "left")
         new = jump.select(F.col("m.node").alias("node"),
@@ -333,4 +343,4 @@ def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS
            .select(F.col("pid").alias(id_col),
                    F.coalesce("cluster", "border_cluster", F.lit(-1).cast(T.LongType())).alias("cluster"),
                    "is_core"))
-    return out
+    return out.unionByName(lost)

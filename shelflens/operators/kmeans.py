@@ -7,7 +7,7 @@ scaler fit, the fit itself and the cluster statistics, so the item plan
 (sales aggregation + join) runs once and a lost executor only costs
 re-reading checkpoint blocks.
 Cluster ids are arbitrary, so they are renumbered by ascending
-(mean raw price, size, smallest SKU) to make results comparable run to run.
+(mean raw price, size, smallest SKU hash) to make results comparable run to run.
 """
 
 from __future__ import annotations
@@ -35,7 +35,9 @@ def n_clusters_for(n_items: int, rule: str = "file") -> int | None:
 def pin_features(features: DataFrame, partitions: int | None = None) -> DataFrame:
     """Materialise the feature table once (reliable checkpoint).
 
-    Rows are hash-partitioned by SKU into a fixed number of partitions and
+    Rows are hash-partitioned by SKU and features into a fixed number of
+    partitions (the listings of a SKU that fills a third of the rows spread by
+    their own values; the row id depends on the plan and is left out) and
     totally ordered inside each, so K-means|| seeding sees the same layout
     whatever plan (broadcast or sort-merge, coalesced or not) produced them.
     """
@@ -44,7 +46,7 @@ def pin_features(features: DataFrame, partitions: int | None = None) -> DataFram
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["SKU"] + [c for c in FEATURES if c in features.columns] + \
         ([ITEM_ID] if ITEM_ID in features.columns else [])
-    return features.repartition(n, "SKU").sortWithinPartitions(*order).checkpoint(eager=True)
+    return features.repartition(n, *[c for c in order if c != ITEM_ID]).sortWithinPartitions(*order).checkpoint(eager=True)
 
 
 def kmeans_labels(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,
@@ -68,7 +70,7 @@ def kmeans_labels(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,
     labelled = model.transform(assembled).select(ITEM_ID, "SKU", "Price", *raw, *carry, "raw_cluster")
     # k rows: one per cluster, renumbered in a stable order.
     order = (labelled.groupBy("raw_cluster")
-             .agg(F.avg("Price").alias("__p"), F.count(F.lit(1)).alias("__n"), F.min("SKU").alias("__s")))
+             .agg(F.avg("Price").alias("__p"), F.count(F.lit(1)).alias("__n"), F.min(F.xxhash64("SKU")).alias("__s")))
     ranked = order.select("raw_cluster", (F.row_number().over(
         Window.orderBy("__p", "__n", "__s")) - 1).cast(T.IntegerType()).alias("Cluster"))
     return labelled.join(F.broadcast(ranked), "raw_cluster").select(ITEM_ID, "SKU", "Cluster", "Price", *raw, *carry)
@@ -123,7 +125,8 @@ def price_histogram(features: DataFrame, labels: DataFrame | None = None,
                     bins: int = K.HISTOGRAM_BINS) -> DataFrame:
     """F-A10: equal-width price bins per cluster over that cluster's own range.
 
-    Missing prices count as 0; a constant cluster uses ``[x - 0.5, x + 0.5]``.
+    Every cluster has all its bins, empty ones with 0 items.  Missing prices
+    count as 0; a constant cluster uses ``[x - 0.5, x + 0.5]``.
     """
     j = _labelled(features, labels).select("Cluster", F.coalesce("Price", F.lit(0.0)).alias("Price"))
     rng = j.groupBy("Cluster").agg(F.min("Price").alias("lo"), F.max("Price").alias("hi"))
@@ -134,6 +137,9 @@ def price_histogram(features: DataFrame, labels: DataFrame | None = None,
     b = F.least(F.floor((F.col("Price") - F.col("lo")) / width), F.lit(bins - 1)).cast(T.IntegerType())
     counted = (j.join(F.broadcast(rng), "Cluster")  # one row per cluster
                .groupBy("Cluster", b.alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("items")))
+    every = rng.select("Cluster", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    counted = (every.join(counted.select("Cluster", "bin", "items"), ["Cluster", "bin"], "left")
+               .withColumn("items", F.coalesce("items", F.lit(0).cast(T.LongType()))))
     return counted.select("Cluster", "bin",
                           (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / bins).alias("bin_start"),
                           (F.col("lo") + (F.col("bin") + 1) * (F.col("hi") - F.col("lo")) / bins).alias("bin_end"),

@@ -58,22 +58,11 @@ def clustered_report(sales: DataFrame, inventory: DataFrame, as_of: datetime,
                       "Cluster", "Cluster_Description")
 
 
-def embedding_points(embeddings: DataFrame, dims=(0, 1), digits: int = 6) -> DataFrame:
-    """Standardised coordinates taken from an embedding array.
-
-    z-scores are rounded to ``digits`` decimals so that a point's distance to
-    its neighbours does not depend on the last bits of the mean/std, which
-    differ with summation order between runs and engines.
-    """
-    coords = {f"e{d}": F.col("embedding")[d].cast(T.DoubleType()) for d in dims}
-    base = embeddings.select("vec_id", *[c.alias(n) for n, c in coords.items()])
-    return standardize(base, list(coords), digits=digits)
-
-
-def embedding_dbscan(embeddings: DataFrame, eps: float = K.DBSCAN_EPS,
-                     min_samples: int = K.DBSCAN_MIN_SAMPLES) -> DataFrame:
-    pts = embedding_points(embeddings)
-    return dbscan(pts, "vec_id", ["e0", "e1"], eps, min_samples)
+def feature_dbscan(rows: DataFrame, id_col: str, cols, eps: float = K.DBSCAN_EPS,
+                   min_samples: int = K.DBSCAN_MIN_SAMPLES) -> DataFrame:
+    """DBSCAN on up to three columns, standardised first."""
+    z = standardize(rows.select(id_col, *cols), list(cols))
+    return dbscan(z, id_col, list(cols), eps, min_samples)
 
 
 def embedding_pca(embeddings: DataFrame, k: int = 2) -> DataFrame:
