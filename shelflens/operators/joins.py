@@ -1,27 +1,17 @@
-"""Join helpers: broadcast only behind a measured size bound."""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Rows of a key list that we are willing to ship to every executor.
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
+def semi_join(left: DataFrame, keys: DataFrame, on) -> DataFrame:
+    """Rows of ``left`` whose key appears in ``keys``.
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early);
-    beyond the bound the frame is returned unhinted and AQE chooses between
-    a runtime broadcast and a shuffled join.
+    Keys are made distinct first, so a key that fills a third of ``keys``
+    costs one row per map task.  AQE broadcasts the key list only if its bytes,
+    known at run time, are below the session's threshold.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def semi_join(left: DataFrame, keys: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows of ``left`` whose key appears in ``keys`` (keys deduplicated first)."""
     on = [on] if isinstance(on, str) else list(on)
     keys = keys.select(*on).where(" AND ".join(f"`{c}` IS NOT NULL" for c in on)).distinct()
-    return left.join(bounded_broadcast(keys, max_rows), on, "left_semi")
+    return left.join(keys, on, "left_semi")

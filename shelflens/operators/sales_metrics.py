@@ -17,8 +17,10 @@ from pyspark.sql import types as T
 
 from shelflens import constants as K
 from shelflens.functions.dates import floor_days_since, window_start
+from shelflens.session import pin
 
-MONEY = T.DecimalType(18, 2)
+# Prices and units at full scale: only the total is converted, once, to double.
+PRICE, UNITS = T.DecimalType(18, 6), T.DecimalType(12, 3)
 
 
 def sales_col(d: int) -> str:
@@ -31,7 +33,7 @@ def revenue_col(d: int) -> str:
 
 def _revenue_term(in_window: Column) -> Column:
     # Exact money arithmetic: decimal price x decimal units, summed as decimal.
-    return F.when(in_window, F.col("Price").cast(MONEY) * F.col("quantity").cast(MONEY))
+    return F.when(in_window, F.col("Price").cast(PRICE) * F.col("quantity").cast(UNITS))
 
 
 def sku_sales_summary(sales: DataFrame, as_of: datetime,
@@ -62,13 +64,15 @@ def with_sales_metrics(inventory: DataFrame, sales: DataFrame, as_of: datetime,
 
     Adds ``Days_Since_Last_Sale`` (NULL for never-sold items), one
     ``Sales_Last_<d>d`` per window and, with revenue, ``Revenue_<d>d``.
-    Join strategy is left to AQE: broadcast when the per-SKU side is small at
-    runtime, sort-merge (with skew splitting of hot listing keys) otherwise.
+    The per-SKU table is written first (reliable checkpoint): joined straight
+    from its aggregate, AQE could not split a SKU that a third of the listings
+    carry.  The join strategy is AQE's: broadcast when the per-SKU side is small
+    at run time, else sort-merge with skew splitting.
     """
     if with_revenue is None:
         with_revenue = "Price" in sales.columns
     per_sku = sku_sales_summary(sales, as_of, windows, with_revenue)
-    per_sku = per_sku.withColumn("Days_Since_Last_Sale", floor_days_since(as_of, F.col("Last_Sale")))
+    per_sku = pin(per_sku.withColumn("Days_Since_Last_Sale", floor_days_since(as_of, F.col("Last_Sale"))))
     joined = inventory.join(per_sku, on="SKU", how="left")
     fills = {}
     for d in windows:

@@ -19,6 +19,8 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files go when the tables that use them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -46,8 +48,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
-               max_partitions: int = 200_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized to the input for cluster runs (pass as ``extra``).
 
     Shuffle partitions start at ~one per ``partition_bytes`` of input (never
@@ -56,7 +57,7 @@ def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 <<
     small partitions to the same advisory size and splits skewed join
     partitions above it.
     """
-    n = max(2 * total_cores, min(max_partitions, -(-input_bytes // partition_bytes)))
+    n = max(2 * total_cores, -(-input_bytes // partition_bytes))
     size = f"{partition_bytes >> 20}m"
     return {
         "spark.sql.shuffle.partitions": str(n),

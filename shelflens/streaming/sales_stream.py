@@ -35,10 +35,22 @@ def sku_metrics_stream(sales_stream: DataFrame, as_of: datetime) -> DataFrame:
     return sku_sales_summary(sales_stream, as_of)
 
 
-def start_metrics_query(metrics: DataFrame, sink_format: str = "memory", name: str = "sku_metrics",
+def start_metrics_query(metrics: DataFrame, sink_format: str = "parquet_snapshot", name: str = "sku_metrics",
                         checkpoint: str | None = None, available_now: bool = True, **options) -> StreamingQuery:
-    """Run the aggregation with ``complete`` output (the full per-SKU table each
-    trigger); ``checkpoint`` defaults to a fresh folder under the shared one."""
+    """Run the aggregation; ``checkpoint`` defaults to a fresh folder under the
+    shared one.  ``parquet_snapshot`` (option ``path``) writes the changed SKUs of
+    each trigger as Parquet folders ``batch=<n>`` from the executors; other sinks
+    get ``complete`` output, of which ``memory`` collects the whole table in the
+    driver and is for tests only."""
+    if sink_format == "parquet_snapshot":
+        path = options.pop("path")
+
+        def write(rows, batch):
+            rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+        writer = (metrics.writeStream.outputMode("update").foreachBatch(write)
+                  .option("checkpointLocation", checkpoint or scratch_dir(metrics.sparkSession, "stream")).options(**options))
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
     writer = (metrics.writeStream.outputMode("complete").format(sink_format)
               .option("checkpointLocation", checkpoint or scratch_dir(metrics.sparkSession, "stream"))
               .options(**options))
