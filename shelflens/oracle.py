@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from shelflens import constants as K
 from shelflens.sources.fixtures import AS_OF
 
 
@@ -40,8 +41,8 @@ PER_SKU = f"""per_sku AS (
   SELECT SKU, max(Date) AS last_sale,
          sum(CASE WHEN Date >= {LO30} THEN quantity END) AS s30,
          sum(CASE WHEN Date >= {LO90} THEN quantity END) AS s90,
-         sum(CASE WHEN Date >= {LO30} THEN CAST(Price AS DECIMAL(18,2)) * CAST(quantity AS DECIMAL(18,2)) END) AS r30,
-         sum(CASE WHEN Date >= {LO90} THEN CAST(Price AS DECIMAL(18,2)) * CAST(quantity AS DECIMAL(18,2)) END) AS r90
+         sum(CASE WHEN Date >= {LO30} THEN CAST(Price AS DECIMAL(18,6)) * CAST(quantity AS DECIMAL(12,3)) END) AS r30,
+         sum(CASE WHEN Date >= {LO90} THEN CAST(Price AS DECIMAL(18,6)) * CAST(quantity AS DECIMAL(12,3)) END) AS r90
   FROM sales WHERE SKU IS NOT NULL GROUP BY SKU)"""
 
 ITEMS = f"""items AS (
@@ -120,8 +121,8 @@ def oracle_sql() -> dict[str, str]:
         q[f"q_sales_last_{d}d"] = with_ctes(SALES) + f"""SELECT SKU, sum(quantity) AS Sales_Last_{d}d
             FROM sales WHERE Date >= {lo} AND SKU IS NOT NULL GROUP BY SKU"""
     q["q_revenue_windows"] = with_ctes(SALES) + f"""SELECT SKU,
-        coalesce(CAST(sum(CASE WHEN Date >= {LO30} THEN CAST(Price AS DECIMAL(18,2)) * CAST(quantity AS DECIMAL(18,2)) END) AS DOUBLE), 0.0) AS Revenue_30d,
-        coalesce(CAST(sum(CAST(Price AS DECIMAL(18,2)) * CAST(quantity AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS Revenue_90d
+        coalesce(CAST(sum(CASE WHEN Date >= {LO30} THEN CAST(Price AS DECIMAL(18,6)) * CAST(quantity AS DECIMAL(12,3)) END) AS DOUBLE), 0.0) AS Revenue_30d,
+        coalesce(CAST(sum(CAST(Price AS DECIMAL(18,6)) * CAST(quantity AS DECIMAL(12,3))) AS DOUBLE), 0.0) AS Revenue_90d
         FROM sales WHERE Date >= {LO90} AND SKU IS NOT NULL GROUP BY SKU"""
     q["q_flag_counts"] = _r("""SELECT Flag,
         CASE WHEN Flag = '⚠️' THEN 'Needs Attention' ELSE 'Good Seller' END AS Label,
@@ -152,6 +153,7 @@ def oracle_sql() -> dict[str, str]:
         FROM report ORDER BY Metadata_Quality_Score DESC, SKU""")
     q["q_report_heuristic"] = BASE.rstrip() + ",\n" + HEUR + """
         SELECT SKU, Title, ISBN, Has_Image, Price, Heuristic_Score FROM heur ORDER BY Heuristic_Score DESC, SKU"""
+    q["q_report_round_trip"] = _r('SELECT SKU, Title, "Days Since Last Sale", "Sales Last 90d", "Revenue Last 90d" FROM report')
     q["q_report_revenue"] = _r("""SELECT SKU, Title, "Revenue Last 30d", "Revenue Last 90d",
         "Sales Last 30d", "Sales Last 90d" FROM report ORDER BY "Revenue Last 90d" DESC, SKU""")
     q["q_stale_scatter"] = _r("""SELECT SKU, "Days Since Last Sale", "Sales Last 30d",
@@ -223,6 +225,8 @@ VENDOR_PERF = """vendor_perf AS (
          '="U' || CAST(user_id AS VARCHAR) || '"' AS sku,
          event_type,
          CAST(value AS VARCHAR) || '%' AS late_shipment_rate,
+         CAST(90 + event_id % 10 AS VARCHAR) || '.5%' AS on_time_delivery_rate,
+         CASE WHEN event_id % 50 = 0 THEN 'n/a' ELSE '0.0' || lpad(CAST(event_id % 100 AS VARCHAR), 2, '0') END AS order_defect_rate,
          value AS order_value,
          ts
   FROM events)"""
@@ -264,7 +268,8 @@ LISTING_TABLE_COLS = [(c, "string") for c in (
     "seller-sku", "asin1", "item-name", "product-name", "price", "quantity", "has_image",
     "external_product_id", "product-id")]
 PERF_TABLE_COLS = [("event-id", "bigint"), ("Date", "string"), ("sku", "string"),
-                   ("event_type", "string"), ("late_shipment_rate", "string"), ("order_value", "double")]
+                   ("event_type", "string"), ("late_shipment_rate", "string"), ("on_time_delivery_rate", "string"),
+                   ("order_defect_rate", "string"), ("order_value", "double")]
 PROFILE_TABLES = [
     ("sales", "sales", "daily_text", "Date", SALES_TABLE_COLS),
     ("inventory", "inventory", "vendor_listing", "seller-sku", LISTING_TABLE_COLS),
@@ -281,8 +286,28 @@ def _lit(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# fixed values: texts that count as missing
+MISSING = ", ".join(_lit(t) for t in (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"))
+
+
+def _present(col: str, typ: str) -> str:
+    return f"(CASE WHEN {_q(col)} NOT IN ({MISSING}) THEN {_q(col)} END)" if typ == "string" else _q(col)
+
+
+def _type_sql(col: str, typ: str) -> str:
+    if typ != "string":
+        return _lit(typ)
+    c = _present(col, typ)
+    return (f"CASE WHEN count(*) = 0 THEN 'string' "
+            f"WHEN bool_and(coalesce(regexp_matches({c}, '^\\s*[+-]?\\d{{1,18}}\\s*$'), false)) THEN 'bigint' "
+            f"WHEN coalesce(bool_and(regexp_matches({c}, '^\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?\\s*$')), true) THEN 'double' "
+            f"ELSE 'string' END")
+
+
 def _issue_sql(family: str, col: str, typ: str) -> list[tuple[str, str]]:
-    c = _q(col)
+    c = _present(col, typ)
     low = col.lower()
     text = typ == "string"
     bad_date = f"bool_or({c} IS NOT NULL AND TRY_CAST({c} AS TIMESTAMP) IS NULL)"
@@ -317,9 +342,9 @@ def _profile_rows_sql() -> str:
                 issue_expr = "''"
             parts.append(
                 f"SELECT {_lit(table)} AS \"table\", {i} AS ordinal, {_lit(col)} AS \"column\", "
-                f"{_lit(typ)} AS data_type, count(*) AS row_count, "
-                f"count(*) - count({_q(col)}) AS missing_count, "
-                f"CASE WHEN count(*) > 0 THEN round((count(*) - count({_q(col)})) * 100.0 / count(*), 1) "
+                f"{_type_sql(col, typ)} AS data_type, count(*) AS row_count, "
+                f"count(*) - count({_present(col, typ)}) AS missing_count, "
+                f"CASE WHEN count(*) > 0 THEN round((count(*) - count({_present(col, typ)})) * 100.0 / count(*), 1) "
                 f"ELSE 0.0 END::DOUBLE AS missing_pct, {issue_expr} AS issues FROM {cte}")
     return "\nUNION ALL\n".join(parts)
 
@@ -375,10 +400,15 @@ def oracle_sql_sources() -> dict[str, str]:
         coalesce(CASE WHEN k % 9 = 0 THEN NULL ELSE p_retailprice END, 0.0) AS Price,
         coalesce(CASE WHEN s % 7 = 0 THEN NULL WHEN s % 11 = 0 THEN -1.0 ELSE CAST(s AS DOUBLE) END, 0.0) AS Quantity
         FROM vendor_listing"""
-    q["q_clean_performance"] = with_ctes(VENDOR_PERF) + """SELECT "event-id", date_trunc('second', ts) AS "Date",
+    cleaned = """SELECT "event-id", date_trunc('second', ts) AS "Date",
         'U' || substr(sku, 4, length(sku) - 4) AS sku, event_type,
-        CAST(rtrim(late_shipment_rate, '%') AS DOUBLE) / 100.0 AS late_shipment_rate, order_value
+        CAST(rtrim(late_shipment_rate, '%') AS DOUBLE) / 100.0 AS late_shipment_rate,
+        CAST(rtrim(on_time_delivery_rate, '%') AS DOUBLE) / 100.0 AS on_time_delivery_rate,
+        TRY_CAST(order_defect_rate AS DOUBLE) AS order_defect_rate, order_value
         FROM vendor_perf"""
+    q["q_clean_performance"] = with_ctes(VENDOR_PERF) + cleaned
+    q["q_clean_then_summarise"] = _describe_sql(with_ctes(VENDOR_PERF, f"cleaned AS ({cleaned})"), "cleaned",
+                                                ["on_time_delivery_rate", "order_defect_rate", "late_shipment_rate"])
     q["q_title_length"] = with_ctes(INV) + "SELECT SKU, Title, CAST(length(Title) AS INTEGER) AS Title_Length FROM inv"
     # -- column resolution (B) ------------------------------------------------
     q["q_map_columns"] = with_ctes(VENDOR_LISTING) + """SELECT "seller-sku", asin1, "item-name", "product-name",
@@ -417,7 +447,7 @@ def oracle_sql_sources() -> dict[str, str]:
         order_defect_rate, mean_value FROM perf"""
     q["q_ragged_csv"] = """SELECT CAST(l_orderkey AS VARCHAR) AS Column1,
         CASE WHEN l_linenumber = 3 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS Column2
-        FROM lineitem WHERE l_linenumber <> 5"""
+        FROM lineitem WHERE l_linenumber <> 5 UNION ALL SELECT 'Column1', 'Column2'"""
     q["q_sales_history"] = with_ctes(SALES) + f"""SELECT * FROM sales
         WHERE Date BETWEEN {ts(AS_OF - timedelta(days=365))} AND {AS_OF_SQL}"""
     q["q_inventory_summary"] = with_ctes(SNAPSHOT) + "SELECT * FROM snapshot"
@@ -467,17 +497,17 @@ def _z(col: str, source: str = "") -> str:
             f"THEN stddev_pop({c}) OVER () ELSE 1 END, 6)")
 
 
-EMB_POINTS = """pts AS (
-  SELECT vec_id AS id,
-         round((e0 - avg(e0) OVER ()) / CASE WHEN stddev_pop(e0) OVER () > 0 THEN stddev_pop(e0) OVER () ELSE 1 END, 6) AS x,
-         round((e1 - avg(e1) OVER ()) / CASE WHEN stddev_pop(e1) OVER () > 0 THEN stddev_pop(e1) OVER () ELSE 1 END, 6) AS y
-  FROM (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS e0, CAST(embedding[2] AS DOUBLE) AS e1 FROM embeddings))"""
+PART_POINTS = """pts AS (
+  SELECT p_partkey AS id,
+         round((p - avg(p) OVER ()) / CASE WHEN stddev_pop(p) OVER () > 0 THEN stddev_pop(p) OVER () ELSE 1 END, 6) AS x,
+         round((s - avg(s) OVER ()) / CASE WHEN stddev_pop(s) OVER () > 0 THEN stddev_pop(s) OVER () ELSE 1 END, 6) AS y
+  FROM (SELECT p_partkey, CAST(p_retailprice AS DOUBLE) AS p, CAST(p_size AS DOUBLE) AS s FROM part))"""
 
 
-def dbscan_sql(eps: float = 0.5, min_samples: int = 5) -> str:
+def dbscan_sql(eps: float = 0.08, min_samples: int = 5) -> str:
     """Brute-force DBSCAN (all pairs + recursive closure): small fixtures only."""
     e2 = eps * eps
-    return f"""WITH RECURSIVE {EMB_POINTS},
+    return f"""WITH RECURSIVE {PART_POINTS},
 pairs AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b
           ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {e2}),
 core AS (SELECT a AS id FROM pairs GROUP BY a HAVING count(*) >= {min_samples}),
@@ -487,7 +517,7 @@ reach(src, dst) AS (SELECT a, b FROM core_edges
 comp AS (SELECT src AS id, min(dst) AS cluster FROM reach GROUP BY src),
 border AS (SELECT p.a AS id, min(c.cluster) AS cluster FROM pairs p JOIN comp c ON p.b = c.id
            WHERE p.a NOT IN (SELECT id FROM core) GROUP BY p.a)
-SELECT p.id AS vec_id, CAST(coalesce(c.cluster, b.cluster, -1) AS BIGINT) AS cluster,
+SELECT p.id AS p_partkey, CAST(coalesce(c.cluster, b.cluster, -1) AS BIGINT) AS cluster,
        p.id IN (SELECT id FROM core) AS is_core
 FROM pts p LEFT JOIN comp c ON p.id = c.id LEFT JOIN border b ON p.id = b.id"""
 
@@ -499,4 +529,25 @@ def oracle_sql_clustering() -> dict[str, str]:
     q["q_standardize"] = base + "SELECT SKU, " + ", ".join(f"{_z(c)} AS {_q(c)}" for c in FEATURE_NAMES) + " FROM feat"
     q["q_cluster_nunique"] = "SELECT CAST(least(3, greatest(2, count(*) // 10)) AS BIGINT) AS n_clusters FROM part"
     q["q_dbscan"] = dbscan_sql()
+    given = base.rstrip() + """,
+given AS (SELECT *, CAST(Sales_Last_90d > 0 AS INTEGER) + CAST(Price > 10 AS INTEGER) AS Cluster FROM feat),
+stats AS (SELECT Cluster, avg(Price) AS p, avg(Sales_Last_30d) AS s30, avg(Days_Since_Last_Sale) AS d,
+          avg(Has_Image) AS im, avg(Has_ISBN) AS isbn, count(SKU) AS items FROM given GROUP BY Cluster)
+"""
+    q["q_cluster_stats_given"] = given + """SELECT Cluster, round(p, 6) AS mean_Price, round(s30, 6) AS mean_Sales_Last_30d,
+        round(d, 6) AS mean_Days_Since_Last_Sale, round(im, 6) AS mean_Has_Image, round(isbn, 6) AS mean_Has_ISBN, items FROM stats"""
+    q["q_describe_clusters_given"] = given + f"""SELECT Cluster, CASE
+        WHEN s30 > {K.HIGH_MIN_SALES30} AND d < {K.HIGH_MAX_DAYS} THEN '{K.CLUSTER_HIGH}'
+        WHEN s30 < {K.STALE_MAX_SALES30} AND d > {K.STALE_MIN_DAYS} THEN '{K.CLUSTER_STALE}'
+        WHEN im < {K.POOR_META_SHARE} OR isbn < {K.POOR_META_SHARE} THEN '{K.CLUSTER_POOR}'
+        ELSE '{K.CLUSTER_AVERAGE}' END || ' (n=' || items || ')' AS Cluster_Description FROM stats"""
+    q["q_price_histogram_given"] = given.rstrip() + f""",
+lim AS (SELECT Cluster, CASE WHEN min(Price) = max(Price) THEN min(Price) - 0.5 ELSE min(Price) END AS lo,
+        CASE WHEN min(Price) = max(Price) THEN max(Price) + 0.5 ELSE max(Price) END AS hi FROM given GROUP BY Cluster),
+binned AS (SELECT g.Cluster, CAST(least(floor((Price - lo) / ((hi - lo) / {K.HISTOGRAM_BINS})), {K.HISTOGRAM_BINS - 1}) AS INTEGER) AS bin
+        FROM given g JOIN lim USING (Cluster))
+SELECT l.Cluster, CAST(b.bin AS INTEGER) AS bin, lo + b.bin * (hi - lo) / {K.HISTOGRAM_BINS} AS bin_start,
+       lo + (b.bin + 1) * (hi - lo) / {K.HISTOGRAM_BINS} AS bin_end,
+       (SELECT count(*) FROM binned x WHERE x.Cluster = l.Cluster AND x.bin = b.bin) AS items
+FROM lim l, (SELECT unnest(range({K.HISTOGRAM_BINS})) AS bin) b"""
     return q

@@ -16,6 +16,7 @@ from shelflens.operators import cleaning as CLN
 from shelflens.operators import columns as COL
 from shelflens.operators import profile as PR
 from shelflens.operators import sales_metrics as SM
+from shelflens.operators.dbscan import dbscan
 from shelflens.operators.describe import describe
 from shelflens.operators import kmeans as KM
 from shelflens.operators.features import FEATURES, cluster_features, standardize
@@ -162,8 +163,28 @@ def q_clean_inventory(spark, sf_dir):
     return CLN.clean_inventory(fx.vendor_listing(_part(spark, sf_dir)))
 
 
+def _performance_file(spark, sf_dir):
+    """The vendor's performance export as a CSV file read back."""
+    path = scratch_dir(spark, "vendor-performance")
+    FS.write_report(fx.vendor_performance(fx.table(spark, sf_dir, "events")), path, fmt="csv")
+    return FS.read_typed_csv(spark, path)
+
+
 def q_clean_performance(spark, sf_dir):
-    return CLN.clean_performance(fx.vendor_performance(fx.table(spark, sf_dir, "events")))
+    return CLN.clean_performance(_performance_file(spark, sf_dir))
+
+
+def q_clean_then_summarise(spark, sf_dir):
+    return PF.performance_summary(CLN.clean_performance(_performance_file(spark, sf_dir)), digits=6).select(
+        "statistic", "on_time_delivery_rate", "order_defect_rate", "late_shipment_rate")
+
+
+def q_report_round_trip(spark, sf_dir):
+    """The report written as CSV; the first readable candidate is read."""
+    path = scratch_dir(spark, "report-csv")
+    report = _report(spark, sf_dir).select("SKU", "Title", "Days Since Last Sale", "Sales Last 90d", "Revenue Last 90d")
+    FS.write_report(report, path, fmt="csv")
+    return FS.first_readable(spark, [path + "-absent", path], lambda p: FS.read_report(spark, p, schema=report.schema))
 
 
 def q_title_length(spark, sf_dir):
@@ -193,8 +214,10 @@ def q_read_performance(spark, sf_dir):
 
 def q_ragged_csv(spark, sf_dir):
     path = scratch_dir(spark, "ragged-csv")
-    fx.ragged_lines(_li(spark, sf_dir)).write.text(path)
-    return FS.read_ragged_csv(spark, path, ["Column1", "Column2"], header=False)
+    # each file starts with a header; one data line has the header's text
+    lines = fx.ragged_lines(_li(spark, sf_dir)).unionAll(spark.createDataFrame([("Column1,Column2",)], "value string"))
+    (lines.withColumnRenamed("value", "Column1,Column2").write.option("header", True).option("sep", "\x01").option("quote", "").csv(path))
+    return FS.read_ragged_csv(spark, path, ["Column1", "Column2"])
 
 
 def q_sales_history(spark, sf_dir):
@@ -248,8 +271,8 @@ def _union(frames):
     return out
 
 
-def _profiles(spark, sf_dir):
-    return _union([PR.column_profile(df, t, fam) for t, fam, df, _ in _vendor_tables(spark, sf_dir)])
+def _profiles(spark, sf_dir, **asked):
+    return _union([PR.column_profile(df, t, fam, **asked) for t, fam, df, _ in _vendor_tables(spark, sf_dir)])
 
 
 def q_profile_counts(spark, sf_dir):
@@ -258,11 +281,11 @@ def q_profile_counts(spark, sf_dir):
 
 
 def q_profile_missing(spark, sf_dir):
-    return _profiles(spark, sf_dir).select("table", "column", "missing_count", "missing_pct")
+    return _profiles(spark, sf_dir, types=False, issues=False).select("table", "column", "missing_count", "missing_pct")
 
 
 def q_profile_types(spark, sf_dir):
-    return _profiles(spark, sf_dir).select("table", "ordinal", "column", "data_type", "row_count")
+    return _profiles(spark, sf_dir, issues=False).select("table", "ordinal", "column", "data_type", "row_count")
 
 
 def q_profile_samples(spark, sf_dir):
@@ -270,7 +293,7 @@ def q_profile_samples(spark, sf_dir):
 
 
 def q_profile_issues(spark, sf_dir):
-    return PR.column_issues(_profiles(spark, sf_dir))
+    return PR.column_issues(_profiles(spark, sf_dir, types=False))
 
 
 def q_profile_report(spark, sf_dir):
@@ -332,7 +355,38 @@ def q_pca(spark, sf_dir):
 
 
 def q_dbscan(spark, sf_dir):
-    return CLU.embedding_dbscan(fx.table(spark, sf_dir, "embeddings"))
+    """Parts by retail price and size.  The z-scores are rounded here (not in the
+    library), so that the last bits of mean and deviation, which differ between
+    engines, decide nothing in the comparison."""
+    part = _part(spark, sf_dir).select("p_partkey", F.col("p_retailprice").cast("double").alias("price"), F.col("p_size").cast("double").alias("size"))
+    return dbscan(standardize(part, ["price", "size"], digits=6), "p_partkey", ["price", "size"], eps=0.08, min_samples=5)
+
+
+def q_pca_dbscan(spark, sf_dir):
+    """All coordinates of the embeddings, projected to two components first."""
+    return CLU.pca_dbscan(fx.table(spark, sf_dir, "embeddings"))
+
+
+# -- labels computed from the tables: the cluster aggregates without a fit --------------
+def _given_labels(spark, sf_dir):
+    rows = _features(spark, sf_dir)
+    return rows.withColumn("Cluster", (F.col("Sales_Last_90d") > 0).cast("int") + (F.col("Price") > 10).cast("int"))
+
+
+def q_cluster_stats_given(spark, sf_dir):
+    return _rounded(KM.cluster_stats(_given_labels(spark, sf_dir)))
+
+
+def q_describe_clusters_given(spark, sf_dir):
+    return KM.describe_clusters(KM.cluster_stats(_given_labels(spark, sf_dir))).select("Cluster", "Cluster_Description")
+
+
+def q_price_histogram_given(spark, sf_dir):
+    return KM.price_histogram(_given_labels(spark, sf_dir))
+
+
+def _rounded(df, digits=6):
+    return df.select(*[F.round(f.name, digits).alias(f.name) if f.dataType.simpleString() == "double" else F.col(f.name) for f in df.schema.fields])
 
 
 def queries() -> dict[str, Query]:
@@ -348,6 +402,10 @@ def queries() -> dict[str, Query]:
         "q_join_clusters": q_join_clusters,  # E5
         "q_pca": q_pca,  # I6
         "q_dbscan": q_dbscan,  # I7
+        "q_pca_dbscan": q_pca_dbscan,  # I6, I7
+        "q_cluster_stats_given": q_cluster_stats_given,  # F-A5
+        "q_describe_clusters_given": q_describe_clusters_given,  # I5
+        "q_price_histogram_given": q_price_histogram_given,  # F-A10
         # sources (A)
         "q_read_sales_report": q_read_sales_report,  # A1, A2, B8, B10
         "q_read_inventory_tsv": q_read_inventory_tsv,  # A3, B3-B7, C2
@@ -376,6 +434,8 @@ def queries() -> dict[str, Query]:
         "q_clean_sales": q_clean_sales,  # C8
         "q_clean_inventory": q_clean_inventory,  # C9
         "q_clean_performance": q_clean_performance,  # C10
+        "q_clean_then_summarise": q_clean_then_summarise,  # C10, J2
+        "q_report_round_trip": q_report_round_trip,  # A2, A10, A11
         "q_title_length": q_title_length,  # C11
         # profiling (D)
         "q_profile_counts": q_profile_counts,  # D1

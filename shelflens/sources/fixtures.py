@@ -193,6 +193,9 @@ def vendor_performance(events: DataFrame) -> DataFrame:
         F.concat(F.lit('="U'), F.col("user_id").cast(T.StringType()), F.lit('"')).alias("sku"),
         F.col("event_type").alias("event_type"),
         F.concat(F.col("value").cast(T.StringType()), F.lit("%")).alias("late_shipment_rate"),
+        F.concat((F.lit(90) + F.col("event_id") % 10).cast(T.StringType()), F.lit(".5%")).alias("on_time_delivery_rate"),
+        F.when(F.col("event_id") % 50 == 0, F.lit("n/a")).otherwise(F.concat(
+            F.lit("0.0"), F.lpad((F.col("event_id") % 100).cast(T.StringType()), 2, "0"))).alias("order_defect_rate"),
         F.col("value").alias("order_value"))
 
 
