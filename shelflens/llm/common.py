@@ -23,9 +23,10 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow(df: DataFrame, fn, schema) -> DataFrame:
-    """``mapInArrow`` with the package at hand in the workers."""
+    """``mapInArrow`` with the package at hand in the workers.  ``fn`` takes the
+    columns by position (PySpark cannot pass names with dots)."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))]).mapInArrow(fn, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -82,7 +82,7 @@ def sizes(texts, model: LanguageModel) -> np.ndarray:
         raw = normal(text)
         for a in range(0, len(raw), PIECE):
             piece = raw[a:a + PIECE]
-            out[i] += [len(c(piece)) for c in made]
+            out[i] += np.array([len(c(piece)) for c in made], np.int64)
     return out
 
 

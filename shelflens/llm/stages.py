@@ -17,22 +17,25 @@ def language_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Documents whose language the classifier can tell; null texts, texts
     without letters and those with a narrow margin go."""
     model = language_id.train(docs)
-    return language_id.identify(docs, model).where("accepted").select(*docs.columns)
+    return language_id.identify(docs, model).where("accepted").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one that names the
     group, i.e. has its smallest id (rows equal in id and text are one document)."""
-    groups = jaccard_join.near_duplicates(docs)
-    keep = stash(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep")).distinct(), "keep")
-    left = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
-    return left.dropDuplicates(["doc_id", "text"])
+    known = F.col("doc_id").cast("long")
+    # rows without an id are told apart by their text, behind all real ids
+    own = F.coalesce(known, F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 62)))
+    keyed = docs.withColumn("__id", own)
+    groups = jaccard_join.near_duplicates(keyed, id_col="__id")
+    keep = stash(groups.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct(), "keep")
+    return keyed.join(keep, "__id", "left_semi").dropDuplicates(["__id", "text"]).drop("__id")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, whole or edited."""
     found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("matches") == 0).select(*docs.columns)
+    return found.where(F.size("matches") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
