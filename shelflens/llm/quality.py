@@ -22,6 +22,7 @@ from shelflens.llm.common import arrow, no_clash
 BUCKET_BITS = 18
 DIM = 8
 GRAMS = (2, 3, 4)  # characters
+REPEATED = 7  # the bucket of a word that repeats the one before it
 EPOCHS = 12
 RATE = 0.5
 SAMPLE_DOCUMENTS = 3000  # labelled documents that are learned from, at most
@@ -62,7 +63,14 @@ def _features(texts):
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum(letter * power[:-1], out=sums[1:])
     hashes = W.mix((sums[b] - sums[a]) * inverse[a] + np.uint64(77))
-    yield (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), np.searchsorted(a, starts), np.searchsorted(a, ends)
+    first = np.searchsorted(a, starts)
+    yield (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), first, np.searchsorted(a, ends)
+    # a word that repeats the one before it: one feature for all words
+    again = np.zeros(len(hashes), bool)
+    again[1:] = hashes[1:] == hashes[:-1]
+    again[first[first < len(hashes)]] = False
+    at = a[again]
+    yield np.full(len(at), REPEATED, np.int64), np.searchsorted(at, starts), np.searchsorted(at, ends)
 
 
 def _pieces(texts):

@@ -17,7 +17,7 @@ def test_held_out_ranking(spark):
 
 def test_features_by_brute_force():
     texts = ["ab cab", "", "x", "a  b\nca ÄÖü"]
-    got = {n: [set() for _ in texts] for n in range(len(Q.GRAMS) + 1)}
+    got = {n: [set() for _ in texts] for n in range(len(Q.GRAMS) + 2)}
     for kind, (buckets, start, end) in enumerate(Q._features(texts)):
         for k in range(len(texts)):
             got[kind][k] = buckets[start[k]:end[k]].tolist()
@@ -29,6 +29,9 @@ def test_features_by_brute_force():
             assert alone == got[kind][k]  # the same in any batch
         assert len(got[len(Q.GRAMS)][k]) == len(t.split())
     words = got[len(Q.GRAMS)]
+    assert [len(x) for x in got[len(Q.GRAMS) + 1]] == [0, 0, 0, 0]
+    *_, (_, start, end) = Q._features(["a a a b", "b", "b b"])
+    assert (end - start).tolist() == [2, 0, 1]
     assert words[0][0] != words[0][1] and len(set(words[3])) == 4
 
 
