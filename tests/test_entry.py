@@ -17,6 +17,8 @@ def test_oracle_keys_subset():
 
 def test_every_query_runs_small(spark):
     for name, fn in E.queries().items():
+        if not name.startswith("q_"):
+            continue  # tests/llm runs the training-data queries
         df = fn(spark, "/root/testdata/sf0.001")
         assert df.count() >= 0, name
 
