@@ -36,7 +36,7 @@ from shelflens.llm.common import arrow, components, ship, stash
 SHINGLE = 5
 NUM, DEN = 75, 100  # the least Jaccard similarity
 LEVELS = 40  # frequency classes: floor(log2(df))
-BUCKET_SHINGLES = 2_000_000  # of a hash range, about
+BUCKET_SHINGLES = 1_000_000  # of a hash range, about
 BLOCK_SHINGLES = 4_000_000  # of a cluster's block that meets another in one task, about
 
 
@@ -226,8 +226,6 @@ def _stars(batches):
 def _by_range(source: DataFrame, sets_of, total: int, then, schema: str) -> DataFrame:
     """Send the shingles of ``source``'s sets to their hash ranges and apply ``then``."""
     ranges = max(1, -(-total // BUCKET_SHINGLES))
-    # at least as many as the session's shuffle partitions, so that all cores work
-    ranges = max(ranges, int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     blocks = arrow(source, shingle_blocks(sets_of, ranges), _BLOCK)
     return arrow(blocks.repartition(ranges, "range").sortWithinPartitions("range"), then, schema)
 
