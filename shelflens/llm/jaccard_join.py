@@ -37,6 +37,9 @@ SHINGLE = 5
 NUM, DEN = 75, 100  # the least Jaccard similarity
 LEVELS = 40  # frequency classes: floor(log2(df))
 BUCKET_SHINGLES = 1_000_000  # of a hash range, about
+SLICE_SHINGLES = 3_000_000  # of the sets that a task packs together
+FREQUENCY_BITS = 40
+FILTER_BITS = 1 << 26  # of the filter that spares most texts a second shuffle: 8 MiB whatever the input
 BLOCK_SHINGLES = 4_000_000  # of a cluster's block that meets another in one task, about
 
 
@@ -120,13 +123,17 @@ _BLOCK = T.StructType([T.StructField("range", T.IntegerType()), T.StructField("n
 
 def shingle_blocks(sets_of, ranges: int):
     """mapInArrow function: per slice of sets and hash range one row with the
-    sorted shingles, their owners (numbers in the slice) and the owners' nodes."""
-    step = (1 << 64) // ranges + 1
+    sorted shingles, their owners (numbers in the slice) and the owners' nodes.
+    Only the upper FREQUENCY_BITS bits of the hashes travel: shingles that fall
+    together look more frequent than they are, which keeps a set in the running
+    (or puts it in a cluster) that would else be out, never the reverse."""
+    step = (1 << FREQUENCY_BITS) // ranges + 1
+    cut = np.uint64(64 - FREQUENCY_BITS)
 
     def rows(held):
         nodes = np.array([h[0] for h in held], np.int64)
         levels = np.array([h[2] for h in held], np.uint8)
-        shingles = np.concatenate([h[1] for h in held])
+        shingles = np.concatenate([h[1] for h in held]) >> cut
         owners = np.repeat(np.arange(len(held), dtype=np.uint16), [len(h[1]) for h in held])
         order = np.argsort(shingles, kind="stable")
         shingles, owners = shingles[order], owners[order]
@@ -145,7 +152,7 @@ def shingle_blocks(sets_of, ranges: int):
             node, s = item[0], item[1]
             held.append((node, s, item[2] if len(item) > 2 else 0))
             size += len(s)
-            if size >= 1_500_000 or len(held) >= 60_000:
+            if size >= SLICE_SHINGLES or len(held) >= 60_000:
                 for r in rows(held):  # one range at a time: small batches
                     yield pa.RecordBatch.from_pylist([r], arrow_schema)
                 held, size = [], 0
@@ -374,6 +381,30 @@ def _join_clusters(batches):
         yield batch_of(pairs)
 
 
+def node_filter(nodes: DataFrame):
+    """A test that is true for every node of the table and false for most others
+    (as long as there are fewer than about FILTER_BITS nodes; beyond that it lets
+    all through, and only the shuffle it saves is lost).  The driver and the
+    workers hold FILTER_BITS bits, a fixed size."""
+    # nodes are hashes already: two separate stretches of their bits
+    place = [F.pmod(F.shiftright("node", k), F.lit(FILTER_BITS)) for k in (0, 32)]
+    bits = nodes.select(F.explode(F.array(*place)).alias("p")).select((F.col("p") / 32768).cast("int").alias("page"), (F.col("p") % 32768).alias("bit"))
+    pages = bits.groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()  # at most FILTER_BITS / 32768 rows
+    table = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in pages:
+        table[r["page"] * 4096:r["page"] * 4096 + len(r["bits"])] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    raw = table.tobytes()
+
+    def maybe(node: int) -> bool:
+        for k in (0, 32):
+            p = (node >> k) % FILTER_BITS
+            if not raw[p >> 3] >> (p & 7) & 1:
+                return False
+        return True
+
+    return maybe
+
+
 def linked_sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` that connect all linked sets.  ``texts(doc_id, text)``;
     ``nodes(node, doc_id, n_shingles)``: one document of each distinct set."""
@@ -382,12 +413,12 @@ def linked_sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     n = F.col("n_shingles")
     fewest = F.ceil(n * F.lit(NUM) / F.lit(DEN))
     some = stash(nodes.join(seen.select("node", "seen"), "node").where(F.col("seen") >= fewest).select("node", "doc_id", "n_shingles"), "may-link")
-    # the texts of the remaining nodes; repeated ids bring other sets along, which the second join drops
-    wanted = some.select(F.col("doc_id").alias("__id"))
-    near = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select("text")
+    maybe = node_filter(some)
 
     def to_sets(batches):
         for node, s in _text_sets(batches):
+            if not maybe(node):
+                continue
             yield pa.RecordBatch.from_arrays([pa.array([node], pa.int64()), pa.array([s.tobytes()], pa.binary())], names=["node", "shingles"])
 
     def gathered(batches):  # fewer, larger batches
@@ -401,7 +432,8 @@ def linked_sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
         if held:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-    found = arrow(near, gathered, "node long, shingles binary")
+    # the join drops what the filter let through in error
+    found = arrow(texts.select("text"), gathered, "node long, shingles binary")
     sets = stash(found.join(some.select("node", "n_shingles"), "node").groupBy("node")
                  .agg(F.min("shingles").alias("shingles"), F.min("n_shingles").alias("n_shingles")), "sets")
 
