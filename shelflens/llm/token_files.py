@@ -32,37 +32,94 @@ from shelflens.llm.common import arrow, scratch_dir, stash
 CHECKPOINT = 64  # tokens between bit-offset checkpoints
 BLOCK_TOKENS = 1 << 16  # a block is closed once it holds as many
 LIMIT = 16  # bits of the longest code, more only if the vocabulary needs it
-CACHE = 400_000  # words whose ids a Python worker keeps
+CACHE = 1_000_000  # words whose ids a Python worker keeps
 
-# White space of the byte-level pre-tokenizer: it never ends a token that holds
-# other characters, so a text may be cut before any run of white space.
-_WS = "\t-\r \x85\xa0  -     　"
+# White space of the byte-level pre-tokenizer.  A token holds white space only
+# at its beginning, so a text may be cut before any run of white space.
+_WS = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNIT = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
+_RARE = [c for c in _WS if c not in " \n"]
+_RUNS = ["  ", "\n\n", " \n", "\n "]
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _encoders: dict = {}
 
 
+def _core(word: str, marks) -> str:
+    """The word's letters (with the line feed before them) if what remains is at
+    most one mark, which is a token of its own after letters; else empty."""
+    core = word if word[-1:] not in marks else word[:-1]
+    bare = core[1:] if core[:1] == "\n" else core
+    return core if bare.isalpha() and max(bare) < "\u0250" else ""
+
+
+class _Words(dict):
+    """word -> its ids after a space; "\\n" + word -> its ids after a line feed
+    (with the line feed's); both without a look at the rest of the text."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.ids = encode
+        self.marks = {m: encode("a" + m)[len(encode("a")):] for m in _MARKS}
+
+    def __missing__(self, word):
+        core = _core(word, self.marks)
+        if core and core != word:
+            value = self[core] + self.marks[word[-1]]
+        else:
+            value = self.ids(word if word[0] == "\n" else " " + word)
+        self[word] = value
+        return value
+
+
 class _Encoder:
-    """ids of texts by way of their words: each distinct word (with the white
-    space before it) goes through the tokenizer once per Python worker."""
+    """ids of texts by way of their words: each distinct word goes through the
+    tokenizer once per Python worker, new words of letters many at a time."""
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.dtype, self.known = dtype, {}
+        self.dtype = dtype
+        self.words, self.feed = _Words(self._ids), len(self._ids("\n"))
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _learn(self, new) -> None:
+        marks = self.words.marks
+        cores = {_core(w, marks) for w in new}.difference(self.words, [""])
+        fed = [c for c in cores if c[0] == "\n"]
+        for words, before, tokens in (([c for c in cores if c[0] != "\n"], " ", 1), (fed, "", 2)):
+            for a in range(0, len(words), 5000):
+                some = words[a:a + 5000]
+                done = self.tokenizer.encode(before + before.join(some), add_special_tokens=False)
+                ids, of = np.array(done.ids, self.dtype), np.array(done.word_ids)  # of: the pre-token of each id
+                ends = np.append(np.flatnonzero(np.diff(of)) + 1, len(ids))
+                if len(ends) != tokens * len(some):  # another pre-tokenizer: one by one, later
+                    continue
+                raw, start = ids.tobytes(), 0
+                for word, end in zip(some, (ends[tokens - 1::tokens] * ids.itemsize).tolist()):
+                    self.words[word] = raw[start:end]
+                    start = end
 
     def encode(self, texts) -> list[bytes]:
-        units = [_UNIT.findall(t) if t else [] for t in texts]
-        new = set().union(*units).difference(self.known) if units else set()
-        if len(self.known) + len(new) > CACHE:
-            self.known = {}
-            new = set().union(*units)
-        new = list(new)
-        for a in range(0, len(new), 10_000):
-            some = new[a:a + 10_000]
-            for unit, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.known[unit] = np.array(e.ids, self.dtype).tobytes()
-        return [b"".join(map(self.known.__getitem__, u)) for u in units]
+        if len(self.words) > CACHE:
+            self.words = _Words(self._ids)
+        split, new, known = [], set(), self.words
+        for text in texts:
+            if not text:
+                split.append(None)
+            elif text[0] in _WS or text[-1] in _WS or any(r in text for r in _RUNS) or any(c in text for c in _RARE):
+                split.append(text)
+            else:  # one space or line feed between any two words
+                words = text.replace("\n", " \n").split(" ")
+                words[0] = "\n" + words[0]
+                split.append(words)
+                new.update([w for w in words if w not in known])
+        self._learn(new)
+        one = known.__getitem__
+        return [b"" if x is None else b"".join([self._ids(u) for u in _UNIT.findall(x)]) if isinstance(x, str)
+                else b"".join(map(one, x))[self.feed:] for x in split]
 
 
 def _encoder(path, dtype):
@@ -111,9 +168,11 @@ def id_counts(tokens: DataFrame, vocabulary: int, slices: int = 64) -> DataFrame
     def count(batches):
         total = np.zeros(step * slices, np.int64)
         for batch in batches:
-            for x in batch.column(0):
-                if len(x := x.as_py() or b""):
-                    total += np.bincount(np.frombuffer(x, dtype), minlength=len(total))
+            ids = batch.column(0)
+            if len(ids) and ids.buffers()[2] is not None:  # all rows' ids lie one after another
+                ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids) + 1]
+                raw = np.frombuffer(ids.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+                total += np.bincount(np.frombuffer(raw.tobytes(), dtype), minlength=len(total))
         cut = total.reshape(slices, step)
         used = np.flatnonzero(cut.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([cut[k].tobytes() for k in used], pa.binary())],
@@ -195,19 +254,17 @@ def decode_block(payload: bytes, marks: bytes, n: int, limit: int, id_of, bits_o
     lengths = np.frombuffer(marks, "<u2").astype(np.int64)
     at = np.cumsum(lengths) - lengths
     data = np.frombuffer(payload + b"\0" * 8, np.uint8).astype(np.uint32)
-    out = np.zeros((CHECKPOINT, len(at)), np.int64)
+    ahead = (data[:-3] << 24) | (data[1:-2] << 16) | (data[2:-1] << 8) | data[3:]  # 32 bits from each byte on
+    out = np.zeros((CHECKPOINT, len(at)), np.uint32)
     shift, mask, last = 32 - limit, (1 << limit) - 1, n - (len(at) - 1) * CHECKPOINT
     for k in range(CHECKPOINT):
         live = len(at) if k < last else len(at) - 1  # the last stretch may be short
         if not live:
             break
         p = at[:live]
-        byte = p >> 3
-        window = (data[byte].astype(np.uint64) << np.uint64(24)) | (data[byte + 1].astype(np.uint64) << np.uint64(16)) \
-            | (data[byte + 2].astype(np.uint64) << np.uint64(8)) | data[byte + 3]
-        window = ((window >> (np.uint64(shift) - (p & 7).astype(np.uint64))) & np.uint64(mask)).astype(np.int64)
+        window = (ahead[p >> 3] >> (shift - (p & 7)).astype(np.uint32)) & np.uint32(mask)
         out[k, :live] = id_of[window]
-        at[:live] += bits_of[window]
+        p += bits_of[window]
     return out.T.reshape(-1)[:n]
 
 
@@ -216,7 +273,7 @@ def _decode_table(ids, bits):
     if limit > 24:
         raise ValueError("codes over 24 bits")
     codes = canonical_codes(bits).astype(np.int64)
-    id_of, bits_of = np.zeros(1 << limit, np.int64), np.ones(1 << limit, np.int64)
+    id_of, bits_of = np.zeros(1 << limit, np.uint32), np.ones(1 << limit, np.int64)
     for i, b, c in zip(ids, bits, codes):
         lo, hi = c << (limit - b), (c + 1) << (limit - b)
         id_of[lo:hi], bits_of[lo:hi] = i, b
