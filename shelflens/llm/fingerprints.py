@@ -93,8 +93,9 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     sketched = with_sketch(docs, F.col("text"), "sketch")
     given = sketched.select("key", "doc_id", "text", "sketch")
+    # the same columns as below, so that both joins read one shuffle of the texts
     ahead = given.join(pairs, "key").select(
-        F.col("before").alias("key"), F.expr("substring(text, 1, wanted div 2)").alias("head"), F.col("sketch").alias("next_sketch"))
+        F.col("before").alias("key"), F.col("doc_id").alias("next_id"), F.expr("substring(text, 1, wanted div 2)").alias("head"), F.col("sketch").alias("next_sketch"))
     if repeated > 1:
         ahead = ahead.dropDuplicates(["key"])
     out = given.join(ahead, "key").withColumn("n_chars", F.char_length("text").cast("long"))
@@ -103,4 +104,4 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     return out.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
                       as_text(F.col("sketch")).alias("fingerprint"), as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
                       likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-                      likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+                      likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"), "next_id")
