@@ -1,11 +1,15 @@
-"""Benchmark decontamination (operator 2): rare n-gram seeds, then alignment.
-
-Every test item's word n-grams are counted over the whole corpus; an item's
-rarest ones are its seeds.  Each occurrence of a seed in a document opens a
-window around the place where the item would lie; windows that hold too few
-of the item's words to reach the threshold are dropped (an exact bound), and
-Smith-Waterman alignment scores the others, so that edited and paraphrased
-copies count by how much of the item they keep.
+"""Benchmark decontamination (operator 2): rare word-pair seeds, then alignment.
+
+A seed is an ordered pair of words, next to each other or with one word between
+them, in the item and in the text alike.  An alignment that reaches THRESHOLD
+has a known number of steps from one matched word to the next that skip at most
+one word on either side (`least_pairs`), so a text that holds a copy holds that
+many of the item's pairs, however it was edited.  Pairs are counted over the
+corpus and each item's most frequent ones are left out, but never so many that
+a copy could lose all of its own: by the pigeonhole principle at least
+`needed_seeds` of the kept ones lie in any copy.  Nothing but this exact bound
+decides where a window opens; Smith-Waterman alignment scores the windows, so
+that edited and paraphrased copies count by how much of the item they keep.
 
 Items are taken in blocks of a bounded size, so neither driver nor executors
 ever hold more than one block of the benchmark.
@@ -24,11 +28,12 @@ from pyspark.sql import types as T
 from shelflens.llm import words as W
 from shelflens.llm.common import arrow, no_clash
 
-GRAM = 3  # words of a seed; shorter items cannot be told from ordinary language
-SEED_SHARE, LEAST_SEEDS = 0.6, 12  # an item's rarest n-grams: this share of them, this many at least
+LEAST_WORDS = 3  # shorter items cannot be told from ordinary language
+APART = (1, 2)  # distances of a pair's words: a step of alignment cost 0 or 1
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5  # of the item's score against itself
 ITEMS_PER_BLOCK = 20_000
+ENTRIES = 2_000_000  # seed places looked at together (one document's at least)
 # words here are runs of ASCII letters, digits and all other characters beyond ASCII
 _SEPARATOR = np.ones(256, bool)
 _SEPARATOR[48:58] = _SEPARATOR[65:91] = _SEPARATOR[97:123] = _SEPARATOR[128:] = False
@@ -41,9 +46,33 @@ def _word_rows(array):
         yield row, W.hash_spans(data, starts, ends), first
 
 
+def need(n: int) -> float:
+    """Score from which a copy of an item of n words counts."""
+    return THRESHOLD * MATCH * n
+
+
+def least_pairs(n):
+    """Steps over at most one word in any alignment that reaches `need`.
+
+    M matched words make M - 1 steps, and MATCH * M less their costs is the
+    score, so at most (MATCH * M - need) / 2 steps cost 2 or more.
+    """
+    return np.ceil(THRESHOLD * MATCH * n / 2).astype(np.int64) - 1
+
+
+def needed_seeds(n):
+    """How many of an item's seeds any copy holds, once `rarest` has chosen them."""
+    return (least_pairs(n) + 1) // 2
+
+
+def _pairs(words: np.ndarray, apart: int) -> np.ndarray:
+    """Hash of the words at each position and ``apart`` further on."""
+    return W.mix(words[:-apart] * W._GRAM[0] + words[apart:] * W._GRAM[1])
+
+
 @dataclasses.dataclass
 class Block:
-    """Items of one block and their seeds, sorted by n-gram hash."""
+    """Items of one block and their seeds, sorted by pair hash."""
     item_ids: list
     words: list  # of each item: word hashes
     grams: np.ndarray
@@ -51,7 +80,7 @@ class Block:
     gram_at: np.ndarray
 
     def lookup(self):
-        """Distinct n-grams, their slices, and a bit table that rules out most others."""
+        """Distinct pairs, their slices, and a bit table that rules out most others."""
         distinct, first = np.unique(self.grams, return_index=True)
         bits = np.zeros(1 << 20, bool)
         bits[(distinct >> np.uint64(44)).astype(np.int64)] = True
@@ -64,30 +93,32 @@ def make_block(ids, texts) -> Block:
         for k in range(len(first) - 1):
             kept.append(hashes[first[k]:first[k + 1]])
     for k, w in enumerate(kept):
-        g = W.gram_hashes(w, GRAM)
-        grams.append(g), item.append(np.full(len(g), k)), at.append(np.arange(len(g)))
+        for apart in APART if len(w) >= LEAST_WORDS else ():
+            g = _pairs(w, apart)
+            grams.append(g), item.append(np.full(len(g), k)), at.append(np.arange(len(g)))
     grams, item, at = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (grams, item, at))
     order = np.argsort(grams, kind="stable")
     return Block(list(ids), kept, grams[order], item[order].astype(np.int64), at[order].astype(np.int64))
 
 
 def _found(hashes, first, lookup):
-    """(positions, numbers of distinct n-grams) of the block's n-grams in the chunk."""
+    """(positions, numbers of distinct pairs) of the block's pairs in the chunk."""
     distinct, _, bits = lookup
-    grams = W.gram_hashes(hashes, GRAM)
-    if not len(grams) or not len(distinct):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.flatnonzero(bits[(grams >> np.uint64(44)).astype(np.int64)])
-    k = np.minimum(np.searchsorted(distinct, grams[at]), len(distinct) - 1)
-    hit = distinct[k] == grams[at]
-    at, k = at[hit], k[hit]
-    row_end = first[np.searchsorted(first, at, "right")]  # an n-gram must not run into the next text
-    inside = at + GRAM <= row_end
-    return at[inside], k[inside]
+    places, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for apart in APART if len(distinct) else ():
+        grams = _pairs(hashes, apart)
+        at = np.flatnonzero(bits[(grams >> np.uint64(44)).astype(np.int64)])
+        k = np.minimum(np.searchsorted(distinct, grams[at]), len(distinct) - 1)
+        hit = distinct[k] == grams[at]
+        at, k = at[hit], k[hit]
+        row_end = first[np.searchsorted(first, at, "right")]  # a pair must not run into the next text
+        inside = at + apart < row_end
+        places.append(at[inside]), numbers.append(k[inside])
+    return np.concatenate(places), np.concatenate(numbers)
 
 
 def corpus_counts(texts: DataFrame, block: Block) -> np.ndarray:
-    """Occurrences of each distinct n-gram of the block in all texts."""
+    """Occurrences of each distinct pair of the block in all texts."""
     lookup = block.lookup()
     n = len(lookup[0])
 
@@ -100,25 +131,57 @@ def corpus_counts(texts: DataFrame, block: Block) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], names=["k", "n"])
 
     counts = np.zeros(n, np.int64)
-    # one row per n-gram of the block: bounded by the block
+    # one row per pair of the block: bounded by the block
     for r in arrow(texts, run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
         counts[r["k"]] = r["n"]
     return counts
 
 
 def rarest(block: Block, counts: np.ndarray) -> Block:
-    """The block with only each item's rarest n-grams as seeds (ties by place)."""
-    distinct, first, _ = block.lookup()
-    uses = np.repeat(counts, np.diff(first))
-    order = np.lexsort((block.gram_at, uses, block.gram_item))
-    item = block.gram_item[order]
-    start = np.searchsorted(item, item)
-    size = np.searchsorted(item, item, "right") - start
-    keep = order[np.arange(len(item)) - start < np.maximum(LEAST_SEEDS, np.ceil(SEED_SHARE * size))]
-    keep = np.sort(keep)
+    """The block with its seeds: the pairs of each item's rarest positions (ties by place).
+
+    Of an item's n - 1 positions with a pair a copy holds `least_pairs`; it
+    holds `needed_seeds` of the kept ones if as many positions are left out as
+    the difference, whichever they are.
+    """
+    _, first, _ = block.lookup()
+    size = np.array([len(w) for w in block.words], np.int64)
+    begin = np.cumsum(size) - size  # positions of all items in one row
+    place = begin[block.gram_item] + block.gram_at
+    uses = np.bincount(place, np.repeat(counts, np.diff(first)), size.sum())
+    item = np.repeat(np.arange(len(size)), size)
+    at = np.arange(len(item)) - begin[item]
+    paired = np.flatnonzero(at < size[item] - 1)
+    order = paired[np.lexsort((at[paired], uses[paired], item[paired]))]
+    rank = np.arange(len(order)) - np.searchsorted(item[order], item[order])
+    n = size[item[order]]
+    chosen = np.zeros(len(item), bool)
+    chosen[order[rank < n - 1 - least_pairs(n) + needed_seeds(n)]] = True
+    keep = chosen[place]
     return Block(block.item_ids, block.words, block.grams[keep], block.gram_item[keep], block.gram_at[keep])
 
 
+def _openings(doc, item, at, item_at, size):
+    """(document, item, where the item would begin) of the seeds that can be the
+    first of a copy: `needed_seeds` from it on within the longest copy's words."""
+    order = np.lexsort((item_at, at, item, doc))
+    doc, item, at, item_at = doc[order], item[order], at[order], item_at[order]
+    # a pair of equal words may be found by both distances
+    new = np.ones(len(doc), bool)
+    new[1:] = (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(at) != 0) | (np.diff(item_at) != 0)
+    doc, item, at, item_at = doc[new], item[new], at[new], item_at[new]
+    n = size[item]
+    last = np.arange(len(doc)) + needed_seeds(n) - 1
+    to = np.minimum(last, len(doc) - 1)
+    opens = (last == to) & (doc[to] == doc) & (item[to] == item) & (at[to] - at < n + _slack(n))
+    return doc[opens], item[opens], (at - item_at)[opens]
+
+
+def _slack(n):
+    """Words that a copy of an item of n words can have put in."""
+    return np.floor((MATCH - THRESHOLD * MATCH) * n).astype(np.int64)
+
+
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
     """Smith-Waterman with linear gaps: best local score and where it ends in the window."""
     slope = -GAP * np.arange(len(window) + 1)
@@ -137,23 +200,23 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _matches(words: np.ndarray, at, items, item_at, block: Block):
-    """Best alignment per item of one document's seed occurrences."""
+def _matches(words: np.ndarray, items, begins, block: Block):
+    """Best alignment per item of one document, from its openings."""
     out = []
     for i in np.unique(items):
         item = block.words[i]
-        n, mine = len(item), items == i
-        lows = np.sort(at[mine] - item_at[mine])  # where the item would begin
-        need = THRESHOLD * MATCH * n
+        n = len(item)
+        lows, slack, least = np.sort(begins[items == i]), int(_slack(np.int64(n))), need(n)
         best = (0, 0, 0)
-        group = np.flatnonzero(np.diff(lows, prepend=lows[0] - n - 1) > n // 2)
+        # a copy through an opening lies from slack words before the item's place to slack words behind it
+        group = np.flatnonzero(np.diff(lows, prepend=lows[0] - 3 * (n + slack)) > n + 2 * slack)
         for a, b in zip(group, np.append(group[1:], len(lows))):
-            lo, hi = max(0, lows[a] - n // 2), min(len(words), lows[b - 1] + n + n // 2)
+            lo, hi = max(0, lows[a] - slack), min(len(words), lows[b - 1] + n + slack)
             window = words[lo:hi]
-            if MATCH * min(n, int(np.isin(window, item).sum())) < need:
+            if MATCH * min(n, int(np.isin(window, item).sum())) < least:
                 continue
             s, end = align(item, window)
-            if s >= need and s > best[0]:
+            if s >= least and s > best[0]:
                 _, back = align(item[::-1], window[:end][::-1])
                 best = (s, lo + end - back, lo + end - 1)
         if best[0]:
@@ -176,7 +239,7 @@ def scan(df: DataFrame, items: DataFrame, text_col: str = "text", item_id: str =
     copy, for each test item that the text holds; empty for clean texts.
 
     Null and empty texts are clean; null items are skipped, items of fewer
-    than GRAM words are not looked for; repeated rows are judged alike; an
+    than LEAST_WORDS words are not looked for; repeated rows are judged alike; an
     input column ``matches`` is replaced.
     """
     df = no_clash(df, ["matches"])
@@ -193,25 +256,30 @@ def scan(df: DataFrame, items: DataFrame, text_col: str = "text", item_id: str =
         seeds = rarest(block, corpus_counts(df.select(F.col(f"`{text_col}`")), block))
 
         def run(batches, block=seeds):
-            lookup = block.lookup()
+            lookup, size = block.lookup(), np.array([len(w) for w in block.words], np.int64)
             for batch in batches:
                 found = batch.column(columns).to_pylist()
                 for row, hashes, first in _word_rows(batch.column(at)):
                     where, k = _found(hashes, first, lookup)
-                    if not len(where):
-                        continue
-                    # one entry per place of the n-gram in an item
+                    order = np.argsort(where, kind="stable")
+                    where, k = where[order], k[order]
+                    # one entry per place of the pair in an item
                     times = np.diff(lookup[1])[k]
-                    entry = np.repeat(lookup[1][k], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                    where = np.repeat(where, times)
                     doc = np.searchsorted(first, where, "right") - 1
-                    cuts = np.flatnonzero(np.diff(doc, prepend=-1))
+                    part = np.cumsum(times) // ENTRIES
+                    cuts = np.flatnonzero(np.diff(doc, prepend=-1))  # whole documents together
+                    cuts = cuts[np.diff(part[cuts], prepend=-1) != 0]
                     for a, b in zip(cuts, np.append(cuts[1:], len(doc))):
-                        d = doc[a]
-                        got = _matches(hashes[first[d]:first[d + 1]], where[a:b] - first[d], block.gram_item[entry[a:b]],
-                                       block.gram_at[entry[a:b]], block)
-                        if got:
-                            found[row + d] = found[row + d] + got
+                        many = times[a:b]
+                        entry = np.repeat(lookup[1][k[a:b]], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                        of, items, begins = _openings(np.repeat(doc[a:b], many), block.gram_item[entry], np.repeat(where[a:b], many),
+                                                      block.gram_at[entry], size)
+                        ends = np.flatnonzero(np.diff(of, prepend=-1))
+                        for c, e in zip(ends, np.append(ends[1:], len(of))):
+                            d = of[c]
+                            got = _matches(hashes[first[d]:first[d + 1]], items[c:e], begins[c:e] - first[d], block)
+                            if got:
+                                found[row + d] = found[row + d] + got
                 yield pa.RecordBatch.from_arrays([*batch.columns[:columns], pa.array(found, arrow_kind)], names=schema.names)
 
         out = arrow(out, run, schema)

@@ -79,3 +79,56 @@ def test_edges(spark, edge, none, edge_rows):
         assert bool(r.matches) == (r.text is not None and edge_rows[5][1][:40].lower() in " ".join(r.text.lower().split()))
     assert D.scan(none, items).count() == 0
     assert all(r.matches == [] for r in D.scan(edge, items.limit(0)).collect())
+
+
+def edited(rng, words, how):
+    """An edited copy; each kind leaves an alignment score of at least THRESHOLD."""
+    new = lambda: "".join(rng.choice("qrstuvwxyz") for _ in range(7))
+    if how == "fourth":
+        return [new() if k % 4 == 3 else w for k, w in enumerate(words)]
+    if how == "third":  # no three words in a row are left
+        return [new() if k % 3 == 2 else w for k, w in enumerate(words)]
+    if how == "between":  # no two words in a row are left
+        return [x for w in words for x in (w, new())][:-1]
+    if how == "dropped":
+        return [w for k, w in enumerate(words) if k % 4 != 2]
+    if how == "half":
+        return words[:len(words) // 2 + 1]
+    return [new() if rng.random() < float(how) else w for w in words]
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_edited_copies_against_brute_force(spark, whole):
+    """Items that the corpus holds only as edited copies, or as whole ones too."""
+    rng = random.Random(11)
+    items = [sentence(rng, n, "abcdefghijklmnop") for n in (3, 4, 5, 7, 12, 20, 30, 40, 55)]
+    kinds = ["fourth", "third", "between", "dropped", "half", "0.2", "0.25", "0.3"]
+    texts = []
+    for item in items:
+        for how in kinds:
+            body = sentence(rng, 60, "abcdefghijklmnop").split()
+            body[30:30] = edited(rng, item.split(), how)
+            texts.append(" ".join(body))
+    texts += items if whole else []
+    want = {(d, i): s for d, text in enumerate(texts) for i, item in enumerate(items) if (s := brute_score(item, text)) >= D.THRESHOLD}
+    got = {(r.doc_id, m.item_id): m.score for r in D.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+           spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect() for m in r.matches}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert {(k * len(kinds) + j, k) for k in range(5, 9) for j in range(5)} <= want.keys()
+
+
+def test_few_different_words_against_brute_force(spark, monkeypatch):
+    """Words that return often, so that frequent pairs are left out of the seeds."""
+    monkeypatch.setattr(D, "ENTRIES", 50)
+    rng = random.Random(12)
+    some = [f"w{k}" for k in range(25)]
+    pick = lambda n: [some[min(rng.randrange(25), rng.randrange(25))] for _ in range(n)]
+    items = [pick(rng.randint(3, 30)) for _ in range(25)]
+    texts = [" ".join(pick(40) + edited(rng, rng.choice(items), rng.choice(["fourth", "third", "between", "0.3"])) + pick(40)) for _ in range(60)]
+    items = [" ".join(i) for i in items]
+    want = {(d, i): s for d, text in enumerate(texts) for i, item in enumerate(items) if (s := brute_score(item, text)) >= D.THRESHOLD}
+    got = {(r.doc_id, m.item_id): m.score for r in D.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+           spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect() for m in r.matches}
+    assert got.keys() == want.keys() and len(want) > 60
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
