@@ -4,7 +4,8 @@ Closed syncmers over words: a k-mer of K consecutive words is kept when the
 smallest hash among its inner S-word substrings lies at its first or last
 place.  Whether a k-mer is kept depends on its own words alone, so the same
 passage gives the same anchors in any context, and any stretch of words holds
-one at short distance.  A fingerprint is the SKETCH smallest anchor hashes.
+one at short distance.  The fingerprint string is the SKETCH smallest anchor
+hashes; two texts are compared by all their anchors and the anchors' positions.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from shelflens.llm.common import numbered
 K, S = 6, 2  # words of a k-mer and of its inner substrings
 INNER = K - S + 1
 SKETCH = 48
+SUPPORT = 2  # anchors that must agree on an offset (fewer if a text has fewer)
+_OTHER = 1 << 32  # added to the positions of the second text
 #: scripts written without spaces: every character is a word of its own
 _UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
@@ -53,11 +56,38 @@ def anchors(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Da
             .select("doc_id", F.inline("anchors")))
 
 
-def with_sketch(df: DataFrame, text, name: str) -> DataFrame:
-    """Add the sorted SKETCH smallest distinct anchors of a text expression."""
-    df = with_anchors(df, text, f"__{name}_a")
-    smallest = F.slice(F.sort_array(F.array_distinct(F.col(f"__{name}_a")["anchor"])), 1, SKETCH)
-    return df.withColumn(name, smallest).drop(f"__{name}_a")
+def sketch_of(anchors):
+    """The sorted SKETCH smallest distinct anchors of a ``(position, anchor)`` array."""
+    return F.slice(F.sort_array(F.array_distinct(anchors["anchor"])), 1, SKETCH)
+
+
+def with_matching(df: DataFrame, a, b, name: str) -> DataFrame:
+    """Add the likeness of two ``(position, anchor)`` columns: matched pairs over
+    all pairs of both (a matched one once); 1 for two empty texts.
+
+    Of equal anchors the first of one text meets the first of the other, the
+    second the second and so on.  Such a match counts if SUPPORT matches have its
+    offset (difference of positions), so a passage counts wherever it lies.
+    """
+    u, s, o = f"__{name}_u", f"__{name}_s", f"__{name}_o"
+    placed = lambda x, base: F.struct(x["anchor"].alias("anchor"), (x["position"].cast("long") + F.lit(base)).alias("place"))
+    df = df.withColumn(u, F.sort_array(F.concat(F.transform(a, lambda x: placed(x, 0)), F.transform(b, lambda x: placed(x, _OTHER)))))
+    at = lambda i: F.get(F.col(u), i)
+    # equal anchors lie together, the first text's before the second's
+    df = df.withColumn(s, F.filter(F.transform(u, lambda x, i: i), lambda i: F.coalesce(at(i)["anchor"] != at(i - 1)["anchor"], F.lit(True))))
+    runs = F.transform(s, lambda x, k: F.struct(x.alias("from"), F.coalesce(F.get(F.col(s), k + 1), F.size(u)).alias("to")))
+    both = F.filter(runs, lambda r: (at(r["from"])["place"] < _OTHER) & (at(r["to"] - 1)["place"] >= _OTHER))
+    parts = F.transform(both, lambda r: F.struct(r["from"].alias("from"), r["to"].alias("to"), (r["from"] + F.size(F.filter(
+        F.sequence(r["from"], r["to"] - 1), lambda i: at(i)["place"] < _OTHER))).alias("other")))
+    offsets = F.flatten(F.transform(parts, lambda r: F.transform(
+        F.sequence(F.lit(0), F.least(r["other"] - r["from"], r["to"] - r["other"]) - 1),
+        lambda k: at(r["other"] + k)["place"] - at(r["from"] + k)["place"])))
+    df = df.withColumn(o, F.sort_array(offsets))
+    near = lambda x, i: F.coalesce(F.get(F.col(o), i) == x, F.lit(False))
+    supported = F.size(F.filter(o, lambda x, i: near(x, i - SUPPORT + 1) | near(x, i + SUPPORT - 1)))
+    matched = F.when(F.least(F.size(a), F.size(b)) < SUPPORT, F.size(o)).otherwise(supported)
+    whole = F.size(a) + F.size(b)
+    return df.withColumn(name, F.when(whole == 0, F.lit(1.0)).otherwise(matched / (whole - matched))).drop(u, s, o)
 
 
 def as_text(sketch):
@@ -80,28 +110,29 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     after the last comes the first).  Rows equal in id and text count as one
     document in that order.  A null text counts as empty; a single document
     is its own next.  Only ids, lengths and hashes are sorted; the texts are
-    shuffled once by their hash, and of the next text only the part that is used.
+    shuffled once by their hash and once more to the document before; anchors,
+    larger than the texts they come from, are made after that.
     """
     docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
-    keys = (docs.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min(F.char_length("text")).alias("n"),
-                                    F.count(F.lit(1)).alias("copies")))
+    keys = (docs.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")))
     order = numbered(keys, [F.col("doc_id").desc_nulls_last(), F.col("key")], "place")
     count, repeated = order.agg(F.count(F.lit(1)), F.coalesce(F.max("copies"), F.lit(0))).first()
-    before = order.select(F.pmod(F.col("place") + 1, F.lit(max(count, 1))).alias("place"), F.col("key").alias("before"), F.col("n").alias("wanted"))
-    pairs = order.select("place", "key").join(before, "place").select("key", "before", "wanted")
+    before = order.select(F.pmod(F.col("place") + 1, F.lit(max(count, 1))).alias("place"), F.col("key").alias("before"))
+    pairs = order.select("place", "key").join(before, "place").select("key", "before")
 
-    sketched = with_sketch(docs, F.col("text"), "sketch")
-    given = sketched.select("key", "doc_id", "text", "sketch")
     # the same columns as below, so that both joins read one shuffle of the texts
-    ahead = given.join(pairs, "key").select(
-        F.col("before").alias("key"), F.col("doc_id").alias("next_id"), F.expr("substring(text, 1, wanted div 2)").alias("head"), F.col("sketch").alias("next_sketch"))
+    given = docs.select("key", "doc_id", "text")
+    ahead = given.join(pairs, "key").select(F.col("before").alias("key"), F.col("doc_id").alias("next_id"), F.col("text").alias("next_text"))
     if repeated > 1:
         ahead = ahead.dropDuplicates(["key"])
     out = given.join(ahead, "key").withColumn("n_chars", F.char_length("text").cast("long"))
-    out = out.withColumn("edited", F.concat(F.expr("substring(text, 1, cast(n_chars - n_chars div 2 as int))"), "head"))
-    out = with_sketch(out, F.col("edited"), "edited_sketch")
+    half = "cast(n_chars div 2 as int)"
+    out = out.withColumn("edited", F.concat(F.expr(f"substring(text, 1, cast(n_chars as int) - {half})"), F.expr(f"substring(next_text, 1, {half})")))
+    for text in ("text", "next_text", "edited"):
+        out = with_anchors(out, F.col(text), f"{text}_anchors")
+    whole, ahead, edited = (F.col(f"{text}_anchors") for text in ("text", "next_text", "edited"))
+    out = with_matching(with_matching(out, whole, edited, "near_edited"), whole, ahead, "near_next")
     return out.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
-                      as_text(F.col("sketch")).alias("fingerprint"), as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-                      likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-                      likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"), "next_id")
+                      as_text(sketch_of(whole)).alias("fingerprint"), as_text(sketch_of(edited)).alias("edited_fingerprint"),
+                      "near_edited", "near_next", "next_id")

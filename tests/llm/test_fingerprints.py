@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from shelflens.llm import fingerprints as P
 from shelflens.llm.queries import op3_fingerprints
@@ -53,3 +54,43 @@ def test_edges(edge, none, edge_rows):
     assert P.edited_fingerprints(none).count() == 0
     one = P.edited_fingerprints(edge.where("doc_id = 4")).first()
     assert one.near_next == 1.0
+
+
+def brute_matching(a, b):
+    """Likeness of two lists of (position, anchor) by the definition."""
+    offsets, places = [], {}
+    for p, x in sorted(b):
+        places.setdefault(x, []).append(p)
+    for p, x in sorted(a):
+        if places.get(x):
+            offsets.append(places[x].pop(0) - p)
+    matched = sum(offsets.count(o) >= min(P.SUPPORT, len(a), len(b)) for o in offsets)
+    return matched / (len(a) + len(b) - matched) if a or b else 1.0
+
+
+def test_matching_by_brute_force(spark):
+    rng = random.Random(4)
+    some = lambda n: sorted((p, rng.randrange(12)) for p in rng.sample(range(60), n))
+    rows = [(some(rng.randint(0, 30)), some(rng.randint(0, 30))) for _ in range(200)] + [([], []), ([(0, 5)], [(7, 5)]), ([(0, 5)], [])]
+    for a, _ in rows[:40]:  # shifted copies
+        rows.append((a, [(p + (3 if p > 30 else 1), x) for p, x in a]))
+    pairs = "array<struct<position:int,anchor:bigint>>"
+    df = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(rows)], f"k int, a {pairs}, b {pairs}")
+    got = dict(P.with_matching(df, df.a, df.b, "near").select("k", "near").collect())
+    assert all(abs(got[k] - brute_matching(a, b)) < 1e-12 for k, (a, b) in enumerate(rows))
+
+
+def test_long_texts_are_compared_whole(spark):
+    """A passage of 60 words shared by two texts of 3,000, and half of an edited text."""
+    rng = random.Random(6)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = text(60)
+    one, two = text(3000), text(3000)
+    one[500:560], two[2000:2060] = passage, passage
+    docs = spark.createDataFrame([(2, " ".join(one)), (1, " ".join(two))], "doc_id long, text string")
+    sets = {r.doc_id: [tuple(x) for x in r.anchors] for r in P.with_anchors(docs, docs.text).collect()}
+    want = brute_matching(sets[2], sets[1])
+    got = {r.doc_id: r for r in P.edited_fingerprints(docs).collect()}
+    assert 0.004 < want < 0.02 and abs(got[2].near_next - want) < 1e-12 and abs(got[1].near_next - want) < 1e-12
+    # a text of other words with this text's second half replaced keeps half of its anchors
+    assert abs(got[2].near_edited - 1 / 3) < 0.02 and abs(got[1].near_edited - 1 / 3) < 0.02
