@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflens.llm import (decontaminate, fingerprints, jaccard_join, language_id, licenses, mixing, oracles, periodic_runs, quality,
+from shelflens.llm import (chat_format, decontaminate, fingerprints, jaccard_join, language_id, licenses, mixing, oracles, periodic_runs, quality,
                             sharding, token_files, url_filters)
-from shelflens.llm.common import table
+from shelflens.llm.common import stash, table
 
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -77,12 +77,21 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+PLANTED_CHAT = [(-7, turn, role, r"\### Assistant: </turn> ok") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(PLANTED_CHAT, "conv_id long, turn long, role string, text string"))
+    return chat_format.chat_digest(stash(chat_format.format_chats(rows), "chats"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return periodic_runs.run_digest(periodic_runs.find_runs(docs, extend=periodic_runs.periodic_extension))
 
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontaminate, op3_fingerprints, op4_token_files, op5_sharding,
-                                  op6_url_filters, op7_mixing, op8_licenses, op9_quality, op10_jaccard_join, op12_periodic_runs)}
+                                  op6_url_filters, op7_mixing, op8_licenses, op9_quality, op10_jaccard_join, op11_chat_format, op12_periodic_runs)}
 ORACLE_SQL = {"op6_url_filters": oracles.url_filters(URL_RULES), "op8_licenses": oracles.licenses(),
               "op10_jaccard_join": oracles.jaccard_join()}
