@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelflens.llm import (chat_format, decontaminate, fingerprints, jaccard_join, language_id, licenses, mixing, oracles, periodic_runs, quality,
-                            sharding, token_files, url_filters)
+                            sharding, token_alignment, token_files, url_filters)
 from shelflens.llm.common import stash, table
 
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -19,6 +19,11 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_file() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def held_out(doc_id="doc_id"):
     """Rows kept from all learning: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2, F.lit(False))
@@ -91,7 +96,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digest(periodic_runs.find_runs(docs, extend=periodic_runs.periodic_extension))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"), tokenizer_file(), piece_file())
+
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontaminate, op3_fingerprints, op4_token_files, op5_sharding,
-                                  op6_url_filters, op7_mixing, op8_licenses, op9_quality, op10_jaccard_join, op11_chat_format, op12_periodic_runs)}
+                                  op6_url_filters, op7_mixing, op8_licenses, op9_quality, op10_jaccard_join, op11_chat_format, op12_periodic_runs,
+                                  op13_token_alignment)}
 ORACLE_SQL = {"op6_url_filters": oracles.url_filters(URL_RULES), "op8_licenses": oracles.licenses(),
               "op10_jaccard_join": oracles.jaccard_join()}
