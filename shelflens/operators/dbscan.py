@@ -24,10 +24,8 @@ Plan (no all-pairs step anywhere):
 3. The cluster graph has one node per cell that contains core points; an
    edge joins two neighbouring cells whose core points come within ``eps``,
    proven with the same box scheme on box pairs (``_cell_edges``).
-4. Connected components by min-label propagation with pointer jumping; each
-   round is written as a reliable checkpoint (lineage stays short, a lost
-   executor re-reads a checkpoint instead of replaying all rounds), and the
-   loop runs until no label changes.
+4. Connected components by contraction (``components.py``): rounds follow the
+   logarithm of the number of cells, not the diameter; each is written.
 5. Border points take the smallest cluster among core points within ``eps``
    (boxes of core points carry their cell's cluster).
 """
@@ -42,11 +40,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelflens import constants as K
-from shelflens.session import ensure_checkpoint_dir
-
-# Safety net only: propagation converges in O(log diameter) rounds with
-# pointer jumping; hitting this raises instead of returning partial labels.
-MAX_ROUNDS = 10_000
+from shelflens.operators.components import connected_components
+from shelflens.session import ensure_checkpoint_dir, written
 
 
 def cell_side(d: int, eps: float) -> float:
@@ -141,7 +136,7 @@ def _near_stats(probes: DataFrame, targets: DataFrame, xs, cs, ns, eps2: float,
         on = ns if level == START_LEVEL else ns + pks
         near2, far2 = _point_box_d2(xs, d)
         met = (pend.join(boxes, on).withColumn("__near2", near2).withColumn("__far2", far2)
-               .where(F.col("__near2") <= F.lit(eps2)).checkpoint(eager=True))  # read three times below
+               .where(F.col("__near2") <= F.lit(eps2)).transform(written))  # read three times below
         found.append(met.where(F.col("__far2") <= F.lit(eps2))
                      .select("pid", "bn", *([F.col("bv")] if value else [])))
         straddle = met.where(F.col("__far2") > F.lit(eps2)).select("pid", *xs, *ns, *ks, "bn")
@@ -216,13 +211,14 @@ def _cell_edges(core: DataFrame, xs, cs, side: float, eps2: float, half) -> Data
                 for i in range(d)]
         pairs = (pairs.select("u", "v", *aks, *bks, (F.col("an").cast("double") * F.col("bn")).alias("work"),
                               _sum2([g * g for g in gap]).alias("min2"), _sum2([w * w for w in span]).alias("max2"))
-                 .where(F.col("min2") <= F.lit(eps2)).checkpoint(eager=True))  # read several times below
-        proven = pairs.where(F.col("max2") <= F.lit(eps2)).select("u", "v").distinct().checkpoint(eager=True)
-        proven_all.append(proven)
+                 .where(F.col("min2") <= F.lit(eps2)).transform(written))  # read several times below
+        proven = pairs.where(F.col("max2") <= F.lit(eps2)).select("u", "v").distinct()
         straddle = pairs.where(F.col("max2") > F.lit(eps2)).select("u", "v", *aks, *bks, "work")
-        for p_ in proven_all:
+        # what earlier levels proved is gone already, but for the last level's point checks
+        for p_ in [proven, *proven_all[-1:]]:
             straddle = straddle.join(p_, ["u", "v"], "left_anti")
-        straddle = straddle.checkpoint(eager=True)
+        proven_all.append(proven)
+        straddle = straddle.transform(written)
         heavy = F.lit(False) if level == MAX_LEVEL else F.col("work") > POINT_WORK_PER_PAIR
         n_light, n_heavy = straddle.agg(F.count_if(~heavy), F.count_if(heavy)).first()
         if n_light:
@@ -233,7 +229,7 @@ def _cell_edges(core: DataFrame, xs, cs, side: float, eps2: float, half) -> Data
             checked = (straddle.where(~heavy).join(pa, ["u"] + aks).join(pb, ["v"] + bks)
                        .where(_dist2([f"ax{i}" for i in range(d)], [f"bx{i}" for i in range(d)]) <= F.lit(eps2))
                        .select("u", "v").distinct())
-            proven_all.append(checked.checkpoint(eager=True))
+            proven_all.append(checked.transform(written))
         if not n_heavy:
             break
         straddle = straddle.where(heavy)
@@ -290,8 +286,8 @@ def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS
     pts = _with_fine_index(pts, xs, cs, side)
     fs = [f"f{i}" for i in range(d)]
     # written before the joins, so that AQE can split a cell that holds a third of the points
-    counts = pts.groupBy(*cs).agg(F.count(F.lit(1)).alias("cell_n")).checkpoint(eager=True)
-    pts = pts.join(counts, cs).checkpoint(eager=True)
+    counts = pts.groupBy(*cs).agg(F.count(F.lit(1)).alias("cell_n")).transform(written)
+    pts = pts.join(counts, cs).transform(written)
     ns = _cells("n", d)
 
     def probes_of(df):
@@ -304,33 +300,17 @@ def dbscan(points: DataFrame, id_col: str, coord_cols, eps: float = K.DBSCAN_EPS
     sparse_core = deg.where(F.col("n") >= min_samples).select("pid", F.lit(True).alias("sc"))
     pts = (pts.join(sparse_core, "pid", "left")
            .withColumn("is_core", (F.col("cell_n") >= min_samples) | F.coalesce("sc", F.lit(False)))
-           .drop("sc").checkpoint(eager=True))
+           .drop("sc").transform(written))
 
     # -- 2. cluster graph over cells with core points ------------------------
     core = pts.where("is_core")
-    nodes = core.groupBy(*cs).agg(F.min("pid").alias("node")).checkpoint(eager=True)
-    core = core.join(nodes, cs).select("pid", "node", *xs, *cs, *fs).checkpoint(eager=True)
-    edges = _cell_edges(core, xs, cs, side, eps2, half).checkpoint(eager=True)
+    nodes = core.groupBy(*cs).agg(F.min("pid").alias("node")).transform(written)
+    core = core.join(nodes, cs).select("pid", "node", *xs, *cs, *fs).transform(written)
+    edges = _cell_edges(core, xs, cs, side, eps2, half).transform(written)
 
     # -- 3. connected components ------------------------------------------------
-    labels = nodes.select("node", F.col("node").alias("label")).checkpoint(eager=True)
-    for _ in range(MAX_ROUNDS):
-        incoming = edges.join(labels.withColumnRenamed("node", "u"), "u").select(F.col("v").alias("node"), "label")
-        merged = labels.unionByName(incoming).groupBy("node").agg(F.min("label").alias("label")).checkpoint(eager=True)
-        # pointer jumping: adopt the label of one's label
-        jump = merged.alias("m").join(merged.alias("t"), F.col("m.label") == F.col("t.node"), "left")
-        new = jump.select(F.col("m.node").alias("node"),
-                          F.least(F.col("m.label"), F.coalesce(F.col("t.label"), F.col("m.label"))).alias("label"))
-        # the change flag is computed in the same pass that writes the round
-        new = (new.join(labels.withColumnRenamed("label", "old"), "node")
-               .withColumn("changed", F.col("label") != F.col("old")).drop("old")
-               .checkpoint(eager=True))
-        changed = new.where("changed").limit(1).count()
-        labels = new.drop("changed")
-        if changed == 0:
-            break
-    else:
-        raise RuntimeError("DBSCAN label propagation did not converge")
+    joined = written(connected_components(edges), "components").withColumnRenamed("component", "label")
+    labels = nodes.select("node").join(joined, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
 
     core_cluster = core.join(labels, "node").select("pid", F.col("label").alias("cluster"), *xs, *cs, *fs)
     # -- 4. border points: smallest cluster among core points within eps -------

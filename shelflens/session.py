@@ -102,6 +102,16 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df, name: str = "table"):
+    """Write ``df`` as Parquet in the shared folder and read it back.  Cuts the
+    lineage like ``pin``, but the result is a plain file scan whose size is that of its
+    files: use it in loops, where a checkpoint would keep (and each join multiply) the
+    optimizer's size estimate of the plan it came from."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def pin(df):
     """Materialise ``df`` as a reliable checkpoint in the shared folder (cuts
     lineage; a lost executor re-reads blocks instead of replaying the plan)."""
