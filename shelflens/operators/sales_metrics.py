@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from shelflens import constants as K
 from shelflens.functions.dates import floor_days_since, window_start
-from shelflens.session import pin
+from shelflens.operators.joins import left_join_unique
 
 # Prices and units at full scale: only the total is converted, once, to double.
 PRICE, UNITS = T.DecimalType(18, 6), T.DecimalType(12, 3)
@@ -64,16 +64,14 @@ def with_sales_metrics(inventory: DataFrame, sales: DataFrame, as_of: datetime,
 
     Adds ``Days_Since_Last_Sale`` (NULL for never-sold items), one
     ``Sales_Last_<d>d`` per window and, with revenue, ``Revenue_<d>d``.
-    The per-SKU table is written first (reliable checkpoint): joined straight
-    from its aggregate, AQE could not split a SKU that a third of the listings
-    carry.  The join strategy is AQE's: broadcast when the per-SKU side is small
-    at run time, else sort-merge with skew splitting.
+    Lazy.  The join strategy is AQE's: broadcast when the per-SKU side is small at
+    run time, else sort-merge with a hot SKU split (``left_join_unique``).
     """
     if with_revenue is None:
         with_revenue = "Price" in sales.columns
     per_sku = sku_sales_summary(sales, as_of, windows, with_revenue)
-    per_sku = pin(per_sku.withColumn("Days_Since_Last_Sale", floor_days_since(as_of, F.col("Last_Sale"))))
-    joined = inventory.join(per_sku, on="SKU", how="left")
+    per_sku = per_sku.withColumn("Days_Since_Last_Sale", floor_days_since(as_of, F.col("Last_Sale")))
+    joined = left_join_unique(inventory, per_sku, "SKU")
     fills = {}
     for d in windows:
         fills[sales_col(d)] = F.coalesce(F.col(sales_col(d)), F.lit(0.0))

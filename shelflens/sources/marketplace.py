@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelflens.functions.dates import window_start, ts_literal
-from shelflens.operators.joins import semi_join
-from shelflens.session import pin
+from shelflens.operators.joins import left_join_unique, semi_join
 
 SUMMARY_COLUMNS = ["SKU", "ASIN", "Title", "Condition", "Price", "Quantity"]
 CATALOG_COLUMNS = ["SKU", "ASIN", "Title", "Author", "ISBN", "Has_Image", "Publication_Date"]
@@ -49,13 +48,11 @@ def enrich_with_catalog(listings: DataFrame, catalog: DataFrame) -> DataFrame:
     extra = [c for c in ("Author", "ISBN", "Has_Image", "Publication_Date")
              if c in catalog.columns and c not in listings.columns]
     # One catalog row per SKU, so the left join never fans out: of several the
-    # smallest in column order (NULLs first), whatever the input order.  Written
-    # first, so that AQE can split a SKU that many listings carry.
+    # smallest in column order (NULLs first), whatever the input order.
     rows = catalog.where(F.col("SKU").isNotNull()).groupBy("SKU").agg(F.min(F.struct(*extra)).alias("__c")) if extra else None
     if rows is None:
         return listings
-    cat = pin(rows.select("SKU", "__c.*"))
-    return listings.join(cat, "SKU", "left")
+    return left_join_unique(listings, rows.select("SKU", "__c.*"), "SKU")
 
 
 def demo_data(spark: SparkSession, as_of: datetime) -> tuple[DataFrame, DataFrame]:

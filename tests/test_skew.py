@@ -8,6 +8,11 @@ from shelflens.operators import kmeans as KM
 from shelflens.operators.dbscan import dbscan
 from shelflens.operators.features import FEATURES, ITEM_ID
 from shelflens.operators.sales_metrics import with_sales_metrics
+from shelflens.plans.analysis import analyze
+from shelflens.sources import fixtures as fx
+from shelflens.sources.marketplace import enrich_with_catalog
+
+SF = "/root/testdata/sf0.001"
 
 SKEW = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
@@ -35,6 +40,30 @@ def test_a_hot_listing_is_split(spark, small_pieces):
     assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_hot_and_null_skus_are_split_in_the_catalog_join(spark, small_pieces):
+    n = 30_000
+    sku = F.when(F.col("id") % 3 == 0, "HOT").when(F.col("id") % 3 == 1, F.concat(F.lit("S"), F.col("id")))
+    listings = spark.range(n, numPartitions=16).select(sku.alias("SKU"), F.sha2(F.col("id").cast("string"), 256).alias("Title"), F.lit(1).alias("join_hash"))
+    catalog = spark.range(n).select(F.when(F.col("id") == 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("id"))).alias("SKU"), F.col("id").cast("string").alias("Author"))
+    out = enrich_with_catalog(listings, catalog)
+    rows = out.collect()
+    assert len(rows) == n and all(r.Author == ("0" if r.SKU == "HOT" else r.SKU and r.SKU[1:]) and r.join_hash == 1 for r in rows)
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reports_run_nothing_before_an_action(spark):
+    sc = spark.sparkContext
+    sales, listings = fx.sales(spark, SF), fx.listings(spark, SF)
+    sc.setJobGroup("lazy-report", "no job")
+    try:
+        report = analyze(sales, listings, datetime(2001, 8, 1, 12))
+        assert sc.statusTracker().getJobIdsForGroup("lazy-report") == []
+        assert report.count() == listings.count()
+        assert sc.statusTracker().getJobIdsForGroup("lazy-report")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_kmeans_input_spreads_a_hot_sku(spark):
     n = 8000
     rows = spark.range(n).select(F.col("id").alias(ITEM_ID), F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("id"))).alias("SKU"),
