@@ -1,17 +1,24 @@
-"""K-means clustering of items (I3-I5, F-A5, F-A8, F-A10) on MLlib.
-
-MLlib's KMeans is already distributed (k-means|| init, one aggregate per
-iteration, and it persists its own input vectors).  The feature table is
-written once as a reliable checkpoint (``pin_features``) and reused by the
-scaler fit, the fit itself and the cluster statistics, so the item plan
-(sales aggregation + join) runs once and a lost executor only costs
-re-reading checkpoint blocks.
-Cluster ids are arbitrary, so they are renumbered by ascending
-(mean raw price, size, smallest SKU hash) to make results comparable run to run.
+"""K-means clustering of items (I3-I5, F-A5, F-A8, F-A10).
+
+The default fit is Lloyd's algorithm as DataFrame aggregates.  z-scores are held in
+fixed point (steps of ``1 / RESOLUTION``), so every sum is a sum of integers: labels
+depend neither on the order of rows nor on partitions, plans or retries, and SQL can
+follow them.  The start is deterministic and distributed: the row nearest to the mean,
+then the row farthest from all chosen ones (ties by the smallest values), one
+aggregate each.  Each iteration is one scan of the written features with map-side
+partial sums; k x columns numbers reach the driver, and they come back as literals,
+so a label is a plain expression over a row and joins nothing.  The loop stops when
+the centres have moved by at most ``TOLERANCE`` in all (squared, z units).
+
+``init_mode="k-means||"`` and ``"random"`` use MLlib's fit instead.
+Cluster ids are arbitrary, so they are renumbered by ascending (mean raw price,
+size, smallest SKU hash) to make results comparable run to run.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -19,8 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelflens import constants as K
-from shelflens.operators.features import FEATURES, ITEM_ID, standardize
-from shelflens.session import ensure_checkpoint_dir
+from shelflens.operators.features import FEATURES, ITEM_ID, fit_standardizer, standardize
+from shelflens.session import ensure_checkpoint_dir, written
+
+RESOLUTION = 1 << 20  # steps of a z-score
+TOLERANCE = 1e-4  # squared movement of all centres that ends the fit
 
 
 def n_clusters_for(n_items: int, rule: str = "file") -> int | None:
@@ -49,25 +59,106 @@ def pin_features(features: DataFrame, partitions: int | None = None) -> DataFram
     return features.repartition(n, *[c for c in order if c != ITEM_ID]).sortWithinPartitions(*order).checkpoint(eager=True)
 
 
+@dataclass
+class Fit:
+    """A fitted K-means: mean and deviation per column, centres in steps, the
+    number of iterations and the last movement."""
+
+    scale: dict
+    centres: list
+    iterations: int
+    moved: float
+
+    def steps(self) -> list:
+        return [_steps(c, *self.scale[c]) for c in self.scale]
+
+    def label(self):
+        """Place of the nearest centre (the first of equally near ones)."""
+        return _nearest(self.steps(), self.centres)
+
+
+def _steps(column: str, mean: float, std: float):
+    z = (F.col(f"`{column}`").cast(T.DoubleType()) - F.lit(mean)) / F.lit(std)
+    return F.floor(z * F.lit(float(RESOLUTION)) + F.lit(0.5)).cast(T.LongType())
+
+
+def _distance(steps, centre):
+    terms = [(s - F.lit(float(c))) * (s - F.lit(float(c))) for s, c in zip(steps, centre)]
+    out = terms[0]
+    for t in terms[1:]:
+        out = out + t
+    return out
+
+
+def _nearest(steps, centres):
+    far = [_distance(steps, c) for c in centres]
+    label = F.lit(len(far) - 1)
+    for k in range(len(far) - 2, -1, -1):
+        closest = F.lit(True)
+        for other in far[k + 1:]:
+            closest = closest & (far[k] <= other)
+        label = F.when(closest, F.lit(k)).otherwise(label)
+    return label.cast(T.IntegerType())
+
+
+def _start(rows: DataFrame, names, k: int) -> list:
+    """k rows as first centres: nearest to the mean, then farthest from the chosen."""
+    values = F.struct(*names)
+    upwards = F.struct(*[(-F.col(n)).alias(n) for n in names])  # the largest is the smallest row
+    first = _distance([F.col(n) for n in names], [0.0] * len(names))
+    centres = [list(rows.agg(F.min_by(values, F.struct(first.alias("d"), values.alias("v"))).alias("c")).first()["c"])]
+    while len(centres) < k:
+        near = [_distance([F.col(n) for n in names], c) for c in centres]
+        least = near[0] if len(near) == 1 else F.least(*near)
+        centres.append(list(rows.agg(F.max_by(values, F.struct(least.alias("d"), upwards.alias("v"))).alias("c")).first()["c"]))
+    return [[float(x) for x in c] for c in centres]
+
+
+def kmeans_fit(features: DataFrame, k: int, cols=FEATURES, max_iter: int = K.KMEANS_MAX_ITER,
+               tolerance: float = TOLERANCE) -> Fit:
+    """Fit on ``features`` (scanned once per pass: pass a written table).
+
+    An empty cluster keeps its centre; rows with a NULL feature are left out of the
+    fit (and have no label); fewer distinct rows than k give equal centres, of which
+    the first takes the rows; an empty table raises ``ValueError``."""
+    scale = fit_standardizer(features, cols)
+    names = [f"s{j}" for j in range(len(cols))]
+    rows = features.select(*[_steps(c, *scale[c]).alias(n) for c, n in zip(cols, names)])
+    rows = rows.where(" AND ".join(f"{n} IS NOT NULL" for n in names))
+    if rows.isEmpty():
+        raise ValueError("no rows to cluster")
+    centres, moved, done = _start(rows, names, k), float("inf"), 0
+    while done < max_iter and moved > tolerance:
+        label = _nearest([F.col(n) for n in names], centres)
+        sums = {r["label"]: r for r in rows.groupBy(label.alias("label"))
+                .agg(F.count(F.lit(1)).alias("n"), *[F.sum(n).alias(n) for n in names]).collect()}  # k rows
+        new = [[sums[j][n] / sums[j]["n"] for n in names] if j in sums else c for j, c in enumerate(centres)]
+        moved = sum((a - b) ** 2 for c, d in zip(centres, new) for a, b in zip(c, d)) / RESOLUTION**2
+        centres, done = new, done + 1
+    return Fit(scale, centres, done, moved)
+
+
 def kmeans_labels(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,
-                  max_iter: int = K.KMEANS_MAX_ITER, cols=FEATURES, init_mode: str = "k-means||",
+                  max_iter: int = K.KMEANS_MAX_ITER, cols=FEATURES, init_mode: str = "farthest",
                   carry=()) -> DataFrame:
-    """``(item_id, SKU, Cluster, <raw features>)`` from standardised features
-    (pass a pinned table).  The raw feature columns (and any ``carry``
-    columns) ride along, so per-cluster statistics and row-level outputs need
-    no join back to the feature table.
+    """``(item_id, SKU, Cluster, <raw features>)`` of a written or pinned feature
+    table.  A label is an expression over the row, so the raw feature columns (and
+    any ``carry`` columns) need no join back.
 
-    ``init_mode="k-means||"`` is the scalable k-means++ seeding (the library
-    default path); ``"random"`` matches the accelerated path's random starts.
+    ``init_mode="farthest"`` is the deterministic fit above; ``"k-means||"`` is MLlib's
+    scalable k-means++ seeding, ``"random"`` matches the accelerated path's random starts.
     """
-    z = standardize(features, cols, suffix="_z")
-    assembled = VectorAssembler(inputCols=[c + "_z" for c in cols], outputCol="features").transform(z)
     raw = [c for c in cols if c != "Price"]
     carry = [c for c in carry if c not in (ITEM_ID, "SKU", "Price", *raw)]
-    assembled = assembled.select(ITEM_ID, "SKU", "Price", *raw, *carry, "features")
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, initMode=init_mode, featuresCol="features",
-                   predictionCol="raw_cluster").fit(assembled)
-    labelled = model.transform(assembled).select(ITEM_ID, "SKU", "Price", *raw, *carry, "raw_cluster")
+    if init_mode == "farthest":
+        labelled = features.withColumn("raw_cluster", kmeans_fit(features, k, cols, max_iter).label())
+    else:
+        z = standardize(features, cols, suffix="_z")
+        assembled = VectorAssembler(inputCols=[c + "_z" for c in cols], outputCol="features").transform(z)
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, initMode=init_mode, featuresCol="features",
+                       predictionCol="raw_cluster").fit(assembled)
+        labelled = model.transform(assembled)
+    labelled = labelled.select(ITEM_ID, "SKU", "Price", *raw, *carry, "raw_cluster")
     # k rows: one per cluster, renumbered in a stable order.
     order = (labelled.groupBy("raw_cluster")
              .agg(F.avg("Price").alias("__p"), F.count(F.lit(1)).alias("__n"), F.min(F.xxhash64("SKU")).alias("__s")))
@@ -109,12 +200,13 @@ def describe_clusters(stats: DataFrame) -> DataFrame:
 
 
 def cluster_items(features: DataFrame, k: int, seed: int = K.KMEANS_SEED,
-                  init_mode: str = "k-means||", pinned: bool = False, carry=()) -> DataFrame:
+                  init_mode: str = "farthest", pinned: bool = False, carry=()) -> DataFrame:
     """``(item_id, SKU, Cluster, Cluster_Description, *carry)`` for every item
-    row (pass ``pinned=True`` for a table already from ``pin_features``)."""
+    row (pass ``pinned=True`` for a table that is written or pinned already).
+    The item plan runs once, into a written table that all passes scan."""
     if not pinned:
-        features = pin_features(features)
-    labels = kmeans_labels(features, k, seed, init_mode=init_mode, carry=carry).checkpoint(eager=True)
+        features = written(features, "features") if init_mode == "farthest" else pin_features(features)
+    labels = kmeans_labels(features, k, seed, init_mode=init_mode, carry=carry)
     desc = describe_clusters(cluster_stats(labels)).select("Cluster", "Cluster_Description")
     # one row per cluster (k rows): a proven bound for the broadcast
     return labels.join(F.broadcast(desc), "Cluster").select(

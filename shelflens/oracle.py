@@ -487,6 +487,7 @@ FEATURES_CTE = """feat AS (
          CAST(coalesce(Has_Image, false) AS DOUBLE) AS Has_Image,
          CAST(ISBN IS NOT NULL AS DOUBLE) AS Has_ISBN
   FROM items)"""
+K_TOLERANCE = "1e-4"
 FEATURE_NAMES = ["Price", "Sales_Last_30d", "Sales_Last_90d", "Days_Since_Last_Sale", "Has_Image", "Has_ISBN"]
 
 
@@ -522,26 +523,61 @@ SELECT p.id AS p_partkey, CAST(coalesce(c.cluster, b.cluster, -1) AS BIGINT) AS
 FROM pts p LEFT JOIN comp c ON p.id = c.id LEFT JOIN border b ON p.id = b.id"""
 
 
-def oracle_sql_clustering() -> dict[str, str]:
-    q: dict[str, str] = {}
-    base = with_ctes(INV, SALES, PER_SKU, ITEMS, FEATURES_CTE)
-    q["q_cluster_features"] = base + "SELECT * FROM feat"
-    q["q_standardize"] = base + "SELECT SKU, " + ", ".join(f"{_z(c)} AS {_q(c)}" for c in FEATURE_NAMES) + " FROM feat"
-    q["q_cluster_nunique"] = "SELECT CAST(least(3, greatest(2, count(*) // 10)) AS BIGINT) AS n_clusters FROM part"
-    q["q_dbscan"] = dbscan_sql()
-    given = base.rstrip() + """,
-given AS (SELECT *, CAST(Sales_Last_90d > 0 AS INTEGER) + CAST(Price > 10 AS INTEGER) AS Cluster FROM feat),
+def kmeans_ctes(k: int = 3) -> str:
+    """K-means by recursion: fixed-point z-scores, the row nearest to the mean and the
+    farthest ones as start, then Lloyd steps until the centres rest.  ``k`` is 3 by the
+    file rule for every table of 30 parts or more."""
+    names = [f"s{i}" for i in range(len(FEATURE_NAMES))]
+    dist = lambda c: " + ".join(f"({n}::DOUBLE - {c}_{i}) * ({n}::DOUBLE - {c}_{i})" for i, n in enumerate(names))
+    steps = ", ".join(f"""CAST(floor((({_q(c)} - avg({_q(c)}) OVER ()) / CASE WHEN coalesce(stddev_pop({_q(c)}) OVER (), 0) > 0
+        THEN stddev_pop({_q(c)}) OVER () ELSE 1 END) * 1048576.0 + 0.5) AS BIGINT) AS {n}""" for c, n in zip(FEATURE_NAMES, names))
+    as_centre = lambda j: ", ".join(f"{n}::DOUBLE AS c{j}_{i}" for i, n in enumerate(names))
+    values = ", ".join(names)
+    ctes = [f"st AS MATERIALIZED (SELECT *, {steps} FROM feat)",
+            f"c0 AS (SELECT {as_centre(0)} FROM st ORDER BY {' + '.join(f'{n}::DOUBLE * {n}::DOUBLE' for n in names)}, {values} LIMIT 1)"]
+    for j in range(1, k):
+        near = [dist(f"c{i}") for i in range(j)]
+        least = near[0] if j == 1 else f"least({', '.join(near)})"
+        ctes.append(f"c{j} AS (SELECT {as_centre(j)} FROM st, {', '.join(f'c{i}' for i in range(j))} ORDER BY {least} DESC, {values} LIMIT 1)")
+    flat = [f"c{j}_{i}" for j in range(k) for i in range(len(names))]
+    label = f"{k - 1}"
+    for j in range(k - 2, -1, -1):
+        label = f"CASE WHEN {' AND '.join(f'd{j} <= d{m}' for m in range(j + 1, k))} THEN {j} ELSE {label} END"
+    far = ", ".join(f"{dist(f'c{j}')} AS d{j}" for j in range(k))
+    new = ", ".join(f"coalesce(CAST(sum(CASE WHEN lab = {j} THEN {n} END) AS DOUBLE) / count(CASE WHEN lab = {j} THEN 1 END), c{j}_{i}) AS n{j}_{i}"
+                    for j in range(k) for i, n in enumerate(names))
+    moved = " + ".join(f"(c{c[1:]} - n{c[1:]}) * (c{c[1:]} - n{c[1:]})" for c in flat)
+    ctes.append(f"""km(it, moved, {', '.join(flat)}) AS (
+  SELECT 0, CAST('infinity' AS DOUBLE), {', '.join(flat)} FROM {', '.join(f'c{j}' for j in range(k))}
+  UNION ALL
+  SELECT it + 1, ({moved}) / (1048576.0 * 1048576.0), {', '.join('n' + c[1:] for c in flat)} FROM (
+    SELECT it, {', '.join(flat)}, {new} FROM (
+      SELECT *, {label} AS lab FROM (SELECT st.*, km.*, {far} FROM km, st WHERE moved > {K_TOLERANCE} AND it < {K.KMEANS_MAX_ITER}))
+    GROUP BY it, {', '.join(flat)}))""")
+    ctes.append(f"""lab AS (SELECT *, {label} AS raw FROM (
+  SELECT st.*, {far} FROM st, (SELECT * FROM km ORDER BY it DESC LIMIT 1) fin))""")
+    ctes.append("""rk AS (SELECT raw, CAST(row_number() OVER (ORDER BY avg(Price), count(*)) - 1 AS INTEGER) AS Cluster FROM lab GROUP BY raw)""")
+    ctes.append("given AS (SELECT lab.*, rk.Cluster FROM lab JOIN rk USING (raw))")
+    return ",\n".join(ctes)
+
+
+def _cluster_queries(base: str) -> dict[str, str]:
+    """Statistics, descriptions and histogram of the labelled rows ``given``."""
+    given = base + """,
 stats AS (SELECT Cluster, avg(Price) AS p, avg(Sales_Last_30d) AS s30, avg(Days_Since_Last_Sale) AS d,
           avg(Has_Image) AS im, avg(Has_ISBN) AS isbn, count(SKU) AS items FROM given GROUP BY Cluster)
 """
-    q["q_cluster_stats_given"] = given + """SELECT Cluster, round(p, 6) AS mean_Price, round(s30, 6) AS mean_Sales_Last_30d,
-        round(d, 6) AS mean_Days_Since_Last_Sale, round(im, 6) AS mean_Has_Image, round(isbn, 6) AS mean_Has_ISBN, items FROM stats"""
-    q["q_describe_clusters_given"] = given + f"""SELECT Cluster, CASE
+    described = given.rstrip() + f""",
+described AS (SELECT Cluster, CASE
         WHEN s30 > {K.HIGH_MIN_SALES30} AND d < {K.HIGH_MAX_DAYS} THEN '{K.CLUSTER_HIGH}'
         WHEN s30 < {K.STALE_MAX_SALES30} AND d > {K.STALE_MIN_DAYS} THEN '{K.CLUSTER_STALE}'
         WHEN im < {K.POOR_META_SHARE} OR isbn < {K.POOR_META_SHARE} THEN '{K.CLUSTER_POOR}'
-        ELSE '{K.CLUSTER_AVERAGE}' END || ' (n=' || items || ')' AS Cluster_Description FROM stats"""
-    q["q_price_histogram_given"] = given.rstrip() + f""",
+        ELSE '{K.CLUSTER_AVERAGE}' END || ' (n=' || items || ')' AS Cluster_Description, items FROM stats)
+"""
+    return {"described": described,
+            "stats": given + """SELECT Cluster, round(p, 6) AS mean_Price, round(s30, 6) AS mean_Sales_Last_30d,
+        round(d, 6) AS mean_Days_Since_Last_Sale, round(im, 6) AS mean_Has_Image, round(isbn, 6) AS mean_Has_ISBN, items FROM stats""",
+            "histogram": given.rstrip() + f""",
 lim AS (SELECT Cluster, CASE WHEN min(Price) = max(Price) THEN min(Price) - 0.5 ELSE min(Price) END AS lo,
         CASE WHEN min(Price) = max(Price) THEN max(Price) + 0.5 ELSE max(Price) END AS hi FROM given GROUP BY Cluster),
 binned AS (SELECT g.Cluster, CAST(least(floor((Price - lo) / ((hi - lo) / {K.HISTOGRAM_BINS})), {K.HISTOGRAM_BINS - 1}) AS INTEGER) AS bin
@@ -549,5 +585,56 @@ binned AS (SELECT g.Cluster, CAST(least(floor((Price - lo) / ((hi - lo) / {K.HIS
 SELECT l.Cluster, CAST(b.bin AS INTEGER) AS bin, lo + b.bin * (hi - lo) / {K.HISTOGRAM_BINS} AS bin_start,
        lo + (b.bin + 1) * (hi - lo) / {K.HISTOGRAM_BINS} AS bin_end,
        (SELECT count(*) FROM binned x WHERE x.Cluster = l.Cluster AND x.bin = b.bin) AS items
-FROM lim l, (SELECT unnest(range({K.HISTOGRAM_BINS})) AS bin) b"""
+FROM lim l, (SELECT unnest(range({K.HISTOGRAM_BINS})) AS bin) b"""}
+
+
+def pca_sql(k: int = 2, rounds: int = 18) -> str:
+    """First components by power iteration on the covariance (squared ``rounds`` times,
+    i.e. 2**rounds steps at once, as eigenvalues lie close), the found one taken out before
+    the next; a component's largest loading is positive."""
+    ctes = ["x AS MATERIALIZED (SELECT vec_id, label, unnest(range(len(embedding))) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings)",
+            "m AS (SELECT i, avg(v) AS mean FROM x GROUP BY i)",
+            "c AS MATERIALIZED (SELECT vec_id, label, i, v - mean AS v FROM x JOIN m USING (i))",
+            "g0 AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.v * b.v) / (SELECT count(*) - 1 FROM embeddings) AS s FROM c a JOIN c b USING (vec_id) GROUP BY a.i, b.i)"]
+    for n in range(1, k + 1):
+        g = f"g{n - 1}"
+        ctes += [f"r{n} AS MATERIALIZED (SELECT i, list(s ORDER BY j) AS s FROM {g} GROUP BY i)",
+                 f"mat{n} AS MATERIALIZED (SELECT list(s ORDER BY i) AS rows FROM r{n})",
+                 f"""p{n}(t, rows) AS (SELECT 0, rows FROM mat{n}
+  UNION ALL SELECT t + 1, list_transform(rows, lambda a: list_transform(rows, lambda b: list_inner_product(a, b) / size)) FROM (
+    SELECT t, rows, list_sum(list_transform(rows, lambda a: list_inner_product(a, a))) AS size FROM p{n} WHERE t < {rounds}))""",
+                 f"""w{n} AS MATERIALIZED (SELECT list_transform(rows, lambda a: list_inner_product(a, list_transform(range(len(rows)), lambda q: 1.0 + (q % 7) / 10.0)::DOUBLE[])) AS w
+  FROM p{n} WHERE t = {rounds})""",
+                 f"""u{n} AS MATERIALIZED (SELECT list_transform(w, lambda q: q / sqrt(list_inner_product(w, w))) AS v FROM w{n})""",
+                 f"""e{n} AS MATERIALIZED (SELECT CASE WHEN list_max(v) >= -list_min(v) THEN v ELSE list_transform(v, lambda q: -q) END AS v FROM u{n})""",
+                 f"l{n} AS MATERIALIZED (SELECT unnest(range(len(v))) AS i, unnest(v) AS w FROM e{n})",
+                 f"""g{n} AS MATERIALIZED (SELECT g.i, g.j, g.s - (SELECT sum(a.w * h.s * b.w) FROM {g} h JOIN l{n} a ON h.i = a.i JOIN l{n} b ON h.j = b.i) * a.w * b.w AS s
+  FROM {g} g JOIN l{n} a ON g.i = a.i JOIN l{n} b ON g.j = b.i)"""]
+    joins = " ".join(f"JOIN l{n} USING (i)" for n in range(1, k + 1))
+    picks = ", ".join(f"round(sum(v * l{n}.w), 4) + 0.0 AS pc{n}" for n in range(1, k + 1))
+    return "WITH RECURSIVE " + ",\n".join(ctes) + f"\nSELECT vec_id, label, {picks} FROM c {joins} GROUP BY vec_id, label"
+
+
+def oracle_sql_clustering() -> dict[str, str]:
+    q: dict[str, str] = {}
+    base = with_ctes(INV, SALES, PER_SKU, ITEMS, FEATURES_CTE)
+    q["q_cluster_features"] = base + "SELECT * FROM feat"
+    q["q_standardize"] = base + "SELECT SKU, " + ", ".join(f"{_z(c)} AS {_q(c)}" for c in FEATURE_NAMES) + " FROM feat"
+    q["q_dbscan"] = dbscan_sql()
+    q["q_pca"] = pca_sql()
+    given = _cluster_queries(base.rstrip() + """,
+given AS (SELECT *, CAST(Sales_Last_90d > 0 AS INTEGER) + CAST(Price > 10 AS INTEGER) AS Cluster FROM feat)""")
+    q["q_cluster_stats_given"] = given["stats"]
+    q["q_describe_clusters_given"] = given["described"] + "SELECT Cluster, Cluster_Description FROM described"
+    q["q_price_histogram_given"] = given["histogram"]
+    labels = (BASE.rstrip() + ",\n" + FEATURES_CTE + ",\n" + kmeans_ctes()).replace("WITH ", "WITH RECURSIVE ", 1)
+    fitted = _cluster_queries(labels)
+    q["q_kmeans"] = labels + "\nSELECT SKU, Cluster FROM given"
+    q["q_cluster_nunique"] = labels + """,
+sizes AS (SELECT Cluster, count(*) AS items FROM given GROUP BY Cluster)
+SELECT count(*) AS n_clusters, min(items) AS smallest, max(items) AS largest FROM sizes"""
+    q["q_cluster_stats"] = fitted["stats"]
+    q["q_describe_clusters"] = fitted["described"] + "SELECT * FROM described"
+    q["q_price_histogram"] = fitted["histogram"]
+    q["q_join_clusters"] = fitted["described"] + "SELECT r.*, g.Cluster, d.Cluster_Description FROM report r JOIN given g USING (SKU) JOIN described d USING (Cluster)"
     return q

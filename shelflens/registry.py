@@ -24,7 +24,7 @@ from shelflens.plans import clustering as CLU
 from shelflens.plans import performance as PF
 from shelflens.plans import reports as R
 from shelflens.plans.inventory_report import inventory_report, item_table, prepare_sales
-from shelflens.session import scratch_dir
+from shelflens.session import scratch_dir, written
 from shelflens.sources import files as FS
 from shelflens.sources import fixtures as fx
 from shelflens.sources import marketplace as MP
@@ -315,7 +315,7 @@ def _clusters(spark, sf_dir):
 def _labelled(spark, sf_dir):
     """K-means labels carrying the raw features (no join back needed)."""
     k = CLU.choose_k(fx.listings(spark, sf_dir))
-    return KM.kmeans_labels(KM.pin_features(_features(spark, sf_dir)), k)
+    return KM.kmeans_labels(written(_features(spark, sf_dir), "features"), k)
 
 
 def q_cluster_features(spark, sf_dir):
@@ -331,15 +331,17 @@ def q_kmeans(spark, sf_dir):
 
 
 def q_cluster_stats(spark, sf_dir):
-    return KM.cluster_stats(_labelled(spark, sf_dir))
+    return _rounded(KM.cluster_stats(_labelled(spark, sf_dir)))
 
 
 def q_describe_clusters(spark, sf_dir):
-    return KM.describe_clusters(KM.cluster_stats(_labelled(spark, sf_dir)))
+    return KM.describe_clusters(KM.cluster_stats(_labelled(spark, sf_dir))).select("Cluster", "Cluster_Description", "items")
 
 
 def q_cluster_nunique(spark, sf_dir):
-    return _clusters(spark, sf_dir).agg(F.countDistinct("Cluster").alias("n_clusters"))
+    """Labels that the fit really gave, with their items."""
+    sizes = _labelled(spark, sf_dir).groupBy("Cluster").agg(F.count(F.lit(1)).alias("items"))
+    return sizes.agg(F.count(F.lit(1)).alias("n_clusters"), F.min("items").alias("smallest"), F.max("items").alias("largest"))
 
 
 def q_price_histogram(spark, sf_dir):
@@ -351,7 +353,7 @@ def q_join_clusters(spark, sf_dir):
 
 
 def q_pca(spark, sf_dir):
-    return CLU.embedding_pca(fx.table(spark, sf_dir, "embeddings"))
+    return _rounded(CLU.embedding_pca(fx.table(spark, sf_dir, "embeddings")), 4)
 
 
 def q_dbscan(spark, sf_dir):

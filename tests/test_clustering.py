@@ -189,3 +189,35 @@ def test_pca_dbscan_matches_brute_force(spark):
     label, _ = brute_dbscan(xy, eps, 5)
     mapped = [ids[l] if l >= 0 else -1 for l in label]
     assert [got[i] for i in ids] == mapped
+
+
+def test_kmeans_follows_lloyd_exactly(spark):
+    """Start, steps and stop as a plain numpy loop has them; partitions do not matter."""
+    feats = features_df(spark, n=200, seed=21)
+    x = feats.orderBy("item_id").toPandas()[FEATURES].to_numpy()
+    std = x.std(0)
+    z = np.floor((x - x.mean(0)) / np.where(std > 0, std, 1) * KM.RESOLUTION + 0.5)
+    rank = lambda d: np.lexsort((*z.T[::-1], d))
+    centres = [z[rank((z**2).sum(1))[0]]]
+    while len(centres) < 3:
+        centres.append(z[rank(-np.min([((z - c) ** 2).sum(1) for c in centres], axis=0))[0]])
+    for _ in range(300):
+        label = np.argmin([((z - c) ** 2).sum(1) for c in centres], axis=0)
+        new = [z[label == j].mean(0) for j in range(3)]
+        moved = sum(((a - b) ** 2).sum() for a, b in zip(centres, new)) / KM.RESOLUTION**2
+        centres = new
+        if moved <= KM.TOLERANCE:
+            break
+    for parts in (1, 7):
+        fit = KM.kmeans_fit(feats.repartition(parts), 3)
+        assert np.allclose(fit.centres, centres, rtol=0, atol=1e-3) and fit.moved <= KM.TOLERANCE
+
+
+def test_kmeans_odd_tables(spark):
+    schema = "item_id long, SKU string, " + ", ".join(f"{c} double" for c in FEATURES)
+    with pytest.raises(ValueError):
+        KM.kmeans_fit(spark.createDataFrame([], schema), 2)
+    same = [(i, f"S{i}", 1.0, 1.0, 1.0, 1.0, 1.0, 1.0) for i in range(6)]
+    assert {r.Cluster for r in KM.kmeans_labels(spark.createDataFrame(same, schema), 3).collect()} == {0}
+    one = KM.kmeans_labels(spark.createDataFrame([*same, (9, "Z", 5.0, 1.0, 1.0, 1.0, 1.0, 1.0)], schema), 2).collect()
+    assert {r.SKU: r.Cluster for r in one} == {f"S{i}": 0 for i in range(6)} | {"Z": 1}
