@@ -32,7 +32,9 @@ from shelflens.llm.common import arrow, scratch_dir, stash
 CHECKPOINT = 64  # tokens between bit-offset checkpoints
 BLOCK_TOKENS = 1 << 16  # a block is closed once it holds as many
 LIMIT = 16  # bits of the longest code, more only if the vocabulary needs it
-CACHE = 1_000_000  # words whose ids a Python worker keeps
+CACHE = 1_000_000  # units whose ids a Python worker keeps
+LEARN = 5000  # new units tokenized in one text
+CHUNK_CHARS = 2 << 20  # of texts whose units are looked up together
 
 # White space of the byte-level pre-tokenizer.  A token holds white space only
 # at its beginning, so a text may be cut before any run of white space.
@@ -40,92 +42,132 @@ _WS = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007
 _UNIT = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 _RARE = [c for c in _WS if c not in " \n"]
 _RUNS = ["  ", "\n\n", " \n", "\n "]
-_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _encoders: dict = {}
 
 
-def _core(word: str, marks) -> str:
-    """The word's letters (with the line feed before them) if what remains is at
-    most one mark, which is a token of its own after letters; else empty."""
-    core = word if word[-1:] not in marks else word[:-1]
-    bare = core[1:] if core[:1] == "\n" else core
-    return core if bare.isalpha() and max(bare) < "\u0250" else ""
-
-
-class _Words(dict):
-    """word -> its ids after a space; "\\n" + word -> its ids after a line feed
-    (with the line feed's); both without a look at the rest of the text."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.ids = encode
-        self.marks = {m: encode("a" + m)[len(encode("a")):] for m in _MARKS}
-
-    def __missing__(self, word):
-        core = _core(word, self.marks)
-        if core and core != word:
-            value = self[core] + self.marks[word[-1]]
-        else:
-            value = self.ids(word if word[0] == "\n" else " " + word)
-        self[word] = value
-        return value
-
-
 class _Encoder:
-    """ids of texts by way of their words: each distinct word goes through the
-    tokenizer once per Python worker, new words of letters many at a time."""
+    """ids of texts by way of their units, words with the white space before them:
+    each distinct unit goes through the tokenizer once per Python worker, thousands
+    of new ones in one text.  A text that holds an added token (such as the end of
+    text) goes through the tokenizer as a whole, which finds it as the library does."""
 
-    def __init__(self, path: str, dtype: str):
+    def __init__(self, path: str, dtype: str, end_id: int | None = None):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.dtype = dtype
-        self.words, self.feed = _Words(self._ids), len(self._ids("\n"))
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-
-    def _learn(self, new) -> None:
-        marks = self.words.marks
-        cores = {_core(w, marks) for w in new}.difference(self.words, [""])
-        fed = [c for c in cores if c[0] == "\n"]
-        for words, before, tokens in (([c for c in cores if c[0] != "\n"], " ", 1), (fed, "", 2)):
-            for a in range(0, len(words), 5000):
-                some = words[a:a + 5000]
-                done = self.tokenizer.encode(before + before.join(some), add_special_tokens=False)
-                ids, of = np.array(done.ids, self.dtype), np.array(done.word_ids)  # of: the pre-token of each id
-                ends = np.append(np.flatnonzero(np.diff(of)) + 1, len(ids))
-                if len(ends) != tokens * len(some):  # another pre-tokenizer: one by one, later
-                    continue
-                raw, start = ids.tobytes(), 0
-                for word, end in zip(some, (ends[tokens - 1::tokens] * ids.itemsize).tolist()):
-                    self.words[word] = raw[start:end]
-                    start = end
-
-    def encode(self, texts) -> list[bytes]:
-        if len(self.words) > CACHE:
-            self.words = _Words(self._ids)
-        split, new, known = [], set(), self.words
-        for text in texts:
-            if not text:
-                split.append(None)
-            elif text[0] in _WS or text[-1] in _WS or any(r in text for r in _RUNS) or any(c in text for c in _RARE):
-                split.append(text)
-            else:  # one space or line feed between any two words
-                words = text.replace("\n", " \n").split(" ")
-                words[0] = "\n" + words[0]
-                split.append(words)
-                new.update([w for w in words if w not in known])
+        self.tokenizer, self.dtype, self.end_id = Tokenizer.from_file(path), dtype, end_id
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.together = LEARN if not any(c in t for t in self.added for c in _WS) else 1
+        self.opens = np.zeros(vocabulary_size(path), bool)  # tokens whose first byte is a space or a line feed
+        for piece, k in self.tokenizer.get_vocab().items():
+            self.opens[k] = piece[0] in "\u0120\u010a"
+        self.feed = len(self._ids("\n"))
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[bytes, int] = {}
+        # ids of all units one after another, and where each one's end; unit 0 closes a document
+        self.flat = np.array([] if self.end_id is None else [self.end_id], self.dtype)
+        self.ends = np.array([len(self.flat)], np.int64)
+        self._new: list = []
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+
+    def _add(self, ids: np.ndarray, sizes) -> int:
+        """Append units with the given numbers of ids; the first one's number."""
+        first = len(self.ends) + sum(len(s) for _, s in self._new)
+        self._new.append((ids, sizes))
+        return first
+
+    def _settle(self) -> None:
+        if self._new:
+            self.flat = np.concatenate([self.flat, *(ids for ids, _ in self._new)])
+            sizes = np.concatenate([s for _, s in self._new])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+            self._new = []
+
+    def _learn(self, units: list[bytes]) -> None:
+        """Units with one space or line feed before them: the tokens that open with it cut their ids."""
+        for k in range(0, len(units), self.together):
+            some = units[k:k + self.together]
+            ids = self._ids(b"".join(some).decode())
+            at = np.flatnonzero(self.opens[ids])
+            if len(at) == len(some) and at[0] == 0:
+                first = self._add(ids, np.diff(np.append(at, len(ids))))
+                self.known.update(zip(some, range(first, first + len(some))))
+            else:  # another pre-tokenizer: one by one
+                for unit in some:
+                    ids = self._ids(unit.decode())
+                    self.known[unit] = self._add(ids, np.array([len(ids)]))
+
+    def _numbers(self, units: list[bytes]) -> np.ndarray:
+        new = [u for u in units if u not in self.known]
         self._learn(new)
-        one = known.__getitem__
-        return [b"" if x is None else b"".join([self._ids(u) for u in _UNIT.findall(x)]) if isinstance(x, str)
-                else b"".join(map(one, x))[self.feed:] for x in split]
-
-
-def _encoder(path, dtype):
-    if (path, dtype) not in _encoders:
-        _encoders[path, dtype] = _Encoder(path, dtype)
-    return _encoders[path, dtype]
+        return np.array([self.known[u] for u in units], np.int64)
+
+    def _plain(self, texts) -> list[np.ndarray]:
+        """Unit numbers of texts with one space or line feed between any two words, each
+        with a line feed put before it: every unit starts at one of these bytes."""
+        rows = [b"\n" + t.encode() for t in texts]
+        raw = b"".join(rows)
+        data = np.frombuffer(raw, np.uint8)
+        starts = np.flatnonzero((data == 32) | (data == 10))
+        cuts = np.append(starts, len(data)).astype(np.int64)
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(raw)]).dictionary_encode()
+        numbers = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        return np.split(numbers, np.searchsorted(starts, np.cumsum([len(r) for r in rows])[:-1]))
+
+    def _odd(self, text: str) -> np.ndarray:
+        """Unit numbers of a text with other white space or with an added token in it."""
+        if any(t in text for t in self.added):
+            ids = self._ids(text)
+            return np.array([self._add(ids, np.array([len(ids)]))])
+        out = []
+        for unit in _UNIT.findall(text):
+            key = b"\0" + unit.encode()  # apart from the plain texts' units
+            if key not in self.known:
+                ids = self._ids(unit)
+                self.known[key] = self._add(ids, np.array([len(ids)]))
+            out.append(self.known[key])
+        return np.array(out, np.int64)
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids one after another, each text's closed by ``end_id``, and the
+        place where each one's start (and the last one's end)."""
+        if len(self.known) > CACHE:
+            self._clear()
+        plain, numbers = [], [np.zeros(0, np.int64)] * len(texts)
+        for k, text in enumerate(texts):
+            if not text:
+                continue
+            if (text[0] in _WS or text[-1] in _WS or any(r in text for r in _RUNS) or any(c in text for c in _RARE)
+                    or any(t in text for t in self.added)):
+                numbers[k] = self._odd(text)
+            else:
+                plain.append(k)
+        if plain:
+            for k, units in zip(plain, self._plain([texts[k] for k in plain])):
+                numbers[k] = units
+        self._settle()
+        count = np.array([len(x) for x in numbers], np.int64)
+        last = np.cumsum(count + 1)  # each text's units and the unit that closes it
+        unit = np.zeros(int(last[-1]) if len(last) else 0, np.int64)
+        body = np.ones(len(unit), bool)
+        body[last - 1] = False
+        unit[body] = np.concatenate(numbers) if numbers else 0
+        start = np.concatenate([[0], self.ends])[unit]
+        size = self.ends[unit] - start
+        lead = (last - count - 1)[plain]  # the line feed before a plain text is not its own
+        start[lead] += self.feed
+        size[lead] -= self.feed
+        total = np.cumsum(size)
+        at = np.arange(int(total[-1]) if len(total) else 0) + np.repeat(start - total + size, size)
+        return self.flat[at], np.concatenate([[0], total[last - 1]]) if len(last) else np.zeros(1, np.int64)
+
+
+def _encoder(path, dtype, end_id):
+    if (path, dtype, end_id) not in _encoders:
+        _encoders[path, dtype, end_id] = _Encoder(path, dtype, end_id)
+    return _encoders[path, dtype, end_id]
 
 
 def vocabulary_size(tokenizer_path: str) -> int:
@@ -140,20 +182,27 @@ def id_type(vocabulary: int) -> str:
 def tokenize(df: DataFrame, tokenizer_path: str, end_id: int | None = 0,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_tokens, ids)``: ids as little-endian integers of ``id_type``
-    width; a null text has no ids of its own; ``end_id`` closes each document."""
+    width, exactly the library's (its defaults, no special tokens added).
+
+    A null or empty text has no ids of its own; ``end_id`` closes each document;
+    repeated rows and null ids stay rows of their own; other columns are ignored
+    whatever their names; an empty table gives an empty table."""
     dtype = id_type(vocabulary_size(tokenizer_path))
-    end = b"" if end_id is None else np.array([end_id], dtype).tobytes()
     width = np.dtype(dtype).itemsize
 
     def run(batches):
-        encoder = _encoder(tokenizer_path, dtype)
+        encoder = _encoder(tokenizer_path, dtype, end_id)
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                ids = [x + end for x in encoder.encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) // width for x in ids], pa.int64()),
-                     pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
+            texts, a, chars = batch.column(1).to_pylist(), 0, 0
+            for b, text in enumerate(texts, 1):
+                chars += len(text or "")
+                if chars < CHUNK_CHARS and b < len(texts):
+                    continue
+                stream, at = encoder.encode(texts[a:b])
+                ids = pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(at * width), pa.py_buffer(stream)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(at), pa.int64()), ids.cast(pa.binary())],
+                                                 names=["doc_id", "n_tokens", "ids"])
+                a, chars = b, 0
 
     schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType),
                            T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
@@ -337,7 +386,9 @@ def write_token_file(tokens: DataFrame, path: str, vocabulary: int) -> str:
 
 def read_token_file(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, n_tokens, ids)`` decoded from the files; ``ids`` are
-    little-endian unsigned 32-bit, ``start`` counts the ids of all documents before."""
+    little-endian unsigned 32-bit, ``start`` counts the ids of all documents before.
+    Whatever was written comes back: null ids, documents without ids (an empty
+    binary), repeated rows; files without documents give no rows."""
     book = spark.read.parquet(f"{path}/codebook").toArrow()  # bounded by the vocabulary
     limit, id_of, bits_of = _decode_table(book.column("id").to_numpy(), book.column("bits").to_numpy())
     blocks = spark.read.parquet(f"{path}/blocks")
@@ -366,7 +417,11 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
 
 
 def token_digest(df: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFrame:
-    """Tokenize, write, read back; per document its place and checksum."""
+    """Tokenize, write, read back; per document its place and checksum.
+
+    Order: doc_id, nulls first; rows of one id by length and content, so that equal
+    rows are interchangeable.  Null, empty and repeated rows and clashing columns as
+    in ``tokenize``; an empty table gives an empty file and no rows."""
     vocabulary = vocabulary_size(tokenizer_path)
     tokens = stash(tokenize(df, tokenizer_path, end_id), "tokens")
     path = write_token_file(tokens, scratch_dir(df.sparkSession, "token-file"), vocabulary)

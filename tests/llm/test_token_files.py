@@ -13,9 +13,7 @@ from tests_llm import SF, frame
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(tokenizer_file())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_file())  # the library's defaults
 
 
 def test_query_round_trip(spark, tokenizer):
@@ -32,9 +30,23 @@ def test_words_are_safe_cuts(tokenizer):
     alphabet = ["a", "b ", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\x1c", "\u200b", "1", "2", "é", "漢", "'s", "'", "!", "—", "\u0085", "<|endoftext|>"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(1500)]
     texts += [" ".join(rng.choice(["word", "Big,", "é!", "x'", "y's", "1.", "|", "\u01c5.", "a\nb", "#a"]) for _ in range(rng.randint(1, 12))) for _ in range(1500)]
-    own = K._Encoder(tokenizer_file(), "<u2").encode(texts)
-    for text, e, ids in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), own):
-        assert np.frombuffer(ids, "<u2").tolist() == e.ids, repr(text)
+    texts += ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|>b c", "<|endoftext|> <|endoftext|>\nz", None, ""]
+    rng.shuffle(texts)
+    encoder = K._Encoder(tokenizer_file(), "<u2", 7)
+    for step in (1, 50, len(texts)):  # new and known units
+        for a in range(0, len(texts), step):
+            stream, at = encoder.encode(texts[a:a + step])
+            for text, i, j in zip(texts[a:a + step], at, at[1:]):
+                assert stream[i:j].tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 7], repr(text)
+    assert tokenizer.encode("x <|endoftext|> y", add_special_tokens=False).ids.count(50256) == 1
+
+
+def test_a_full_cache_starts_anew(tokenizer, monkeypatch):
+    monkeypatch.setattr(K, "CACHE", 20)
+    encoder = K._Encoder(tokenizer_file(), "<u2")
+    for k in range(40):
+        text = " ".join(f"word{k}x{j}" for j in range(9))
+        assert encoder.encode([text, text])[0].tolist() == 2 * tokenizer.encode(text).ids and len(encoder.known) <= 29
 
 
 def test_code_lengths_are_optimal_and_limited():
