@@ -28,6 +28,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -112,7 +113,7 @@ class Aligner:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
         self.strings: list[str] = []  # groups of each word
         self.stats, self.pairs = [np.zeros((0, 4), np.int64)], [np.zeros(0, np.int64)]  # of each batch of words
 
@@ -138,10 +139,10 @@ class Aligner:
         start[:1] = 0  # the space before the text
         return b, start, stop
 
-    def _learn(self, units: list[str]) -> None:
+    def _learn(self, units: list[bytes]) -> None:
         """Units: words with the space or line feed before them."""
-        found = self.align("x" + "".join(units))
-        stops = np.cumsum([2, *(len(u.encode()) for u in units)])
+        found = self.align("x" + b"".join(units).decode())
+        stops = np.cumsum([2, *map(len, units)])
         if found is None or not np.isin(stops, found.cuts).all():
             if len(units) > 1:  # look for the odd ones
                 half = len(units) // 2
@@ -164,50 +165,55 @@ class Aligner:
         the distinct pairs of each: (place of the text, pair, occurrences)."""
         if len(self.known) > CACHE:
             self.clear()
-        split, new = [], {}
-        for text in texts:
-            if not text or _OTHER.search(text):
-                split.append(None)
-                continue
-            words = text.replace("\n", " \n").split(" ")
-            units = [w if w[0] == "\n" else " " + w for w in words]
-            split.append(units)
-            new.update(dict.fromkeys(u for u in units if u not in self.known))
-        new = list(new)
-        for k in range(0, len(new), LEARN):
-            self._learn(new[k:k + LEARN])
-        rows, keys, owner, weight = [], [], [], []
-        used, used_doc = [], []
-        self.stats, self.pairs = [np.concatenate(self.stats)], [np.concatenate(self.pairs)]
-        stats, pairs = self.stats[0], self.pairs[0]
-        pair_end = np.cumsum(stats[:, 3])
-        for k, (text, units) in enumerate(zip(texts, split)):
-            ids = None if units is None else list(map(self.known.__getitem__, units))
-            if ids is not None and -1 not in ids:
-                ids = np.array(ids)
-                rows.append((*stats[ids].sum(axis=0).tolist(), hashlib.sha256(";".join(map(self.strings.__getitem__, ids.tolist())).encode()).hexdigest()))
-                used.append(ids)
-                used_doc.append(np.full(len(ids), k))
-                continue
-            found = self.align(text) if text else None
+        rows, keys, owner, weight, plain = [(0, 0, 0, 0, "")] * len(texts), [], [], [], []
+        whole = []
+        for k, text in enumerate(texts):
+            if text:
+                (whole if _OTHER.search(text) else plain).append(k)
+        if plain:  # every word starts at a space or line feed, the first one at A's space
+            raws = [b" " + texts[k].encode() for k in plain]
+            raw = b"".join(raws)
+            data = np.frombuffer(raw, np.uint8)
+            starts = np.flatnonzero((data == 32) | (data == 10))
+            cuts = np.append(starts, len(data)).astype(np.int64)
+            coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(raw)]).dictionary_encode()
+            units, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            new = [u for u in units if u not in self.known]
+            for k in range(0, len(new), LEARN):
+                self._learn(new[k:k + LEARN])
+            number = np.array([self.known[u] for u in units], np.int64)
+            self.stats, self.pairs = [np.concatenate(self.stats)], [np.concatenate(self.pairs)]
+            stats, pairs = self.stats[0], self.pairs[0]
+            pair_end = np.cumsum(stats[:, 3])
+            first = np.searchsorted(starts, np.cumsum([0, *map(len, raws)]))  # each text's first unit
+            place = np.repeat(np.arange(len(plain)), np.diff(first))
+            odd = np.bincount(place, number[at] < 0, len(plain)) > 0  # texts with a word that no cut follows
+            whole += [plain[k] for k in np.flatnonzero(odd)]
+            sums = np.add.reduceat(stats[number[at]], first[:-1])
+            strings = pa.array([self.strings[k] if k >= 0 else "" for k in number.tolist()], pa.large_string())
+            joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(first, pa.int64()), strings.take(pa.array(at))), pa.scalar(";", pa.large_string()))
+            for k, (doc, total, text) in enumerate(zip(plain, sums.tolist(), joined.cast(pa.large_binary()))):
+                if not odd[k]:
+                    rows[doc] = (*total, hashlib.sha256(text.as_buffer()).hexdigest())
+            sound = ~odd[place]
+            both, many = np.unique(np.array(plain)[place[sound]] * (1 << 32) + number[at[sound]], return_counts=True)
+            doc, unit = both >> 32, both & 0xFFFFFFFF
+            at, of = _ragged((pair_end - stats[:, 3])[unit], stats[unit, 3])
+            keys.append(pairs[at]), owner.append(doc[of]), weight.append(many[of])
+        for k in whole:
+            found = self.align(texts[k])
             if found is None:
-                rows.append((0, 0, 0, 0, ""))
                 continue
-            rows.append((len(found.a), len(found.b), len(found.cuts), len(found.links),
-                         hashlib.sha256(";".join(found.group_strings()).encode()).hexdigest()))
+            rows[k] = (len(found.a), len(found.b), len(found.cuts), len(found.links),
+                       hashlib.sha256(";".join(found.group_strings()).encode()).hexdigest())
             pair, many = np.unique(found.links, return_counts=True)
             keys.append(pair), owner.append(np.full(len(pair), k)), weight.append(many)
-        if used:  # distinct (text, word) first, then their pairs
-            both, many = np.unique(np.concatenate(used_doc) * (1 << 32) + np.concatenate(used), return_counts=True)
-            doc, unit = both >> 32, both & 0xFFFFFFFF
-            at, of = _ragged((pair_end - stats[:, 3])[unit], stats[unit, 3])
-            keys.append(pairs[at]), owner.append(doc[of]), weight.append(many[of])
         if not keys:
             nothing = np.zeros(0, np.int64)
             return rows, nothing, nothing, nothing, nothing
         distinct, pair = np.unique(np.concatenate(keys), return_inverse=True)
         both, place = np.unique(np.concatenate(owner) * len(distinct) + pair, return_inverse=True)
-        total = np.bincount(place, np.concatenate(weight)).astype(np.int64)
+        total = np.bincount(place, np.concatenate(weight), len(both)).astype(np.int64)
         return rows, both // len(distinct), both % len(distinct), total, distinct
 
 
