@@ -42,6 +42,7 @@ _WS = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007
 _UNIT = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 _RARE = [c for c in _WS if c not in " \n"]
 _RUNS = ["  ", "\n\n", " \n", "\n "]
+_MARKS = ".,;:!?)"  # units of their own where they end a word of letters
 _encoders: dict = {}
 
 
@@ -60,6 +61,11 @@ class _Encoder:
         for piece, k in self.tokenizer.get_vocab().items():
             self.opens[k] = piece[0] in "\u0120\u010a"
         self.feed = len(self._ids("\n"))
+        self.marks = {m.encode(): self._ids(m) for m in _MARKS
+                      if all(np.array_equal(self._ids(w + m + " b"), np.concatenate([self._ids(w), self._ids(m), self._ids(" b")])) for w in ("a", " Ab", "\nX"))}
+        self.is_mark, self.is_letter = np.zeros(256, bool), np.zeros(256, bool)
+        self.is_mark[[m[0] for m in self.marks]] = True
+        self.is_letter[[*range(65, 91), *range(97, 123)]] = True
         self._clear()
 
     def _clear(self) -> None:
@@ -68,6 +74,8 @@ class _Encoder:
         self.flat = np.array([] if self.end_id is None else [self.end_id], self.dtype)
         self.ends = np.array([len(self.flat)], np.int64)
         self._new: list = []
+        for mark, ids in self.marks.items():
+            self.known[mark] = self._add(ids, np.array([len(ids)]))
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)  # no offsets
@@ -109,11 +117,16 @@ class _Encoder:
 
     def _plain(self, texts) -> list[np.ndarray]:
         """Unit numbers of texts with one space or line feed between any two words, each
-        with a line feed put before it: every unit starts at one of these bytes."""
+        with a line feed put before it: every unit starts at one of these bytes, or is a
+        mark between a letter and one of them."""
         rows = [b"\n" + t.encode() for t in texts]
         raw = b"".join(rows)
         data = np.frombuffer(raw, np.uint8)
-        starts = np.flatnonzero((data == 32) | (data == 10))
+        opens = (data == 32) | (data == 10)
+        ends = np.append(opens[1:], True)  # the next byte opens a unit
+        ends[0] = False
+        ends[1:] &= self.is_mark[data[1:]] & self.is_letter[data[:-1]]
+        starts = np.flatnonzero(opens | ends)
         cuts = np.append(starts, len(data)).astype(np.int64)
         coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(raw)]).dictionary_encode()
         numbers = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
