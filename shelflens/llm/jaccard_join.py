@@ -54,19 +54,22 @@ def set_key(s: np.ndarray) -> int:
 
 # -- 1 -------------------------------------------------------------------------
 def set_keys(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(doc_id, n_shingles, node)``: node is the set's key, null for an empty set."""
+    """``(doc_id, n_shingles, merged, node)``: node is the set's key, null for an empty
+    set; ``merged`` of its shingles have the upper FREQUENCY_BITS bits of another one."""
     schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType), T.StructField("n_shingles", T.LongType()),
-                           T.StructField("node", T.LongType())])
+                           T.StructField("merged", T.LongType()), T.StructField("node", T.LongType())])
+    cut = np.uint64(64 - FREQUENCY_BITS)
 
     def run(batches):
         for batch in batches:
-            n, key = np.zeros(batch.num_rows, np.int64), [None] * batch.num_rows
+            n, merged, key = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64), [None] * batch.num_rows
             for row, to, hashes, first in W.word_hashes(batch.column(1)):
                 for k in range(to - row):
                     s = W.shingle_set(hashes[first[k]:first[k + 1]], SHINGLE)
                     if len(s):
-                        n[row + k], key[row + k] = len(s), set_key(s)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(key, pa.int64())], names=schema.names)
+                        short = s >> cut
+                        n[row + k], merged[row + k], key[row + k] = len(s), int((short[1:] == short[:-1]).sum()), set_key(s)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(merged), pa.array(key, pa.int64())], names=schema.names)
 
     return arrow(df.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), run, schema)
 
@@ -124,9 +127,11 @@ _BLOCK = T.StructType([T.StructField("range", T.IntegerType()), T.StructField("n
 def shingle_blocks(sets_of, ranges: int):
     """mapInArrow function: per slice of sets and hash range one row with the
     sorted shingles, their owners (numbers in the slice) and the owners' nodes.
-    Only the upper FREQUENCY_BITS bits of the hashes travel: shingles that fall
-    together look more frequent than they are, which keeps a set in the running
-    (or puts it in a cluster) that would else be out, never the reverse."""
+    Only the upper FREQUENCY_BITS bits of the hashes travel.  Shingles of two sets
+    that fall together look shared, which keeps a set in the running that would else
+    be out; shingles of one set that fall together are counted once, and ``merged``
+    makes up for them wherever a number of shingles is compared.  A task sends a
+    set's copies once."""
     step = (1 << FREQUENCY_BITS) // ranges + 1
     cut = np.uint64(64 - FREQUENCY_BITS)
 
@@ -147,9 +152,12 @@ def shingle_blocks(sets_of, ranges: int):
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
-        arrow_schema, held, size = to_arrow_schema(_BLOCK), [], 0
+        arrow_schema, held, size, sent = to_arrow_schema(_BLOCK), [], 0, set()
         for item in sets_of(batches):
             node, s = item[0], item[1]
+            if node in sent:
+                continue
+            sent.add(node)
             held.append((node, s, item[2] if len(item) > 2 else 0))
             size += len(s)
             if size >= SLICE_SHINGLES or len(held) >= 60_000:
@@ -165,10 +173,11 @@ def shingle_blocks(sets_of, ranges: int):
 
 def _ranges(batches):
     """(shingles, nodes, level limits, starts of equal shingles) per hash range;
-    each (shingle, node) once, sorted by shingle.  Ranges come one after another."""
-    held, now = [], None
+    each (shingle, node) once, sorted by shingle.  Ranges come one after another;
+    copies that other tasks sent are dropped while a range is being gathered."""
+    held, now, size, kept = [], None, 0, 0
 
-    def joined():
+    def distinct():
         shingles = np.concatenate([h[0] for h in held])
         nodes = np.concatenate([h[1] for h in held])
         limits = np.concatenate([h[2] for h in held])
@@ -176,7 +185,10 @@ def _ranges(batches):
         shingles, nodes, limits = shingles[order], nodes[order], limits[order]
         new = np.ones(len(shingles), bool)
         new[1:] = (shingles[1:] != shingles[:-1]) | (nodes[1:] != nodes[:-1])  # copies of a set count once
-        shingles, nodes, limits = shingles[new], nodes[new], limits[new]
+        return shingles[new], nodes[new], limits[new]
+
+    def joined():
+        shingles, nodes, limits = distinct()
         return shingles, nodes, limits, np.flatnonzero(np.append(True, shingles[1:] != shingles[:-1]))
 
     for batch in batches:
@@ -184,11 +196,15 @@ def _ranges(batches):
             part, n = r[0].as_py(), r[1].as_py()
             if now is not None and part != now:
                 yield joined()
-                held = []
+                held, size, kept = [], 0, 0
             now = part
             owners = np.frombuffer(r[3].as_buffer(), "<u2")
             held.append((_unpack(r[2].as_buffer(), n), np.frombuffer(r[4].as_buffer(), np.int64)[owners],
                          np.frombuffer(r[5].as_buffer(), np.uint8)[owners]))
+            size += n
+            if size > 2 * max(kept, BUCKET_SHINGLES):
+                held = [distinct()]
+                size = kept = len(held[0][0])
     if held:
         yield joined()
 
@@ -407,12 +423,13 @@ def node_filter(nodes: DataFrame):
 
 def linked_sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` that connect all linked sets.  ``texts(doc_id, text)``;
-    ``nodes(node, doc_id, n_shingles)``: one document of each distinct set."""
+    ``nodes(node, doc_id, n_shingles, merged)``: one document of each distinct set."""
     total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
     seen = frequency_classes(texts.select("text"), _text_sets, total)
     n = F.col("n_shingles")
     fewest = F.ceil(n * F.lit(NUM) / F.lit(DEN))
-    some = stash(nodes.join(seen.select("node", "seen"), "node").where(F.col("seen") >= fewest).select("node", "doc_id", "n_shingles"), "may-link")
+    enough = F.col("seen") + F.col("merged") >= fewest
+    some = stash(nodes.join(seen.select("node", "seen"), "node").where(enough).select("node", "doc_id", "n_shingles", "merged"), "may-link")
     maybe = node_filter(some)
 
     def to_sets(batches):
@@ -434,17 +451,17 @@ def linked_sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
 
     # the join drops what the filter let through in error
     found = arrow(texts.select("text"), gathered, "node long, shingles binary")
-    sets = stash(found.join(some.select("node", "n_shingles"), "node").groupBy("node")
-                 .agg(F.min("shingles").alias("shingles"), F.min("n_shingles").alias("n_shingles")), "sets")
+    sets = stash(found.join(some.select("node", "n_shingles", "merged"), "node").groupBy("node")
+                 .agg(F.min("shingles").alias("shingles"), F.min("n_shingles").alias("n_shingles"), F.min("merged").alias("merged")), "sets")
 
     # rarest-first prefix of each remaining set: frequency classes up to a limit
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     again = frequency_classes(sets.select("node", "shingles"), _kept_sets, total)
     prefix = n - fewest + 1  # a linked set shares one of these
-    alone = n - F.col("seen")
+    alone = n - F.col("merged") - F.col("seen")  # and maybe some of the merged ones
     steps = F.aggregate("classes", F.struct(alone.alias("had"), F.lit(-1).cast("long").alias("upto")), lambda acc, c: F.struct(
         (acc["had"] + c["n"]).alias("had"), F.when(acc["had"] >= prefix, acc["upto"]).otherwise(c["level"]).alias("upto")))
-    limited = stash(sets.join(again, "node").where(F.col("seen") >= fewest)
+    limited = stash(sets.join(again, "node").where(enough)
                     .select("node", "shingles", "n_shingles", steps["upto"].cast("int").alias("upto")), "prefixes")
 
     def with_limits(batches):
@@ -477,11 +494,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     keyed = stash(set_keys(texts, "doc_id", "text"), "set-keys")
     nodes = stash(keyed.where("node is not null").groupBy("node")
-                  .agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles")), "nodes")
+                  .agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"), F.min("merged").alias("merged")), "nodes")
     joined = components(linked_sets(texts, nodes))
-    smallest = (nodes.join(joined, "node").groupBy("component").agg(F.min("doc_id").alias("smallest")))
-    named = stash(nodes.join(joined, "node", "left").join(smallest, "component", "left")
-                  .select("node", F.coalesce("smallest", "doc_id").alias("component_id")), "named")
+    linked = stash(nodes.join(joined, "node").select("node", "doc_id", "component"), "linked")
+    smallest = stash(linked.groupBy("component").agg(F.min("doc_id").alias("smallest")), "smallest")
+    # sets without a link stay out of the join by component
+    named = stash(linked.join(smallest, "component").select("node", F.coalesce("smallest", "doc_id").alias("component_id"))
+                  .unionAll(nodes.join(joined, "node", "left_anti").select("node", F.col("doc_id").alias("component_id"))), "named")
     # a group of copies may hold a third of the rows: both sides are plain tables, so AQE can split its node
     return (keyed.join(named, "node", "left")
             .select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))

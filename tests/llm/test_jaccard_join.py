@@ -67,6 +67,28 @@ def test_against_brute_force(spark, seed):
     assert sorted((tuple(r) for r in got), key=str) == brute(rows)
 
 
+@pytest.mark.parametrize("bits", [6, 8, 12])
+def test_merged_frequency_hashes_lose_no_link(spark, monkeypatch, bits):
+    rng = random.Random(bits)
+    rows = corpus(bits, 60)
+    for k in range(25):  # pairs exactly at the limit: 75 shingles of 100, the one within the other
+        words = [f"w{k}x{j}" for j in range(104)]
+        rows += [(2000 + 2 * k, " ".join(words)), (2001 + 2 * k, " ".join(words[:79]))]
+    rng.shuffle(rows)
+    monkeypatch.setattr(J, "FREQUENCY_BITS", bits)
+    got = J.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
+def test_copies_from_many_tasks_in_small_ranges(spark, monkeypatch):
+    rows = corpus(9, 60)
+    rows += [(3000 + k, rows[k % 3][1]) for k in range(90)]
+    monkeypatch.setattr(J, "BUCKET_SHINGLES", 300)
+    monkeypatch.setattr(J, "SLICE_SHINGLES", 200)
+    got = J.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
 def test_clusters_in_blocks(spark, monkeypatch):
     rows = corpus(3)
     monkeypatch.setattr(J, "BLOCK_SHINGLES", 700)
