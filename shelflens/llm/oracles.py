@@ -7,7 +7,7 @@ are out of SQL's reach; tests/llm holds those queries against brute force.
 from __future__ import annotations
 
 from shelflens.llm.licenses import COVERAGE, DRIFT, GRAM, PHRASES, STRETCH, TEMPLATES
-from shelflens.llm.url_filters import DAMPING, ROUNDS
+from shelflens.llm.url_filters import DAMPING, TOLERANCE
 
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -21,14 +21,18 @@ def url_filters(rules) -> str:
     verdict = " ".join(f"WHEN {f} THEN '{v}'" for f, _, v in cases)
 
     def walk(name, seeds, source, target):
-        out = [f"{name}0 AS MATERIALIZED (SELECT host, seed * {1 - DAMPING!r} AS score FROM {seeds})"]
-        for k in range(ROUNDS):
-            out.append(f"""{name}{k + 1} AS MATERIALIZED (SELECT host, sum(score) AS score FROM (
-  SELECT host, score FROM {name}0 UNION ALL
-  SELECT e.{target}, s.score * {DAMPING!r} / e.{name}_degree FROM {name}{k} s JOIN edges e ON e.{source} = s.host) GROUP BY host)""")
-        return ",\n".join(out)
+        return f"""{name}0 AS MATERIALIZED (SELECT host, seed * {1 - DAMPING!r} AS score FROM {seeds}),
+{name}w(k, host, score, total, change) AS (
+  SELECT 0, host, score, sum(score) OVER (), CAST('infinity' AS DOUBLE) FROM {name}0 WHERE EXISTS (FROM edges)
+  UNION ALL
+  SELECT k + 1, host, score, sum(score) OVER (), sum(score) OVER () - old FROM (
+    SELECT k, host, sum(score) AS score, max(total) AS old FROM (
+      SELECT r.k, b.host, b.score, r.total FROM {name}0 b, (SELECT DISTINCT k, total FROM {name}w WHERE change > {TOLERANCE!r}) r UNION ALL
+      SELECT s.k, e.{target}, s.score * {DAMPING!r} / e.{name}_degree, s.total FROM {name}w s JOIN edges e ON e.{source} = s.host WHERE s.change > {TOLERANCE!r})
+    GROUP BY k, host)),
+{name} AS MATERIALIZED (SELECT host, score FROM {name}w WHERE k = (SELECT max(k) FROM {name}w) UNION ALL SELECT * FROM {name}0 WHERE NOT EXISTS (FROM edges))"""
 
-    return f"""WITH read AS (SELECT page_id, html, {_LOWER.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)")} AS host,
+    return f"""WITH RECURSIVE read AS (SELECT page_id, html, {_LOWER.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)")} AS host,
   regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
 judged AS MATERIALIZED (SELECT *, CASE {rule} END AS rule, CASE {verdict} END AS fit FROM read),
 links AS (SELECT DISTINCT host AS src, {_LOWER.format("dst")} AS dst FROM (SELECT host, unnest(regexp_extract_all(coalesce(html, ''),
@@ -43,7 +47,7 @@ bad AS (SELECT host, b::DOUBLE / greatest((SELECT sum(b) FROM seeds), 1)::DOUBLE
 {walk("d", "bad", "dst", "src")}
 SELECT page_id, j.host AS host, path, rule, coalesce(fit, CASE WHEN coalesce(d.score, 0) > coalesce(t.score, 0) THEN 'block' ELSE 'allow' END) AS verdict,
   coalesce(t.score, 0.0::DOUBLE) AS trust, coalesce(d.score, 0.0::DOUBLE) AS distrust
-FROM judged j LEFT JOIN t{ROUNDS} t ON t.host = j.host LEFT JOIN d{ROUNDS} d ON d.host = j.host"""
+FROM judged j LEFT JOIN t ON t.host = j.host LEFT JOIN d ON d.host = j.host"""
 
 
 def licenses() -> str:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from shelflens.llm.common import stash
 
 DAMPING = 0.85
-ROUNDS = 20  # 0.85**20 < 0.04 of the mass is still under way
+TOLERANCE = 1e-6  # of all mass (1): the rounds end when one adds no more than this
 
 
 def host_of(url):
@@ -51,23 +51,28 @@ def host_edges(pages: DataFrame) -> DataFrame:
             .where("src <> '' and dst <> '' and src <> dst").distinct())
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
     """Personalised PageRank ``(host, score)`` from ``seeds(host, seed)`` (weights
     summing to 1) along ``edges(src, dst)``; hosts that no mass reaches are
     absent.  A host without links keeps its share of mass (it is not spread).
-    Every few rounds the scores are written, which bounds the lineage."""
-    degree = edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
+
+    Rounds only ever add to a score, so a round's change is the growth of the sum of
+    all scores; at most ``damping**k`` is left to add after k rounds, which bounds their
+    number (86 with the defaults).  Every round is written; joins read written tables, so
+    AQE can split a host with very many links.
+    """
+    degree = stash(edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree")), "host-degrees")
     weighted = stash(edges.join(degree, "src"), "host-edges")
-    base = seeds.select("host", (F.col("seed") * (1 - damping)).alias("score"))
-    score = base
+    base = stash(seeds.select("host", (F.col("seed") * (1 - damping)).alias("score")), "host-base")
+    score, change, total = base, float("inf"), base.agg(F.coalesce(F.sum("score"), F.lit(0.0))).first()[0]
     if weighted.isEmpty():
         return base
-    for k in range(rounds):
+    while change > tolerance:
         passed = (weighted.join(score.withColumnRenamed("host", "src"), "src")
                   .select(F.col("dst").alias("host"), (F.col("score") * damping / F.col("degree")).alias("score")))
-        score = base.unionAll(passed).groupBy("host").agg(F.sum("score").alias("score"))
-        if k % 4 == 3:
-            score = stash(score, "host-scores")
+        score = stash(base.unionAll(passed).groupBy("host").agg(F.sum("score").alias("score")), "host-scores")
+        before, total = total, score.agg(F.coalesce(F.sum("score"), F.lit(0.0))).first()[0]
+        change = total - before
     return score
 
 
@@ -76,8 +81,11 @@ def judge(pages: DataFrame, rules, threshold: float = 1.0) -> DataFrame:
 
     Null or malformed urls have empty host and path, fit no rule and are
     allowed (no host, no distrust).  Hosts that no seed reaches are allowed.
-    Rows are kept as they come: repeated pages are judged alike.
+    Rows are kept as they come: repeated pages are judged alike, a null page_id is
+    kept.  Null or very long html is read whole; other columns are ignored, whatever
+    their names; an empty table gives an empty table.  Ties of trust and distrust allow.
     """
+    pages = pages.select("page_id", "url", "html")
     read = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     read = read.withColumn("__fit", rule_for(F.col("host"), F.col("path"), rules))
     seeds = stash(read.where("host <> '' and __fit is not null").groupBy("host")
