@@ -20,6 +20,7 @@ from shelflens.operators.dbscan import dbscan
 from shelflens.operators.describe import describe
 from shelflens.operators import kmeans as KM
 from shelflens.operators.features import FEATURES, cluster_features, standardize
+from shelflens.operators.tsne import tsne
 from shelflens.plans import clustering as CLU
 from shelflens.plans import performance as PF
 from shelflens.plans import reports as R
@@ -369,6 +370,11 @@ def q_pca_dbscan(spark, sf_dir):
     return CLU.pca_dbscan(fx.table(spark, sf_dir, "embeddings"))
 
 
+def q_tsne(spark, sf_dir):
+    """A picture of all embeddings (iterative floats: held against exact t-SNE in the tests)."""
+    return tsne(fx.table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 # -- labels computed from the tables: the cluster aggregates without a fit --------------
 def _given_labels(spark, sf_dir):
     rows = _features(spark, sf_dir)
@@ -405,6 +411,7 @@ def queries() -> dict[str, Query]:
         "q_pca": q_pca,  # I6
         "q_dbscan": q_dbscan,  # I7
         "q_pca_dbscan": q_pca_dbscan,  # I6, I7
+        "q_tsne": q_tsne,  # section 2.13
         "q_cluster_stats_given": q_cluster_stats_given,  # F-A5
         "q_describe_clusters_given": q_describe_clusters_given,  # I5
         "q_price_histogram_given": q_price_histogram_given,  # F-A10
