@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 
 from shelflens.llm.common import arrow, ship, stash
 from shelflens.llm.periodic_runs import _ragged
+from shelflens.llm.token_files import pieces
 
 CHUNK_CHARS = 4 << 20  # of texts whose pairs are summed together
 CACHE = 600_000  # words whose alignment a Python worker keeps
@@ -177,7 +178,7 @@ class Aligner:
             starts = np.flatnonzero((data == 32) | (data == 10))
             cuts = np.append(starts, len(data)).astype(np.int64)
             coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(raw)]).dictionary_encode()
-            units, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            units, at = pieces(coded.dictionary), coded.indices.to_numpy()
             new = [u for u in units if u not in self.known]
             for k in range(0, len(new), LEARN):
                 self._learn(new[k:k + LEARN])

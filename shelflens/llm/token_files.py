@@ -33,7 +33,7 @@ CHECKPOINT = 64  # tokens between bit-offset checkpoints
 BLOCK_TOKENS = 1 << 16  # a block is closed once it holds as many
 LIMIT = 16  # bits of the longest code, more only if the vocabulary needs it
 CACHE = 1_000_000  # units whose ids a Python worker keeps
-LEARN = 5000  # new units tokenized in one text
+LEARN = 500  # new units tokenized in one text
 CHUNK_CHARS = 4 << 20  # of texts whose units are looked up together
 
 # White space of the byte-level pre-tokenizer.  A token holds white space only
@@ -41,11 +41,19 @@ CHUNK_CHARS = 4 << 20  # of texts whose units are looked up together
 _WS = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNIT = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 _RARE = [c for c in _WS if c not in " \n"]
+_RARE_ASCII = [c for c in _RARE if c.isascii()]
 _RUNS = ["  ", "\n\n", " \n", "\n "]
 _MARKS = ".,;:!?)"  # units of their own where they end a word of letters
 _encoders: dict = {}
 
 
+def pieces(array) -> list[bytes]:
+    """The values of a large binary array (without nulls)."""
+    cuts = np.frombuffer(array.buffers()[1], np.int64)[array.offset:array.offset + len(array) + 1].tolist()
+    raw = array.buffers()[2].to_pybytes() if cuts[-1:] != [0] else b""
+    return [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+
+
 class _Encoder:
     """ids of texts by way of their units, words with the white space before them:
     each distinct unit goes through the tokenizer once per Python worker, thousands
@@ -129,7 +137,7 @@ class _Encoder:
         starts = np.flatnonzero(opens | ends)
         cuts = np.append(starts, len(data)).astype(np.int64)
         coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(raw)]).dictionary_encode()
-        numbers = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        numbers = self._numbers(pieces(coded.dictionary))[coded.indices.to_numpy()]
         return np.split(numbers, np.searchsorted(starts, np.cumsum([len(r) for r in rows])[:-1]))
 
     def _odd(self, text: str) -> np.ndarray:
@@ -155,8 +163,8 @@ class _Encoder:
         for k, text in enumerate(texts):
             if not text:
                 continue
-            if (text[0] in _WS or text[-1] in _WS or any(r in text for r in _RUNS) or any(c in text for c in _RARE)
-                    or any(t in text for t in self.added)):
+            if (text[0] in _WS or text[-1] in _WS or any(r in text for r in _RUNS)
+                    or any(c in text for c in (_RARE_ASCII if text.isascii() else _RARE)) or any(t in text for t in self.added)):
                 numbers[k] = self._odd(text)
             else:
                 plain.append(k)
