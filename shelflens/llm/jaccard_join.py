@@ -433,9 +433,11 @@ def linked_sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     maybe = node_filter(some)
 
     def to_sets(batches):
+        sent = set()  # copies of a set are sent once a task
         for node, s in _text_sets(batches):
-            if not maybe(node):
+            if node in sent or not maybe(node):
                 continue
+            sent.add(node)
             yield pa.RecordBatch.from_arrays([pa.array([node], pa.int64()), pa.array([s.tobytes()], pa.binary())], names=["node", "shingles"])
 
     def gathered(batches):  # fewer, larger batches
