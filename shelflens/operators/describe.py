@@ -1,9 +1,9 @@
 """F-A9: ``describe`` -- count, mean, sample std, min, quartiles, max.
 
-Moments come from one partial/final aggregate; quartiles are *exact* (linear
-interpolation, as pandas) via the distributed order statistics of
-``ordering.exact_quantiles``.  ``percentile`` would keep a per-group value
-map in one task, and ``DataFrame.summary()`` returns nearest-rank values
+Moments and the sketch that brackets the quartiles come from one partial/final
+aggregate; quartiles are *exact* (linear interpolation, as pandas) via the
+distributed selection of ``quantiles``.  ``percentile`` would keep a per-group
+value map in one task, and ``DataFrame.summary()`` returns nearest-rank values
 (1/2/3 where pandas gives 1.75/2.5/4.75), so neither is used.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelflens.operators.ordering import exact_quantiles, to_long
+from shelflens.operators.quantiles import select_quantiles, to_long
 
 STATISTICS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
@@ -28,24 +28,19 @@ def describe_long(df: DataFrame, metrics, digits: int | None = None,
     exact sort is not wanted; the default is exact.
     """
     long = to_long(df, metrics)
-    moments = long.groupBy("metric").agg(
-        F.count(F.lit(1)).cast(T.DoubleType()).alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"))
+    moments = [F.count(F.lit(1)).cast(T.DoubleType()), F.avg("__v"), F.stddev_samp("__v"), F.min("__v"), F.max("__v")]
+    names = [n for n in STATISTICS if n not in QUARTILES]
     if approx_accuracy:
-        qs = F.percentile_approx("value", list(QUARTILES.values()), approx_accuracy)
-        q_wide = long.groupBy("metric").agg(qs.alias("__q")).select(
-            "metric", *[F.col("__q")[i].alias(k) for i, k in enumerate(QUARTILES)])
+        qs = F.percentile_approx("__v", list(QUARTILES.values()), approx_accuracy)
+        wide = (long.withColumnRenamed("value", "__v").groupBy("metric")
+                .agg(*[m.alias(n) for m, n in zip(moments, names)], qs.alias("__q"))
+                .select("metric", *names, *[F.col("__q")[i].alias(k) for i, k in enumerate(QUARTILES)]))
+        out = wide.unpivot("metric", STATISTICS, "statistic", "value")
     else:
-        q = exact_quantiles(long, list(QUARTILES.values()))
-        q_wide = (q.groupBy("metric")
-                  .pivot("p", list(QUARTILES.values()))
-                  .agg(F.first("quantile")))
-        q_wide = q_wide.select("metric", *[F.col(f"`{v}`").alias(k) for k, v in QUARTILES.items()])
-    wide = moments.join(q_wide, "metric", "left")
-    out = wide.unpivot("metric", STATISTICS, "statistic", "value")
+        found = select_quantiles(long, list(QUARTILES.values()), [m.alias(n) for m, n in zip(moments, names)])
+        rows = [(r["__g"], n, r[n] if n not in QUARTILES else quantiles[QUARTILES[n]])
+                for r, quantiles in found for n in STATISTICS]
+        out = df.sparkSession.createDataFrame(rows, "metric string, statistic string, value double")
     if digits is not None:
         out = out.withColumn("value", F.round("value", digits))
     return out

@@ -1,14 +1,10 @@
-"""Order statistics without funnelling data through one task.
+"""Contiguous row numbers without funnelling data through one task.
 
-Both operators sort once (range-partitioned, spillable), pin the sorted
+``with_row_index`` sorts once (range-partitioned, spillable), pins the sorted
 partitions with a reliable ``checkpoint`` in the shared checkpoint folder
-(so ranks stay stable if an executor is lost and the lineage is cut), and then
-turn per-partition counts -- a table with one row per partition, i.e. bounded
-by the partition count, never by the data -- into global ranks.
-
-* ``with_row_index``  -- contiguous 0-based index in a given order (B8)
-* ``exact_quantiles`` -- linear-interpolated quantiles per metric (F-A9),
-  the same rule as pandas ``describe`` / SQL ``quantile_cont``.
+(so numbers stay stable if an executor is lost and the lineage is cut), and then
+turns per-partition counts -- a table with one row per partition, i.e. bounded
+by the partition count, never by the data -- into global numbers.
 """
 
 from __future__ import annotations
@@ -48,63 +44,3 @@ def with_row_index(df: DataFrame, order_cols, name: str = "row_index") -> DataFr
     return (ordered.join(F.broadcast(offsets), _PID)
             .select(*[F.col(f"`{c}`") for c in df.columns],
                     (F.col("__off") + F.col(_POS)).cast(T.LongType()).alias(name)))
-
-
-def to_long(df: DataFrame, value_cols, key_cols=()) -> DataFrame:
-    """(keys..., metric, value double) rows, NULL/NaN values dropped."""
-    typed = df.select(*[F.col(f"`{k}`") for k in key_cols],
-                      *[F.col(f"`{c}`").try_cast(T.DoubleType()).alias(c) for c in value_cols])
-    return (typed.unpivot([F.col(f"`{k}`") for k in key_cols], [F.col(f"`{c}`") for c in value_cols],
-                          "metric", "value")
-            .where(F.col("value").isNotNull() & ~F.isnan("value")))
-
-
-def exact_quantiles(long_df: DataFrame, probs, group_col: str = "metric",
-                    value_col: str = "value") -> DataFrame:
-    """Quantiles per group with linear interpolation between order statistics.
-
-    Returns ``(group, p, quantile)``.  Rows are first reduced to distinct
-    ``(group, value, count)`` (map-side partial aggregation: a value repeated
-    a third of all rows becomes one row), the distinct values are range-sorted
-    and pinned by a checkpoint, and each value's rank interval
-    ``[start, start + count)`` comes from a running sum inside its sort
-    partition plus the totals of the earlier partitions.  Rank
-    ``h = (n - 1) p`` lies between the order statistics ``floor(h)`` and
-    ``ceil(h)``; those are found by a broadcast range join against the
-    (groups x probs) target table.
-    """
-    probs = [float(p) for p in probs]
-    ensure_checkpoint_dir(long_df.sparkSession)
-    dist = (long_df.groupBy(F.col(group_col).alias("__g"), F.col(value_col).cast(T.DoubleType()).alias("__v"))
-            .agg(F.count(F.lit(1)).alias("__c")))
-    ordered = (dist.orderBy("__g", "__v").withColumn(_PID, F.spark_partition_id())
-               .checkpoint(eager=True))
-    # running count inside one sort partition (bounded by the partition size)
-    within = Window.partitionBy(_PID, "__g").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = ordered.withColumn("__cum", F.sum("__c").over(within))
-    part = ordered.groupBy(_PID, "__g").agg(F.sum("__c").alias("__n"))
-    before = Window.partitionBy("__g").orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy("__g")
-    # one row per (partition, group): bounded by partitions x groups
-    part = part.select(_PID, "__g", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
-                       F.sum("__n").over(everything).alias("__total"))
-    spans = (ordered.join(F.broadcast(part.select(_PID, "__g", "__off")), [_PID, "__g"])
-             .select("__g", "__v", (F.col("__off") + F.col("__cum") - F.col("__c")).alias("__start"),
-                     (F.col("__off") + F.col("__cum")).alias("__end")))
-    targets = (part.select("__g", "__total").distinct()
-               .select("__g", "__total", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
-               .withColumn("__h", (F.col("__total") - 1) * F.col("p"))
-               .withColumn("__lo", F.floor("__h").cast(T.LongType()))
-               .withColumn("__hi", F.ceil("__h").cast(T.LongType())))
-    wanted = targets.select("__g", F.explode(F.array("__lo", "__hi")).alias("__rank")).distinct()
-    # groups x probs x 2 target ranks: a proven bound for the broadcast
-    hit = spans.join(F.broadcast(wanted), (spans["__g"] == wanted["__g"])
-                     & (wanted["__rank"] >= spans["__start"]) & (wanted["__rank"] < spans["__end"]))
-    picked = hit.select(spans["__g"].alias("__g"), wanted["__rank"].alias("__rank"), spans["__v"].alias("__v"))
-    lo = targets.join(picked.select("__g", F.col("__rank").alias("__lo"), F.col("__v").alias("__vlo")),
-                      ["__g", "__lo"])
-    both = lo.join(picked.select("__g", F.col("__rank").alias("__hi"), F.col("__v").alias("__vhi")),
-                   ["__g", "__hi"])
-    frac = F.col("__h") - F.col("__lo")
-    return both.select(F.col("__g").alias(group_col), "p",
-                       (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * frac).alias("quantile"))

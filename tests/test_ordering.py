@@ -3,7 +3,8 @@ import pandas as pd
 import pytest
 
 from shelflens.operators.describe import describe
-from shelflens.operators.ordering import exact_quantiles, to_long, with_row_index
+from shelflens.operators.ordering import with_row_index
+from shelflens.operators.quantiles import exact_quantiles, to_long
 
 
 def test_row_index_contiguous(spark):

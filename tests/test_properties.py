@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelflens.functions import cleaning as CL
 from shelflens.functions import dates as D
-from shelflens.operators.ordering import exact_quantiles
+from shelflens.operators.quantiles import exact_quantiles
 
 AS_OF = datetime(2001, 8, 1, 12)
 SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
