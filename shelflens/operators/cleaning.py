@@ -35,30 +35,37 @@ def clean_money_columns(df: DataFrame) -> DataFrame:
     return C._rebuild(df, {t: (lambda ex, n=t: CL.clean_currency(ex.col(n))) for t in targets})
 
 
-def clean_percent_columns(df: DataFrame) -> DataFrame:
+def _kinds(df: DataFrame, targets, times=()) -> dict:
+    """Kinds of these text columns (one aggregate; none without columns)."""
+    names = list(dict.fromkeys([*targets, *times]))
+    return TT.kinds(df.select(*[F.col(f"`{n}`") for n in names]), times=times) if names else {}
+
+
+def clean_percent_columns(df: DataFrame, found: dict | None = None) -> DataFrame:
     """Text columns named like rate/percentage/pct: strip '%', divide by 100.
 
     A column whose present values are all plain numbers is a numeric column
-    that came as text: its values are kept, only the type changes.
+    that came as text: its values are kept, only the type changes.  ``found``
+    are the columns' kinds if they are known already.
     """
     targets = _text_columns(df, K.PERCENT_NAME_HINTS)
     if not targets:
         return df
-    plain = TT.holds_for_all(df, {t: TT.matches(F.col(f"`{t}`"), TT.NUMBER) for t in targets})
-    return C._rebuild(df, {t: (lambda ex, n=t: F.trim(ex.col(n)).try_cast(T.DoubleType()) if plain[n]
+    found = _kinds(df, targets) if found is None else found
+    return C._rebuild(df, {t: (lambda ex, n=t: F.trim(ex.col(n)).try_cast(T.DoubleType()) if found[n].number
                                else CL.clean_percentage(ex.col(n))) for t in targets})
 
 
-def clean_time_columns(df: DataFrame, hints=K.TIME_NAME_HINTS) -> DataFrame:
+def clean_time_columns(df: DataFrame, hints=K.TIME_NAME_HINTS, found: dict | None = None) -> DataFrame:
     """Text columns named like date/time/period -> timestamps (GMT aware).
 
     Only columns whose present values all parse are converted; a column that
     merely has such a name (``on_time_delivery_rate``) is left as it is.
+    ``found`` are the columns' kinds if they are known already.
     """
     targets = _text_columns(df, hints)
-    parsed = TT.holds_for_all(df, {t: F.when(TT.present(F.col(f"`{t}`")).isNotNull(), D.parse_gmt_timestamp(
-        F.col(f"`{t}`"), K.GMT_FORMAT).isNotNull()) for t in targets})
-    targets = [t for t in targets if parsed[t]]
+    found = _kinds(df, (), targets) if found is None else found
+    targets = [t for t in targets if found[t].time]
     if not targets:
         return df
     return C._rebuild(df, {t: (lambda ex, n=t: D.parse_gmt_timestamp(ex.col(n), K.GMT_FORMAT))
@@ -122,6 +129,16 @@ def clean_inventory(df: DataFrame) -> DataFrame:
     return fill_defaults(df)
 
 
-def clean_performance(df: DataFrame) -> DataFrame:
-    """C10 = C5 + C6 + C7."""
-    return clean_percent_columns(unwrap_excel_columns(clean_time_columns(df)))
+def clean_performance(df: DataFrame, found: dict | None = None) -> DataFrame:
+    """C10 = C5 + C6 + C7; the kinds of all columns come from one aggregate, or from
+    ``found`` where the reader has decided them."""
+    if found is None:
+        found = _kinds(df, _text_columns(df, K.PERCENT_NAME_HINTS), _text_columns(df, K.TIME_NAME_HINTS))
+    return clean_percent_columns(unwrap_excel_columns(clean_time_columns(df, found=found)), found)
+
+
+def clean_performance_text(raw: DataFrame) -> DataFrame:
+    """A performance file read as text to typed, cleaned columns: one scan decides all
+    columns (number, whole, time, percent), the result's own scan is the second."""
+    found = TT.kinds(raw, times=_text_columns(raw, K.TIME_NAME_HINTS))
+    return clean_performance(TT.typed(raw, found), found)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from shelflens import constants as K
 from shelflens.functions import cleaning as CL
 from shelflens.operators import text_types as TT
+from shelflens.operators.file_order import placed
 from shelflens.functions.dates import parse_timestamp
 
 # fixed values: issue texts
@@ -54,7 +55,8 @@ def _issue_checks(field: T.StructField, family: str) -> list[tuple[str, object]]
     return checks
 
 
-def column_profile(df: DataFrame, table: str, family: str, types: bool = True, issues: bool = True) -> DataFrame:
+def column_profile(df: DataFrame, table: str, family: str, types: bool = True, issues: bool = True,
+                   untyped: bool = False) -> DataFrame:
     """One row per column: table, ordinal, column, data_type, row_count,
     missing_count, missing_pct (one decimal, 0 when empty), issues (array).
 
@@ -62,7 +64,9 @@ def column_profile(df: DataFrame, table: str, family: str, types: bool = True, i
     column is decided by its values: ``bigint`` if all are whole numbers and
     none is missing, ``double`` if the present ones are numbers (or there are
     none), else ``string``.  Type and issue checks that are not asked for
-    (``types``, ``issues``) are left out of the plan.
+    (``types``, ``issues``) are left out of the plan.  ``untyped`` says that the
+    columns are a file's text whose types are still open: one whose present values are
+    all numbers is a number, and text issues are not its own.
     """
     if family not in FAMILIES:
         raise ValueError(f"unknown family {family!r}")
@@ -80,6 +84,8 @@ def column_profile(df: DataFrame, table: str, family: str, types: bool = True, i
         for j, (text, pred) in enumerate(_issue_checks(f, family) if issues else ()):
             aggs.append(F.max(F.when(pred, F.lit(1)).otherwise(F.lit(0))).alias(f"__is{i}_{j}"))
             names.append(text)
+        if untyped and text_column and names and not types:
+            aggs.append(F.bool_and(TT.matches(c, TT.NUMBER)).alias(f"__num{i}"))
         issue_names.append(names)
     one = df.agg(*aggs)
     rows = F.col("__rows")
@@ -90,7 +96,8 @@ def column_profile(df: DataFrame, table: str, family: str, types: bool = True, i
         if types and TT.is_text(f):
             data_type = (F.when(rows == 0, data_type).when(F.col(f"__int{i}"), F.lit("bigint"))
                          .when(F.coalesce(f"__num{i}", F.lit(True)), F.lit("double")).otherwise(F.lit("string")))
-        found = F.array(*[F.when(F.col(f"__is{i}_{j}") == 1, F.lit(t)) for j, t in enumerate(issue_names[i])]) \
+        as_number = F.coalesce(F.col(f"__num{i}"), F.lit(False)) if untyped and TT.is_text(f) and issue_names[i] else F.lit(False)
+        found = F.array(*[F.when((F.col(f"__is{i}_{j}") == 1) & ~as_number, F.lit(t)) for j, t in enumerate(issue_names[i])]) \
             if issue_names[i] else F.array().cast("array<string>")
         structs.append(F.struct(
             F.lit(i).alias("ordinal"),
@@ -116,6 +123,26 @@ def table_counts(df: DataFrame, table: str) -> DataFrame:
          .otherwise(F.array(F.lit(ISSUE_EMPTY))).alias("issues"))
 
 
+def file_samples(scan: DataFrame, table: str, profile: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
+    """D4 for a file read as text: the first ``n`` values of every column as the files hold
+    them (a top-k by place, no sort), shown in the type that ``profile`` found."""
+    rows, place = placed(TT.missing_to_null(scan))
+    head = rows.orderBy(place).limit(n)
+    names = scan.columns
+    gathered = head.agg(F.sort_array(F.collect_list(F.struct(F.col(place).alias("__key"), *[
+        F.col(f"`{c}`").alias(f"__v{i}") for i, c in enumerate(names)]))).alias("__rows"))
+
+    def field_of(i):
+        return lambda r: r[f"__v{i}"]
+    values = gathered.select(F.explode(F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column"), F.transform(
+        "__rows", field_of(i)).alias("__values")) for i, c in enumerate(names)])).alias("s")).select("s.*")
+    shown = F.transform("__values", lambda v: F.coalesce(
+        F.when(F.col("data_type") == "double", F.trim(v).try_cast(T.DoubleType()).cast(T.StringType()))
+        .when(F.col("data_type") == "bigint", F.trim(v).try_cast(T.LongType()).cast(T.StringType())).otherwise(v), F.lit("None")))
+    return (values.join(profile.select("ordinal", "data_type"), "ordinal")
+            .select(F.lit(table).alias("table"), "ordinal", "column", F.array_join(shown, " | ").alias("samples")))
+
+
 def column_samples(df: DataFrame, table: str, order_by, n: int = SAMPLE_ROWS) -> DataFrame:
     """The first ``n`` values of every column in ``order_by`` order, as text
     (``NULL`` shown as the string ``None``), joined with ``' | '``."""

@@ -7,14 +7,20 @@ aggregate over the table, never a sample.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelflens import constants as K
+from shelflens.functions.dates import parse_gmt_timestamp
 
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
+DATE = r"^\d{4}-\d{2}-\d{2}$"
+STAMP = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:\d{2})?$"
+FLAG = r"(?i)^(true|false)$"
 
 
 def is_text(field: T.StructField) -> bool:
@@ -47,21 +53,58 @@ def matches(c: Column, pattern: str) -> Column:
     return present(c).rlike(pattern)
 
 
-def typed(df: DataFrame) -> DataFrame:
-    """Text columns whose present values are all numbers become BIGINT (whole
-    numbers, none missing) or DOUBLE; tokens become NULL; the rest stays text."""
-    texts = [f.name for f in df.schema.fields if is_text(f)]
+class Kind(NamedTuple):
+    """What all present values of a text column are (no present value: nothing)."""
+    number: bool = False
+    whole: bool = False       # whole numbers, none missing
+    small: bool = False       # and all fit an INT
+    date: bool = False
+    stamp: bool = False
+    flag: bool = False
+    time: bool = False        # asked for by name only: parses as one of the vendors' times
+
+
+def _whole_cell(c: Column) -> Column:
+    return F.coalesce(matches(c, WHOLE), F.lit(False))
+
+
+def kinds(df: DataFrame, calendar: bool = False, times=()) -> dict[str, Kind]:
+    """The kind of every text column by all of its values, from one aggregate (one scan
+    of the file).  ``calendar`` also tells dates, timestamps and booleans; ``times`` names
+    the columns to try as vendor times."""
     tests = {}
-    for n in texts:
+    for n in (f.name for f in df.schema.fields if is_text(f)):
         c = F.col(f"`{n}`")
         tests[n, "number"] = matches(c, NUMBER)
-        tests[n, "whole"] = F.coalesce(matches(c, WHOLE), F.lit(False))
+        tests[n, "whole"] = _whole_cell(c)
+        if calendar:
+            tests[n, "small"] = _whole_cell(c) & F.trim(c).try_cast(T.IntegerType()).isNotNull()
+            tests[n, "date"] = matches(c, DATE) & c.try_cast(T.DateType()).isNotNull()
+            tests[n, "stamp"] = matches(c, STAMP) & c.try_cast(T.TimestampType()).isNotNull()
+            tests[n, "flag"] = matches(c, FLAG)
+        if n in times:
+            tests[n, "time"] = F.when(present(c).isNotNull(), parse_gmt_timestamp(c, K.GMT_FORMAT).isNotNull())
     found = holds_for_all(df, tests)
+    return {n: Kind(**{kind: held for (name, kind), held in found.items() if name == n})
+            for n in dict.fromkeys(n for n, _ in tests)}
+
+
+def _type_of(kind: Kind) -> T.DataType | None:
+    if kind.number:
+        return (T.IntegerType() if kind.small else T.LongType()) if kind.whole else T.DoubleType()
+    return T.DateType() if kind.date else T.TimestampType() if kind.stamp else T.BooleanType() if kind.flag else None
+
+
+def typed(df: DataFrame, found: dict[str, Kind] | None = None) -> DataFrame:
+    """Text columns whose present values are all numbers become BIGINT (whole
+    numbers, none missing) or DOUBLE; tokens become NULL; the rest stays text.
+    ``found`` are the kinds if they are known already; their calendar types and INT
+    apply as far as they were asked for."""
+    found = kinds(df) if found is None else found
     df = missing_to_null(df)
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if f.name in texts and found[f.name, "number"]:
-            c = F.trim(c).try_cast(T.LongType() if found[f.name, "whole"] else T.DoubleType())
-        out.append(c.alias(f.name))
+        to = _type_of(found.get(f.name, Kind()))
+        out.append((c if to is None else F.trim(c).try_cast(to)).alias(f.name))
     return df.select(*out)

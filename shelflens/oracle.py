@@ -361,6 +361,25 @@ def _samples_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+# fixed values: the raw files of q_profile_files
+PROFILE_FILES = {"sales": "SalesandTrafficByDate.csv", "inventory": "Inventory+Report+03-22-2025.txt",
+                 "performance": "SellerPerformance.csv"}
+
+
+def _file_samples_sql() -> str:
+    """The first five rows of each file in the type that the profile found."""
+    parts = []
+    for table, _, cte, key, cols in PROFILE_TABLES:
+        for i, (col, typ) in enumerate(cols):
+            c = _present(col, typ)
+            kind = f"(SELECT data_type FROM prof WHERE \"table\" = {_lit(table)} AND ordinal = {i})"
+            val = (f"coalesce(CASE {kind} WHEN 'double' THEN CAST(TRY_CAST({c} AS DOUBLE) AS VARCHAR) "
+                   f"WHEN 'bigint' THEN CAST(TRY_CAST({c} AS BIGINT) AS VARCHAR) ELSE CAST({c} AS VARCHAR) END, 'None')")
+            parts.append(f"SELECT {_lit(table)} AS \"table\", {i} AS ordinal, string_agg({val}, ' | ' ORDER BY {_q(key)}) AS samples "
+                         f"FROM (SELECT * FROM {cte} ORDER BY {_q(key)} NULLS FIRST LIMIT 5)")
+    return "\nUNION ALL\n".join(parts)
+
+
 def _describe_sql(source_cte: str, source: str, metrics: list[str], digits: int = 6) -> str:
     stats = []
     for i, m in enumerate(metrics):
@@ -428,7 +447,7 @@ def oracle_sql_sources() -> dict[str, str]:
         CAST(ops AS DOUBLE) AS OrderedProductSales, CAST(ops AS DOUBLE) AS Sales,
         CAST(units AS DOUBLE) AS quantity FROM daily_agg"""
     q["q_synthetic_sku"] = with_ctes(DAILY_AGG) + """SELECT CAST(d AS TIMESTAMP) AS Date,
-        'SALE_' || strftime(d, '%Y%m%d') || '_' || CAST(row_number() OVER (ORDER BY d) - 1 AS VARCHAR) AS SKU
+        'SALE_' || strftime(d, '%Y%m%d') || '_' || CAST(row_number() OVER (ORDER BY units DESC, d) - 1 AS VARCHAR) AS SKU
         FROM daily_agg"""
     # -- sources (A) ------------------------------------------------------------
     q["q_read_sales_report"] = with_ctes(DAILY_AGG) + """SELECT CAST(d AS TIMESTAMP) AS Date,
@@ -474,6 +493,11 @@ def oracle_sql_sources() -> dict[str, str]:
     q["q_profile_samples"] = PROFILE_CTES + _samples_sql()
     q["q_profile_issues"] = prof + """SELECT "table", "column", unnest(string_split(issues, '; ')) AS issue
         FROM prof WHERE issues <> ''"""
+    names = " ".join(f"WHEN {_lit(t)} THEN {_lit(n)}" for t, n in PROFILE_FILES.items())
+    q["q_profile_files"] = (prof.rstrip() + ",\nsamp AS (\n" + _file_samples_sql() + ")\n"
+                            + f"""SELECT CASE p."table" {names} END AS "table", p.ordinal, p."column", p.data_type, p.row_count,
+        p.missing_count, p.missing_pct, p.issues, s.samples FROM prof p
+        LEFT JOIN samp s ON p."table" = s."table" AND p.ordinal = s.ordinal""")
     q["q_profile_report"] = (prof.rstrip() + ",\nsamp AS (\n" + _samples_sql() + ")\n"
                              + """SELECT p."table", p.ordinal, p."column", p.data_type, p.row_count, p.missing_count,
         p.missing_pct, p.issues, s.samples FROM prof p

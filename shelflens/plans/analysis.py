@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from shelflens import constants as K
 from shelflens.operators import cleaning as CLN
 from shelflens.operators import profile as PR
+from shelflens.operators import text_types as TT
 from shelflens.plans import performance as PF
 from shelflens.plans import reports as R
 from shelflens.plans.clustering import cluster_inventory, clustered_report
@@ -103,8 +104,7 @@ def load_sales(spark: SparkSession, data_dir: str, as_of: datetime | None = None
         # reference used them raw): daily-report columns -> typed sales lines.
         raw = spark.read.option("header", True).csv(p)
         if "Ordered Product Sales" in raw.columns or "Units Ordered" in raw.columns:
-            out = FS.daily_sales_projection(raw, as_of).select("Date", "OrderedProductSales", "Sales", "quantity")
-            return FS.synthetic_sku(out)
+            return FS.sales_lines(raw, as_of)
         return CLN.clean_sales(raw)
     df = FS.first_readable(spark, [_join(data_dir, n) for n in SALES_ALTERNATES], alt)
     if df is None:
@@ -177,22 +177,23 @@ def run_full_analysis(spark: SparkSession, data_dir: str, as_of: datetime,
 
 
 # -- Entry 3 ------------------------------------------------------------------
-def _raw_reader(spark, name):
-    sep = "\t" if name.endswith(".txt") else ","
-    return lambda p: FS.read_typed_csv(spark, p, sep)
+def _separator(name: str) -> str:
+    return "\t" if name.endswith(".txt") else ","
 
 
 def profile_all_files(spark: SparkSession, data_dir: str) -> DataFrame | None:
-    """D6 over every raw file present (sales, inventory, performance families)."""
+    """D6 over every raw file present (sales, inventory, performance families): one
+    aggregate a file for counts, types and issues, one top-k for the samples."""
     profiles, samples = [], []
     for family, names in (("sales", RAW_SALES), ("inventory", RAW_INVENTORY), ("performance", RAW_PERFORMANCE)):
         for name in names:
             path = _join(data_dir, name)
             if not FS.path_exists(spark, path):
                 continue
-            df = _raw_reader(spark, name)(path)
-            profiles.append(PR.column_profile(df, name, family))
-            samples.append(PR.column_samples(df, name, df.columns[0]))
+            raw = FS.read_text_csv(spark, path, _separator(name))
+            profile = PR.column_profile(raw, name, family, untyped=True)
+            profiles.append(profile)
+            samples.append(PR.file_samples(raw, name, profile))
     if not profiles:
         return None
     return PR.profile_report(profiles, samples)
@@ -202,13 +203,15 @@ def clean_data(spark: SparkSession, data_dir: str, output_dir: str | None = None
     """C8-C10 for every raw file present; writes ``cleaned_<name>`` folders."""
     out_dir = output_dir or _join(data_dir, "cleaned")
     written = {}
-    for cleaner, names in ((CLN.clean_sales, RAW_SALES), (CLN.clean_inventory, RAW_INVENTORY),
-                           (CLN.clean_performance, RAW_PERFORMANCE)):
+    # every cleaner takes the file's text; types take one scan, the write the second
+    for cleaner, names in ((lambda raw: CLN.clean_sales(TT.typed(raw)), RAW_SALES),
+                           (lambda raw: CLN.clean_inventory(TT.typed(raw)), RAW_INVENTORY),
+                           (CLN.clean_performance_text, RAW_PERFORMANCE)):
         for name in names:
             path = _join(data_dir, name)
             if not FS.path_exists(spark, path):
                 continue
-            df = cleaner(_raw_reader(spark, name)(path))
+            df = cleaner(FS.read_text_csv(spark, path, _separator(name)))
             target = _join(out_dir, f"cleaned_{name}")
             w = df.write.mode("overwrite").option("header", True)
             if name.endswith(".txt"):

@@ -21,6 +21,7 @@ from shelflens.operators.describe import describe
 from shelflens.operators import kmeans as KM
 from shelflens.operators.features import FEATURES, cluster_features, standardize
 from shelflens.operators.tsne import tsne
+from shelflens.plans import analysis as A
 from shelflens.plans import clustering as CLU
 from shelflens.plans import performance as PF
 from shelflens.plans import reports as R
@@ -148,7 +149,12 @@ def q_daily_sales_projection(spark, sf_dir):
 
 
 def q_synthetic_sku(spark, sf_dir):
-    return FS.synthetic_sku(_daily(spark, sf_dir).select("Date", "quantity")).select("Date", "SKU")
+    """B8 over the report as several CSV files, best days first; numbers follow the files."""
+    path = scratch_dir(spark, "synthetic-sku")
+    report = fx.daily_report_text(_li(spark, sf_dir))
+    units = F.col("`Units Ordered`").cast("long")
+    FS.write_report(report.repartitionByRange(6, units.desc(), "Date").sortWithinPartitions(units.desc(), "Date"), path, fmt="csv")
+    return FS.read_sales_report(spark, path, fx.AS_OF).select("Date", "SKU")
 
 
 # -- C ----------------------------------------------------------------------------
@@ -165,18 +171,18 @@ def q_clean_inventory(spark, sf_dir):
 
 
 def _performance_file(spark, sf_dir):
-    """The vendor's performance export as a CSV file read back."""
+    """The vendor's performance export as a CSV file read back as text."""
     path = scratch_dir(spark, "vendor-performance")
     FS.write_report(fx.vendor_performance(fx.table(spark, sf_dir, "events")), path, fmt="csv")
-    return FS.read_typed_csv(spark, path)
+    return FS.read_text_csv(spark, path)
 
 
 def q_clean_performance(spark, sf_dir):
-    return CLN.clean_performance(_performance_file(spark, sf_dir))
+    return CLN.clean_performance_text(_performance_file(spark, sf_dir))
 
 
 def q_clean_then_summarise(spark, sf_dir):
-    return PF.performance_summary(CLN.clean_performance(_performance_file(spark, sf_dir)), digits=6).select(
+    return PF.performance_summary(CLN.clean_performance_text(_performance_file(spark, sf_dir)), digits=6).select(
         "statistic", "on_time_delivery_rate", "order_defect_rate", "late_shipment_rate")
 
 
@@ -195,7 +201,7 @@ def q_title_length(spark, sf_dir):
 # -- A: files written from the tables, then read back -------------------------------
 def q_read_sales_report(spark, sf_dir):
     path = scratch_dir(spark, "sales-report")
-    FS.write_report(fx.daily_report_text(_li(spark, sf_dir)), path, fmt="csv")
+    FS.write_report(fx.daily_report_text(_li(spark, sf_dir)).orderBy("Date"), path, fmt="csv")
     return FS.read_sales_report(spark, path, fx.AS_OF)
 
 
@@ -303,6 +309,16 @@ def q_profile_report(spark, sf_dir):
                              [PR.column_samples(df, t, key) for t, _, df, key in tabs])
 
 
+def q_profile_files(spark, sf_dir):
+    """D6, D7 over the vendors' raw files, written from the tables in the order of their keys."""
+    root = scratch_dir(spark, "raw-files")
+    names = {"sales": A.RAW_SALES[0], "inventory": A.RAW_INVENTORY[0], "performance": A.RAW_PERFORMANCE[0]}
+    for table, _, df, key in _vendor_tables(spark, sf_dir):
+        (df.orderBy(F.col(f"`{key}`")).write.option("header", True)
+         .option("sep", "\t" if names[table].endswith(".txt") else ",").csv(f"{root}/{names[table]}"))
+    return A.profile_all_files(spark, root)
+
+
 # -- I, F-A5, F-A8, F-A10, E5 ----------------------------------------------------------
 def _features(spark, sf_dir):
     return cluster_features(_items(spark, sf_dir))
@@ -452,7 +468,8 @@ def queries() -> dict[str, Query]:
         "q_profile_types": q_profile_types,  # D3
         "q_profile_samples": q_profile_samples,  # D4
         "q_profile_issues": q_profile_issues,  # D5
-        "q_profile_report": q_profile_report,  # D6, D7
+        "q_profile_report": q_profile_report,  # D6
+        "q_profile_files": q_profile_files,  # D6, D7, file order
         # performance (J) and describe (F-A9)
         "q_select_metrics": q_select_metrics,  # J1
         "q_performance_summary": q_performance_summary,  # J2, F-A9

@@ -19,6 +19,7 @@ from shelflens.functions import cleaning as CL
 from shelflens.functions.dates import parse_timestamp, ts_literal
 from shelflens.operators import columns as C
 from shelflens.operators import text_types as TT
+from shelflens.operators.file_order import placed, with_file_index
 from shelflens.operators.ordering import with_row_index
 
 log = logging.getLogger(__name__)
@@ -89,9 +90,14 @@ def daily_sales_projection(raw: DataFrame, as_of: datetime | None = None) -> Dat
     ])
 
 
-def synthetic_sku(df: DataFrame) -> DataFrame:
-    """``SALE_<yyyyMMdd>_<row index>``; index is contiguous in Date order."""
-    indexed = with_row_index(df, [F.col("Date").asc_nulls_last()], "__row")
+def synthetic_sku(df: DataFrame, place: str | None = None) -> DataFrame:
+    """``SALE_<yyyyMMdd>_<row index>``; the index is contiguous and follows the order
+    of the files if ``place`` names the column that ``file_order.placed`` gave the scan
+    (the column goes), else the Date."""
+    if place is not None:
+        indexed = with_file_index(df, place, "__row")
+    else:
+        indexed = with_row_index(df, [F.col("Date").asc_nulls_last()], "__row")
     return indexed.withColumn(
         "SKU", F.concat_ws("_", F.lit("SALE"), F.date_format("Date", "yyyyMMdd"),
                            F.col("__row").cast(T.StringType()))).drop("__row")
@@ -99,12 +105,20 @@ def synthetic_sku(df: DataFrame) -> DataFrame:
 
 def read_sales_report(spark: SparkSession, path: str, as_of: datetime | None = None,
                       with_sku: bool = True) -> DataFrame:
-    """A1: 18 fixed text columns, header skipped, normal CSV quoting."""
+    """A1: 18 fixed text columns, header skipped, normal CSV quoting; SKUs number the
+    rows as the files hold them."""
     raw = (spark.read.schema(text_schema(K.SALES_REPORT_COLUMNS))
            .option("header", True).option("encoding", "UTF-8").csv(path))
-    raw = TT.missing_to_null(raw)
-    out = daily_sales_projection(raw, as_of).select("Date", "OrderedProductSales", "Sales", "quantity")
-    return synthetic_sku(out) if with_sku else out
+    return sales_lines(raw, as_of, with_sku)
+
+
+def sales_lines(scan: DataFrame, as_of: datetime | None = None, with_sku: bool = True) -> DataFrame:
+    """B10 and B8 on the scan of a daily report."""
+    names = ["Date", "OrderedProductSales", "Sales", "quantity"]
+    if not with_sku:
+        return daily_sales_projection(TT.missing_to_null(scan), as_of).select(*names)
+    scan, place = placed(scan)
+    return synthetic_sku(daily_sales_projection(TT.missing_to_null(scan), as_of).select(*names, place), place)
 
 
 # -- A3 ------------------------------------------------------------------------
@@ -119,22 +133,27 @@ def read_listing_tsv(spark: SparkSession, path: str, names=None) -> DataFrame:
 # -- A4 ------------------------------------------------------------------------
 def read_performance(spark: SparkSession, path: str, schema: T.StructType | None = None,
                      sampling_ratio: float = 1.0) -> DataFrame:
-    """Seller performance CSV; schema inferred unless given (inference is an
-    extra pass, so large inputs should pass ``schema`` or a sampling ratio)."""
+    """Seller performance CSV.  Without ``schema`` the values decide each column's type
+    (INT, BIGINT, DOUBLE, DATE, TIMESTAMP, BOOLEAN or text; missing-value tokens are NULL
+    and make whole numbers DOUBLE) in one aggregate over the file, or over a share of its
+    rows: values that do not fit a type decided on a share become NULL."""
     reader = spark.read.option("header", True)
     if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
-    df = reader.csv(path)
-    # a token among numbers makes inference fall back to text: decide those columns again
-    return df if schema is not None else TT.typed(df)
+        return reader.schema(schema).csv(path)
+    raw = reader.csv(path)
+    seen = raw if sampling_ratio >= 1.0 else raw.sample(sampling_ratio, seed=0)
+    return TT.typed(raw, TT.kinds(seen, calendar=True))
+
+
+def read_text_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """A vendor file with a header, every column as text."""
+    return spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8").csv(path)
 
 
 def read_typed_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """A vendor file with a header: missing-value tokens become NULL, columns
     whose present values are all numbers become numeric, the rest stays text."""
-    return TT.typed(spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8").csv(path))
+    return TT.typed(read_text_csv(spark, path, sep))
 
 
 # -- A9 ------------------------------------------------------------------------

@@ -29,7 +29,7 @@ def test_sales_report_reader(spark, tmp_out):
             + "2024-01-01,$10.00,$0.00,n/a,0" + tail + "\n")
     p = write(os.path.join(tmp_out, "sales.csv"), header + "\n" + body)
     rows = FS.read_sales_report(spark, p).orderBy("Date").collect()
-    assert [r["SKU"] for r in rows] == ["SALE_20240101_0", "SALE_20240102_1"]
+    assert [r["SKU"] for r in rows] == ["SALE_20240101_1", "SALE_20240102_0"]      # numbered as in the file
     assert rows[1]["OrderedProductSales"] == 1200.5 and rows[1]["quantity"] == 3.0
     assert rows[0]["quantity"] == 0.0 and rows[0]["Sales"] == 10.0
 

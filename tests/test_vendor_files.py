@@ -96,3 +96,33 @@ def test_revenue_is_not_rounded_per_line(spark):
     from shelflens.operators.sales_metrics import revenue_windows
     sales = spark.createDataFrame([("A", datetime(2025, 1, 1), 100.0, 0.125)], "SKU string, Date timestamp_ntz, quantity double, Price double")
     assert revenue_windows(sales, datetime(2025, 1, 2)).first()["Revenue_30d"] == 12.5
+
+
+def jobs_of(spark, group, work):
+    """Jobs started; without AQE (which starts one a stage) a job is one scan here."""
+    spark.sparkContext.setJobGroup(group, group)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        work()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_reading_and_cleaning_scans_a_file_twice(spark, tmp_path):
+    path = write(tmp_path / "perf", "Date,on_time_rate,order_defect_rate,end_time,note\n1/2/25 03:04:05 GMT (x),98.5%,0.02,x,a\n1/3/25 03:04:05 GMT (x),97.5%,n/a,y,b\n")
+    out = []
+    # the header line, the types, the result
+    assert jobs_of(spark, "clean", lambda: out.extend(CLN.clean_performance_text(FS.read_text_csv(spark, path)).collect())) == 3
+    assert sorted(tuple(r)[1:] for r in out) == [(0.975, None, "y", "b"), (0.985, 0.02, "x", "a")]
+    assert jobs_of(spark, "read", lambda: FS.read_performance(spark, path).collect()) == 3
+
+
+def test_performance_types(spark, tmp_path):
+    path = write(tmp_path / "perf", "a,b,c,d,e,f,g,h\n1,99999999999,1.5,2024-01-02,2024-01-02 03:04:05,true,2024,x\n2,1,2,2024-02-03,2024-01-02T03:04:06,FALSE,n/a,\n")
+    df = FS.read_performance(spark, path)
+    assert [t for _, t in df.dtypes] == ["int", "bigint", "double", "date", "timestamp", "boolean", "double", "string"]
+    rows = df.orderBy("a").collect()
+    assert rows[0].f is True and rows[1].g is None and rows[1].e.second == 6 and str(rows[1].d) == "2024-02-03"
+    assert [t for _, t in FS.read_performance(spark, write(tmp_path / "none", "a,b\n")).dtypes] == ["string", "string"]
