@@ -48,6 +48,25 @@ def no_clash(df: DataFrame, names) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in taken])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added while a column of ``df`` is called so (any letter case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def windows(text, chars: int, pieces: int, seed):
+    """The whole text if it has at most ``chars`` characters, else as many of them in
+    ``pieces`` windows, one at a place drawn by ``seed`` in each equal part of the text,
+    so that no part of a long text is left out by its place."""
+    n, each = F.length(text), chars // pieces
+    part = F.floor(n / pieces).cast("int")
+    cut = [F.substring(text, (F.lit(k) * part + F.pmod(F.xxhash64(seed, F.lit(k)), (part - each + 1).cast("long")).cast("int") + 1), F.lit(each))
+           for k in range(pieces)]
+    return F.when(n > chars, F.concat_ws(" ", *cut)).otherwise(text)
+
+
 def numbered(df: DataFrame, order_cols, name: str = "row_number",
              partitions: int | None = None) -> DataFrame:
     """Append a gapless global row number (from 0) following ``order_cols``.
@@ -56,25 +75,26 @@ def numbered(df: DataFrame, order_cols, name: str = "row_number",
     with its partition number and the row's place in it, and the partitions'
     row counts (one row per partition: a proven bound for the broadcast) turn
     places into global numbers.  The last tie-break is the whole row, so only
-    rows equal in every column are interchangeable.
+    rows equal in every column are interchangeable.  A column called ``name``
+    is replaced, all others stay.
     """
-    df = no_clash(df, [name, "__pid", "__pos", "__all"])
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    order = [*order_cols, F.col("__all")]
-    ranged = df.withColumn("__all", whole)
+    df = no_clash(df, [name])
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    all_, pos, pid, off = (unused(df, n) for n in ("__all", "__pos", "__pid", "__off"))
+    order = [*order_cols, F.col(all_)]
+    ranged = df.withColumn(all_, F.xxhash64(*columns))
     ranged = (ranged.repartitionByRange(partitions, *order) if partitions
               else ranged.repartitionByRange(*order))
-    ranged = (ranged.sortWithinPartitions(*order).drop("__all")
-              .withColumn("__pos", F.monotonically_increasing_id()))
+    ranged = (ranged.sortWithinPartitions(*order).drop(all_)
+              .withColumn(pos, F.monotonically_increasing_id()))
     # monotonically_increasing_id = (partition << 33) + place in the partition
-    kept = stash(ranged, "numbered").withColumn("__pid", F.shiftright("__pos", 33))
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (kept.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-               .select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")))
-    place = F.col("__pos") - F.shiftleft(F.col("__pid"), 33)
-    return (kept.join(F.broadcast(offsets), "__pid")
-            .withColumn(name, (F.col("__off") + place).cast("long"))
-            .drop("__pid", "__pos", "__off"))
+    kept = stash(ranged, "numbered").withColumn(pid, F.shiftright(pos, 33))
+    before = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (kept.groupBy(pid).agg(F.count(F.lit(1)).alias("__n"))
+               .select(pid, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(off)))
+    place = F.col(pos) - F.shiftleft(F.col(pid), 33)
+    return (kept.join(F.broadcast(offsets), pid)
+            .select(*columns, (F.col(off) + place).cast("long").alias(name)))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelflens.llm.common import arrow, no_clash
+from shelflens.llm.common import arrow, no_clash, windows
 
 UNKNOWN = "und"
 PIECE = 1024  # bytes compressed at a time
 LEVEL = 6
 SAMPLE_DOCUMENTS = 500  # labelled texts per language that a dictionary is cut from, about
-SAMPLE_CHARS = 1000  # of each of them
+SAMPLE_CHARS = 1000  # of each of them, in windows over the whole text
+WINDOWS = 4
 DICTIONARY_BYTES = 512 << 10  # of one language
 MIN_MARGIN = 0.005  # of the smallest size; below, the text is rejected
 TEMPERATURE = 4.0  # bytes of difference per factor e of the score
@@ -47,8 +48,10 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -
 
     The sample takes, per language, the texts whose hash lies below a share
     that gives about SAMPLE_DOCUMENTS distinct texts (copies count once); the
-    driver gets one row per language and the sample.  An empty table gives a
-    model without languages, which knows nothing.
+    driver gets one row per language and the sample: at most SAMPLE_CHARS characters
+    of a text, a longer one in WINDOWS windows spread over all of it.  Texts that say
+    several languages teach each; repeated rows count once.  An empty table, or one
+    without a language or text, gives a model without languages, which knows nothing.
     """
     rows = labelled.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text")).where(
         "lang is not null and text is not null and text <> ''")
@@ -60,7 +63,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -
     bound = F.create_map(*[F.lit(x) for lang, n in found.items()
                            for x in (lang, int(scale * min(1.0, 1.3 * SAMPLE_DOCUMENTS / max(n, 1))))])
     sample = (rows.where(F.pmod("h", F.lit(scale)) < bound[F.col("lang")])
-              .groupBy("lang", "h").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
+              .groupBy("lang", "h").agg(F.min(windows(F.col("text"), SAMPLE_CHARS, WINDOWS, F.col("h"))).alias("text"))
               .orderBy("h", "lang").limit(4 * SAMPLE_DOCUMENTS * len(found)).collect())
     cut: dict[str, list[bytes]] = {}
     for r in sample:
@@ -106,7 +109,9 @@ def decide(size: np.ndarray, has_letter: np.ndarray, languages):
 def identify(df: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """All rows with ``lang_pred, score, margin, accepted`` (input columns of
     these names are replaced).  Null texts and texts without a letter are
-    ``und`` with score 0 and never accepted; equal texts are judged alike."""
+    ``und`` with score 0 and never accepted; equal texts are judged alike, very long
+    ones whole; an empty table gives an empty table.  Sizes that tie go to the language
+    with most labelled texts, then the first by name, and are not accepted."""
     df = no_clash(df, ["lang_pred", "score", "margin", "accepted", "__letter"])
     schema = T.StructType([*df.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
                            T.StructField("margin", T.DoubleType()), T.StructField("accepted", T.BooleanType())])

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelflens.llm import words as W
-from shelflens.llm.common import arrow, no_clash
+from shelflens.llm.common import arrow, no_clash, windows
 
 BUCKET_BITS = 18
 DIM = 8
@@ -26,7 +26,8 @@ REPEATED = 7  # the bucket of a word that repeats the one before it
 EPOCHS = 12
 RATE = 0.5
 SAMPLE_DOCUMENTS = 3000  # labelled documents that are learned from, at most
-SAMPLE_CHARS = 20_000  # of each of them
+SAMPLE_CHARS = 20_000  # of each of them, in windows over the whole text
+WINDOWS = 8
 PREDICT_AT = 0.7
 _SPACES = np.array([32, 9, 10, 11, 12, 13], np.uint32)
 _CODES = 1 << 20  # code points hashed at a time
@@ -142,15 +143,17 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     wanted = (labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label"))
               .where("id is not null and label is not null").groupBy("id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
               .orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCUMENTS))
-    texts = documents.select(F.col(f"`{id_col}`").alias("id"), F.substring(f"`{text_col}`", 1, SAMPLE_CHARS).alias("text"))
+    texts = documents.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     # SAMPLE_DOCUMENTS rows of two numbers: a proven bound for the broadcast
     sample = (texts.where("text is not null").join(F.broadcast(wanted), "id").groupBy("id", "label")
-              .agg(F.min("text").alias("text")).orderBy(F.xxhash64("id"), "id").collect())
+              .agg(F.min(windows(F.col("text"), SAMPLE_CHARS, WINDOWS, F.col("id"))).alias("text")).orderBy(F.xxhash64("id"), "id").collect())
     return fit([r["text"] for r in sample], [r["label"] for r in sample])
 
 
 def score(df: DataFrame, model, text_col: str = "text") -> DataFrame:
-    """All rows with ``score`` and ``predicted`` (input columns of these names are replaced)."""
+    """All rows with ``score`` and ``predicted`` (input columns of these names are replaced).
+    Null and empty texts get the bias alone, very long ones are scored whole, equal texts
+    alike; an empty table gives an empty table."""
     df = no_clash(df, ["score", "predicted"])
     schema = T.StructType([*df.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     at = df.columns.index(text_col)

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelflens.llm.common import no_clash, numbered, ship
+from shelflens.llm.common import no_clash, numbered, ship, unused
 
 ROUNDS = 6
 _STEP = 0x9E3779B97F4A7C15
@@ -83,7 +83,8 @@ def shard(df: DataFrame, shards: int, order_cols=("doc_id",), seed: int = 0) ->
     def place(number: pd.Series) -> pd.Series:
         return pd.Series(permute(number.to_numpy(), n, seed))
 
-    return (rows.withColumn("__place", place("row_number"))
-            .withColumn("shard", F.pmod("__place", F.lit(shards)).cast("int"))
-            .withColumn("slot", F.expr(f"__place div {int(shards)}"))
-            .drop("__place"))
+    at = unused(rows, "__place")
+    return (rows.withColumn(at, place("row_number"))
+            .withColumn("shard", F.pmod(at, F.lit(shards)).cast("int"))
+            .withColumn("slot", F.expr(f"`{at}` div {int(shards)}"))
+            .drop(at))

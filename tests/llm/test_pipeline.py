@@ -85,3 +85,14 @@ def test_edges(spark, edge, none, edge_rows):
     assert stages.decontaminated(spark, edge, SF).count() == len(edge_rows)
     assert stages.sharded(spark, edge, SF).count() == len(edge_rows)
     assert decontaminate.THRESHOLD <= 0.6 and jaccard_join.SHINGLE == 5
+
+
+def test_stages_keep_columns_with_the_names_they_use(spark, edge, edge_rows):
+    from pyspark.sql import functions as F
+    names = ["__id", "__h", "__g", "__n", "__k", "__pid", "__pos", "__all", "__off", "__place"]
+    odd = edge.select("doc_id", "text", "lang", "source", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for _, stage in P.STAGES:
+        out = stage(spark, odd, SF)
+        assert out.columns[:len(odd.columns)] == odd.columns or sorted(out.columns) == sorted([*odd.columns, "row_number", "shard", "slot"])
+        got = out.collect()
+        assert got and all(r[n] == (None if r.doc_id is None else f"{n}{r.doc_id}") for r in got for n in odd.columns[4:])

@@ -51,3 +51,35 @@ def test_edges(spark, edge, none, edge_rows):
     assert Q.score(none, Q.train(edge, labels.limit(0))).count() == 0
     assert {r.score for r in Q.score(edge, Q.train(none, labels)).collect()} == {0.5}
     assert abs(Q.score_texts(["any"], Q.fit(["a"], [1]))[0] - 0.99) < 1e-9
+
+
+def test_scores_by_brute_force():
+    """One text at a time, one feature at a time, in plain integers."""
+    from shelflens.llm import words as W
+    model = Q.fit(["good text here", "fine words", "bad ### ***", "### %%% bad"] * 20, [1, 1, 0, 0] * 20)
+    share, bias = model
+    mask = (1 << 64) - 1
+    letter = lambda c: int(W.mix(np.array([(ord(c) + 0x9E3779B97F4A7C15) & mask], np.uint64))[0]) | 1
+    mixed = lambda x: int(W.mix(np.array([x & mask], np.uint64))[0]) >> (64 - Q.BUCKET_BITS)
+    base = int(W._power(2)[0][1])
+
+    def one(text):
+        buckets = []
+        for n in Q.GRAMS:
+            for i in range(len(text) - n + 1):
+                buckets.append(mixed(sum(letter(c) * int(W._GRAM[k]) for k, c in enumerate(text[i:i + n])) + int(W._GRAM[40 + n])))
+        words = text.split()
+        buckets += [mixed(sum(letter(c) * pow(base, k, 1 << 64) for k, c in enumerate(w)) + 77) for w in words]
+        buckets += [Q.REPEATED for a, b in zip(words, words[1:]) if a == b]
+        mean = sum(float(share[b]) for b in buckets) / max(len(buckets), 1)
+        return 1 / (1 + np.exp(-(mean + bias)))
+    texts = ["good text here", "bad bad ###", "", "x", "fine  words\nÄÖü", "*** *** bad good"]
+    assert np.allclose(Q.score_texts(texts, model), [one(t) for t in texts], atol=1e-6)
+
+
+def test_learning_sees_the_end_of_long_texts(spark):
+    rows = [(k, "same words " * 4000 + ("fine prose " if k % 2 else "junk spam ") * 4000) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = Q.train(docs, spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int"))
+    low, high = Q.score_texts([rows[0][1], rows[1][1]], model)
+    assert low < 0.5 < high
