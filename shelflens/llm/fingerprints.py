@@ -17,8 +17,8 @@ from shelflens.llm.common import numbered
 
 K, S = 6, 2  # words of a k-mer and of its inner substrings
 INNER = K - S + 1
-SKETCH = 48
 SUPPORT = 2  # anchors that must agree on an offset (fewer if a text has fewer)
+_PAIRS = "array<struct<position:int,anchor:bigint>>"
 _OTHER = 1 << 32  # added to the positions of the second text
 #: scripts written without spaces: every character is a word of its own
 _UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
@@ -46,7 +46,7 @@ def with_anchors(df: DataFrame, text, name: str = "anchors") -> DataFrame:
     many = F.transform(closed, lambda i: F.struct(i.alias("position"), F.xxhash64(
         *[inner(i, j) for j in range(0, INNER, S)]).alias("anchor")))
     one = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(F.array_join(w, " ")).alias("anchor")))
-    none = F.expr("cast(array() as array<struct<position:int,anchor:bigint>>)")
+    none = F.expr(f"cast(array() as {_PAIRS})")
     return df.withColumn(name, F.when(F.col(g).isNotNull(), many).when(F.size(h) > 0, one).otherwise(none)).drop(w, h, g)
 
 
@@ -56,11 +56,6 @@ def anchors(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Da
             .select("doc_id", F.inline("anchors")))
 
 
-def sketch_of(anchors):
-    """The sorted SKETCH smallest distinct anchors of a ``(position, anchor)`` array."""
-    return F.slice(F.sort_array(F.array_distinct(anchors["anchor"])), 1, SKETCH)
-
-
 def with_matching(df: DataFrame, a, b, name: str) -> DataFrame:
     """Add the likeness of two ``(position, anchor)`` columns: matched pairs over
     all pairs of both (a matched one once); 1 for two empty texts.
@@ -90,16 +85,17 @@ def with_matching(df: DataFrame, a, b, name: str) -> DataFrame:
     return df.withColumn(name, F.when(whole == 0, F.lit(1.0)).otherwise(matched / (whole - matched))).drop(u, s, o)
 
 
-def as_text(sketch):
-    return F.array_join(F.transform(sketch, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
+def as_fingerprint(anchors):
+    """``{position, anchor}, {position, anchor}`` in order of position; empty without anchors."""
+    return F.translate(anchors.cast("string"), "[]", "")
 
 
-def likeness(a, b):
-    """Estimated Jaccard similarity of the anchor sets (exact when both fit in
-    the sketch): the share of the union's smallest anchors that lie in both."""
-    union = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    both = F.size(F.array_intersect(F.array_intersect(union, a), b))
-    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(both / F.size(union))
+def read_fingerprint(fingerprint):
+    """The ``(position, anchor)`` array of a fingerprint."""
+    pair = lambda x: F.struct(F.substring_index(x, ", ", 1).cast("int").alias("position"),
+                              F.substring_index(x, ", ", -1).cast("bigint").alias("anchor"))
+    pairs = F.transform(F.split(F.regexp_replace(fingerprint, r"^\{|\}$", ""), r"\}, \{"), pair)
+    return F.when(fingerprint != "", pairs).otherwise(F.expr(f"cast(array() as {_PAIRS})"))
 
 
 def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,5 +130,5 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     whole, ahead, edited = (F.col(f"{text}_anchors") for text in ("text", "next_text", "edited"))
     out = with_matching(with_matching(out, whole, edited, "near_edited"), whole, ahead, "near_next")
     return out.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
-                      as_text(sketch_of(whole)).alias("fingerprint"), as_text(sketch_of(edited)).alias("edited_fingerprint"),
+                      as_fingerprint(whole).alias("fingerprint"), as_fingerprint(edited).alias("edited_fingerprint"),
                       "near_edited", "near_next", "next_id")

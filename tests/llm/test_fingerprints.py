@@ -1,5 +1,7 @@
 import hashlib
 import random
+import re
+from collections import Counter
 
 from shelflens.llm import fingerprints as P
 from shelflens.llm.queries import op3_fingerprints
@@ -36,9 +38,27 @@ def test_closed_syncmers_by_brute_force(spark):
     assert one <= {(r.position - 2, r.anchor) for r in rows if r.doc_id == 2}
 
 
-def test_likeness_is_exact_for_small_sets(spark):
-    df = spark.createDataFrame([([1, 2, 3], [2, 3, 4]), ([], []), ([], [1]), ([5], [5])], "a array<long>, b array<long>")
-    assert [r[0] for r in df.select(P.likeness(df.a, df.b)).collect()] == [0.5, 1.0, 0.0, 1.0]
+def parsed(fingerprint):
+    return [tuple(map(int, x.split(","))) for x in re.findall(r"\{([^}]*)\}", fingerprint)]
+
+
+def test_likeness_is_that_of_the_returned_fingerprints(spark):
+    rows = op3_fingerprints(spark, SF).collect()
+    of = {r.doc_id: parsed(r.fingerprint) for r in rows}
+    order = sorted(of, reverse=True)
+    after = dict(zip(order, order[1:] + order[:1]))
+    for r in rows:
+        assert abs(r.near_edited - brute_matching(of[r.doc_id], parsed(r.edited_fingerprint))) < 1e-12
+        assert abs(r.near_next - brute_matching(of[r.doc_id], of[after[r.doc_id]])) < 1e-12
+    assert max(map(len, of.values())) > 200  # long texts keep all their anchors
+
+
+def test_fingerprints_are_read_back(spark, edge):
+    df = P.with_anchors(edge.select("text"), edge.text)
+    df = df.select("anchors", P.read_fingerprint(P.as_fingerprint(df.anchors)).alias("again"))
+    rows = df.collect()
+    assert all(r.anchors == r.again for r in rows) and any(r.anchors for r in rows) and any(not r.anchors for r in rows)
+    assert df.schema["anchors"].dataType.simpleString() == df.schema["again"].dataType.simpleString()
 
 
 def test_edges(edge, none, edge_rows):
@@ -64,7 +84,8 @@ def brute_matching(a, b):
     for p, x in sorted(a):
         if places.get(x):
             offsets.append(places[x].pop(0) - p)
-    matched = sum(offsets.count(o) >= min(P.SUPPORT, len(a), len(b)) for o in offsets)
+    votes = Counter(offsets)
+    matched = sum(n for n in votes.values() if n >= min(P.SUPPORT, len(a), len(b)))
     return matched / (len(a) + len(b) - matched) if a or b else 1.0
 
 
