@@ -51,9 +51,13 @@ def with_anchors(df: DataFrame, text, name: str = "anchors") -> DataFrame:
 
 
 def anchors(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``(doc_id, position, anchor)`` rows for positional matching."""
+    """``(doc_id, position, anchor)`` rows for positional matching.
+
+    An outer generator: the filter on the array's size that Spark infers for an
+    inner one would be pushed below the hash columns and compute them per element.
+    """
     return (with_anchors(df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), F.col("text"))
-            .select("doc_id", F.inline("anchors")))
+            .select("doc_id", F.inline_outer("anchors")).where("position is not null"))
 
 
 def with_matching(df: DataFrame, a, b, name: str) -> DataFrame:
