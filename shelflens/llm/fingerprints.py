@@ -20,8 +20,9 @@ INNER = K - S + 1
 SUPPORT = 2  # anchors that must agree on an offset (fewer if a text has fewer)
 _PAIRS = "array<struct<position:int,anchor:bigint>>"
 _OTHER = 1 << 32  # added to the positions of the second text
-#: scripts written without spaces: every character is a word of its own
-_UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+#: scripts written without spaces: every character is a word of its own.  All lie
+#: from U+0E00 on; the range spares the characters before it a look-up for each script
+_UNSPACED = r"[\x{E00}-\x{10FFFF}&&[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]]"
 
 
 def words_of(text):
@@ -38,8 +39,8 @@ def with_anchors(df: DataFrame, text, name: str = "anchors") -> DataFrame:
     """
     w, h, g = f"__{name}_w", f"__{name}_h", f"__{name}_g"
     df = df.withColumn(w, words_of(text)).withColumn(h, F.transform(w, lambda x: F.xxhash64(x)))
-    df = df.withColumn(g, F.when(F.size(h) >= K, F.transform(
-        F.sequence(F.lit(0), F.size(h) - S), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(S)]))))
+    df = df.withColumn(g, F.when(F.size(h) >= K, F.transform(F.slice(h, 1, F.size(h) - S + 1), lambda x, i: F.xxhash64(
+        x, *[F.get(h, i + j) for j in range(1, S)]))))
     inner = lambda i, j: F.get(g, i + j)
     closed = F.filter(F.sequence(F.lit(0), F.size(g) - INNER), lambda i: F.least(inner(i, 0), inner(i, INNER - 1))
                       <= F.least(*[inner(i, j) for j in range(1, INNER - 1)]))
@@ -91,7 +92,7 @@ def with_matching(df: DataFrame, a, b, name: str) -> DataFrame:
 
 def as_fingerprint(anchors):
     """``{position, anchor}, {position, anchor}`` in order of position; empty without anchors."""
-    return F.translate(anchors.cast("string"), "[]", "")
+    return F.btrim(anchors.cast("string"), F.lit("[]"))
 
 
 def read_fingerprint(fingerprint):

@@ -1,8 +1,11 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from shelflens.llm import fingerprints as P
 from shelflens.llm.queries import op3_fingerprints
 from tests_llm import SF, frame
@@ -38,6 +41,43 @@ def test_closed_syncmers_by_brute_force(spark):
     assert one <= {(r.position - 2, r.anchor) for r in rows if r.doc_id == 2}
 
 
+SCRIPTS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+
+
+def test_unspaced_characters_are_those_of_the_scripts(spark):
+    """Over all code points but the surrogates."""
+    points = spark.range(0, 0x110000, 1, 4).where("id not between 55296 and 57343")
+    points = points.select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    counts = points.groupBy(F.col("c").rlike(SCRIPTS), F.col("c").rlike(P._UNSPACED)).count().collect()
+    got = {(wanted, found): n for wanted, found, n in counts}
+    assert set(got) == {(True, True), (False, False)} and got[True, True] > 90_000
+
+
+def test_spaced_text_is_not_looked_up_in_every_script(spark):
+    """The search in a text of spaced scripts takes well under the time of the plain class."""
+    pattern = spark._jvm.java.util.regex.Pattern
+    text = "some words, größere Wörter, несколько слов " * 20_000
+
+    def seconds(regex):
+        matcher, times = pattern.compile(regex).matcher(text), []
+        for _ in range(7):
+            matcher.reset()
+            start = time.perf_counter()
+            assert not matcher.find()
+            times.append(time.perf_counter() - start)
+        return min(times)
+
+    assert seconds(P._UNSPACED) < 0.5 * seconds(SCRIPTS)
+
+
+def test_unspaced_scripts_are_split_by_character(spark):
+    texts = ["漢字 かな", "abc漢字def", "ไทย", "one “two” — три한글", "𠀀b", ""]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string")
+    got = dict(df.select("k", P.words_of(df.text)).collect())
+    assert [got[k] for k in range(len(texts))] == [["漢", "字", "か", "な"], ["abc", "漢", "字", "def"], ["ไ", "ท", "ย"],
+                                                   ["one", "“two”", "—", "три한글"], ["𠀀", "b"], []]
+
+
 def parsed(fingerprint):
     return [tuple(map(int, x.split(","))) for x in re.findall(r"\{([^}]*)\}", fingerprint)]
 
